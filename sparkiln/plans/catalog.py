@@ -83,3 +83,71 @@ def q_trending(spark, sf_dir):
 @query("trend_alerts")
 def q_trend_alerts(spark, sf_dir):
     return W.trend_alerts(q_trending(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- text and TF-IDF
+
+from sparkiln.operators import text as TX  # noqa: E402
+from sparkiln.operators import tfidf as TI  # noqa: E402
+
+
+@query("word_count")
+def q_word_count(spark, sf_dir):
+    return TX.word_count(load_table(spark, sf_dir, "documents"), col="text")
+
+
+@query("word_length_buckets")
+def q_word_length_buckets(spark, sf_dir):
+    # each document read as a text file: one reference map() call per line
+    lines = TX.explode_lines(load_table(spark, sf_dir, "documents"), "text")
+    return TX.word_length_buckets(lines, "value", strict=True)
+
+
+@query("clean_tokens")
+def q_clean_tokens(spark, sf_dir):
+    return TX.clean_tokens(load_table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+def _triples(spark, sf_dir):
+    """Document-term counts with data-derived dictionaries (see build_dictionaries)."""
+    return TX.corpus_triples(load_table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+def _r(c, digits=9):
+    return F.round(F.col(c), digits).alias(c)
+
+
+@query("doc_term_counts")
+def q_doc_term_counts(spark, sf_dir):
+    return _triples(spark, sf_dir)
+
+
+@query("tf")
+def q_tf(spark, sf_dir):
+    tf = TI.term_frequency(_triples(spark, sf_dir))
+    return tf.select("doc_id", "term_id", "count", _r("tf"))
+
+
+@query("doc_total")
+def q_doc_total(spark, sf_dir):
+    return TI.doc_total(_triples(spark, sf_dir))
+
+
+@query("tfidf")
+def q_tfidf(spark, sf_dir):
+    t = TI.tfidf(_triples(spark, sf_dir))
+    return t.select("doc_id", "term_id", _r("tf"), _r("idf"), _r("tfidf"))
+
+
+@query("unique_terms")
+def q_unique_terms(spark, sf_dir):
+    return TI.unique_terms(_triples(spark, sf_dir))
+
+
+@query("doc_vectors")
+def q_doc_vectors(spark, sf_dir):
+    v = TI.doc_vectors(TI.tfidf(_triples(spark, sf_dir)))
+    text = F.array_join(F.transform(
+        "vector", lambda e: F.concat(e["term"].cast("string"), F.lit(":"),
+                                     F.format_string("%.6e", e["value"]))), ",")
+    return v.select("doc_id", "n_terms", _r("norm"), text.alias("vector_text"))

@@ -113,3 +113,90 @@ SELECT headquarter, "timestamp",
        ' has doubled from ' || prev_count || ' to ' || "count" || ' at ' || "timestamp" || '!' AS alert
 FROM ({_TRENDING})
 """
+
+# ---------------------------------------------------------------- text and TF-IDF
+
+ORACLE["word_count"] = r"""
+SELECT word, count(*) AS "count"
+FROM (SELECT unnest(string_split_regex(text, '[ \t\n\r\f]+')) AS word FROM documents)
+WHERE word <> ''
+GROUP BY word
+"""
+
+# Java split("\\s+") per line: '' -> [''], white space only -> [], else split of the
+# right-trimmed line (a leading empty token survives).
+_LINES = r"""
+  SELECT unnest(string_split_regex(regexp_replace(text, '\n\z', ''), '\n')) AS line
+  FROM documents
+"""
+ORACLE["word_length_buckets"] = rf"""
+WITH lines AS ({_LINES}),
+toks AS (
+  SELECT unnest(CASE
+      WHEN line = '' THEN ['']
+      WHEN regexp_replace(line, '[ \t\n\x0B\f\r]+\z', '') = '' THEN []::VARCHAR[]
+      ELSE string_split_regex(regexp_replace(line, '[ \t\n\x0B\f\r]+\z', ''), '[ \t\n\x0B\f\r]+')
+    END) AS token
+  FROM lines
+)
+SELECT CASE WHEN length(token) = 1 THEN 'Tiny'
+            WHEN length(token) BETWEEN 2 AND 4 THEN 'Small'
+            WHEN length(token) BETWEEN 5 AND 9 THEN 'Medium'
+            ELSE 'Big' END AS bucket,
+       count(*) AS "count"
+FROM toks GROUP BY 1
+"""
+
+_TOKENS = r"""
+  SELECT doc_id, token FROM (
+    SELECT doc_id, regexp_replace(raw, '[^a-zA-Z0-9£]', '', 'g') AS token
+    FROM (SELECT doc_id, unnest(string_split_regex(lower(text), '[ \t\n\r\f]+')) AS raw
+          FROM documents)
+    WHERE raw <> ''
+  ) WHERE token <> ''
+"""
+ORACLE["clean_tokens"] = f"SELECT doc_id, token FROM ({_TOKENS})"
+
+_TRIPLES = f"""
+  WITH toks AS ({_TOKENS}),
+  n AS (SELECT count(DISTINCT doc_id) AS n FROM toks),
+  dfs AS (SELECT token, count(DISTINCT doc_id) AS df FROM toks GROUP BY token),
+  stop AS (SELECT token FROM dfs, n WHERE df > 0.5 * n.n),
+  vocab AS (
+    SELECT CAST(row_number() OVER (ORDER BY token) AS INTEGER) AS term_id, token AS term
+    FROM dfs, n WHERE df >= 2 AND df <= 0.5 * n.n
+  ),
+  counts AS (SELECT doc_id, token, count(*) AS "count" FROM toks GROUP BY ALL)
+  SELECT v.term_id, c.doc_id, c."count"
+  FROM counts c JOIN vocab v ON c.token = v.term
+  WHERE c.token NOT IN (SELECT token FROM stop)
+"""
+ORACLE["doc_term_counts"] = _TRIPLES
+
+_TFIDF = f"""
+  WITH t AS ({_TRIPLES}),
+  n AS (SELECT count(DISTINCT doc_id) AS n FROM t),
+  tf AS (
+    SELECT doc_id, term_id, "count",
+           "count" / CAST(sum("count") OVER (PARTITION BY doc_id) AS DOUBLE) AS tf
+    FROM t
+  ),
+  dfs AS (SELECT term_id, count(*) AS df FROM t GROUP BY term_id)
+  SELECT tf.doc_id, tf.term_id, tf."count", tf.tf,
+         ln(CAST(n.n AS DOUBLE) / dfs.df) AS idf,
+         tf.tf * ln(CAST(n.n AS DOUBLE) / dfs.df) AS tfidf
+  FROM tf JOIN dfs USING (term_id), n
+"""
+
+ORACLE["tf"] = f"SELECT doc_id, term_id, \"count\", round(tf, 9) AS tf FROM ({_TFIDF})"
+ORACLE["doc_total"] = f"SELECT count(DISTINCT doc_id) AS total_docs FROM ({_TRIPLES})"
+ORACLE["tfidf"] = f"""
+SELECT doc_id, term_id, round(tf, 9) AS tf, round(idf, 9) AS idf, round(tfidf, 9) AS tfidf
+FROM ({_TFIDF})
+"""
+ORACLE["unique_terms"] = f"SELECT DISTINCT term_id FROM ({_TRIPLES})"
+ORACLE["doc_vectors"] = f"""
+SELECT doc_id, count(*) AS n_terms, round(sqrt(sum(tfidf * tfidf)), 9) AS norm,
+       string_agg(term_id || ':' || printf('%.6e', tfidf), ',' ORDER BY term_id) AS vector_text
+FROM ({_TFIDF}) GROUP BY doc_id
+"""
