@@ -78,15 +78,21 @@ def group_rank(df: DataFrame, keys: Sequence[str], order: Sequence, out: str = "
                   F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
               .withColumn("group_n", F.sum("_n").over(
                   Window.partitionBy(*keys) if keys else Window.partitionBy())))
-    chunks = chunks.select("_pid", *keys, "_first", "_before", "group_n")
+    # renamed copies of the key columns: the chunk table derives from the same
+    # plan as the rows, so the join must not rely on column lineage
+    chunks = chunks.select(F.col("_pid").alias("_c_pid"),
+                           *[F.col(k).alias(f"_c_k{i}") for i, k in enumerate(keys)],
+                           "_first", "_before", "group_n")
     n_chunks = chunks.count()
     if n_chunks <= BROADCAST_ROWS:
         chunks = F.broadcast(chunks)
     # null-safe key match: NULL keys form their own group
-    cond = [staged["_pid"] == chunks["_pid"]] + [staged[k].eqNullSafe(chunks[k]) for k in keys]
+    cond = F.col("_pid") == F.col("_c_pid")
+    for i, k in enumerate(keys):
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_c_k{i}"))
     joined = staged.join(chunks, cond, "inner")
     return joined.select(
-        *[staged[c] for c in df.columns],
-        (chunks["_before"] + staged["_pos"] - chunks["_first"]).alias(out),
-        chunks["group_n"],
+        *[F.col(c) for c in df.columns],
+        (F.col("_before") + F.col("_pos") - F.col("_first")).alias(out),
+        F.col("group_n"),
     )

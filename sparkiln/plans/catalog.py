@@ -151,3 +151,129 @@ def q_doc_vectors(spark, sf_dir):
         "vector", lambda e: F.concat(e["term"].cast("string"), F.lit(":"),
                                      F.format_string("%.6e", e["value"]))), ",")
     return v.select("doc_id", "n_terms", _r("norm"), text.alias("vector_text"))
+
+
+# ---------------------------------------------------------------- calendar
+
+from sparkiln.operators import timeline as TL  # noqa: E402
+
+
+@query("daily_counts_filled")
+def q_daily_counts_filled(spark, sf_dir):
+    return TL.daily_counts_filled(load_table(spark, sf_dir, "orders"), "o_orderdate")
+
+
+@query("first_per_day")
+def q_first_per_day(spark, sf_dir):
+    o = load_table(spark, sf_dir, "orders").select(
+        F.to_date("o_orderdate").alias("date"), "o_orderkey", "o_totalprice")
+    o = TL.with_group_count(o.where(F.col("date").isNotNull()), "date", out="day_count")
+    first = TL.first_per_key(o, "date", [F.desc("day_count"), F.asc("o_orderkey")])
+    return first.select("date", "o_orderkey", "o_totalprice", "day_count")
+
+
+@query("sql_year_month")
+def q_sql_year_month(spark, sf_dir):
+    load_table(spark, sf_dir, "orders").createOrReplaceTempView("sparkiln_orders")
+    return TL.events_in_month(spark, "sparkiln_orders", "o_orderdate", 1997, (1, 12))
+
+
+@query("yearly_mean_reindexed")
+def q_yearly_mean_reindexed(spark, sf_dir):
+    o = load_table(spark, sf_dir, "orders")
+    out = TL.yearly_mean_reindexed(
+        o, F.year("o_orderdate"), "o_totalprice",
+        where=(F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "1-URGENT"))
+    return out.select("year", _r("mean_value", 6))
+
+
+@query("monthly_increments")
+def q_monthly_increments(spark, sf_dir):
+    return TL.monthly_increments(load_table(spark, sf_dir, "events"), "ts")
+
+
+# ---------------------------------------------------------------- grouped statistics
+
+from sparkiln.operators import stats as ST  # noqa: E402
+
+LINEITEM_MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@query("mean_by_year")
+def q_mean_by_year(spark, sf_dir):
+    li = load_table(spark, sf_dir, "lineitem")
+    m = ST.group_means(li, [F.year("l_shipdate").alias("year")], ["l_extendedprice", "l_quantity"])
+    return m.select("year", _r("avg_l_extendedprice", 6), _r("avg_l_quantity", 6))
+
+
+@query("mean_by_year_key")
+def q_mean_by_year_key(spark, sf_dir):
+    li = load_table(spark, sf_dir, "lineitem")
+    m = ST.group_means(li, [F.year("l_shipdate").alias("year"), "l_returnflag"],
+                       ["l_extendedprice", "l_quantity"])
+    return m.select("year", "l_returnflag", _r("avg_l_extendedprice", 6), _r("avg_l_quantity", 6))
+
+
+@query("mean_by_status_year")
+def q_mean_by_status_year(spark, sf_dir):
+    o = load_table(spark, sf_dir, "orders")
+    m = ST.group_means(o, ["o_orderstatus", F.year("o_orderdate").alias("year")], ["o_totalprice"])
+    return m.select("o_orderstatus", "year", _r("avg_o_totalprice", 6))
+
+
+@query("value_counts")
+def q_value_counts(spark, sf_dir):
+    return ST.value_counts(load_table(spark, sf_dir, "part"), "p_brand")
+
+
+@query("top_n")
+def q_top_n(spark, sf_dir):
+    return ST.top_n(load_table(spark, sf_dir, "orders"), "o_custkey", 5)
+
+
+@query("top_n_series")
+def q_top_n_series(spark, sf_dir):
+    o = load_table(spark, sf_dir, "orders")
+    return ST.top_n_series(o, "o_custkey", F.year("o_orderdate"), n=5, at_year=1996)
+
+
+@query("distinct_share")
+def q_distinct_share(spark, sf_dir):
+    d = ST.distinct_share(load_table(spark, sf_dir, "orders"), "o_orderstatus", "o_custkey")
+    return d.select("o_orderstatus", "n_entities", _r("share"))
+
+
+@query("distinct_values")
+def q_distinct_values(spark, sf_dir):
+    return ST.distinct_values(load_table(spark, sf_dir, "orders"), "o_orderpriority")
+
+
+@query("correlation_matrix")
+def q_correlation_matrix(spark, sf_dir):
+    c = ST.correlation_matrix(load_table(spark, sf_dir, "lineitem"), LINEITEM_MEASURES)
+    return c.select("a", "b", _r("r", 6))
+
+
+@query("histogram")
+def q_histogram(spark, sf_dir):
+    h = ST.histogram(load_table(spark, sf_dir, "lineitem"), LINEITEM_MEASURES, bins=20)
+    return h.select("column", "bin", _r("lo", 6), _r("hi", 6), "count")
+
+
+@query("box_stats")
+def q_box_stats(spark, sf_dir):
+    b = ST.box_stats(load_table(spark, sf_dir, "orders"), "o_orderpriority", "o_totalprice")
+    return b.select("o_orderpriority", "n", *[_r(c, 6) for c in
+                    ("q1", "median", "q3", "iqr", "whisker_lo", "whisker_hi")], "n_outliers")
+
+
+@query("box_outliers")
+def q_box_outliers(spark, sf_dir):
+    li = load_table(spark, sf_dir, "lineitem")
+    return ST.box_outliers(li, "l_returnflag", "l_extendedprice", keep=["l_orderkey", "l_linenumber"])
+
+
+@query("melt_means")
+def q_melt_means(spark, sf_dir):
+    m = ST.melt_means(load_table(spark, sf_dir, "lineitem"), "l_returnflag", ["l_discount", "l_tax"])
+    return m.select("l_returnflag", "variable", _r("mean_value", 6))

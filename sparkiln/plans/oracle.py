@@ -200,3 +200,180 @@ SELECT doc_id, count(*) AS n_terms, round(sqrt(sum(tfidf * tfidf)), 9) AS norm,
        string_agg(term_id || ':' || printf('%.6e', tfidf), ',' ORDER BY term_id) AS vector_text
 FROM ({_TFIDF}) GROUP BY doc_id
 """
+
+# ---------------------------------------------------------------- calendar
+
+ORACLE["daily_counts_filled"] = """
+WITH d AS (SELECT CAST(o_orderdate AS DATE) AS date, count(*) AS cnt
+           FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1),
+s AS (SELECT CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS DATE) AS date
+      FROM d)
+SELECT s.date, CAST(coalesce(d.cnt, 0) AS BIGINT) AS "count" FROM s LEFT JOIN d USING (date)
+"""
+
+ORACLE["first_per_day"] = """
+SELECT date, o_orderkey, o_totalprice, day_count FROM (
+  SELECT CAST(o_orderdate AS DATE) AS date, o_orderkey, o_totalprice,
+         count(*) OVER (PARTITION BY CAST(o_orderdate AS DATE)) AS day_count,
+         row_number() OVER (PARTITION BY CAST(o_orderdate AS DATE) ORDER BY o_orderkey) AS rn
+  FROM orders WHERE o_orderdate IS NOT NULL
+) WHERE rn = 1
+"""
+
+ORACLE["sql_year_month"] = """
+SELECT * FROM orders WHERE year(o_orderdate) = 1997 AND month(o_orderdate) BETWEEN 1 AND 12
+"""
+
+ORACLE["yearly_mean_reindexed"] = """
+WITH m AS (
+  SELECT CAST(year(o_orderdate) AS INTEGER) AS year, avg(o_totalprice) AS mean_value
+  FROM orders WHERE o_orderstatus = 'P' AND o_orderpriority = '1-URGENT' GROUP BY 1
+),
+y AS (SELECT CAST(unnest(generate_series(min(year), max(year))) AS INTEGER) AS year FROM m)
+SELECT y.year, round(m.mean_value, 6) AS mean_value FROM y LEFT JOIN m USING (year)
+"""
+
+ORACLE["monthly_increments"] = """
+SELECT month, new_rows,
+       CAST(sum(new_rows) OVER (ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+            AS BIGINT) AS total_rows
+FROM (SELECT CAST(date_trunc('month', ts) AS DATE) AS month, count(*) AS new_rows
+      FROM events WHERE ts IS NOT NULL GROUP BY 1)
+"""
+
+# ---------------------------------------------------------------- grouped statistics
+
+ORACLE["mean_by_year"] = """
+SELECT CAST(year(l_shipdate) AS INTEGER) AS year,
+       round(avg(l_extendedprice), 6) AS avg_l_extendedprice,
+       round(avg(l_quantity), 6) AS avg_l_quantity
+FROM lineitem GROUP BY 1
+"""
+
+ORACLE["mean_by_year_key"] = """
+SELECT CAST(year(l_shipdate) AS INTEGER) AS year, l_returnflag,
+       round(avg(l_extendedprice), 6) AS avg_l_extendedprice,
+       round(avg(l_quantity), 6) AS avg_l_quantity
+FROM lineitem GROUP BY 1, 2
+"""
+
+ORACLE["mean_by_status_year"] = """
+SELECT o_orderstatus, CAST(year(o_orderdate) AS INTEGER) AS year,
+       round(avg(o_totalprice), 6) AS avg_o_totalprice
+FROM orders GROUP BY 1, 2
+"""
+
+ORACLE["value_counts"] = """
+SELECT p_brand, count(*) AS "count" FROM part WHERE p_brand IS NOT NULL GROUP BY 1
+"""
+
+_TOP5 = """
+  SELECT o_custkey, count(*) AS "count" FROM orders WHERE o_custkey IS NOT NULL
+  GROUP BY 1 ORDER BY "count" DESC, o_custkey LIMIT 5
+"""
+ORACLE["top_n"] = _TOP5
+
+ORACLE["top_n_series"] = """
+WITH top AS (
+  SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL AND year(o_orderdate) = 1996
+  GROUP BY 1 ORDER BY count(*) DESC, o_custkey LIMIT 5
+)
+SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS quantity
+FROM orders WHERE o_custkey IN (SELECT o_custkey FROM top) GROUP BY 1, 2
+"""
+
+ORACLE["distinct_share"] = """
+SELECT o_orderstatus, n_entities, round(n_entities / sum(n_entities) OVER (), 9) AS share
+FROM (SELECT o_orderstatus, count(DISTINCT o_custkey) AS n_entities
+      FROM orders WHERE o_orderstatus IS NOT NULL GROUP BY 1)
+"""
+
+ORACLE["distinct_values"] = "SELECT DISTINCT o_orderpriority FROM orders"
+
+_MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+def _corr_sql(a: str, b: str) -> str:
+    both = f"{a} IS NOT NULL AND {b} IS NOT NULL"
+    return (f"CASE WHEN stddev_pop({a}) FILTER (WHERE {both}) * stddev_pop({b}) FILTER (WHERE {both}) = 0"
+            f" THEN NULL ELSE covar_pop({a}, {b}) / (stddev_pop({a}) FILTER (WHERE {both})"
+            f" * stddev_pop({b}) FILTER (WHERE {both})) END")
+
+
+ORACLE["correlation_matrix"] = " UNION ALL ".join(
+    f"SELECT '{a}' AS a, '{b}' AS b, round({_corr_sql(a, b)}, 6) AS r FROM lineitem"
+    for a in _MEASURES for b in _MEASURES)
+
+ORACLE["histogram"] = f"""
+WITH vals AS (
+  UNPIVOT (SELECT {', '.join(_MEASURES)} FROM lineitem)
+  ON {', '.join(_MEASURES)} INTO NAME "column" VALUE v
+),
+b0 AS (SELECT "column", CAST(min(v) AS DOUBLE) AS mn0, CAST(max(v) AS DOUBLE) AS mx0
+       FROM vals GROUP BY 1),
+b AS (SELECT "column",
+             CASE WHEN mx0 = mn0 THEN mn0 - 0.5 ELSE mn0 END AS mn,
+             CASE WHEN mx0 = mn0 THEN mx0 + 0.5 ELSE mx0 END AS mx
+      FROM b0),
+bs AS (SELECT *, (mx - mn) / 20 AS step, 20 / (mx - mn) AS norm FROM b),
+a0 AS (
+  SELECT v."column", v.v, bs.mn, bs.mx, bs.step,
+         least(greatest(floor((v.v - bs.mn) * bs.norm), 0), 19)::BIGINT AS b0
+  FROM vals v JOIN bs USING ("column")
+  WHERE v.v >= bs.mn AND v.v <= bs.mx
+),
+a1 AS (SELECT *, CASE WHEN v < (CASE WHEN b0 = 20 THEN mx ELSE b0 * step + mn END)
+                      THEN b0 - 1 ELSE b0 END AS b1 FROM a0),
+a2 AS (SELECT "column", CASE WHEN b1 < 19 AND
+                              v >= (CASE WHEN b1 + 1 = 20 THEN mx ELSE (b1 + 1) * step + mn END)
+                              THEN b1 + 1 ELSE b1 END AS bin FROM a1),
+counts AS (SELECT "column", bin, count(*) AS cnt FROM a2 GROUP BY 1, 2),
+spine AS (SELECT bs."column", r.k AS bin,
+                 r.k * bs.step + bs.mn AS lo,
+                 CASE WHEN r.k + 1 = 20 THEN bs.mx ELSE (r.k + 1) * bs.step + bs.mn END AS hi
+          FROM bs, range(20) r(k))
+SELECT spine."column", CAST(spine.bin AS INTEGER) AS bin, round(lo, 6) AS lo, round(hi, 6) AS hi,
+       CAST(coalesce(cnt, 0) AS BIGINT) AS "count"
+FROM spine LEFT JOIN counts USING ("column", bin)
+"""
+
+_BOX = """
+  WITH q AS (
+    SELECT o_orderpriority, count(*) AS n,
+           quantile_cont(o_totalprice, 0.25) AS q1,
+           quantile_cont(o_totalprice, 0.5) AS median,
+           quantile_cont(o_totalprice, 0.75) AS q3
+    FROM orders WHERE o_totalprice IS NOT NULL GROUP BY 1
+  ),
+  f AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM q)
+  SELECT f.o_orderpriority, f.n, f.q1, f.median, f.q3, f.q3 - f.q1 AS iqr,
+         min(o.o_totalprice) FILTER (WHERE o.o_totalprice BETWEEN f.lo AND f.hi) AS whisker_lo,
+         max(o.o_totalprice) FILTER (WHERE o.o_totalprice BETWEEN f.lo AND f.hi) AS whisker_hi,
+         count(*) FILTER (WHERE NOT (o.o_totalprice BETWEEN f.lo AND f.hi)) AS n_outliers
+  FROM f JOIN orders o ON o.o_orderpriority = f.o_orderpriority AND o.o_totalprice IS NOT NULL
+  GROUP BY ALL
+"""
+ORACLE["box_stats"] = f"""
+SELECT o_orderpriority, n, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3,
+       round(iqr, 6) AS iqr, round(whisker_lo, 6) AS whisker_lo, round(whisker_hi, 6) AS whisker_hi,
+       n_outliers
+FROM ({_BOX})
+"""
+
+ORACLE["box_outliers"] = """
+WITH q AS (
+  SELECT l_returnflag, quantile_cont(l_extendedprice, 0.25) AS q1,
+         quantile_cont(l_extendedprice, 0.75) AS q3
+  FROM lineitem WHERE l_extendedprice IS NOT NULL GROUP BY 1
+)
+SELECT l.l_orderkey, l.l_linenumber, l.l_returnflag, l.l_extendedprice
+FROM lineitem l JOIN q USING (l_returnflag)
+WHERE l.l_extendedprice < q.q1 - 1.5 * (q.q3 - q.q1) OR l.l_extendedprice > q.q3 + 1.5 * (q.q3 - q.q1)
+"""
+
+ORACLE["melt_means"] = """
+SELECT l_returnflag, variable, round(avg(value), 6) AS mean_value
+FROM (UNPIVOT (SELECT l_returnflag, l_discount, l_tax FROM lineitem)
+      ON l_discount, l_tax INTO NAME variable VALUE value)
+GROUP BY 1, 2
+"""
