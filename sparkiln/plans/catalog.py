@@ -277,3 +277,59 @@ def q_box_outliers(spark, sf_dir):
 def q_melt_means(spark, sf_dir):
     m = ST.melt_means(load_table(spark, sf_dir, "lineitem"), "l_returnflag", ["l_discount", "l_tax"])
     return m.select("l_returnflag", "variable", _r("mean_value", 6))
+
+
+# ---------------------------------------------------------------- labels, projection, telemetry
+
+from sparkiln.functions.labels import normalize_label  # noqa: E402
+from sparkiln.operators import geo as GEO  # noqa: E402
+from sparkiln.sources import telemetry as TM  # noqa: E402
+
+
+def _event_points(spark, sf_dir):
+    """events as a point table: lat = props.k - 50, lon = value - 180."""
+    ev = _events_plane(spark, sf_dir)
+    return ev.select("event_id", "ts", (F.col("y") - 50).alias("lat"),
+                     (F.col("x") - 180).alias("lon"))
+
+
+@query("normalize_label")
+def q_normalize_label(spark, sf_dir):
+    p = load_table(spark, sf_dir, "part")
+    return p.select("p_partkey", "p_name", normalize_label(F.col("p_name")).alias("label"))
+
+
+@query("web_mercator")
+def q_web_mercator(spark, sf_dir):
+    pts = GEO.project_points(_event_points(spark, sf_dir), "lat", "lon")
+    return pts.select("event_id", _r("x", 3), _r("y", 3))
+
+
+@query("telemetry")
+def q_telemetry(spark, sf_dir):
+    ev = load_table(spark, sf_dir, "events")
+    parsed = ev.select("event_id", "ts", "event_type", "value",
+                       F.from_json("props", "k INT").alias("j")).select(
+        "event_id", "ts", "event_type", "value", F.col("j.k").alias("k"),
+        (F.col("value") / 3).alias("velocity"))
+    return TM.normalize_telemetry(parsed, drop=("event_type",), digits=2)
+
+
+@query("positions")
+def q_positions(spark, sf_dir):
+    emb = load_table(spark, sf_dir, "embeddings")
+    pairs = F.transform(
+        F.sequence(F.lit(0), F.floor(F.size("embedding") / 2).cast("int") - 1),
+        lambda i: F.struct(F.element_at("embedding", 2 * i + 1).cast("double").alias("satlatitude"),
+                           F.element_at("embedding", 2 * i + 2).cast("double").alias("satlongitude")))
+    nested = emb.select("vec_id", pairs.alias("positions"))
+    return TM.explode_positions(nested, "positions", keep=["vec_id"])
+
+
+@query("tracks")
+def q_tracks(spark, sf_dir):
+    ev = load_table(spark, sf_dir, "events").select(
+        "user_id", "ts", "event_id",
+        (F.get_json_object("props", "$.k").try_cast("double") - 50).alias("lat"),
+        (F.col("value") - 180).alias("lon"))
+    return GEO.tracks(ev, "user_id", "ts", ["event_id", "lat", "lon"], tie="event_id")

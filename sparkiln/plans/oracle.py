@@ -377,3 +377,52 @@ FROM (UNPIVOT (SELECT l_returnflag, l_discount, l_tax FROM lineitem)
       ON l_discount, l_tax INTO NAME variable VALUE value)
 GROUP BY 1, 2
 """
+
+# ---------------------------------------------------------------- labels, projection, telemetry
+
+_TITLE = r"""array_to_string(list_transform(range(1, length({s}) + 1), lambda i:
+    CASE WHEN i = 1 OR NOT regexp_matches(substr({s}, i - 1, 1), '[\p{{Lu}}\p{{Ll}}\p{{Lt}}]')
+         THEN upper(substr({s}, i, 1)) ELSE lower(substr({s}, i, 1)) END), '')"""
+
+ORACLE["normalize_label"] = f"""
+WITH t AS (
+  SELECT p_partkey, p_name,
+         CASE WHEN regexp_matches(p_name, '[A-Z]') THEN p_name ELSE {_TITLE.format(s='p_name')} END AS t1
+  FROM part
+)
+SELECT p_partkey, p_name,
+       regexp_replace(CASE t1 WHEN 'Bmw' THEN 'BMW' WHEN 'Ford Tk' THEN 'Ford Truck'
+                      WHEN 'Gmc' THEN 'GMC' WHEN 'Gmc Truck' THEN 'GMC Truck'
+                      WHEN 'Landrover' THEN 'Land Rover' WHEN 'Mercedes-B' THEN 'Mercedes-Benz'
+                      WHEN 'Mercedes' THEN 'Mercedes-Benz' WHEN 'Vw' THEN 'Volkswagen'
+                      ELSE t1 END, ' Tk', ' Truck', 'g') AS label
+FROM t
+"""
+
+ORACLE["web_mercator"] = f"""
+SELECT event_id, round(6378137.0 * radians(x - 180), 3) AS x,
+       round(6378137.0 * ln(tan(pi() / 4 + radians(y - 50) / 2)), 3) AS y
+FROM ({EVENTS_PLANE})
+"""
+
+ORACLE["telemetry"] = """
+SELECT event_id, ts, round(value, 2) AS value,
+       TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
+       round(value / 3, 2) AS velocity
+FROM events
+"""
+
+ORACLE["positions"] = """
+SELECT vec_id, CAST(i AS INTEGER) AS pos,
+       CAST(embedding[2 * i + 1] AS DOUBLE) AS satlatitude,
+       CAST(embedding[2 * i + 2] AS DOUBLE) AS satlongitude
+FROM (SELECT vec_id, embedding, unnest(range(CAST(floor(len(embedding) / 2) AS BIGINT))) AS i
+      FROM embeddings)
+"""
+
+ORACLE["tracks"] = """
+SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS seq,
+       ts, event_id,
+       TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) - 50 AS lat, value - 180 AS lon
+FROM events
+"""
