@@ -333,3 +333,92 @@ def q_tracks(spark, sf_dir):
         (F.get_json_object("props", "$.k").try_cast("double") - 50).alias("lat"),
         (F.col("value") - 180).alias("lon"))
     return GEO.tracks(ev, "user_id", "ts", ["event_id", "lat", "lon"], tie="event_id")
+
+
+# ---------------------------------------------------------------- clustering
+
+from sparkiln.operators import kmeans as KM  # noqa: E402
+
+_MEMO: dict = {}
+
+
+def _memo(spark, sf_dir, name, build):
+    """Reuse one clustering run for the several tables it yields."""
+    key = (id(spark), sf_dir, name)
+    if key not in _MEMO:
+        _MEMO[key] = build()
+    return _MEMO[key]
+
+
+def _points_2d(spark, sf_dir):
+    emb = load_table(spark, sf_dir, "embeddings")
+    return emb.select(F.col("vec_id").alias("id"),
+                      F.element_at("embedding", 1).cast("double").alias("x"),
+                      F.element_at("embedding", 2).cast("double").alias("y"))
+
+
+def _kmeans_2d(spark, sf_dir):
+    return _memo(spark, sf_dir, "kmeans_2d", lambda: KM.kmeans_2d(
+        _points_2d(spark, sf_dir), k=P.KMEANS_2D_K, max_iter=P.KMEANS_2D_MAX_ITER,
+        tol=P.KMEANS_2D_TOL, seed=P.KMEANS_SEED))
+
+
+@query("kmeans_2d_centroids")
+def q_kmeans_2d_centroids(spark, sf_dir):
+    r = _kmeans_2d(spark, sf_dir)
+    return r.centroids.select("cluster", _r("x"), _r("y"), "size")
+
+
+@query("kmeans_2d_assign")
+def q_kmeans_2d_assign(spark, sf_dir):
+    r = _kmeans_2d(spark, sf_dir)
+    return r.assignments.select(F.col("id").alias("vec_id"), "cluster")
+
+
+@query("kmeans_2d_history")
+def q_kmeans_2d_history(spark, sf_dir):
+    r = _kmeans_2d(spark, sf_dir)
+    return r.history.select("iteration", "cluster", _r("x"), _r("y"), "size")
+
+
+def _kmeans_cosine(spark, sf_dir):
+    def build():
+        t = TI.tfidf(_triples(spark, sf_dir))
+        return KM.kmeans_cosine(t, k=P.KMEANS_COS_K, max_iter=P.KMEANS_COS_MAX_ITER,
+                                tol=P.KMEANS_COS_TOL, seed=P.KMEANS_SEED)
+    return _memo(spark, sf_dir, "kmeans_cosine", build)
+
+
+@query("kmeans_cosine_assign")
+def q_kmeans_cosine_assign(spark, sf_dir):
+    return _kmeans_cosine(spark, sf_dir).assignments
+
+
+@query("kmeans_cosine_centroids")
+def q_kmeans_cosine_centroids(spark, sf_dir):
+    return _kmeans_cosine(spark, sf_dir).centroids.select("cluster", "term_id", _r("value"))
+
+
+@query("kmeans_loss")
+def q_kmeans_loss(spark, sf_dir):
+    return _kmeans_cosine(spark, sf_dir).losses.select("iteration", _r("loss", 6))
+
+
+@query("centroid_shift")
+def q_centroid_shift(spark, sf_dir):
+    return _kmeans_cosine(spark, sf_dir).history.select("iteration", "cluster", "size",
+                                                        _r("shift"))
+
+
+@query("top_terms")
+def q_top_terms(spark, sf_dir):
+    c = _kmeans_cosine(spark, sf_dir).centroids
+    return KM.top_terms(c, 10).select("cluster", "rank", "term_id", _r("value"))
+
+
+@query("cosine_distance")
+def q_cosine_distance(spark, sf_dir):
+    r = _kmeans_cosine(spark, sf_dir)
+    t = TI.tfidf(_triples(spark, sf_dir))
+    d = KM.doc_centroid_distances(t, r.centroids, P.KMEANS_COS_K)
+    return d.select("doc_id", "cluster", _r("distance"))

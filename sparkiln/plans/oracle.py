@@ -426,3 +426,184 @@ SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) -
        TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) - 50 AS lat, value - 180 AS lon
 FROM events
 """
+
+# ---------------------------------------------------------------- clustering
+#
+# Lloyd's loop unrolled into a chain of materialised CTEs.  Every step carries
+# a ``done`` flag: once a stop rule fires (empty cluster, small shift, last
+# round) later steps copy the state unchanged, so the chain's last state is
+# the loop's result.
+
+from sparkiln.functions.hashing import sql_unit_draw  # noqa: E402
+
+
+def _first_min_sql(dists: list[str]) -> str:
+    m = f"least({', '.join(dists)})"
+    whens = " ".join(f"WHEN {d} = {m} THEN {j}" for j, d in enumerate(dists, start=1))
+    return f"CASE {whens} ELSE 1 END"
+
+
+def kmeans_2d_sql(k: int, max_iter: int, tol: float, seed: int) -> dict[str, str]:
+    ctes = [
+        """pts AS MATERIALIZED (
+          SELECT vec_id AS id, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y
+          FROM embeddings WHERE embedding[1] IS NOT NULL AND embedding[2] IS NOT NULL)""",
+        f"""g0 AS MATERIALIZED (
+          SELECT p.id, p.x, p.y,
+                 CASE WHEN r.rn <= {k} THEN {k} - r.rn + 1
+                      ELSE CAST(floor({sql_unit_draw('p.id', seed)} * {k}) AS BIGINT) + 1 END AS c
+          FROM pts p JOIN (SELECT id, row_number() OVER (ORDER BY id) AS rn FROM pts) r USING (id))""",
+        """s0 AS MATERIALIZED (
+          SELECT list(struct_pack(c := c, x := x, y := y, n := n) ORDER BY c) AS cents,
+                 list(struct_pack(c := c, x := x, y := y, n := n) ORDER BY c) AS used,
+                 false AS done, 0 AS last_it
+          FROM (SELECT c, avg(x) AS x, avg(y) AS y, count(*) AS n FROM g0 GROUP BY c))""",
+    ]
+    hist = []
+    for i in range(1, max_iter + 1):
+        prev = f"s{i - 1}"
+        dists = [f"sqrt((p.x - {prev}.cents[{j}].x) * (p.x - {prev}.cents[{j}].x)"
+                 f" + (p.y - {prev}.cents[{j}].y) * (p.y - {prev}.cents[{j}].y))"
+                 for j in range(1, k + 1)]
+        ctes.append(f"""a{i} AS MATERIALIZED (
+          SELECT p.id, p.x, p.y, {_first_min_sql(dists)} AS c FROM pts p, {prev})""")
+        ctes.append(f"""n{i} AS MATERIALIZED (
+          SELECT list(struct_pack(c := c, x := x, y := y, n := n) ORDER BY c) AS cents
+          FROM (SELECT c, avg(x) AS x, avg(y) AS y, count(*) AS n FROM a{i} GROUP BY c))""")
+        shift = "greatest(" + ", ".join(
+            f"sqrt(({prev}.cents[{j}].x - n{i}.cents[{j}].x) * ({prev}.cents[{j}].x - n{i}.cents[{j}].x)"
+            f" + ({prev}.cents[{j}].y - n{i}.cents[{j}].y) * ({prev}.cents[{j}].y - n{i}.cents[{j}].y))"
+            for j in range(1, k + 1)) + ", 5e-324)"
+        ctes.append(f"""{'s' + str(i)} AS MATERIALIZED (
+          SELECT CASE WHEN {prev}.done THEN {prev}.cents ELSE n{i}.cents END AS cents,
+                 CASE WHEN {prev}.done THEN {prev}.used ELSE {prev}.cents END AS used,
+                 {prev}.done OR len(n{i}.cents) <> {k} OR {shift} < {tol!r} OR {i} = {max_iter} AS done,
+                 CASE WHEN {prev}.done THEN {prev}.last_it ELSE {i} END AS last_it
+          FROM {prev}, n{i})""")
+        hist.append(f"SELECT {i} AS iteration, unnest(n{i}.cents) AS e FROM n{i}, s{i - 1} "
+                    f"WHERE NOT s{i - 1}.done")
+    last = f"s{max_iter}"
+    head = "WITH " + ",\n".join(ctes)
+    final_dists = [f"sqrt((p.x - {last}.used[{j}].x) * (p.x - {last}.used[{j}].x)"
+                   f" + (p.y - {last}.used[{j}].y) * (p.y - {last}.used[{j}].y))"
+                   for j in range(1, k + 1)]
+    return {
+        "centroids": f"""{head}
+SELECT CAST(e.c AS INTEGER) AS cluster, round(e.x, 9) AS x, round(e.y, 9) AS y, e.n AS size
+FROM (SELECT unnest(cents) AS e FROM {last})""",
+        "assign": f"""{head}
+SELECT p.id AS vec_id, CAST({_first_min_sql(final_dists)} AS INTEGER) AS cluster FROM pts p, {last}""",
+        "history": f"""{head}
+SELECT CAST(iteration AS INTEGER) AS iteration, CAST(e.c AS INTEGER) AS cluster,
+       round(e.x, 9) AS x, round(e.y, 9) AS y, e.n AS size
+FROM ({' UNION ALL '.join(hist)})""",
+    }
+
+
+_KM2 = kmeans_2d_sql(P.KMEANS_2D_K, P.KMEANS_2D_MAX_ITER, P.KMEANS_2D_TOL, P.KMEANS_SEED)
+ORACLE["kmeans_2d_centroids"] = _KM2["centroids"]
+ORACLE["kmeans_2d_assign"] = _KM2["assign"]
+ORACLE["kmeans_2d_history"] = _KM2["history"]
+
+
+def kmeans_cosine_sql(k: int, max_iter: int, tol: float, seed: int) -> dict[str, str]:
+    inf = "CAST('inf' AS DOUBLE)"
+    ctes = [
+        f"vec AS MATERIALIZED (SELECT doc_id AS doc, term_id AS term, tfidf AS value "
+        f"FROM ({_TFIDF}) WHERE tfidf IS NOT NULL)",
+        "dn AS MATERIALIZED (SELECT doc, sqrt(sum(value * value)) AS norm FROM vec GROUP BY doc)",
+        f"""g0 AS MATERIALIZED (
+          SELECT doc, CASE WHEN rn <= {k} THEN {k} - rn + 1
+                           ELSE CAST(floor({sql_unit_draw('doc', seed)} * {k}) AS BIGINT) + 1 END AS cluster
+          FROM (SELECT doc, row_number() OVER (ORDER BY doc) AS rn FROM (SELECT DISTINCT doc FROM vec)))""",
+        """c0 AS MATERIALIZED (SELECT g.cluster, v.term, avg(v.value) AS value
+          FROM vec v JOIN g0 g USING (doc) GROUP BY ALL)""",
+        "s0 AS MATERIALIZED (SELECT false AS done, 0 AS last_it)",
+    ]
+    hist, losses = [], []
+    for i in range(1, max_iter + 1):
+        p = i - 1
+        ctes += [
+            f"cn{p} AS MATERIALIZED (SELECT cluster, sqrt(sum(value * value)) AS norm FROM c{p} GROUP BY cluster)",
+            f"""dist{i} AS MATERIALIZED (
+              SELECT d.doc, kk.j AS cluster,
+                     CASE WHEN d.norm = 0 OR coalesce(cn.norm, 0) = 0 THEN {inf}
+                          ELSE 1 - coalesce(x.dot, 0) / (d.norm * cn.norm) END AS dist
+              FROM dn d CROSS JOIN range(1, {k + 1}) kk(j)
+              LEFT JOIN cn{p} cn ON cn.cluster = kk.j
+              LEFT JOIN (SELECT v.doc, c.cluster, sum(v.value * c.value) AS dot
+                         FROM vec v JOIN c{p} c USING (term) GROUP BY ALL) x
+                     ON x.doc = d.doc AND x.cluster = kk.j)""",
+            f"""a{i} AS MATERIALIZED (SELECT doc, cluster FROM (
+              SELECT doc, cluster, row_number() OVER (PARTITION BY doc ORDER BY dist, cluster) AS rn
+              FROM dist{i}) WHERE rn = 1)""",
+            f"""n{i} AS MATERIALIZED (SELECT a.cluster, v.term, avg(v.value) AS value
+              FROM vec v JOIN a{i} a USING (doc) GROUP BY ALL)""",
+            f"nn{i} AS MATERIALIZED (SELECT cluster, sqrt(sum(value * value)) AS norm FROM n{i} GROUP BY cluster)",
+            f"""sh{i} AS MATERIALIZED (
+              SELECT nn.cluster,
+                     CASE WHEN coalesce(o.norm, 0) = 0 OR nn.norm = 0 THEN {inf}
+                          ELSE 1 - coalesce(x.dot, 0) / (o.norm * nn.norm) END AS shift
+              FROM nn{i} nn LEFT JOIN cn{p} o USING (cluster)
+              LEFT JOIN (SELECT a.cluster, sum(a.value * b.value) AS dot
+                         FROM c{p} a JOIN n{i} b USING (cluster, term) GROUP BY 1) x USING (cluster))""",
+            f"""loss{i} AS MATERIALIZED (
+              SELECT sum(sqrt(greatest(0, nn.norm * nn.norm + q.part))) AS loss FROM (
+                SELECT v.doc, a.cluster, sum(v.value * v.value - 2 * v.value * coalesce(c.value, 0)) AS part
+                FROM vec v JOIN a{i} a USING (doc)
+                LEFT JOIN n{i} c ON c.cluster = a.cluster AND c.term = v.term GROUP BY ALL) q
+              JOIN nn{i} nn USING (cluster))""",
+            f"""s{i} AS MATERIALIZED (
+              SELECT s{p}.done OR (SELECT count(*) FROM nn{i}) <> {k}
+                     OR (SELECT max(shift) FROM sh{i}) <= {tol!r} OR {i} = {max_iter} AS done,
+                     CASE WHEN s{p}.done THEN s{p}.last_it ELSE {i} END AS last_it
+              FROM s{p})""",
+            f"""c{i} AS MATERIALIZED (
+              SELECT * FROM c{p} WHERE (SELECT done FROM s{p})
+              UNION ALL SELECT * FROM n{i} WHERE NOT (SELECT done FROM s{p}))""",
+        ]
+        hist.append(f"""SELECT {i} AS iteration, z.cluster, z.size,
+              CASE WHEN (SELECT count(*) FROM nn{i}) <> {k} THEN NULL ELSE sh.shift END AS shift
+            FROM (SELECT cluster, count(*) AS size FROM a{i} GROUP BY cluster) z
+            LEFT JOIN sh{i} sh USING (cluster) WHERE NOT (SELECT done FROM s{p})""")
+        losses.append(f"SELECT {i} AS iteration, loss FROM loss{i} WHERE NOT (SELECT done FROM s{p})")
+    last = max_iter
+    final_assign = " UNION ALL ".join(
+        f"SELECT doc, cluster FROM a{i} WHERE (SELECT last_it FROM s{last}) = {i}"
+        for i in range(1, max_iter + 1))
+    head = "WITH " + ",\n".join(ctes)
+    return {
+        "assign": f"{head}\nSELECT doc AS doc_id, CAST(cluster AS INTEGER) AS cluster FROM ({final_assign})",
+        "centroids": f"""{head}
+SELECT CAST(cluster AS INTEGER) AS cluster, term AS term_id, round(value, 9) AS value FROM c{last}""",
+        "loss": f"""{head}
+SELECT CAST(iteration AS INTEGER) AS iteration, round(loss, 6) AS loss FROM ({' UNION ALL '.join(losses)})""",
+        "shift": f"""{head}
+SELECT CAST(iteration AS INTEGER) AS iteration, CAST(cluster AS INTEGER) AS cluster, size,
+       round(shift, 9) AS shift FROM ({' UNION ALL '.join(hist)})""",
+        "top": f"""{head}
+SELECT CAST(cluster AS INTEGER) AS cluster, CAST(rank AS INTEGER) AS rank, term AS term_id,
+       round(value, 9) AS value FROM (
+  SELECT cluster, term, value,
+         row_number() OVER (PARTITION BY cluster ORDER BY value DESC, term) AS rank FROM c{last})
+WHERE rank <= 10""",
+        "distance": f"""{head},
+cnf AS MATERIALIZED (SELECT cluster, sqrt(sum(value * value)) AS norm FROM c{last} GROUP BY cluster)
+SELECT d.doc AS doc_id, CAST(kk.j AS INTEGER) AS cluster,
+       round(CASE WHEN d.norm = 0 OR coalesce(cn.norm, 0) = 0 THEN {inf}
+                  ELSE 1 - coalesce(x.dot, 0) / (d.norm * cn.norm) END, 9) AS distance
+FROM dn d CROSS JOIN range(1, {k + 1}) kk(j)
+LEFT JOIN cnf cn ON cn.cluster = kk.j
+LEFT JOIN (SELECT v.doc, c.cluster, sum(v.value * c.value) AS dot
+           FROM vec v JOIN c{last} c USING (term) GROUP BY ALL) x
+       ON x.doc = d.doc AND x.cluster = kk.j""",
+    }
+
+
+_KMC = kmeans_cosine_sql(P.KMEANS_COS_K, P.KMEANS_COS_MAX_ITER, P.KMEANS_COS_TOL, P.KMEANS_SEED)
+ORACLE["kmeans_cosine_assign"] = _KMC["assign"]
+ORACLE["kmeans_cosine_centroids"] = _KMC["centroids"]
+ORACLE["kmeans_loss"] = _KMC["loss"]
+ORACLE["centroid_shift"] = _KMC["shift"]
+ORACLE["top_terms"] = _KMC["top"]
+ORACLE["cosine_distance"] = _KMC["distance"]

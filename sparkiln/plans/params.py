@@ -35,3 +35,4 @@ KMEANS_2D_TOL = 1e-3
 KMEANS_COS_K = 5
 KMEANS_COS_MAX_ITER = 10
 KMEANS_COS_TOL = 1e-5
+KMEANS_SEED = 42
