@@ -91,7 +91,9 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         for j, b in enumerate(cols):
             if j < i:
                 continue
-            both = F.col(a).isNotNull() & F.col(b).isNotNull()
+            # pandas treats NaN as missing too
+            both = (F.col(a).isNotNull() & ~F.isnan(F.col(a).cast("double"))
+                    & F.col(b).isNotNull() & ~F.isnan(F.col(b).cast("double")))
             ca, cb = F.when(both, F.col(a)), F.when(both, F.col(b))
             name = f"r_{i}_{j}"
             aggs.append(F.try_divide(F.covar_pop(ca, cb),
