@@ -422,3 +422,70 @@ def q_cosine_distance(spark, sf_dir):
     t = TI.tfidf(_triples(spark, sf_dir))
     d = KM.doc_centroid_distances(t, r.centroids, P.KMEANS_COS_K)
     return d.select("doc_id", "cluster", _r("distance"))
+
+
+# ---------------------------------------------------------------- streams
+#
+# The events table read as a file stream and drained with availableNow; the
+# sink is a table under the shared checkpoint folder, read back as the result.
+
+from sparkiln.session import scratch_path  # noqa: E402
+from sparkiln.sinks.files import label_writer, replace_writer  # noqa: E402
+from sparkiln.sources.tables import table_path  # noqa: E402
+from sparkiln.streaming import jobs as SJ  # noqa: E402
+
+
+def _events_stream(spark, sf_dir):
+    schema = load_table(spark, sf_dir, "events").schema
+    return SJ.table_stream(spark, table_path(sf_dir, "events"), schema, files_per_trigger=4)
+
+
+def _plane(stream):
+    return stream.select("event_id", "ts", F.col("value").alias("x"),
+                         F.get_json_object("props", "$.k").try_cast("double").alias("y"))
+
+
+@query("stream_hourly_counts")
+def q_stream_hourly_counts(spark, sf_dir):
+    base = scratch_path(spark, "stream-hourly")
+    counts = W.windowed_counts(_events_stream(spark, sf_dir).select("ts"), "ts", "1 hour")
+    writer = label_writer(f"{base}/out", lambda b: SJ.hourly_rows(b).drop("print"),
+                          ["day", "hour_label"], "parquet")
+    SJ.run_available(counts, writer, f"{base}/checkpoint", "update")
+    out = spark.read.parquet(f"{base}/out")
+    return out.select("window_start", "window_end", F.col("day").cast("date"),
+                      F.col("hour_label").cast("long"), F.col("count").cast("long"))
+
+
+@query("stream_region_counts")
+def q_stream_region_counts(spark, sf_dir):
+    base = scratch_path(spark, "stream-region")
+    counts = W.region_counts(_plane(_events_stream(spark, sf_dir)), P.EVENT_REGIONS, "x", "y",
+                             "ts", width="1 hour")
+    SJ.run_available(counts, replace_writer(f"{base}/out", W.flatten_window),
+                     f"{base}/checkpoint", "complete")
+    return spark.read.parquet(f"{base}/out").select("window_start", "window_end", "headquarter",
+                                                    "count")
+
+
+@query("stream_trending")
+def q_stream_trending(spark, sf_dir):
+    base = scratch_path(spark, "stream-trending")
+    counts = W.region_counts(_plane(_events_stream(spark, sf_dir)), P.EVENT_REGIONS, "x", "y",
+                             "ts", width=P.TREND_WIDTH)
+
+    def prepare(batch):
+        return W.trending(W.flatten_window(batch), width_s=P.TREND_WIDTH_S,
+                          min_count=P.TREND_MIN_COUNT, ratio=P.TREND_RATIO)
+    SJ.run_available(counts, replace_writer(f"{base}/out", prepare), f"{base}/checkpoint",
+                     "complete")
+    return spark.read.parquet(f"{base}/out")
+
+
+@query("stream_count_by_type")
+def q_stream_count_by_type(spark, sf_dir):
+    base = scratch_path(spark, "stream-type")
+    counts = W.count_by_type(_events_stream(spark, sf_dir), "event_type")
+    SJ.run_available(counts, replace_writer(f"{base}/out", lambda b: b), f"{base}/checkpoint",
+                     "complete")
+    return spark.read.parquet(f"{base}/out")

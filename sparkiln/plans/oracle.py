@@ -607,3 +607,10 @@ ORACLE["kmeans_loss"] = _KMC["loss"]
 ORACLE["centroid_shift"] = _KMC["shift"]
 ORACLE["top_terms"] = _KMC["top"]
 ORACLE["cosine_distance"] = _KMC["distance"]
+
+# ---------------------------------------------------------------- streams (final state = batch)
+
+ORACLE["stream_hourly_counts"] = ORACLE["hourly_counts"]
+ORACLE["stream_region_counts"] = ORACLE["region_counts"]
+ORACLE["stream_trending"] = ORACLE["trending"]
+ORACLE["stream_count_by_type"] = ORACLE["count_by_type"]
