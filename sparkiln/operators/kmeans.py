@@ -342,3 +342,116 @@ def doc_centroid_distances(triples: DataFrame, centroids: DataFrame, k: int,
     dist = cosine_distances(vectors, doc_norms(vectors), cents, cnorms, k, cents.count())
     stack = ", ".join(f"{j}, d{j}" for j in range(1, k + 1))
     return dist.selectExpr(f"doc AS {entity}", f"stack({k}, {stack}) AS (cluster, distance)")
+
+
+# ------------------------------------------------------------ k-means|| seeding
+
+def _nearest_candidate(vectors: DataFrame, norms: DataFrame, cand_ids: list,
+                       cand_norms: dict) -> DataFrame:
+    """(doc, dist, ci): cosine distance from every document to its nearest
+    candidate and that candidate's index (lowest index on ties).
+
+    Only the term equi-join produces pairs: a candidate sharing no term with
+    a document is at distance 1 (both non-zero), found per document as the
+    lowest non-zero candidate index missing from its joined set; zero
+    vectors are at +inf, so such a document falls to candidate 0.
+    """
+    spark = vectors.sparkSession
+    idx = {c: i for i, c in enumerate(cand_ids)}
+    imap = F.create_map(*[x for c, i in idx.items() for x in (F.lit(c), F.lit(i))])
+    nmap = F.create_map(*[x for c, i in idx.items()
+                          for x in (F.lit(i), F.lit(float(cand_norms.get(c) or 0.0)))])
+    nz = [i for c, i in idx.items() if cand_norms.get(c)]
+    cvec = (vectors.where(F.col("doc").isin(list(idx)))
+            .select(F.element_at(imap, F.col("doc")).alias("ci"), "term",
+                    F.col("value").alias("cv")))
+    cvec = _maybe_broadcast(cvec, cvec.count())
+    dots = vectors.join(cvec, "term", "inner").groupBy("doc", "ci").agg(
+        F.sum(F.col("value") * F.col("cv")).alias("dot"))
+    cn = F.element_at(nmap, F.col("ci"))
+    per = (dots.join(norms, "doc", "inner").where((cn > 0) & (F.col("norm") > 0))
+           .select("doc", "ci", (F.lit(1.0) - F.col("dot") / (F.col("norm") * cn)).alias("dist")))
+    agg = per.groupBy("doc").agg(
+        F.array_min(F.collect_list(F.struct("dist", "ci"))).alias("jbest"),
+        F.collect_list("ci").alias("jci"))
+    full = norms.join(agg, "doc", "left")
+    nz_arr = F.array(*[F.lit(i) for i in nz]) if nz else F.array().cast("array<int>")
+    unjoined = F.array_min(F.array_except(nz_arr, F.coalesce(F.col("jci"),
+                                                             F.array().cast("array<int>"))))
+    one = F.when(unjoined.isNotNull(), F.struct(F.lit(1.0).alias("dist"), unjoined.alias("ci")))
+    best = F.when((F.col("norm") == 0) | F.lit(not nz),
+                  F.struct(F.lit(INF).alias("dist"), F.lit(0).alias("ci"))) \
+        .otherwise(F.least(F.col("jbest"), one))
+    del spark
+    return full.select("doc", best.alias("b")).select("doc", "b.dist", "b.ci")
+
+
+def seed_parallel(triples: DataFrame, k: int, oversample: int | None = None, seed: int = 0,
+                  entity: str = "doc_id", feature: str = "term_id",
+                  value: str = "tfidf") -> DataFrame:
+    """CL4: k-means|| seeding with cosine distance.
+
+    A first candidate is drawn, ``psi`` is every document's distance to its
+    nearest candidate, and for ceil(ln(potential)) rounds each document joins
+    the candidates with probability ``l * psi / potential`` (a hash draw per
+    (seed, round, doc), so recomputed tasks draw the same).  Candidates are
+    weighted by how many documents they are nearest to, and k distinct ones
+    are picked by weighted sampling without replacement (keys u^(1/w)).
+
+    Differences from the reference, which is random anyway: the potential is
+    refreshed per round and psi updated per round (batch form); when fewer
+    than k candidates exist, the remaining seeds are the next documents in
+    draw order.  Returns (cluster, entity) seed documents.
+    """
+    l = oversample or 4 * k
+    spark = triples.sparkSession
+    vectors = (triples.select(F.col(entity).alias("doc"), F.col(feature).alias("term"),
+                              F.col(value).cast("double").alias("value"))
+               .where(F.col("value").isNotNull()).persist(StorageLevel.MEMORY_AND_DISK))
+    norms = doc_norms(vectors).persist(StorageLevel.MEMORY_AND_DISK)
+    draw0 = unit_draw(F.col("doc"), seed)
+    first = norms.select("doc", "norm", draw0.alias("u")).orderBy("u", "doc").limit(1).collect()
+    if not first:
+        return spark.createDataFrame([], f"cluster int, {entity} long")
+    cands = [first[0]["doc"]]
+    cnorms = {first[0]["doc"]: first[0]["norm"]}
+    finite = F.when(F.col("dist") == INF, F.lit(None)).otherwise(F.col("dist"))
+    psi = _checkpoint(_nearest_candidate(vectors, norms, cands, cnorms))
+    potential = psi.agg(F.sum(finite).alias("p")).first()["p"] or 0.0
+    rounds = max(0, math.ceil(math.log(potential))) if potential > 1 else 0
+    for rnd in range(1, rounds + 1):
+        if potential <= 0:
+            break
+        prob = F.lit(float(l)) * finite / F.lit(potential)
+        picked = psi.where(unit_draw(F.col("doc"), seed * 1000 + rnd) <= prob) \
+            .where(~F.col("doc").isin(cands)).join(norms, "doc").select("doc", "norm").collect()
+        if not picked:
+            continue
+        for r in picked:
+            cands.append(r["doc"])
+            cnorms[r["doc"]] = r["norm"]
+        # psi against all candidates (nearest index matters for the weights)
+        psi = _checkpoint(_nearest_candidate(vectors, norms, cands, cnorms))
+        potential = psi.agg(F.sum(finite).alias("p")).first()["p"] or 0.0
+    weights = psi.groupBy("ci").agg(F.count(F.lit(1)).alias("w"))
+    cmap = F.create_map(*[x for i, c in enumerate(cands) for x in (F.lit(i), F.lit(c))])
+    key = F.pow(unit_draw(F.col("cand"), seed + 7), F.lit(1.0) / F.col("w"))
+    chosen = [r["cand"] for r in weights.where(F.col("w") > 0)
+              .select(F.element_at(cmap, F.col("ci")).alias("cand"), "w")
+              .select("cand", key.alias("key")).orderBy(F.desc("key"), "cand").limit(k).collect()]
+    if len(chosen) < k:
+        extra = [r["doc"] for r in norms.select("doc", draw0.alias("u"))
+                 .where(~F.col("doc").isin(chosen)).orderBy("u", "doc")
+                 .limit(k - len(chosen)).collect()]
+        chosen += extra
+    return spark.createDataFrame([(i + 1, int(c)) for i, c in enumerate(chosen)],
+                                 f"cluster int, {entity} long")
+
+
+def seeds_to_centroids(triples: DataFrame, seeds: DataFrame, entity: str = "doc_id",
+                       feature: str = "term_id", value: str = "tfidf") -> DataFrame:
+    """Initial centroids (cluster, term, value) = the seed documents' vectors
+    (k documents, broadcast into the join)."""
+    return (triples.join(F.broadcast(seeds), entity, "inner")
+            .select("cluster", F.col(feature).alias("term"),
+                    F.col(value).cast("double").alias("value")))

@@ -489,3 +489,100 @@ def q_stream_count_by_type(spark, sf_dir):
     SJ.run_available(counts, replace_writer(f"{base}/out", lambda b: b), f"{base}/checkpoint",
                      "complete")
     return spark.read.parquet(f"{base}/out")
+
+
+# ---------------------------------------------------------------- models
+
+from sparkiln.operators import models as ML  # noqa: E402
+
+ML_SEED = 42
+MESH_STEP, MESH_MARGIN = 0.02, 0.1
+
+
+def _lineitem_xy(spark, sf_dir):
+    li = load_table(spark, sf_dir, "lineitem")
+    base = li.select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"),
+                     F.col("l_extendedprice").alias("x"), F.col("l_quantity").alias("y"))
+    return ML.hash_split(base, "id", 0.75, ML_SEED)
+
+
+def _embedding_xy(spark, sf_dir):
+    emb = load_table(spark, sf_dir, "embeddings")
+    base = emb.select(F.col("vec_id").alias("id"),
+                      F.element_at("embedding", 1).cast("double").alias("x"),
+                      F.element_at("embedding", 2).cast("double").alias("y"), "label")
+    return ML.hash_split(base, "id", 0.75, ML_SEED)
+
+
+@query("train_split")
+def q_train_split(spark, sf_dir):
+    return _embedding_xy(spark, sf_dir).select(F.col("id").alias("vec_id"), "split")
+
+
+@query("linear_fit")
+def q_linear_fit(spark, sf_dir):
+    d = _lineitem_xy(spark, sf_dir)
+    slope, intercept = ML.linear_fit(d.where(F.col("split") == "train"), "x", "y")
+    grid = ML.linspace_grid(d, "x", 100)
+    return ML.linear_predict(grid, "x", slope, intercept).select("i", _r("x", 6), _r("y_pred", 6))
+
+
+@query("tree_predict")
+def q_tree_predict(spark, sf_dir):
+    d = _lineitem_xy(spark, sf_dir)
+    grid = ML.linspace_grid(d, "x", 100)
+    pred = ML.tree_fit_predict(d.where(F.col("split") == "train"), grid, ["x"], "y")
+    return pred.select("i", _r("x", 6), _r("y_pred", 6))
+
+
+@query("knn_regress")
+def q_knn_regress(spark, sf_dir):
+    d = _lineitem_xy(spark, sf_dir)
+    grid = ML.linspace_grid(d, "x", 100)
+    pred = ML.knn_regress(d.where(F.col("split") == "train"), grid.withColumnRenamed("i", "qid"),
+                          ["x"], "y", k=5)
+    return grid.join(pred, grid["i"] == pred["qid"], "inner").select(
+        "i", _r("x", 6), _r("y_pred", 6))
+
+
+def _mesh(spark, sf_dir):
+    return ML.mesh_grid(_embedding_xy(spark, sf_dir), ["x", "y"], MESH_STEP, MESH_MARGIN)
+
+
+@query("scoring_grid")
+def q_scoring_grid(spark, sf_dir):
+    return _mesh(spark, sf_dir).select("qid", _r("g0"), _r("g1"))
+
+
+def _knn_classify(spark, sf_dir):
+    d = _embedding_xy(spark, sf_dir)
+    mesh = _mesh(spark, sf_dir)
+    res = ML.knn_classify(d.where(F.col("split") == "train"), mesh, ["x", "y"], "label", k=15,
+                          query_features=["g0", "g1"])
+    return mesh.join(res, "qid", "inner")
+
+
+@query("knn_classify")
+def q_knn_classify(spark, sf_dir):
+    return _knn_classify(spark, sf_dir).select("qid", _r("g0"), _r("g1"), "pred", _r("p_max"))
+
+
+@query("class_confidence")
+def q_class_confidence(spark, sf_dir):
+    return _knn_classify(spark, sf_dir).select("qid", _r("confidence"))
+
+
+@query("kmeans_parallel_seed")
+def q_kmeans_parallel_seed(spark, sf_dir):
+    t = TI.tfidf(_triples(spark, sf_dir))
+    return KM.seed_parallel(t, P.KMEANS_COS_K, seed=P.KMEANS_SEED)
+
+
+@query("kmeans_parallel_loss")
+def q_kmeans_parallel_loss(spark, sf_dir):
+    t = TI.tfidf(_triples(spark, sf_dir))
+    seeds = KM.seed_parallel(t, P.KMEANS_COS_K, seed=P.KMEANS_SEED)
+    init = KM.seeds_to_centroids(t, seeds)
+    r = KM.kmeans_cosine(t, k=P.KMEANS_COS_K, max_iter=P.KMEANS_COS_MAX_ITER,
+                         tol=P.KMEANS_COS_TOL, init=init)
+    return r.losses.select("iteration", _r("loss", 6))

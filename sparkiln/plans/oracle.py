@@ -614,3 +614,85 @@ ORACLE["stream_hourly_counts"] = ORACLE["hourly_counts"]
 ORACLE["stream_region_counts"] = ORACLE["region_counts"]
 ORACLE["stream_trending"] = ORACLE["trending"]
 ORACLE["stream_count_by_type"] = ORACLE["count_by_type"]
+
+# ---------------------------------------------------------------- models
+
+_ML_SEED = 42
+MESH_STEP, MESH_MARGIN = 0.02, 0.1
+_LI_XY = f"""
+  SELECT id, x, y, CASE WHEN {sql_unit_draw('id', _ML_SEED)} < 0.75 THEN 'train' ELSE 'test' END AS split
+  FROM (SELECT l_orderkey * 8 + l_linenumber AS id, l_extendedprice AS x, l_quantity AS y FROM lineitem)
+"""
+_EMB_XY = f"""
+  SELECT id, x, y, label,
+         CASE WHEN {sql_unit_draw('id', _ML_SEED)} < 0.75 THEN 'train' ELSE 'test' END AS split
+  FROM (SELECT vec_id AS id, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y,
+               label FROM embeddings)
+"""
+_GRID = f"""
+  SELECT CAST(i AS INTEGER) AS i,
+         CASE WHEN i = 99 THEN hi ELSE i * ((hi - lo) / 99) + lo END AS x
+  FROM (SELECT CAST(min(x) AS DOUBLE) AS lo, CAST(max(x) AS DOUBLE) AS hi FROM ({_LI_XY})),
+       range(100) r(i)
+"""
+
+ORACLE["train_split"] = f"SELECT id AS vec_id, split FROM ({_EMB_XY})"
+
+ORACLE["linear_fit"] = f"""
+WITH f AS (SELECT regr_slope(y, x) AS slope, regr_intercept(y, x) AS intercept
+           FROM ({_LI_XY}) WHERE split = 'train')
+SELECT g.i, round(g.x, 6) AS x, round(f.intercept + f.slope * g.x, 6) AS y_pred
+FROM ({_GRID}) g, f
+"""
+
+ORACLE["knn_regress"] = f"""
+WITH g AS ({_GRID}), t AS (SELECT * FROM ({_LI_XY}) WHERE split = 'train' AND x IS NOT NULL),
+nb AS (
+  SELECT g.i, t.y, row_number() OVER (PARTITION BY g.i ORDER BY sqrt((t.x - g.x) * (t.x - g.x)), t.id) AS rk
+  FROM g, t
+)
+SELECT g.i, round(g.x, 6) AS x, round(avg(nb.y), 6) AS y_pred
+FROM g JOIN nb ON nb.i = g.i AND nb.rk <= 5 GROUP BY g.i, g.x
+"""
+
+_MESH = f"""
+  WITH b AS (SELECT min(x) - CAST({MESH_MARGIN!r} AS DOUBLE) AS lo0, max(x) + CAST({MESH_MARGIN!r} AS DOUBLE) AS hi0,
+                    min(y) - CAST({MESH_MARGIN!r} AS DOUBLE) AS lo1, max(y) + CAST({MESH_MARGIN!r} AS DOUBLE) AS hi1
+             FROM ({_EMB_XY})),
+  n AS (SELECT lo0, lo1, CAST(ceil((hi0 - lo0) / CAST({MESH_STEP!r} AS DOUBLE)) AS BIGINT) AS n0,
+               CAST(ceil((hi1 - lo1) / CAST({MESH_STEP!r} AS DOUBLE)) AS BIGINT) AS n1 FROM b)
+  SELECT j * n0 + i AS qid, i * CAST({MESH_STEP!r} AS DOUBLE) + lo0 AS g0,
+         j * CAST({MESH_STEP!r} AS DOUBLE) + lo1 AS g1
+  FROM n, range(n.n0) a(i), range(n.n1) c(j)
+"""
+
+
+ORACLE["scoring_grid"] = f"SELECT qid, round(g0, 9) AS g0, round(g1, 9) AS g1 FROM ({_MESH})"
+
+_KNN_CLS = f"""
+  WITH m AS ({_MESH}),
+  t AS (SELECT * FROM ({_EMB_XY}) WHERE split = 'train' AND x IS NOT NULL AND y IS NOT NULL),
+  nb AS (
+    SELECT qid, label, dist FROM (
+      SELECT m.qid, t.label, sqrt((t.x - m.g0) * (t.x - m.g0) + (t.y - m.g1) * (t.y - m.g1)) AS dist,
+             row_number() OVER (PARTITION BY m.qid
+                                ORDER BY sqrt((t.x - m.g0) * (t.x - m.g0) + (t.y - m.g1) * (t.y - m.g1)), t.id) AS rk
+      FROM m, t) WHERE rk <= 15
+  ),
+  w AS (
+    SELECT qid, label,
+           CASE WHEN max(CASE WHEN dist = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY qid) = 1
+                THEN CASE WHEN dist = 0 THEN 1.0 ELSE 0.0 END ELSE 1.0 / dist END AS w
+    FROM nb
+  ),
+  pc AS (SELECT qid, label, sum(w) AS w FROM w GROUP BY ALL),
+  pr AS (SELECT qid, label, w / sum(w) OVER (PARTITION BY qid) AS p FROM pc),
+  rk AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY p DESC, label) AS r FROM pr)
+  SELECT m.qid, m.g0, m.g1, max(CASE WHEN rk.r = 1 THEN rk.label END) AS pred, max(rk.p) AS p_max,
+         2 * max(rk.p) - sum(rk.p) AS confidence
+  FROM m JOIN rk USING (qid) GROUP BY m.qid, m.g0, m.g1
+"""
+ORACLE["knn_classify"] = f"""
+SELECT qid, round(g0, 9) AS g0, round(g1, 9) AS g1, pred, round(p_max, 9) AS p_max FROM ({_KNN_CLS})
+"""
+ORACLE["class_confidence"] = f"SELECT qid, round(confidence, 9) AS confidence FROM ({_KNN_CLS})"
