@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 TOKENIZER_DELIMS = "[ \\t\\n\\r\\f]+"
 JAVA_WS = "[ \\t\\n\\x0B\\f\\r]"
 KEEP_CHARS = "[^a-zA-Z0-9£]"
+KEEP_OR_DELIM = "[^a-zA-Z0-9£ \\t\\n\\r\\f]"
 
 
 def _as_col(c) -> Column:

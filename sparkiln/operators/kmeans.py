@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (DoubleType, IntegerType, LongType, StructField, StructType)
 
 from sparkiln.functions.hashing import unit_draw
+from sparkiln.functions.literals import literal_rows
 from sparkiln.session import ensure_checkpoint_dir
 
 # Above this many centroid rows the sparse centroid table is joined by
@@ -147,10 +148,10 @@ def kmeans_2d(points: DataFrame, k: int = 3, max_iter: int = 20, tol: float = 1e
     assignments = assign_2d(pts, used).select("id", "x", "y", "cluster")
     schema = StructType([StructField("cluster", IntegerType()), StructField("x", DoubleType()),
                          StructField("y", DoubleType()), StructField("size", LongType())])
-    final = spark.createDataFrame([(c, *new_map[c]) for c in sorted(new_map)], schema)
+    final = literal_rows(spark, [(c, *new_map[c]) for c in sorted(new_map)], schema)
     hist_schema = StructType([StructField("iteration", IntegerType()), *schema.fields,
                               StructField("shift", DoubleType())])
-    hist = spark.createDataFrame(history, hist_schema)
+    hist = literal_rows(spark, history, hist_schema)
     return KMeans2DResult(assignments, final, hist, iterations, converged,
                           [(c, *new_map[c]) for c in sorted(new_map)])
 
@@ -176,10 +177,16 @@ def _maybe_broadcast(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= CENTROID_BROADCAST_ROWS else df
 
 
-def centroid_norms(centroids: DataFrame) -> dict[int, float]:
+def centroid_norms(centroids: DataFrame, with_rows: bool = False):
+    """Per-cluster norms (k scalars); with ``with_rows`` also the total row
+    count of the centroid table, from the same aggregate."""
     rows = centroids.groupBy("cluster").agg(
-        F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("norm")).collect()
-    return {r["cluster"]: r["norm"] for r in rows}
+        F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("norm"),
+        F.count(F.lit(1)).alias("n")).collect()
+    norms = {r["cluster"]: r["norm"] for r in rows}
+    if with_rows:
+        return norms, sum(r["n"] for r in rows)
+    return norms
 
 
 def doc_norms(vectors: DataFrame) -> DataFrame:
@@ -267,9 +274,15 @@ def kmeans_cosine(triples: DataFrame, k: int = 5, max_iter: int = 10, tol: float
     partition seeding with ``seed``.
     """
     spark = triples.sparkSession
+    # Hash-partition the vectors by document once and keep them: every round
+    # joins them with per-document tables (assignments, norms) and sums per
+    # document, and all of that then reuses this partitioning instead of
+    # shuffling the vectors again.
+    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     vectors = (triples.select(F.col(entity).alias("doc"), F.col(feature).alias("term"),
                               F.col(value).cast("double").alias("value"))
                .where(F.col("value").isNotNull())
+               .repartition(n_parts, "doc")
                .persist(StorageLevel.MEMORY_AND_DISK))
     norms = doc_norms(vectors).persist(StorageLevel.MEMORY_AND_DISK)
     if init is None:
@@ -278,8 +291,7 @@ def kmeans_cosine(triples: DataFrame, k: int = 5, max_iter: int = 10, tol: float
         cents = _checkpoint(sparse_centroids(vectors, groups))
     else:
         cents = _checkpoint(init.select("cluster", "term", "value"))
-    cnorms = centroid_norms(cents)
-    crow = cents.count()
+    cnorms, crow = centroid_norms(cents, with_rows=True)
     history, losses = [], []
     assignments = None
     iterations, converged = 0, False
@@ -287,8 +299,7 @@ def kmeans_cosine(triples: DataFrame, k: int = 5, max_iter: int = 10, tol: float
         dist = cosine_distances(vectors, norms, cents, cnorms, k, crow)
         assignments = _checkpoint(assign_cosine(dist, k))
         new = _checkpoint(sparse_centroids(vectors, assignments))
-        new_norms = centroid_norms(new)
-        new_rows = new.count()
+        new_norms, new_rows = centroid_norms(new, with_rows=True)
         sizes = {r["cluster"]: r["n"] for r in
                  assignments.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).collect()}
         iterations = it
@@ -315,8 +326,8 @@ def kmeans_cosine(triples: DataFrame, k: int = 5, max_iter: int = 10, tol: float
     return KMeansCosineResult(
         assignments=assignments.select(F.col("doc").alias(entity), "cluster"),
         centroids=cents.select("cluster", F.col("term").alias(feature), "value"),
-        history=spark.createDataFrame(history, hist_schema),
-        losses=spark.createDataFrame(losses, loss_schema),
+        history=literal_rows(spark, history, hist_schema),
+        losses=literal_rows(spark, losses, loss_schema),
         iterations=iterations, converged=converged)
 
 
@@ -412,7 +423,7 @@ def seed_parallel(triples: DataFrame, k: int, oversample: int | None = None, see
     draw0 = unit_draw(F.col("doc"), seed)
     first = norms.select("doc", "norm", draw0.alias("u")).orderBy("u", "doc").limit(1).collect()
     if not first:
-        return spark.createDataFrame([], f"cluster int, {entity} long")
+        return literal_rows(spark, [], f"cluster int, {entity} long")
     cands = [first[0]["doc"]]
     cnorms = {first[0]["doc"]: first[0]["norm"]}
     finite = F.when(F.col("dist") == INF, F.lit(None)).otherwise(F.col("dist"))
@@ -444,8 +455,8 @@ def seed_parallel(triples: DataFrame, k: int, oversample: int | None = None, see
                  .where(~F.col("doc").isin(chosen)).orderBy("u", "doc")
                  .limit(k - len(chosen)).collect()]
         chosen += extra
-    return spark.createDataFrame([(i + 1, int(c)) for i, c in enumerate(chosen)],
-                                 f"cluster int, {entity} long")
+    return literal_rows(spark, [(i + 1, int(c)) for i, c in enumerate(chosen)],
+                        f"cluster int, {entity} long")
 
 
 def seeds_to_centroids(triples: DataFrame, seeds: DataFrame, entity: str = "doc_id",

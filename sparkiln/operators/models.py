@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkiln.functions.hashing import unit_draw
+from sparkiln.functions.literals import literal_rows
 
 QUERY_BROADCAST_ROWS = 2_000_000
 
@@ -117,8 +118,7 @@ def knn(train: DataFrame, query: DataFrame, features: Sequence[str], k: int,
                 *[F.max(f"_f{i}").alias(f"hi{i}") for i in range(d)]).first()
     n = st["n"]
     if n == 0:
-        return query.sparkSession.createDataFrame(
-            [], f"{qid} long, {id} long, dist double, rank int")
+        return literal_rows(query.sparkSession, [], f"{qid} long, {id} long, dist double, rank int")
     extent = [max(st[f"hi{i}"] - st[f"lo{i}"], 1e-12) for i in range(d)]
     if cell is None:
         volume = math.prod(extent)
@@ -136,8 +136,7 @@ def knn(train: DataFrame, query: DataFrame, features: Sequence[str], k: int,
     q_ext = q.agg(*[F.min(f"_qc{i}").alias(f"a{i}") for i in range(d)],
                   *[F.max(f"_qc{i}").alias(f"b{i}") for i in range(d)]).first()
     if q_ext[f"a0"] is None:
-        return query.sparkSession.createDataFrame(
-            [], f"{qid} long, {id} long, dist double, rank int")
+        return literal_rows(query.sparkSession, [], f"{qid} long, {id} long, dist double, rank int")
     lo_c = [math.floor(st[f"lo{i}"] / cell) for i in range(d)]
     hi_c = [math.floor(st[f"hi{i}"] / cell) for i in range(d)]
     full_ring = max(max(abs(q_ext[f"b{i}"] - lo_c[i]), abs(hi_c[i] - q_ext[f"a{i}"]))

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from sparkiln.functions.literals import literal_rows
 from sparkiln.operators.ranking import BROADCAST_ROWS, group_rank
 
 
@@ -111,13 +112,14 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 20) -> DataFrame:
     ``numpy.linspace(min, max, bins + 1)``: bin i holds edge_i <= v < edge_i+1,
     the last bin is closed.  Empty bins are kept with count 0.
 
-    Two passes: a one-row min/max aggregate (scalars to the driver), then one
-    aggregate of ``bins`` conditional counts per column; no shuffle of rows.
+    Two passes: a one-row min/max aggregate (scalars to the driver), then a
+    grouped count of (column, bin) pairs, combined map-side so at most
+    ``bins`` rows per column and task reach the shuffle.
     """
     cols = list(cols)
     bounds = df.agg(*[F.min(c).cast("double").alias(f"mn{i}") for i, c in enumerate(cols)],
                     *[F.max(c).cast("double").alias(f"mx{i}") for i, c in enumerate(cols)]).first()
-    bin_cols, aggs, rows = [], [], []
+    probes, spine = [], []
     for i, c in enumerate(cols):
         mn, mx = bounds[f"mn{i}"], bounds[f"mx{i}"]
         if mn is None:
@@ -126,26 +128,27 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 20) -> DataFrame:
             mn, mx = mn - 0.5, mx + 0.5
         step = (mx - mn) / bins
         edges = [k * step + mn for k in range(bins)] + [mx]
-        v = F.col(c).cast("double")
-        b0 = F.least(F.greatest(F.floor((v - F.lit(mn)) * F.lit(bins / (mx - mn))), F.lit(0)),
-                     F.lit(bins - 1)).cast("int")
-        edge_arr = F.array(*[F.lit(e) for e in edges])
-        b1 = F.when(v < F.element_at(edge_arr, b0 + 1), b0 - 1).otherwise(b0)
-        b2 = F.when((b1 < bins - 1) & (v >= F.element_at(edge_arr, b1 + 2)), b1 + 1).otherwise(b1)
-        in_range = v.isNotNull() & (v >= F.lit(mn)) & (v <= F.lit(mx))
-        bin_cols.append(F.when(in_range, b2).alias(f"b{i}"))
-        for k in range(bins):
-            name = f"h_{i}_{k}"
-            aggs.append(F.count(F.when(F.col(f"b{i}") == k, F.lit(1))).alias(name))
-            rows.append((c, k, edges[k], edges[k + 1], name))
-    if not aggs:
-        return df.sparkSession.createDataFrame(
-            [], "column string, bin int, lo double, hi double, count bigint")
-    # bins computed once per row in a projection, then plain conditional counts
-    counted = df.select(*bin_cols).agg(*aggs)
-    stack = ", ".join(f"'{c}', {k}, CAST({lo!r} AS DOUBLE), CAST({hi!r} AS DOUBLE), `{n}`"
-                      for c, k, lo, hi, n in rows)
-    return counted.selectExpr(f"stack({len(rows)}, {stack}) AS (column, bin, lo, hi, count)")
+        # bin = number of interior edges <= v: exact against the edges, the
+        # last bin closed, one flat comparison per edge (one SQL expression)
+        v = f"CAST(`{c}` AS DOUBLE)"
+        b2 = F.expr(" + ".join(f"(CASE WHEN {v} >= CAST('{e!r}' AS DOUBLE) THEN 1 ELSE 0 END)"
+                               for e in edges[1:bins]) or "0")
+        in_range = F.expr(f"{v} IS NOT NULL AND {v} >= CAST('{mn!r}' AS DOUBLE)"
+                          f" AND {v} <= CAST('{mx!r}' AS DOUBLE)")
+        probes.append(F.struct(F.lit(c).alias("column"), F.when(in_range, b2).alias("bin")))
+        spine += [(c, k, edges[k], edges[k + 1]) for k in range(bins)]
+    if not probes:
+        return literal_rows(df.sparkSession, [],
+                            "column string, bin int, lo double, hi double, count bigint")
+    # one (column, bin) row per value, then a partial/final count per bin
+    counts = (df.select(F.explode(F.array(*probes)).alias("p")).select("p.*")
+              .where(F.col("bin").isNotNull())
+              .groupBy("column", "bin").agg(F.count(F.lit(1)).alias("count")))
+    # every bin is listed, empty ones with 0: the bin table has len(cols) * bins rows
+    spine_df = literal_rows(df.sparkSession, spine, "column string, bin int, lo double, hi double")
+    return (F.broadcast(spine_df).join(counts, ["column", "bin"], "left")
+            .select("column", "bin", "lo", "hi",
+                    F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count")))
 
 
 def _quantile_positions(q: float, n: Column):

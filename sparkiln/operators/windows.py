@@ -65,8 +65,13 @@ def label_region(df: DataFrame, x: str, y: str,
     """PRJ5: tag each row with the first region (priority order) containing it;
     rows in no region are dropped.  Coordinates are compared in double after
     the caller's own casts (the reference reads them as float32)."""
-    return df.withColumn(out, label_regions(F.col(x), F.col(y), regions)).where(
-        F.col(out).isNotNull())
+    # explode of a 0/1-element array instead of a filter on the label: a
+    # filter would be pushed below the projection that defines x and y and
+    # re-evaluate them (e.g. a JSON parse) once per polygon edge; the
+    # generator evaluates the label once per row.
+    label = label_regions(F.col(x), F.col(y), regions)
+    return df.select(*[F.col(c) for c in df.columns if c != out],
+                     F.explode(F.array_compact(F.array(label))).alias(out))
 
 
 def region_counts(df: DataFrame, regions, x: str, y: str, ts: str,
