@@ -34,7 +34,7 @@ def date_from_parts(year: Column, month: Column, day: Column) -> Column:
     s = F.concat_ws("-", F.lpad(year.cast("string"), 4, "0"),
                     F.lpad(month.cast("string"), 2, "0"),
                     F.lpad(day.cast("string"), 2, "0"))
-    return F.try_to_date(s, F.lit("yyyy-MM-dd"))
+    return F.try_to_date(s, "yyyy-MM-dd")
 
 
 def format_day_month_year(ts: Column) -> Column:

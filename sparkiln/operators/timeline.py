@@ -39,6 +39,11 @@ def daily_counts_filled(df: DataFrame, ts: str, out: str = "date") -> DataFrame:
         out, F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count"))
 
 
+def select_between(df: DataFrame, col, lo, hi) -> DataFrame:
+    """PRJ10: rows whose ``col`` lies in [lo, hi] (slider and dropdown filters)."""
+    return df.where(_as_col(col).between(lo, hi))
+
+
 def nonzero_days(filled: DataFrame, count: str = "count") -> DataFrame:
     """PRJ9: drop zero-count rows."""
     return filled.where(F.col(count) != 0)

@@ -586,3 +586,45 @@ def q_kmeans_parallel_loss(spark, sf_dir):
     r = KM.kmeans_cosine(t, k=P.KMEANS_COS_K, max_iter=P.KMEANS_COS_MAX_ITER,
                          tol=P.KMEANS_COS_TOL, init=init)
     return r.losses.select("iteration", _r("loss", 6))
+
+
+# ---------------------------------------------------------------- more calendar and stream queries
+
+from sparkiln.functions.time import date_from_parts, format_day_month_year  # noqa: E402
+from sparkiln.sinks.files import append_writer  # noqa: E402
+
+
+@query("daily_counts_nonzero")
+def q_daily_counts_nonzero(spark, sf_dir):
+    return TL.nonzero_days(TL.daily_counts_filled(load_table(spark, sf_dir, "orders"),
+                                                  "o_orderdate"))
+
+
+@query("year_range")
+def q_year_range(spark, sf_dir):
+    o = load_table(spark, sf_dir, "orders")
+    return TL.select_between(o, F.year("o_orderdate"), 1996, 1998).select(
+        "o_orderkey", "o_orderdate", "o_totalprice")
+
+
+@query("date_format")
+def q_date_format(spark, sf_dir):
+    o = load_table(spark, sf_dir, "orders")
+    d = F.col("o_orderdate")
+    return o.select("o_orderkey",
+                    date_from_parts(F.year(d), F.month(d), F.dayofmonth(d)).alias("date"),
+                    format_day_month_year(d).alias("date_text"))
+
+
+@query("stream_telemetry")
+def q_stream_telemetry(spark, sf_dir):
+    base = scratch_path(spark, "stream-telemetry")
+    stream = _events_stream(spark, sf_dir)
+    parsed = stream.select("event_id", "ts", "event_type", "value",
+                           F.from_json("props", "k INT").alias("j")).select(
+        "event_id", "ts", "event_type", "value", F.col("j.k").alias("k"),
+        (F.col("value") / 3).alias("velocity"))
+    SJ.run_available(parsed, append_writer(
+        f"{base}/out", lambda b: TM.normalize_telemetry(b, drop=("event_type",), digits=2)),
+        f"{base}/checkpoint", "append")
+    return spark.read.parquet(f"{base}/out")

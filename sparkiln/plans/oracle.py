@@ -696,3 +696,20 @@ ORACLE["knn_classify"] = f"""
 SELECT qid, round(g0, 9) AS g0, round(g1, 9) AS g1, pred, round(p_max, 9) AS p_max FROM ({_KNN_CLS})
 """
 ORACLE["class_confidence"] = f"SELECT qid, round(confidence, 9) AS confidence FROM ({_KNN_CLS})"
+
+# ---------------------------------------------------------------- more calendar and stream queries
+
+ORACLE["daily_counts_nonzero"] = """
+SELECT CAST(o_orderdate AS DATE) AS date, count(*) AS "count"
+FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1
+"""
+ORACLE["year_range"] = """
+SELECT o_orderkey, o_orderdate, o_totalprice FROM orders
+WHERE year(o_orderdate) BETWEEN 1996 AND 1998
+"""
+ORACLE["date_format"] = """
+SELECT o_orderkey, make_date(year(o_orderdate), month(o_orderdate), day(o_orderdate)) AS date,
+       strftime(o_orderdate, '%d/%m/%Y') AS date_text
+FROM orders
+"""
+ORACLE["stream_telemetry"] = ORACLE["telemetry"]

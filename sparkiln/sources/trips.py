@@ -98,3 +98,8 @@ def read_trips_stream(spark: SparkSession, path: str, files_per_trigger: int = 1
     """SRC6 + ST8: the trip folder as a file stream, rate-limited per trigger."""
     return (spark.readStream.option("maxFilesPerTrigger", files_per_trigger)
             .schema(RAW_SCHEMA).csv(path, header=False))
+
+
+def union_aligned(a: DataFrame, b: DataFrame, cols) -> DataFrame:
+    """SET2: positional union after selecting the same aligned columns."""
+    return a.select(*cols).union(b.select(*cols))

@@ -124,3 +124,20 @@ def count_by_type_stream(spark: SparkSession, input_path: str, checkpoint_path:
     counts = W.count_by_type(raw.select(F.col("_c0").alias("type")), "type")
     return run_available(counts, replace_writer(output_path, lambda b: b), checkpoint_path,
                          "complete", "CountByType")
+
+
+def to_console(stream: DataFrame, mode: str = "complete", truncate: bool = False):
+    """SNK5: console sink (demos); jobs use table sinks."""
+    return (stream.writeStream.outputMode(mode).format("console")
+            .option("truncate", truncate).start())
+
+
+def telemetry_ingest(spark: SparkSession, landing: str, checkpoint_path: str, output_path: str,
+                     files_per_trigger: int = 100) -> StreamingQuery:
+    """ST10: JSON telemetry records dropped in a landing folder, normalised
+    (SRC8) and appended to a table."""
+    from sparkiln.sources.telemetry import normalize_telemetry, read_telemetry
+    stream = read_telemetry(spark, landing, stream=True)
+    stream = stream.drop("name") if "name" in stream.columns else stream
+    return run_available(stream, append_writer(output_path, normalize_telemetry),
+                         checkpoint_path, "append", "TelemetryIngest")
