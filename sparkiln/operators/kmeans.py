@@ -193,26 +193,54 @@ def doc_norms(vectors: DataFrame) -> DataFrame:
     return vectors.groupBy("doc").agg(F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("norm"))
 
 
-def cosine_distances(vectors: DataFrame, norms: DataFrame, centroids: DataFrame,
-                     cnorms: dict[int, float], k: int, centroid_rows: int) -> DataFrame:
-    """JN8 + FN21: (doc, d_1..d_k) cosine distances of every document to
-    every centroid.  A zero document or centroid gives +inf (the reference's
-    Double.MAX_VALUE); a centroid sharing no term with a document gives 1."""
+def doc_dots(vectors: DataFrame, norms: DataFrame, centroids: DataFrame, k: int,
+             centroid_rows: int) -> DataFrame:
+    """(doc, norm, dot1..dotk): every document's dot product with every
+    centroid, from the term equi-join only (a centroid sharing no term gives
+    0).  With the vectors hash-partitioned by document, the per-document sum
+    and the norm join need no shuffle of the vectors."""
     cents = _maybe_broadcast(centroids.select("cluster", "term", F.col("value").alias("cv")),
                              centroid_rows)
     prods = vectors.join(cents, "term", "left")
     dots = prods.groupBy("doc").agg(*[
         F.sum(F.when(F.col("cluster") == j, F.col("value") * F.col("cv"))).alias(f"dot{j}")
         for j in range(1, k + 1)])
-    withn = dots.join(norms, "doc", "inner")
+    return dots.join(norms, "doc", "inner").select(
+        "doc", "norm", *[F.coalesce(F.col(f"dot{j}"), F.lit(0.0)).alias(f"dot{j}")
+                         for j in range(1, k + 1)])
+
+
+def _distance_cols(cnorms: dict[int, float], k: int) -> list[Column]:
     cols = []
     for j in range(1, k + 1):
         cn = cnorms.get(j, 0.0) or 0.0
-        dot = F.coalesce(F.col(f"dot{j}"), F.lit(0.0))
         d = F.when((F.col("norm") == 0) | F.lit(cn == 0.0), F.lit(INF)).otherwise(
-            F.lit(1.0) - dot / (F.col("norm") * F.lit(cn if cn else 1.0)))
+            F.lit(1.0) - F.col(f"dot{j}") / (F.col("norm") * F.lit(cn if cn else 1.0)))
         cols.append(d.alias(f"d{j}"))
-    return withn.select("doc", *cols)
+    return cols
+
+
+def cosine_distances(vectors: DataFrame, norms: DataFrame, centroids: DataFrame,
+                     cnorms: dict[int, float], k: int, centroid_rows: int) -> DataFrame:
+    """JN8 + FN21: (doc, d_1..d_k) cosine distances of every document to
+    every centroid.  A zero document or centroid gives +inf (the reference's
+    Double.MAX_VALUE); a centroid sharing no term with a document gives 1."""
+    dots = doc_dots(vectors, norms, centroids, k, centroid_rows)
+    return dots.select("doc", *_distance_cols(cnorms, k))
+
+
+def _own_loss(cnorms: dict[int, float], k: int, own: str = "prev") -> Column:
+    """Euclidean distance to the own centroid from the per-document dot
+    products: ||c - v||^2 = ||c||^2 + ||v||^2 - 2 c.v (clamped at 0)."""
+    own_dot, own_cn2 = None, None
+    for j in range(1, k + 1):
+        cn = float(cnorms.get(j, 0.0) or 0.0)
+        own_dot = (F.when(F.col(own) == j, F.col(f"dot{j}")) if own_dot is None
+                   else own_dot.when(F.col(own) == j, F.col(f"dot{j}")))
+        own_cn2 = (F.when(F.col(own) == j, F.lit(cn * cn)) if own_cn2 is None
+                   else own_cn2.when(F.col(own) == j, F.lit(cn * cn)))
+    sq = own_cn2 + F.col("norm") * F.col("norm") - 2 * own_dot
+    return F.sqrt(F.greatest(F.lit(0.0), sq))
 
 
 def assign_cosine(dist: DataFrame, k: int) -> DataFrame:
@@ -296,21 +324,49 @@ def kmeans_cosine(triples: DataFrame, k: int = 5, max_iter: int = 10, tol: float
     assignments = None
     iterations, converged = 0, False
     for it in range(1, max_iter + 1):
-        dist = cosine_distances(vectors, norms, cents, cnorms, k, crow)
-        assignments = _checkpoint(assign_cosine(dist, k))
+        per_doc = doc_dots(vectors, norms, cents, k, crow)
+        if with_loss and assignments is not None:
+            # the previous round's loss comes from this round's dot products
+            # with the previous round's centroids: no extra pass over vectors
+            per_doc = per_doc.join(assignments.select("doc", F.col("cluster").alias("prev")),
+                                   "doc", "left")
+        dist_cols = _distance_cols(cnorms, k)
+        scored = per_doc.select("*", *dist_cols)
+        scored = _checkpoint(scored.select(
+            "*", first_min_index([F.col(f"d{j}") for j in range(1, k + 1)]).alias("cluster")))
+        # cluster sizes of this round and the loss of the previous round in
+        # one small aggregate over the per-document table
+        loss_col = (F.sum(_own_loss(cnorms, k)) if with_loss and assignments is not None
+                    else F.lit(None).cast("double"))
+        size_rows = scored.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"),
+                                                  loss_col.alias("l")).collect()
+        sizes = {r["cluster"]: r["n"] for r in size_rows}
+        if with_loss and assignments is not None:
+            losses.append((it - 1, sum(r["l"] or 0.0 for r in size_rows)))
+        assignments = scored.select("doc", "cluster")
         new = _checkpoint(sparse_centroids(vectors, assignments))
-        new_norms, new_rows = centroid_norms(new, with_rows=True)
-        sizes = {r["cluster"]: r["n"] for r in
-                 assignments.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).collect()}
+        # norms, row count and the dot with the old centroid in one aggregate
+        stats = (new.join(cents.select("cluster", "term", F.col("value").alias("old")),
+                          ["cluster", "term"], "left")
+                 .groupBy("cluster").agg(
+                     F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("norm"),
+                     F.count(F.lit(1)).alias("n"),
+                     F.sum(F.col("value") * F.coalesce(F.col("old"), F.lit(0.0))).alias("dot"))
+                 .collect())
+        new_norms = {r["cluster"]: r["norm"] for r in stats}
+        new_rows = sum(r["n"] for r in stats)
+        shift_dots = {r["cluster"]: r["dot"] for r in stats}
         iterations = it
-        if with_loss:
-            losses.append((it, euclidean_loss(vectors, assignments, new, new_norms, new_rows)))
         if len(sizes) != k:  # CL7
             for c in sorted(sizes):
                 history.append((it, c, sizes[c], None))
             cents, cnorms, crow = new, new_norms, new_rows
             break
-        shifts = centroid_shift(cents, new, cnorms, new_norms)
+        shifts = {}
+        for c, n_new in new_norms.items():
+            n_old = cnorms.get(c, 0.0)
+            shifts[c] = INF if (not n_old or not n_new) else \
+                1.0 - (shift_dots.get(c) or 0.0) / (n_old * n_new)
         for c in sorted(sizes):
             history.append((it, c, sizes[c], shifts.get(c)))
         max_shift = max(list(shifts.values()) + [5e-324])
@@ -318,6 +374,12 @@ def kmeans_cosine(triples: DataFrame, k: int = 5, max_iter: int = 10, tol: float
         if max_shift <= tol:  # CL6, inclusive for cosine
             converged = True
             break
+    if with_loss and assignments is not None:
+        # loss of the last round: one more dot-product pass
+        last = doc_dots(vectors, norms, cents, k, crow).join(
+            assignments.select("doc", F.col("cluster").alias("prev")), "doc", "left")
+        losses.append((iterations, last.agg(F.sum(_own_loss(cnorms, k)).alias("l"))
+                       .first()["l"] or 0.0))
     hist_schema = StructType([StructField("iteration", IntegerType()),
                               StructField("cluster", IntegerType()),
                               StructField("size", LongType()), StructField("shift", DoubleType())])
