@@ -13,7 +13,7 @@ import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import (BooleanType, DataType, DateType, DoubleType, FloatType,
+from pyspark.sql.types import (ArrayType, BooleanType, DataType, DateType, DoubleType, FloatType,
                                IntegerType, LongType, StringType, StructType,
                                _parse_datatype_string)
 
@@ -38,6 +38,10 @@ def sql_literal(v, t: DataType) -> str:
         return "true" if v else "false"
     if isinstance(t, DateType):
         return f"DATE'{v.isoformat()}'"
+    if isinstance(t, ArrayType):
+        if not v:
+            return f"CAST(array() AS {ts})"
+        return "array(" + ", ".join(sql_literal(x, t.elementType) for x in v) + ")"
     return f"CAST('{v}' AS {ts})"
 
 

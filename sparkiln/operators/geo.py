@@ -30,3 +30,49 @@ def tracks(df: DataFrame, key: str, ts: str, cols: Sequence[str], tie: str | Non
     base = df.select(key, ts, *([tie] if tie and tie not in cols else []), *cols)
     ranked = group_rank(base, [key], order, out=out)
     return ranked.select(key, out, ts, *cols)
+
+
+def region_table(spark, regions) -> DataFrame:
+    """A (name, priority, polygon) table from (name, vertices) pairs in
+    priority order (priority 1 first)."""
+    from sparkiln.functions.literals import literal_rows
+    rows = [(name, i + 1, [[float(a), float(b)] for a, b in poly])
+            for i, (name, poly) in enumerate(regions)]
+    return literal_rows(spark, rows, "name string, priority int, polygon array<array<double>>")
+
+
+def label_region_table(points: DataFrame, id: str, x: str, y: str, regions: DataFrame,
+                       cell: float, out: str = "region",
+                       broadcast_rows: int = 1_000_000) -> DataFrame:
+    """PRJ5 for many regions held in a table (name, priority, polygon).
+
+    Each region is exploded to the grid cells its bounding box covers (the
+    region table and its cells are bounded by the regions, not the data);
+    points join it on their own cell, so a point is only tested against the
+    regions near it (no cross product).  The exact ray-casting test runs on
+    the candidates and the highest-priority match wins (``row_number() = 1``
+    with a per-task limit before the shuffle).  Points in no region are dropped.
+    """
+    from pyspark.sql import Window
+    from sparkiln.functions.geo import in_polygon
+    xs = F.transform("polygon", lambda p: F.element_at(p, 1))
+    ys = F.transform("polygon", lambda p: F.element_at(p, 2))
+    reg = regions.select("name", "priority", "polygon",
+                         F.floor(F.array_min(xs) / cell).cast("long").alias("x0"),
+                         F.floor(F.array_max(xs) / cell).cast("long").alias("x1"),
+                         F.floor(F.array_min(ys) / cell).cast("long").alias("y0"),
+                         F.floor(F.array_max(ys) / cell).cast("long").alias("y1"))
+    cells = (reg.select("name", "priority", "polygon", "y0", "y1",
+                        F.explode(F.sequence("x0", "x1")).alias("_cx"))
+             .select("name", "priority", "polygon",
+                     "_cx", F.explode(F.sequence("y0", "y1")).alias("_cy")))
+    n_cells = cells.count()
+    if n_cells <= broadcast_rows:
+        cells = F.broadcast(cells)
+    pts = points.select("*", F.floor(F.col(x) / cell).cast("long").alias("_cx"),
+                        F.floor(F.col(y) / cell).cast("long").alias("_cy"))
+    cand = pts.join(cells, ["_cx", "_cy"], "inner")
+    hits = cand.where(in_polygon(F.col(x), F.col(y), F.col("polygon")))
+    w = Window.partitionBy(id).orderBy("priority")
+    best = hits.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
+    return best.select(*[F.col(c) for c in points.columns], F.col("name").alias(out))

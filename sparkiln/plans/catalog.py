@@ -628,3 +628,11 @@ def q_stream_telemetry(spark, sf_dir):
         f"{base}/out", lambda b: TM.normalize_telemetry(b, drop=("event_type",), digits=2)),
         f"{base}/checkpoint", "append")
     return spark.read.parquet(f"{base}/out")
+
+
+@query("label_region_table")
+def q_label_region_table(spark, sf_dir):
+    ev = _events_plane(spark, sf_dir)
+    regions = GEO.region_table(spark, P.EVENT_REGIONS)
+    out = GEO.label_region_table(ev, "event_id", "x", "y", regions, cell=10.0, out="headquarter")
+    return out.select("event_id", "headquarter")

@@ -713,3 +713,4 @@ SELECT o_orderkey, make_date(year(o_orderdate), month(o_orderdate), day(o_orderd
 FROM orders
 """
 ORACLE["stream_telemetry"] = ORACLE["telemetry"]
+ORACLE["label_region_table"] = ORACLE["label_region"]
