@@ -24,6 +24,16 @@ def epoch_seconds(ts: Column) -> Column:
     return F.unix_seconds(ts.cast("timestamp"))
 
 
+def epoch_seconds_of(df, col: str) -> Column:
+    """Seconds since the epoch of a column, whatever its timestamp type:
+    TIMESTAMP_NTZ wall-clock values are measured without a time zone, so a
+    daylight-saving change in the session zone cannot shift them."""
+    from pyspark.sql.types import TimestampNTZType
+    if isinstance(df.schema[col].dataType, TimestampNTZType):
+        return F.expr(f"timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{col}`)")
+    return F.unix_seconds(F.col(col).cast("timestamp"))
+
+
 def parse_timestamp(col: Column, fmt: str | None = None) -> Column:
     """Lenient parse: bad input becomes NULL instead of raising under ANSI."""
     return F.try_to_timestamp(col, F.lit(fmt)) if fmt else F.try_to_timestamp(col)

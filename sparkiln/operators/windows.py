@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkiln.functions.geo import label_regions
-from sparkiln.functions.time import epoch_seconds, hour_end_label, ms_of_day
+from sparkiln.functions.time import epoch_seconds_of, hour_end_label, ms_of_day
 
 
 def windowed_counts(df: DataFrame, ts: str, width: str, keys: Sequence[str] = (),
@@ -91,7 +91,7 @@ def previous_window_count(counts: DataFrame, key: str, start: str, width_s: int,
     (and, unlike ``lag``, is right across gaps).  Input is one row per
     (key, window), so a partition holds at most (time span / width) rows.
     """
-    start_s = epoch_seconds(F.col(start))
+    start_s = epoch_seconds_of(counts, start)
     w = Window.partitionBy(key).orderBy(start_s).rangeBetween(-width_s, -width_s)
     return counts.withColumn(out, F.coalesce(F.sum(F.col(count)).over(w), F.lit(0)).cast("long"))
 
