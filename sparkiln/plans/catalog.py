@@ -344,7 +344,7 @@ _MEMO: dict = {}
 
 def _memo(spark, sf_dir, name, build):
     """Reuse one clustering run for the several tables it yields."""
-    key = (id(spark), sf_dir, name)
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir, name)
     if key not in _MEMO:
         _MEMO[key] = build()
     return _MEMO[key]
