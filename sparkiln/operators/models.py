@@ -10,7 +10,6 @@ the answer equals brute force while work stays near the queries.
 
 from __future__ import annotations
 
-import itertools
 import math
 from collections.abc import Sequence
 
@@ -147,12 +146,14 @@ def knn(train: DataFrame, query: DataFrame, features: Sequence[str], k: int,
     r = 1
     while n_pending:
         r = min(r, full_ring)
-        offs = list(itertools.product(range(-r, r + 1), repeat=d))
-        probes = F.explode(F.array(*[F.struct(*[(F.col(f"_qc{i}") + F.lit(o[i])).alias(f"_c{i}")
-                                                for i in range(d)]) for o in offs]))
-        ex = pending.select("_q", *[f"_g{i}" for i in range(d)], probes.alias("_p")).select(
-            "_q", *[f"_g{i}" for i in range(d)], "_p.*")
-        if n_pending * len(offs) <= QUERY_BROADCAST_ROWS:
+        # probe cells: one explode(sequence(c - r, c + r)) per dimension
+        ex = pending.select("_q", *[f"_g{i}" for i in range(d)], *[f"_qc{i}" for i in range(d)])
+        for i in range(d):
+            ex = ex.withColumn(f"_c{i}", F.explode(F.sequence(F.col(f"_qc{i}") - F.lit(r),
+                                                              F.col(f"_qc{i}") + F.lit(r))))
+        ex = ex.select("_q", *[f"_g{i}" for i in range(d)], *[f"_c{i}" for i in range(d)])
+        n_probe_cells = (2 * r + 1) ** d
+        if n_pending * n_probe_cells <= QUERY_BROADCAST_ROWS:
             ex = F.broadcast(ex)
         cand = tr.join(ex, [f"_c{i}" for i in range(d)], "inner")
         dist = F.sqrt(sum(((F.col(f"_f{i}") - F.col(f"_g{i}")) * (F.col(f"_f{i}") - F.col(f"_g{i}"))

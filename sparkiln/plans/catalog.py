@@ -636,3 +636,19 @@ def q_label_region_table(spark, sf_dir):
     regions = GEO.region_table(spark, P.EVENT_REGIONS)
     out = GEO.label_region_table(ev, "event_id", "x", "y", regions, cell=10.0, out="headquarter")
     return out.select("event_id", "headquarter")
+
+
+@query("stream_monthly_increments")
+def q_stream_monthly_increments(spark, sf_dir):
+    """ST9: monthly counts maintained by a stream (complete mode); the running
+    total is a window over the monthly result table once the stream drains."""
+    from pyspark.sql import Window
+    base = scratch_path(spark, "stream-monthly")
+    stream = _events_stream(spark, sf_dir)
+    monthly = stream.groupBy(F.trunc(F.col("ts").cast("date"), "month").alias("month")).agg(
+        F.count(F.lit(1)).alias("new_rows"))
+    SJ.run_available(monthly, replace_writer(f"{base}/out", lambda b: b), f"{base}/checkpoint",
+                     "complete")
+    out = spark.read.parquet(f"{base}/out").where(F.col("month").isNotNull())
+    w = Window.orderBy("month").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return out.withColumn("total_rows", F.sum("new_rows").over(w))

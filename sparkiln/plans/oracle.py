@@ -714,3 +714,4 @@ FROM orders
 """
 ORACLE["stream_telemetry"] = ORACLE["telemetry"]
 ORACLE["label_region_table"] = ORACLE["label_region"]
+ORACLE["stream_monthly_increments"] = ORACLE["monthly_increments"]
