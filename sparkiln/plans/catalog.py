@@ -652,3 +652,9 @@ def q_stream_monthly_increments(spark, sf_dir):
     out = spark.read.parquet(f"{base}/out").where(F.col("month").isNotNull())
     w = Window.orderBy("month").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return out.withColumn("total_rows", F.sum("new_rows").over(w))
+
+
+@query("row_count")
+def q_row_count(spark, sf_dir):
+    """AGG27: number of rows (here: of lineitem) as a one-row table."""
+    return load_table(spark, sf_dir, "lineitem").agg(F.count(F.lit(1)).alias("n_rows"))

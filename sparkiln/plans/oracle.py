@@ -715,3 +715,4 @@ FROM orders
 ORACLE["stream_telemetry"] = ORACLE["telemetry"]
 ORACLE["label_region_table"] = ORACLE["label_region"]
 ORACLE["stream_monthly_increments"] = ORACLE["monthly_increments"]
+ORACLE["row_count"] = "SELECT count(*) AS n_rows FROM lineitem"
