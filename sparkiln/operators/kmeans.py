@@ -34,7 +34,7 @@ from pyspark.sql.types import (DoubleType, IntegerType, LongType, StructField, S
 
 from sparkiln.functions.hashing import unit_draw
 from sparkiln.functions.literals import literal_rows
-from sparkiln.session import ensure_checkpoint_dir
+from sparkiln.session import materialize
 
 # Above this many centroid rows the sparse centroid table is joined by
 # shuffle instead of broadcast (about 16 bytes per row in the hash relation).
@@ -168,9 +168,9 @@ class KMeansCosineResult:
     converged: bool
 
 
-def _checkpoint(df: DataFrame) -> DataFrame:
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def _checkpoint(df: DataFrame, name: str = "kmeans") -> DataFrame:
+    """Per-round tables are written to the shared checkpoint folder."""
+    return materialize(df, name)
 
 
 def _maybe_broadcast(df: DataFrame, rows: int) -> DataFrame:

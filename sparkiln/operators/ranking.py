@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from sparkiln.session import ensure_checkpoint_dir
+from sparkiln.session import materialize
 
 _POS_MASK = (1 << 33) - 1  # monotonically_increasing_id keeps the row position in the low 33 bits
 
@@ -37,9 +37,9 @@ def _sorted_positions(df: DataFrame, keys: Sequence[str], order: Sequence,
            .withColumn("_pid", F.spark_partition_id())
            .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(_POS_MASK))))
     # Materialise: the partition boundaries of a range shuffle come from a
-    # sample, so the positions must be fixed before offsets are computed.
-    ensure_checkpoint_dir(df.sparkSession)
-    return out.checkpoint(eager=True)
+    # sample, so the positions must be fixed (as columns of a written table)
+    # before offsets are computed.
+    return materialize(out, "ranked")
 
 
 def dense_index(df: DataFrame, order: Sequence, out: str = "id", start: int = 1,

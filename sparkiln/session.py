@@ -13,6 +13,7 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
                   app_name: str = "sparkiln") -> SparkSession:
     """Session used by tests, the bench and the entry point when none exists."""
     master = master or os.environ.get("SPARKILN_MASTER", "local[8]")
+    shuffle_partitions = int(os.environ.get("SPARKILN_SHUFFLE_PARTITIONS", shuffle_partitions))
     builder = (
         SparkSession.builder.master(master)
         .appName(app_name)
@@ -60,3 +61,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Make ``DataFrame.checkpoint()`` usable (reliable checkpoints only)."""
     checkpoint_root(spark)
+
+
+def materialize(df, name: str = "stage"):
+    """Cut lineage by writing ``df`` as a parquet table in the shared
+    checkpoint folder and reading it back.
+
+    One computation of the plan (``checkpoint(eager=True)`` on an unpersisted
+    plan computes it once for the eager count and again to write the files),
+    columnar storage, and the data outlives any executor.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
