@@ -34,7 +34,7 @@ from pyspark.sql.types import (DoubleType, IntegerType, LongType, StructField, S
 
 from sparkiln.functions.hashing import unit_draw
 from sparkiln.functions.literals import literal_rows
-from sparkiln.session import materialize
+from sparkiln.session import materialize, sized_partitions
 
 # Above this many centroid rows the sparse centroid table is joined by
 # shuffle instead of broadcast (about 16 bytes per row in the hash relation).
@@ -193,6 +193,16 @@ def doc_norms(vectors: DataFrame) -> DataFrame:
     return vectors.groupBy("doc").agg(F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("norm"))
 
 
+def _doc_partitioned(triples: DataFrame, entity: str, feature: str, value: str) -> DataFrame:
+    """(doc, term, value) rows hash-partitioned by document into a number of
+    partitions sized from the row count, then cached for the rounds."""
+    rows = (triples.select(F.col(entity).alias("doc"), F.col(feature).alias("term"),
+                           F.col(value).cast("double").alias("value"))
+            .where(F.col("value").isNotNull()))
+    n = sized_partitions(triples.sparkSession, rows.count())
+    return rows.repartition(n, "doc").persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def doc_dots(vectors: DataFrame, norms: DataFrame, centroids: DataFrame, k: int,
              centroid_rows: int) -> DataFrame:
     """(doc, norm, dot1..dotk): every document's dot product with every
@@ -306,12 +316,7 @@ def kmeans_cosine(triples: DataFrame, k: int = 5, max_iter: int = 10, tol: float
     # joins them with per-document tables (assignments, norms) and sums per
     # document, and all of that then reuses this partitioning instead of
     # shuffling the vectors again.
-    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    vectors = (triples.select(F.col(entity).alias("doc"), F.col(feature).alias("term"),
-                              F.col(value).cast("double").alias("value"))
-               .where(F.col("value").isNotNull())
-               .repartition(n_parts, "doc")
-               .persist(StorageLevel.MEMORY_AND_DISK))
+    vectors = _doc_partitioned(triples, entity, feature, value)
     norms = doc_norms(vectors).persist(StorageLevel.MEMORY_AND_DISK)
     if init is None:
         docs = vectors.select("doc").distinct()
@@ -478,9 +483,7 @@ def seed_parallel(triples: DataFrame, k: int, oversample: int | None = None, see
     """
     l = oversample or 4 * k
     spark = triples.sparkSession
-    vectors = (triples.select(F.col(entity).alias("doc"), F.col(feature).alias("term"),
-                              F.col(value).cast("double").alias("value"))
-               .where(F.col("value").isNotNull()).persist(StorageLevel.MEMORY_AND_DISK))
+    vectors = _doc_partitioned(triples, entity, feature, value)
     norms = doc_norms(vectors).persist(StorageLevel.MEMORY_AND_DISK)
     draw0 = unit_draw(F.col("doc"), seed)
     first = norms.select("doc", "norm", draw0.alias("u")).orderBy("u", "doc").limit(1).collect()

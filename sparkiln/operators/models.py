@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from sparkiln.functions.hashing import unit_draw
 from sparkiln.functions.literals import literal_rows
+from sparkiln.session import materialize
 
 QUERY_BROADCAST_ROWS = 2_000_000
 
@@ -161,18 +162,18 @@ def knn(train: DataFrame, query: DataFrame, features: Sequence[str], k: int,
         w = Window.partitionBy("_q").orderBy("dist", "_id")
         top = (cand.select("_q", "_id", dist.alias("dist"), *keep)
                .withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k))
-        top = top.persist(StorageLevel.MEMORY_AND_DISK)
+        top = materialize(top, "knn-round")
         radius = r * cell
         if r >= full_ring:
             ok = top.select("_q").distinct()
         else:
             ok = (top.groupBy("_q").agg(F.count(F.lit(1)).alias("m"), F.max("dist").alias("md"))
                   .where((F.col("m") == k) & (F.col("md") <= F.lit(radius))).select("_q"))
-        ok = ok.persist(StorageLevel.MEMORY_AND_DISK)
+        ok = materialize(ok, "knn-resolved")
         done_parts.append(top.join(ok, "_q", "left_semi"))
         if r >= full_ring:
             break
-        pending = pending.join(ok, "_q", "left_anti").persist(StorageLevel.MEMORY_AND_DISK)
+        pending = materialize(pending.join(ok, "_q", "left_anti"), "knn-pending")
         n_pending = pending.count()
         r *= 2
     out = done_parts[0]

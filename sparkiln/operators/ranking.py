@@ -31,9 +31,13 @@ def _num_partitions(df: DataFrame) -> int:
 
 def _sorted_positions(df: DataFrame, keys: Sequence[str], order: Sequence,
                       partitions: int | None) -> DataFrame:
-    n = partitions or _num_partitions(df)
     cols = [*[F.col(k) for k in keys], *[F.col(o) if isinstance(o, str) else o for o in order]]
-    out = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+    # Without an explicit count AQE may coalesce adjacent range partitions
+    # (order is kept), so small inputs do not fan out into
+    # spark.sql.shuffle.partitions tiny tasks.
+    ranged = (df.repartitionByRange(partitions, *cols) if partitions
+              else df.repartitionByRange(*cols))
+    out = (ranged.sortWithinPartitions(*cols)
            .withColumn("_pid", F.spark_partition_id())
            .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(_POS_MASK))))
     # Materialise: the partition boundaries of a range shuffle come from a

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from sparkiln.functions.literals import literal_rows
+from sparkiln.session import materialize
 from sparkiln.operators.ranking import BROADCAST_ROWS, group_rank
 
 
@@ -199,7 +200,8 @@ def _join_small(big: DataFrame, small: DataFrame, key: str) -> DataFrame:
 def box_stats(df: DataFrame, key: str, value: str, whis: float = 1.5) -> DataFrame:
     """AGG21: box-plot numbers per group: quartiles, IQR, whiskers at the
     most extreme values within ``whis`` IQR of the box, outlier count."""
-    q = group_quantiles(df, key, value, [0.25, 0.5, 0.75], ["q1", "median", "q3"]).persist()
+    q = materialize(group_quantiles(df, key, value, [0.25, 0.5, 0.75], ["q1", "median", "q3"]),
+                    "quantiles")
     fences = q.select(key, (F.col("q1") - F.lit(whis) * (F.col("q3") - F.col("q1"))).alias("_lo"),
                       (F.col("q3") + F.lit(whis) * (F.col("q3") - F.col("q1"))).alias("_hi"))
     rows = _join_small(df.select(key, value).where(F.col(value).isNotNull()), fences, key)

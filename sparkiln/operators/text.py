@@ -8,13 +8,13 @@ costs one row per task in the shuffle, not a third of the data.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkiln.functions.text import (KEEP_OR_DELIM, TOKENIZER_DELIMS, java_split_ws,
                                      length_bucket, split_ws, text_lines)
 from sparkiln.operators.ranking import dense_index
+from sparkiln.session import materialize
 from sparkiln.sources.tables import spread_small_input
 
 
@@ -100,11 +100,11 @@ def corpus_triples(docs: DataFrame, id: str = "doc_id", text: str = "text",
     """Whole chain text -> (term_id, doc_id, count) with derived dictionaries.
 
     The document-term counts feed three jobs (document count, dictionary,
-    final join), so they are persisted once instead of re-tokenising.  Cached
-    blocks lost with an executor are recomputed from lineage.
+    final join), so they are written once to the shared checkpoint folder
+    instead of re-tokenising; read back, they are split by size.
     """
-    counts = term_counts(clean_tokens(docs, id, text)).persist(StorageLevel.MEMORY_AND_DISK)
+    counts = materialize(term_counts(clean_tokens(docs, id, text)), "term-counts")
     stop, vocab = build_dictionaries(counts, min_df, max_df_ratio)
     # the triples feed several jobs downstream (document count, tf and df
-    # aggregates), so they are kept once computed
-    return doc_term_counts(counts, stop, vocab).persist(StorageLevel.MEMORY_AND_DISK)
+    # aggregates), so they are written once
+    return materialize(doc_term_counts(counts, stop, vocab), "triples")

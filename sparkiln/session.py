@@ -75,3 +75,13 @@ def materialize(df, name: str = "stage"):
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def sized_partitions(spark, rows: int, rows_per_partition: int = 2_000_000) -> int:
+    """Partition count for a table of ``rows`` rows that will be cached and
+    scanned repeatedly: about ``rows_per_partition`` rows per task, at least
+    one task per core.  (A cached plan keeps its shuffle's partition count,
+    so an unsized cache of a small table would cost one tiny task per
+    ``spark.sql.shuffle.partitions`` on every scan.)"""
+    cores = spark.sparkContext.defaultParallelism
+    return max(cores, -(-int(rows) // rows_per_partition))
