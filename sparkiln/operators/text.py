@@ -77,7 +77,8 @@ def build_dictionaries(counts: DataFrame, min_df: int = 2, max_df_ratio: float =
     ``dense_index`` (no single-task global window).
     """
     n_docs = counts.agg(F.count_distinct("doc_id").alias("n")).first()["n"]
-    dfs = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    # one row per term, read twice (stop words, vocabulary): written once
+    dfs = materialize(counts.groupBy("term").agg(F.count(F.lit(1)).alias("df")), "doc-freq")
     limit = max_df_ratio * n_docs
     stop = dfs.where(F.col("df") > F.lit(limit)).select(F.col("term").alias("token"))
     kept = dfs.where((F.col("df") >= F.lit(min_df)) & (F.col("df") <= F.lit(limit)))
