@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -36,8 +37,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
     On a cluster this is whatever ``spark.checkpoint.dir`` names (a shared
-    file system).  Only when the setting is absent (unit tests on a laptop)
-    do we fall back to a fresh temporary folder.
+    file system); without it a cluster session is refused, because executors
+    cannot see the driver's own folders.  Only a ``local`` master (unit tests
+    on a laptop, where driver and executors are one process) falls back to a
+    fresh temporary folder.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
@@ -46,6 +49,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         current = sc.getCheckpointDir()
         if current:
             root = current
+        elif not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         else:
             root = tempfile.mkdtemp(prefix="sparkiln-ckpt-")
     if sc.getCheckpointDir() is None:
