@@ -1,0 +1,35 @@
+import os
+import sys
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+sys.path.insert(0, ROOT)
+
+DOC = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from pyspark.sql import SparkSession
+    s = (SparkSession.builder.master("local[*]")
+         .config("spark.sql.shuffle.partitions", "8")
+         .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
+         .config("spark.sql.session.timeZone", "UTC")
+         .getOrCreate())
+    s.sparkContext.setLogLevel("ERROR")
+    yield s
+
+
+@pytest.fixture
+def documents(spark):
+    """documents(rows) -> DataFrame; a row is (doc_id, text[, lang[, source]])."""
+    def make(rows, **extra):
+        full = [tuple(r) + (None,) * (4 - len(r)) + (len(r[1] or ""),) for r in rows]
+        df = spark.createDataFrame(full, DOC)
+        from pyspark.sql import functions as F
+        for name, value in extra.items():
+            df = df.withColumn(name, F.lit(value))
+        return df
+    return make
