@@ -1,7 +1,7 @@
 """Corpus pipeline and the registry of the training-data queries."""
 
-from sparkiln.llm import packing, sharding
+from sparkiln.llm import line_dedup, packing, quality_rules, sharding
 
-MODULES = [sharding, packing]
+MODULES = [line_dedup, sharding, quality_rules, packing]
 QUERIES = {name: fn for m in MODULES for name, fn in m.QUERIES.items()}
 ORACLE = {name: sql for m in MODULES for name, sql in m.ORACLE.items()}
