@@ -1,7 +1,9 @@
 """Corpus pipeline and the registry of the training-data queries."""
 
-from sparkiln.llm import line_dedup, minhash, packing, quality_rules, sharding
+from sparkiln.llm import (
+    decontamination, line_dedup, minhash, packing, quality_rules, sharding,
+)
 
-MODULES = [line_dedup, sharding, quality_rules, minhash, packing]
+MODULES = [line_dedup, sharding, quality_rules, decontamination, minhash, packing]
 QUERIES = {name: fn for m in MODULES for name, fn in m.QUERIES.items()}
 ORACLE = {name: sql for m in MODULES for name, sql in m.ORACLE.items()}
