@@ -1,9 +1,11 @@
 """Corpus pipeline and the registry of the training-data queries."""
 
 from sparkiln.llm import (
-    decontamination, language_id, line_dedup, minhash, packing, quality_rules, sharding,
+    decontamination, language_id, line_dedup, minhash, packing,
+    quality_classifier, quality_rules, sharding,
 )
 
-MODULES = [line_dedup, sharding, quality_rules, decontamination, language_id, minhash, packing]
+MODULES = [line_dedup, sharding, quality_rules, decontamination, language_id, quality_classifier,
+           minhash, packing]
 QUERIES = {name: fn for m in MODULES for name, fn in m.QUERIES.items()}
 ORACLE = {name: sql for m in MODULES for name, sql in m.ORACLE.items()}
