@@ -2,10 +2,10 @@
 
 from sparkiln.llm import (
     decontamination, language_id, line_dedup, minhash, packing,
-    quality_classifier, quality_rules, sharding, url_filters,
+    quality_classifier, quality_rules, sharding, suffix_dedup, url_filters,
 )
 
-MODULES = [line_dedup, sharding, quality_rules, decontamination, language_id, quality_classifier,
+MODULES = [line_dedup, sharding, quality_rules, suffix_dedup, decontamination, language_id, quality_classifier,
            url_filters, minhash, packing]
 QUERIES = {name: fn for m in MODULES for name, fn in m.QUERIES.items()}
 ORACLE = {name: sql for m in MODULES for name, sql in m.ORACLE.items()}
