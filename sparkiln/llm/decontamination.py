@@ -251,6 +251,26 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, k: int = SHINGLE,
     return out
 
 
+def remove_leaks(docs: DataFrame, benchmark: DataFrame, k: int = SHINGLE,
+                 threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` (all their columns) that leak no item."""
+    lower = "_lower"
+    while lower in docs.columns:
+        lower = "_" + lower
+    out = docs.withColumn(lower, F.lower("text"))
+    for block in item_blocks(benchmark, k):
+        def run(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                keep = np.ones(batch.num_rows, bool)
+                for lo, h, first in word_hashes(batch.column(lower)):
+                    for row, *_ in match_chunk(block, h, first, threshold):
+                        keep[lo + row] = False
+                yield batch.filter(pa.array(keep))
+
+        out = out.mapInArrow(run, out.schema)
+    return out.drop(lower)
+
+
 def op5_simhash_decontamination(spark, sf_dir) -> DataFrame:
     leaks = find_leaks(load_table(spark, sf_dir, "documents"),
                        load_table(spark, sf_dir, "benchmark"))

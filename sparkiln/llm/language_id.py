@@ -191,6 +191,21 @@ def predict(docs: DataFrame, model: KernelModel | None) -> DataFrame:
         run, PREDICTIONS)
 
 
+def keep_known(docs: DataFrame, model: KernelModel | None, min_score: float) -> DataFrame:
+    """The rows of ``docs`` (all their columns) whose language is known with a
+    score of at least ``min_score``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for lo in range(0, batch.num_rows, 64):
+                sets = [ngrams(t.as_py()) for t in batch.column("text").slice(lo, 64)]
+                best = model.scores(sets).max(axis=1) if model else np.zeros(len(sets))
+                keep += [len(s) > 0 and b >= min_score for s, b in zip(sets, best)]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(doc_id: Column) -> Column:
     """Rows kept out of training: CRC-32 of the id as text, modulo 3, is 1."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(True))

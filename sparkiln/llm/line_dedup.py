@@ -21,6 +21,8 @@ empty result; columns other than doc_id and text are not read.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -60,16 +62,18 @@ def covered_lines(docs: DataFrame) -> DataFrame:
     return later.groupBy("doc_id", "key").agg(F.collect_set("pos").alias("starts"))
 
 
-def dedup_lines(docs: DataFrame) -> DataFrame:
-    """doc_id, n_lines, n_removed, text (of the lines that stay)."""
+def dedup_lines(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """doc_id, n_lines, n_removed, text (of the lines that stay) and the
+    columns of ``carry`` as they are."""
     covered = covered_lines(docs).select(
         F.col("doc_id").alias("_doc"), F.col("key").alias("_key"), "starts")
-    rows = docs.select("doc_id", "text", row_key("doc_id", "text").alias("key"))
+    rows = docs.select("doc_id", "text", F.struct(F.lit(0).alias("_"), *carry).alias("_carry"),
+                       row_key("doc_id", "text").alias("key"))
     joined = rows.join(covered, F.col("doc_id").eqNullSafe(F.col("_doc"))
                        & (F.col("key") == F.col("_key")), "left")
     gone = F.flatten(F.transform("starts", lambda s: F.sequence(s, s + (WINDOW - 1))))
     kept = joined.select(
-        "doc_id", "text", line_array(F.col("text")).alias("lines"),
+        "doc_id", "text", "_carry", line_array(F.col("text")).alias("lines"),
         F.when(F.col("starts").isNotNull(), gone).alias("gone"))
     text = bound(F.col("lines"), lambda x: F.array_join(F.transform(
         F.array_except(positions(F.size(x)), F.col("gone")), lambda i: F.get(x, i)), "\n"))
@@ -77,7 +81,8 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
         "doc_id",
         F.when(F.col("text").isNull(), 0).otherwise(F.size("lines")).cast("long").alias("n_lines"),
         F.coalesce(F.size(F.array_distinct("gone")), F.lit(0)).cast("long").alias("n_removed"),
-        F.when(F.col("gone").isNull(), F.col("text")).otherwise(text).alias("text"))
+        F.when(F.col("gone").isNull(), F.col("text")).otherwise(text).alias("text"),
+        *[F.col("_carry")[c].alias(c) for c in carry])
 
 
 def op1_line_dedup(spark, sf_dir) -> DataFrame:

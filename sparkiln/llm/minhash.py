@@ -258,6 +258,16 @@ def link_documents(docs: DataFrame, k: int, percent: int) -> DataFrame:
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def keep_one(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """The rows of ``docs`` (all their columns) but for one of each group of
+    linked documents; of rows that share a doc_id one stays, and all with a NULL
+    doc_id stay."""
+    linked = link_documents(docs, k, percent).where("kept AND doc_id IS NOT NULL")
+    ids = linked.select("doc_id").distinct()
+    named = docs.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return named.unionByName(docs.where("doc_id IS NULL"))
+
+
 def op9_minhash_odd_sketch(spark, sf_dir) -> DataFrame:
     return link_documents(load_table(spark, sf_dir, "documents"), k=3, percent=85)
 

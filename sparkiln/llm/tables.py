@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkiln.session import materialize
 from sparkiln.sources.tables import load_table
 
-__all__ = ["load_table", "materialize", "text_crc32", "row_key", "spread"]
+__all__ = ["load_table", "materialize", "text_crc32", "row_key", "spread", "ship_package"]
 
 
 def text_crc32(text: Column) -> Column:
@@ -30,3 +35,23 @@ def spread(df: DataFrame) -> DataFrame:
         return df
     cores = spark.sparkContext.defaultParallelism
     return df.repartition(cores) if 0 < files < cores else df
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers of a session whose
+    workers neither start in the repository nor have it on ``PYTHONPATH``: it
+    is sent along as ``--py-files`` would, once per application."""
+    root = Path(__file__).resolve().parents[2]
+    paths = [Path(p).resolve() for p in os.environ.get("PYTHONPATH", "").split(":") if p]
+    app = spark.sparkContext.applicationId
+    if root in paths or Path.cwd().resolve() == root or app in _SHIPPED:
+        return
+    archive = Path(tempfile.mkdtemp(prefix="sparkiln-")) / "sparkiln.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted((root / "sparkiln").rglob("*.py")):
+            out.write(source, source.relative_to(root))
+    spark.sparkContext.addPyFile(str(archive))
+    _SHIPPED.add(app)

@@ -3,6 +3,7 @@ import re
 from collections import Counter
 
 from sparkiln.llm import decontamination as D
+from llm_fixtures import documents  # noqa: F401
 
 
 def words(t):

@@ -4,6 +4,7 @@ import zlib
 import numpy as np
 
 from sparkiln.llm import language_id as L
+from llm_fixtures import documents  # noqa: F401
 
 SF = "/root/testdata/sf0.01"
 

@@ -1,6 +1,7 @@
 import random
 
 from sparkiln.llm import line_dedup as L
+from llm_fixtures import documents  # noqa: F401
 
 
 def brute(rows):

@@ -6,6 +6,7 @@ import pytest
 
 from sparkiln.llm import minhash as M
 from sparkiln.llm.components import components
+from llm_fixtures import documents  # noqa: F401
 
 
 def sets(text, k):

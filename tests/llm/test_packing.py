@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from sparkiln.llm import packing as P
+from llm_fixtures import documents  # noqa: F401
 
 
 def expand(rows):

@@ -5,6 +5,7 @@ import pyarrow as pa
 
 from sparkiln.llm import kernels as K
 from sparkiln.llm import quality_classifier as Q
+from llm_fixtures import documents  # noqa: F401
 
 SF = "/root/testdata/sf0.01"
 

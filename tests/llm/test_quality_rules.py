@@ -2,6 +2,7 @@ import random
 import re
 
 from sparkiln.llm import quality_rules as Q
+from llm_fixtures import documents  # noqa: F401
 
 
 def brute(text):

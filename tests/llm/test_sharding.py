@@ -4,6 +4,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from sparkiln.llm import sharding as S
+from llm_fixtures import documents  # noqa: F401
 
 
 def test_slots_and_growth(spark, documents):

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from sparkiln.llm import suffix_dedup as S
+from llm_fixtures import documents  # noqa: F401
 
 
 def brute(rows, length):
