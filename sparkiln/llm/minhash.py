@@ -7,19 +7,26 @@
    samples differ, precisely where few do.
 2. *Classes*: texts with equal sets are one class; its smallest doc_id stands
    for it, so thousands of copies cost one row from here on.
-3. *Stars*: in every band bucket each member is a candidate of the bucket's
-   smallest member only, which needs no pairs within the bucket.  Candidates
-   pass the odd-sketch estimate, then the exact test on full sets.
-4. *Closure*: a bucket whose members are still in different components is
-   compared fully, cross-component, in blocks: members are dealt to blocks,
-   each pair of blocks is one small group, and only pairs that pass the odd
-   sketch leave it.  So no pair that shares a bucket goes untested unless its
-   members are already connected, and no task ever holds a whole bucket.
+3. *Stars*: in every band bucket each member is a candidate of one member only,
+   the hub, which needs no pairs within the bucket.  Candidates pass the
+   odd-sketch estimate, then the exact test on full sets.  ``ROUNDS`` rounds with
+   other hubs join what belongs together; members already in the hub's component
+   are not compared again.
+4. *Closure*: what is left are buckets with members in several components.  Those
+   of more than ``BLOCK`` members (texts that share a long passage, say) are dealt
+   anew: their members get ``FINE_BANDS`` bands of ``FINE_ROWS`` rows, which tell
+   similarities apart more sharply, and go through the same rounds.  In the buckets
+   that then are still open, every member outside the largest component is compared
+   with all members of other components by their odd sketches, in groups of at
+   most ``BLOCK`` of one and ``BLOCK`` of the other, and only pairs that pass
+   leave the group.  So no pair that shares a bucket goes untested unless its
+   members are connected already, and no task ever holds a whole bucket.
 5. Components of the verified links, spread to all class members.
 
 With ``rows_per_band`` 4 and 30 bands, a pair at similarity 0.85 shares no
-bucket with probability 2.4e-10 (0.8: 1.3e-7).  The sketch limit lies more
-than 4.5 standard deviations of the MinHash estimate below the threshold.
+bucket with probability 2.4e-10 (0.8: 1.3e-7), with 120 fine bands of 8 rows
+2.9e-17 (0.8: 3.4e-10).  The sketch limit lies more than 4.5 standard deviations
+of the MinHash estimate below the threshold.
 
 Defined cases: NULL texts and texts without words have empty sets and link with
 nothing; fewer than k words are one shingle; rows that share a doc_id are one
@@ -45,7 +52,10 @@ from sparkiln.llm.tables import load_table, materialize, spread
 
 BANDS = 30
 ROWS_PER_BAND = 4
+FINE_BANDS = 120
+FINE_ROWS = 8
 SKETCH_BITS = 512
+ROUNDS = 3
 BLOCK = 256  # members of a bucket compared in one go
 
 SKETCH = ("doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, "
@@ -66,18 +76,25 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndar
     return K.distinct(*K.shingles(h, first, k))
 
 
-def sketches(sets: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Band keys (texts x bands) and odd sketches (texts x bytes)."""
+def band_keys(sets: np.ndarray, first: np.ndarray, bands: int, rows: int
+              ) -> tuple[np.ndarray, np.ndarray]:
+    """MinHash samples (texts x samples) and band keys (texts x bands)."""
     n = len(first) - 1
-    samples = BANDS * ROWS_PER_BAND
-    minima = np.empty((n, samples), np.uint64)
-    for i, a in enumerate(_functions(samples)):
+    minima = np.empty((n, bands * rows), np.uint64)
+    for i, a in enumerate(_functions(bands * rows)):
         minima[:, i] = K.reduce_spans(np.minimum, sets * a, first, np.uint64(K.MASK))
-    keys = np.zeros((n, BANDS), np.uint64)
-    by_band = minima.reshape(n, BANDS, ROWS_PER_BAND)
-    for r in range(ROWS_PER_BAND):
+    keys = np.zeros((n, bands), np.uint64)
+    by_band = minima.reshape(n, bands, rows)
+    for r in range(rows):
         keys = K.splitmix(keys ^ by_band[:, :, r])
-    keys = K.splitmix(keys + np.arange(BANDS, dtype=np.uint64))
+    return minima, K.splitmix(keys + np.arange(bands, dtype=np.uint64))
+
+
+def sketches(sets: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Band keys (texts x bands) and odd sketches (texts x bytes)."""
+    n = len(first) - 1
+    minima, keys = band_keys(sets, first, BANDS, ROWS_PER_BAND)
+    samples = minima.shape[1]
     bit = K.splitmix(minima + np.arange(samples, dtype=np.uint64)) % np.uint64(SKETCH_BITS)
     flips = np.zeros((n, SKETCH_BITS), np.uint8)
     for i in range(samples):
@@ -147,10 +164,8 @@ def _block_pairs(limit: int):
     """Cross-component pairs of one pair of blocks that pass the sketch test."""
     def run(group: pd.DataFrame) -> pd.DataFrame:
         one, two = (group[group["side"] == side] for side in (0, 1))
-        if two.empty:
-            two = one
         a, b = [], []
-        if len(one):
+        if len(one) and len(two):
             bits = np.stack(two["sketch"].to_numpy()).view(np.uint64)
             ids, comp = two["node"].to_numpy(), two["component"].to_numpy()
             for node, component, sketch in zip(one["node"], one["component"], one["sketch"]):
@@ -163,16 +178,21 @@ def _block_pairs(limit: int):
     return run
 
 
-def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, percent: int
-             ) -> DataFrame:
-    """Of pairs (a, b) of classes, those whose full sets are similar enough."""
-    wanted = pairs.select(F.col("a").alias("node")).unionByName(
-        pairs.select(F.col("b").alias("node"))).distinct().join(
+def sets_of(nodes: DataFrame, classes: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """(node, hashes): the full shingle sets of some classes."""
+    wanted = nodes.distinct().join(
         classes.select("node", F.col("rep").alias("doc_id"), "set_a", "set_b"), "node")
     texts = docs.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
-    sets = (set_table(texts, k).join(wanted, ["doc_id", "set_a", "set_b"])
+    return (set_table(texts, k).join(wanted, ["doc_id", "set_a", "set_b"])
             .select("node", "hashes").dropDuplicates(["node"]))
-    sets = materialize(sets, "sets")
+
+
+def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, percent: int
+             ) -> DataFrame:
+    """Of pairs (a, b) of classes, those whose full sets are similar enough."""
+    nodes = pairs.select(F.col("a").alias("node")).unionByName(
+        pairs.select(F.col("b").alias("node")))
+    sets = materialize(sets_of(nodes, classes, docs, k), "sets")
     left = sets.select(F.col("node").alias("a"), F.col("hashes").alias("left"))
     right = sets.select(F.col("node").alias("b"), F.col("hashes").alias("right"))
     both = pairs.join(left, "a").join(right, "b").select(
@@ -182,42 +202,128 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, perc
                       ).select("a", "b")
 
 
-def star_pairs(buckets: DataFrame, classes: DataFrame, limit: int) -> DataFrame:
-    """(member, smallest member of its bucket) pairs that pass the sketch test."""
-    pairs = buckets.where("node != hub").select(
-        F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
+def placed_in(buckets: DataFrame, found: DataFrame | None) -> DataFrame:
+    """band, node and the node's component so far."""
+    if found is None:
+        return buckets.withColumn("component", F.col("node"))
+    return buckets.join(found, "node", "left").select(
+        "band", "node", F.coalesce("component", "node").alias("component"))
+
+
+def star_pairs(placed: DataFrame, classes: DataFrame, limit: int, turn: int) -> DataFrame:
+    """(member, hub of its bucket) pairs of different components that pass the
+    sketch test; the hub changes with ``turn``."""
+    hubs = (placed.groupBy("band").agg(
+        F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node", "component")).alias("hub"),
+        F.min("component").alias("low"), F.max("component").alias("high"))
+        .where("low != high").select("band", "hub.node", "hub.component").toDF("band", "b", "of"))
+    pairs = (placed.join(hubs, "band").where("component != of")
+             .select(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b")).distinct())
     sketch = classes.select("node", "sketch")
-    both = (pairs.join(sketch.toDF("a", "left"), "a").join(sketch.toDF("b", "right"), "b"))
+    both = pairs.join(sketch.toDF("a", "left"), "a").join(sketch.toDF("b", "right"), "b")
     return both.where(odd_distance("left", "right") <= limit).select("a", "b")
 
 
-def closure_pairs(buckets: DataFrame, classes: DataFrame, found: DataFrame, limit: int
-                  ) -> DataFrame:
-    """Untested cross-component pairs that share a bucket and pass the sketch
-    test.  The hub of a bucket has met everyone already."""
-    placed = (buckets.where("node != hub").join(found, "node", "left")
-              .withColumn("component", F.coalesce("component", "node")))
-    open_ = (placed.groupBy("band").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"),
-        F.count(F.lit(1)).alias("n")).where("low != high")
-        .select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
-    members = (placed.join(open_, "band").join(classes.select("node", "sketch"), "node")
-               .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")))
-    dealt = members.select(
-        "band", "node", "component", "sketch", "block",
-        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    dealt = dealt.select("band", "node", "component", "sketch",
-                         F.least("block", "other").alias("i"),
-                         F.greatest("block", "other").alias("j"),
-                         (F.col("block") > F.col("other")).cast("int").alias("side"))
-    return dealt.groupBy("band", "i", "j").applyInPandas(
+def closure_pairs(placed: DataFrame, classes: DataFrame, limit: int) -> DataFrame:
+    """Cross-component pairs that share a bucket and pass the sketch test."""
+    parts = placed.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n"))
+    open_ = (parts.groupBy("band").agg(
+        F.sum("n").alias("all"), F.max(F.struct("n", "component")).alias("top"))
+        .where("all > top.n").select(
+            "band", F.col("top.component").alias("top"),
+            F.ceil(F.col("all") / BLOCK).cast("int").alias("blocks"),
+            F.ceil((F.col("all") - F.col("top.n")) / BLOCK).cast("int").alias("few")))
+    members = placed.join(open_, "band").join(classes.select("node", "sketch"), "node")
+    h = F.xxhash64("node")
+    cols = ["band", "node", "component", "sketch"]
+    # all members, met by each block of those outside the largest component
+    every = members.select(*cols, F.explode(F.sequence(F.lit(0), F.col("few") - 1)).alias("i"),
+                           F.pmod(h, F.col("blocks")).cast("int").alias("j"), F.lit(1).alias("side"))
+    away = members.where("component != top").select(
+        *cols, F.pmod(h, F.col("few")).cast("int").alias("i"),
+        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"), F.lit(0).alias("side"))
+    return every.unionByName(away).groupBy("band", "i", "j").applyInPandas(
         _block_pairs(limit), "a long, b long").distinct()
 
 
+def fine_buckets(nodes: DataFrame, classes: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """(band, node) by the fine bands, of classes in crowded buckets."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 128):
+                part = batch.slice(lo, 128)
+                lists = [np.asarray(x.values).view(np.uint64) for x in part.column("hashes")]
+                first = np.concatenate([[0], np.cumsum([len(x) for x in lists])])
+                _, keys = band_keys(np.concatenate(lists), first, FINE_BANDS, FINE_ROWS)
+                yield pa.RecordBatch.from_arrays([part.column("node"), _rows(keys)],
+                                                 names=["node", "bands"])
+
+    bands = sets_of(nodes, classes, docs, k).mapInArrow(run, "node long, bands array<long>")
+    return shared_buckets(bands.select("node", F.explode("bands").alias("band")))
+
+
+def shared_buckets(banded: DataFrame) -> DataFrame:
+    """(band, node) of the buckets with several members, written."""
+    several = (banded.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high"))
+               .where("low != high").select("band"))
+    return materialize(banded.join(several, "band").select("band", "node"), "buckets")
+
+
+class Linker:
+    """Links found so far and the components they make."""
+
+    def __init__(self, classes: DataFrame, docs: DataFrame, links: DataFrame, k: int,
+                 percent: int) -> None:
+        self.classes, self.docs, self.k, self.percent = classes, docs, k, percent
+        self.links, self.found = links, None
+        self.limit = sketch_limit(percent / 100)
+
+    def add(self, pairs: DataFrame) -> bool:
+        """Verify candidate pairs and link what holds; whether there was any."""
+        pairs = materialize(pairs, "pairs")
+        if pairs.isEmpty():
+            if self.found is None:
+                self.found = components(self.links)
+            return False
+        self.links = self.links.unionByName(materialize(verified(
+            pairs, self.classes, self.docs, self.k, self.percent), "verified"))
+        self.found = components(self.links)
+        return True
+
+    def stars(self, buckets: DataFrame) -> None:
+        for turn in range(ROUNDS):
+            if not self.add(star_pairs(placed_in(buckets, self.found), self.classes,
+                                       self.limit, turn)):
+                break
+
+    def close(self, buckets: DataFrame) -> None:
+        self.add(closure_pairs(placed_in(buckets, self.found), self.classes, self.limit))
+
+
+def link_classes(classes: DataFrame, docs: DataFrame, same: DataFrame, k: int, percent: int
+                 ) -> DataFrame:
+    """(node, component) of the classes that are linked to others."""
+    buckets = shared_buckets(classes.select("node", F.explode("bands").alias("band")))
+    linker = Linker(classes, docs, same, k, percent)
+    linker.stars(buckets)
+    sizes = placed_in(buckets, linker.found).groupBy("band").agg(
+        F.count(F.lit(1)).alias("n"), F.min("component").alias("low"),
+        F.max("component").alias("high")).where("low != high").select("band", "n")
+    sizes = materialize(sizes, "open")
+    crowded = sizes.where(F.col("n") > BLOCK)
+    if not crowded.isEmpty():
+        nodes = materialize(buckets.join(crowded.select("band"), "band").select("node").distinct(),
+                            "crowded")
+        fine = fine_buckets(nodes, classes, docs, k)
+        linker.stars(fine)
+        linker.close(fine)
+    linker.close(buckets.join(sizes.where(F.col("n") <= BLOCK).select("band"), "band"))
+    return linker.found
+
+
 def link_documents(docs: DataFrame, k: int, percent: int) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: documents linked where 100 *
     intersection >= percent * union of their k-word shingle sets."""
-    limit = sketch_limit(percent / 100)
     docs = spread(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     marks = materialize(sketch_documents(docs, k), "sketches")
     named = marks.where("doc_id IS NOT NULL AND n_shingles > 0")
@@ -229,23 +335,11 @@ def link_documents(docs: DataFrame, k: int, percent: int) -> DataFrame:
         .withColumn("node", F.monotonically_increasing_id()), "classes")
     members = materialize(named.select("doc_id", *name).join(
         classes.select(*name, "node"), name).select("doc_id", "n_shingles", "node"), "members")
-
-    banded = classes.select("node", F.explode("bands").alias("band"))
-    hubs = (banded.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("top"))
-            .where("hub != top").select("band", "hub"))
-    buckets = materialize(banded.join(hubs, "band"), "buckets")
-    stars = materialize(star_pairs(buckets, classes, limit), "pairs")
-    links = materialize(verified(stars, classes, docs, k, percent), "verified")
     # classes that share a doc_id are one document
     shared = members.groupBy("doc_id").agg(F.min("node").alias("b"), F.max("node").alias("top")
                                            ).where("b != top").select("doc_id", "b")
-    same = members.join(shared, "doc_id").select(F.col("node").alias("a"), "b")
-    links = links.unionByName(same)
-    found = components(links)
-    rest = materialize(closure_pairs(buckets, classes, found, limit), "pairs")
-    if not rest.isEmpty():
-        found = components(links.unionByName(
-            materialize(verified(rest, classes, docs, k, percent), "verified")))
+    same = materialize(members.join(shared, "doc_id").select(F.col("node").alias("a"), "b"), "same")
+    found = link_classes(classes, docs, same, k, percent)
 
     placed = classes.select("node", "rep").join(found, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
