@@ -22,9 +22,8 @@ def _as_col(c) -> Column:
 
 
 def _edges(polygon: Sequence[Sequence[float]]):
-    n = len(polygon)
-    for i in range(1, n + 1):
-        yield polygon[i - 1], polygon[i % n]
+    """Consecutive vertices, the last joined to the first."""
+    yield from zip(polygon, [*polygon[1:], polygon[0]])
 
 
 def bounding_box(polygon: Sequence[Sequence[float]]):

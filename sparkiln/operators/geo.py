@@ -41,38 +41,37 @@ def region_table(spark, regions) -> DataFrame:
     return literal_rows(spark, rows, "name string, priority int, polygon array<array<double>>")
 
 
-def label_region_table(points: DataFrame, id: str, x: str, y: str, regions: DataFrame,
-                       cell: float, out: str = "region",
-                       broadcast_rows: int = 1_000_000) -> DataFrame:
+def label_region_table(points: DataFrame, x: str, y: str, regions: DataFrame, cell: float,
+                       out: str = "region") -> DataFrame:
     """PRJ5 for many regions held in a table (name, priority, polygon).
 
-    Each region is exploded to the grid cells its bounding box covers (the
-    region table and its cells are bounded by the regions, not the data);
-    points join it on their own cell, so a point is only tested against the
-    regions near it (no cross product).  The exact ray-casting test runs on
-    the candidates and the highest-priority match wins (``row_number() = 1``
-    with a per-task limit before the shuffle).  Points in no region are dropped.
+    Each region is exploded to the grid cells its bounding box covers, and the
+    cells are grouped to one row per cell with its regions as an array (bounded
+    by the regions that overlap there).  A point meets its own cell's row only, so
+    it is tested against the regions near it, and the matching region of the
+    lowest priority number wins: one output row per point inside a region,
+    duplicates and rows without an id included.  Points in no region are dropped.
+    Spark broadcasts the cells if their size allows.
     """
-    from pyspark.sql import Window
     from sparkiln.functions.geo import in_polygon
     xs = F.transform("polygon", lambda p: F.element_at(p, 1))
     ys = F.transform("polygon", lambda p: F.element_at(p, 2))
-    reg = regions.select("name", "priority", "polygon",
-                         F.floor(F.array_min(xs) / cell).cast("long").alias("x0"),
-                         F.floor(F.array_max(xs) / cell).cast("long").alias("x1"),
-                         F.floor(F.array_min(ys) / cell).cast("long").alias("y0"),
-                         F.floor(F.array_max(ys) / cell).cast("long").alias("y1"))
-    cells = (reg.select("name", "priority", "polygon", "y0", "y1",
-                        F.explode(F.sequence("x0", "x1")).alias("_cx"))
-             .select("name", "priority", "polygon",
-                     "_cx", F.explode(F.sequence("y0", "y1")).alias("_cy")))
-    n_cells = cells.count()
-    if n_cells <= broadcast_rows:
-        cells = F.broadcast(cells)
-    pts = points.select("*", F.floor(F.col(x) / cell).cast("long").alias("_cx"),
-                        F.floor(F.col(y) / cell).cast("long").alias("_cy"))
-    cand = pts.join(cells, ["_cx", "_cy"], "inner")
-    hits = cand.where(in_polygon(F.col(x), F.col(y), F.col("polygon")))
-    w = Window.partitionBy(id).orderBy("priority")
-    best = hits.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
-    return best.select(*[F.col(c) for c in points.columns], F.col("name").alias(out))
+
+    def side(values, pick):
+        return F.floor(pick(values) / cell).cast("long")
+
+    cells = (regions.select("name", "priority", "polygon",
+                            F.explode(F.sequence(side(xs, F.array_min), side(xs, F.array_max)))
+                            .alias("_cx"),
+                            side(ys, F.array_min).alias("_y0"), side(ys, F.array_max).alias("_y1"))
+             .select("name", "priority", "polygon", "_cx",
+                     F.explode(F.sequence("_y0", "_y1")).alias("_cy"))
+             .groupBy("_cx", "_cy")
+             .agg(F.collect_list(F.struct("priority", "name", "polygon")).alias("_near")))
+    placed = points.select("*", F.floor(F.col(x) / cell).cast("long").alias("_cx"),
+                           F.floor(F.col(y) / cell).cast("long").alias("_cy"))
+    inside = F.filter("_near", lambda r: in_polygon(F.col(x), F.col(y), r["polygon"]))
+    first = F.array_min(F.transform(inside, lambda r: F.struct(r["priority"], r["name"])))
+    return (placed.join(cells, ["_cx", "_cy"])
+            .select(*[F.col(c) for c in points.columns], first["name"].alias(out))
+            .where(F.col(out).isNotNull()))

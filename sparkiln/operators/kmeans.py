@@ -36,9 +36,6 @@ from sparkiln.functions.hashing import unit_draw
 from sparkiln.functions.literals import literal_rows
 from sparkiln.session import materialize, sized_partitions
 
-# Above this many centroid rows the sparse centroid table is joined by
-# shuffle instead of broadcast (about 16 bytes per row in the hash relation).
-CENTROID_BROADCAST_ROWS = 2_000_000
 INF = float("inf")
 
 
@@ -111,14 +108,15 @@ def kmeans_2d(points: DataFrame, k: int = 3, max_iter: int = 20, tol: float = 1e
               id: str = "id", x: str = "x", y: str = "y") -> KMeans2DResult:
     """CL2 (+CL6-CL8, AGG12): Lloyd's algorithm on (id, x, y) points.
 
-    Rows with a NULL coordinate are skipped (the reference skips unparsable
+    Rows with a NULL or NaN coordinate are skipped (the reference skips unparsable
     lines).  Returns the last round's assignments (made with the centroids
     entering that round) and centroids, plus every round's centroids.
     """
     spark = points.sparkSession
     pts = (points.select(F.col(id).alias("id"), F.col(x).cast("double").alias("x"),
                          F.col(y).cast("double").alias("y"))
-           .where(F.col("x").isNotNull() & F.col("y").isNotNull())
+           .where(F.col("x").isNotNull() & F.col("y").isNotNull()
+                  & ~F.isnan("x") & ~F.isnan("y"))
            .persist(StorageLevel.MEMORY_AND_DISK))
     cents = list(init) if init is not None else seed_random_partition_2d(pts, k, seed)
     history = []
@@ -166,6 +164,8 @@ class KMeansCosineResult:
     losses: DataFrame           # (iteration, loss)
     iterations: int
     converged: bool
+    round_assignments: DataFrame  # (iteration, doc, cluster)
+    round_centroids: DataFrame    # (iteration, cluster, term, value)
 
 
 def _checkpoint(df: DataFrame, name: str = "kmeans") -> DataFrame:
@@ -173,20 +173,11 @@ def _checkpoint(df: DataFrame, name: str = "kmeans") -> DataFrame:
     return materialize(df, name)
 
 
-def _maybe_broadcast(df: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(df) if rows <= CENTROID_BROADCAST_ROWS else df
-
-
-def centroid_norms(centroids: DataFrame, with_rows: bool = False):
-    """Per-cluster norms (k scalars); with ``with_rows`` also the total row
-    count of the centroid table, from the same aggregate."""
+def centroid_norms(centroids: DataFrame) -> dict[int, float]:
+    """Per-cluster norms (k scalars)."""
     rows = centroids.groupBy("cluster").agg(
-        F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("norm"),
-        F.count(F.lit(1)).alias("n")).collect()
-    norms = {r["cluster"]: r["norm"] for r in rows}
-    if with_rows:
-        return norms, sum(r["n"] for r in rows)
-    return norms
+        F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("norm")).collect()
+    return {r["cluster"]: r["norm"] for r in rows}
 
 
 def doc_norms(vectors: DataFrame) -> DataFrame:
@@ -203,18 +194,17 @@ def _doc_partitioned(triples: DataFrame, entity: str, feature: str, value: str)
     return rows.repartition(n, "doc").persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def doc_dots(vectors: DataFrame, norms: DataFrame, centroids: DataFrame, k: int,
-             centroid_rows: int) -> DataFrame:
+def doc_dots(vectors: DataFrame, norms: DataFrame, centroids: DataFrame, k: int) -> DataFrame:
     """(doc, norm, dot1..dotk): every document's dot product with every
     centroid, from the term equi-join only (a centroid sharing no term gives
     0).  With the vectors hash-partitioned by document, the per-document sum
     and the norm join need no shuffle of the vectors."""
-    cents = _maybe_broadcast(centroids.select("cluster", "term", F.col("value").alias("cv")),
-                             centroid_rows)
-    prods = vectors.join(cents, "term", "left")
-    dots = prods.groupBy("doc").agg(*[
-        F.sum(F.when(F.col("cluster") == j, F.col("value") * F.col("cv"))).alias(f"dot{j}")
+    # one row per term with its value in each centroid, so the join gives one row per entry
+    packed = centroids.groupBy("term").agg(*[
+        F.coalesce(F.sum(F.when(F.col("cluster") == j, F.col("value"))), F.lit(0.0)).alias(f"c{j}")
         for j in range(1, k + 1)])
+    dots = vectors.join(packed, "term", "left").groupBy("doc").agg(*[
+        F.sum(F.col("value") * F.col(f"c{j}")).alias(f"dot{j}") for j in range(1, k + 1)])
     return dots.join(norms, "doc", "inner").select(
         "doc", "norm", *[F.coalesce(F.col(f"dot{j}"), F.lit(0.0)).alias(f"dot{j}")
                          for j in range(1, k + 1)])
@@ -231,11 +221,11 @@ def _distance_cols(cnorms: dict[int, float], k: int) -> list[Column]:
 
 
 def cosine_distances(vectors: DataFrame, norms: DataFrame, centroids: DataFrame,
-                     cnorms: dict[int, float], k: int, centroid_rows: int) -> DataFrame:
+                     cnorms: dict[int, float], k: int) -> DataFrame:
     """JN8 + FN21: (doc, d_1..d_k) cosine distances of every document to
     every centroid.  A zero document or centroid gives +inf (the reference's
     Double.MAX_VALUE); a centroid sharing no term with a document gives 1."""
-    dots = doc_dots(vectors, norms, centroids, k, centroid_rows)
+    dots = doc_dots(vectors, norms, centroids, k)
     return dots.select("doc", *_distance_cols(cnorms, k))
 
 
@@ -253,52 +243,12 @@ def _own_loss(cnorms: dict[int, float], k: int, own: str = "prev") -> Column:
     return F.sqrt(F.greatest(F.lit(0.0), sq))
 
 
-def assign_cosine(dist: DataFrame, k: int) -> DataFrame:
-    """Nearest centroid per document, lowest index on ties, cluster 1 when
-    every distance is infinite."""
-    return dist.select("doc", first_min_index([F.col(f"d{j}") for j in range(1, k + 1)])
-                       .alias("cluster"))
-
-
 def sparse_centroids(vectors: DataFrame, assignments: DataFrame) -> DataFrame:
     """AGG9: per (cluster, term) mean over the member vectors holding the term."""
     return vectors.join(assignments, "doc", "inner").groupBy("cluster", "term").agg(
         F.avg("value").alias("value"))
 
 
-def centroid_shift(old: DataFrame, new: DataFrame, old_norms: dict, new_norms: dict) -> dict:
-    """CL6: cosine distance between each cluster's old and new centroid."""
-    dots = {r["cluster"]: r["dot"] for r in
-            old.select("cluster", "term", F.col("value").alias("a"))
-            .join(new.select("cluster", "term", F.col("value").alias("b")), ["cluster", "term"])
-            .groupBy("cluster").agg(F.sum(F.col("a") * F.col("b")).alias("dot")).collect()}
-    out = {}
-    for c, n_new in new_norms.items():
-        n_old = old_norms.get(c, 0.0)
-        if not n_old or not n_new:
-            out[c] = INF
-        else:
-            out[c] = 1.0 - (dots.get(c) or 0.0) / (n_old * n_new)
-    return out
-
-
-def euclidean_loss(vectors: DataFrame, assignments: DataFrame, centroids: DataFrame,
-                   cnorms: dict[int, float], centroid_rows: int) -> float:
-    """CL5/AGG11: sum over documents of the Euclidean (not squared) distance to
-    the own centroid, with ||c - v||^2 = ||c||^2 + sum_t in v (v_t^2 - 2 v_t c_t)."""
-    cents = _maybe_broadcast(centroids.select("cluster", "term", F.col("value").alias("cv")),
-                             centroid_rows)
-    own = vectors.join(assignments, "doc", "inner").join(cents, ["cluster", "term"], "left")
-    per_doc = own.groupBy("doc", "cluster").agg(F.sum(
-        F.col("value") * F.col("value") - 2 * F.col("value") * F.coalesce(F.col("cv"), F.lit(0.0))
-    ).alias("part"))
-    cn2 = F.element_at(F.create_map(*[x for c, n in sorted(cnorms.items())
-                                      for x in (F.lit(c), F.lit(float(n) * float(n)))]),
-                       F.col("cluster")) if cnorms else F.lit(0.0)
-    dist = F.sqrt(F.greatest(F.lit(0.0), F.coalesce(cn2, F.lit(0.0)) + F.col("part")))
-    return per_doc.agg(F.sum(dist).alias("loss")).first()["loss"] or 0.0
-
-
 def kmeans_cosine(triples: DataFrame, k: int = 5, max_iter: int = 10, tol: float = 1e-5,
                   seed: int = 0, entity: str = "doc_id", feature: str = "term_id",
                   value: str = "tfidf", init: DataFrame | None = None,
@@ -324,48 +274,45 @@ def kmeans_cosine(triples: DataFrame, k: int = 5, max_iter: int = 10, tol: float
         cents = _checkpoint(sparse_centroids(vectors, groups))
     else:
         cents = _checkpoint(init.select("cluster", "term", "value"))
-    cnorms, crow = centroid_norms(cents, with_rows=True)
-    history, losses = [], []
+    cnorms = centroid_norms(cents)
+    history, losses, rounds = [], [], []
     assignments = None
     iterations, converged = 0, False
     for it in range(1, max_iter + 1):
-        per_doc = doc_dots(vectors, norms, cents, k, crow)
+        per_doc = doc_dots(vectors, norms, cents, k)
         if with_loss and assignments is not None:
             # the previous round's loss comes from this round's dot products
             # with the previous round's centroids: no extra pass over vectors
             per_doc = per_doc.join(assignments.select("doc", F.col("cluster").alias("prev")),
                                    "doc", "left")
-        dist_cols = _distance_cols(cnorms, k)
-        scored = per_doc.select("*", *dist_cols)
-        scored = _checkpoint(scored.select(
-            "*", first_min_index([F.col(f"d{j}") for j in range(1, k + 1)]).alias("cluster")))
-        # cluster sizes of this round and the loss of the previous round in
-        # one small aggregate over the per-document table
-        loss_col = (F.sum(_own_loss(cnorms, k)) if with_loss and assignments is not None
+        loss_col = (_own_loss(cnorms, k) if with_loss and assignments is not None
                     else F.lit(None).cast("double"))
+        # only what later steps read is written: cluster, and the loss of the last round
+        scored = _checkpoint(per_doc.select("*", *_distance_cols(cnorms, k)).select(
+            "doc", first_min_index([F.col(f"d{j}") for j in range(1, k + 1)]).alias("cluster"),
+            loss_col.alias("loss")))
         size_rows = scored.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"),
-                                                  loss_col.alias("l")).collect()
+                                                  F.sum("loss").alias("l")).collect()
         sizes = {r["cluster"]: r["n"] for r in size_rows}
         if with_loss and assignments is not None:
             losses.append((it - 1, sum(r["l"] or 0.0 for r in size_rows)))
         assignments = scored.select("doc", "cluster")
         new = _checkpoint(sparse_centroids(vectors, assignments))
-        # norms, row count and the dot with the old centroid in one aggregate
+        rounds.append((it, assignments, new))
+        # norms and the dot with the old centroid in one aggregate
         stats = (new.join(cents.select("cluster", "term", F.col("value").alias("old")),
                           ["cluster", "term"], "left")
                  .groupBy("cluster").agg(
                      F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("norm"),
-                     F.count(F.lit(1)).alias("n"),
                      F.sum(F.col("value") * F.coalesce(F.col("old"), F.lit(0.0))).alias("dot"))
                  .collect())
         new_norms = {r["cluster"]: r["norm"] for r in stats}
-        new_rows = sum(r["n"] for r in stats)
         shift_dots = {r["cluster"]: r["dot"] for r in stats}
         iterations = it
         if len(sizes) != k:  # CL7
             for c in sorted(sizes):
                 history.append((it, c, sizes[c], None))
-            cents, cnorms, crow = new, new_norms, new_rows
+            cents, cnorms = new, new_norms
             break
         shifts = {}
         for c, n_new in new_norms.items():
@@ -375,16 +322,26 @@ def kmeans_cosine(triples: DataFrame, k: int = 5, max_iter: int = 10, tol: float
         for c in sorted(sizes):
             history.append((it, c, sizes[c], shifts.get(c)))
         max_shift = max(list(shifts.values()) + [5e-324])
-        cents, cnorms, crow = new, new_norms, new_rows
+        cents, cnorms = new, new_norms
         if max_shift <= tol:  # CL6, inclusive for cosine
             converged = True
             break
     if with_loss and assignments is not None:
         # loss of the last round: one more dot-product pass
-        last = doc_dots(vectors, norms, cents, k, crow).join(
+        last = doc_dots(vectors, norms, cents, k).join(
             assignments.select("doc", F.col("cluster").alias("prev")), "doc", "left")
         losses.append((iterations, last.agg(F.sum(_own_loss(cnorms, k)).alias("l"))
                        .first()["l"] or 0.0))
+    norms.unpersist()
+    vectors.unpersist()
+
+    def of_rounds(tables) -> DataFrame:
+        out = None
+        for it, table in tables:
+            table = table.select(F.lit(it).alias("iteration"), "*")
+            out = table if out is None else out.unionByName(table)
+        return out
+
     hist_schema = StructType([StructField("iteration", IntegerType()),
                               StructField("cluster", IntegerType()),
                               StructField("size", LongType()), StructField("shift", DoubleType())])
@@ -395,17 +352,23 @@ def kmeans_cosine(triples: DataFrame, k: int = 5, max_iter: int = 10, tol: float
         centroids=cents.select("cluster", F.col("term").alias(feature), "value"),
         history=literal_rows(spark, history, hist_schema),
         losses=literal_rows(spark, losses, loss_schema),
-        iterations=iterations, converged=converged)
-
-
-def top_terms(centroids: DataFrame, n: int = 10, feature: str = "term_id") -> DataFrame:
-    """AGG10/WIN4: the ``n`` largest entries of each centroid, value
-    descending, ties in term order.  ``row_number() <= n`` lets Spark apply a
+        iterations=iterations, converged=converged,
+        round_assignments=of_rounds(
+            (i, a.select(F.col("doc").alias(entity), "cluster")) for i, a, _ in rounds),
+        round_centroids=of_rounds(
+            (i, c.select("cluster", F.col("term").alias(feature), "value"))
+            for i, _, c in rounds))
+
+
+def top_terms(centroids: DataFrame, n: int = 10, feature: str = "term_id",
+              by: Sequence[str] = ("cluster",)) -> DataFrame:
+    """AGG10/WIN4: the ``n`` largest entries of each centroid (``by``: iteration
+    and cluster for the report of every round), value descending, ties in term order.  ``row_number() <= n`` lets Spark apply a
     per-task group limit before the shuffle."""
     from pyspark.sql import Window
-    w = Window.partitionBy("cluster").orderBy(F.desc("value"), F.asc(feature))
+    w = Window.partitionBy(*by).orderBy(F.desc("value"), F.asc(feature))
     return (centroids.withColumn("rank", F.row_number().over(w))
-            .where(F.col("rank") <= n).select("cluster", "rank", feature, "value"))
+            .where(F.col("rank") <= n).select(*by, "rank", feature, "value"))
 
 
 def doc_centroid_distances(triples: DataFrame, centroids: DataFrame, k: int,
@@ -417,7 +380,7 @@ def doc_centroid_distances(triples: DataFrame, centroids: DataFrame, k: int,
                              F.col(value).cast("double").alias("value"))
     cents = centroids.select("cluster", F.col(feature).alias("term"), "value")
     cnorms = centroid_norms(cents)
-    dist = cosine_distances(vectors, doc_norms(vectors), cents, cnorms, k, cents.count())
+    dist = cosine_distances(vectors, doc_norms(vectors), cents, cnorms, k)
     stack = ", ".join(f"{j}, d{j}" for j in range(1, k + 1))
     return dist.selectExpr(f"doc AS {entity}", f"stack({k}, {stack}) AS (cluster, distance)")
 
@@ -443,7 +406,6 @@ def _nearest_candidate(vectors: DataFrame, norms: DataFrame, cand_ids: list,
     cvec = (vectors.where(F.col("doc").isin(list(idx)))
             .select(F.element_at(imap, F.col("doc")).alias("ci"), "term",
                     F.col("value").alias("cv")))
-    cvec = _maybe_broadcast(cvec, cvec.count())
     dots = vectors.join(cvec, "term", "inner").groupBy("doc", "ci").agg(
         F.sum(F.col("value") * F.col("cv")).alias("dot"))
     cn = F.element_at(nmap, F.col("ci"))

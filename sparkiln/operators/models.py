@@ -2,7 +2,7 @@
 
 k-NN is exact without a cross product: points are bucketed into grid cells,
 each query probes the cells within a ring of ``r`` cells (an equi-join on the
-cell key, the small query side broadcast under a row limit) and keeps its k
+cell key) and keeps its k
 nearest candidates.  A query is resolved when its k-th distance is within the
 ring's guaranteed radius ``r * cell``; the rest retry with a doubled ring, so
 the answer equals brute force while work stays near the queries.
@@ -21,8 +21,6 @@ from sparkiln.functions.hashing import unit_draw
 from sparkiln.functions.literals import literal_rows
 from sparkiln.session import materialize
 
-QUERY_BROADCAST_ROWS = 2_000_000
-
 
 def hash_split(df: DataFrame, id_col, train_fraction: float = 0.75, seed: int = 42,
                out: str = "split") -> DataFrame:
@@ -45,23 +43,25 @@ def linspace_grid(df: DataFrame, col: str, num: int = 100, out: str = "x") -> Da
 
 def mesh_grid(df: DataFrame, cols: Sequence[str], step: float, margin: float) -> DataFrame:
     """ML7 (2-D): ``numpy.arange(min - margin, max + margin, step)`` per column
-    crossed into a mesh (qid, g0, g1).  The bounds are scalars; the mesh size
-    is set by the parameters, not by the data."""
-    aggs = []
+    of two crossed into a mesh (qid, g0, g1); empty for an empty table.  The
+    bounds are scalars; the mesh is a range of ids, made by all tasks."""
+    if len(cols) != 2:
+        raise ValueError("a mesh has two columns")
+    spark, aggs = df.sparkSession, []
     for i, c in enumerate(cols):
         aggs += [F.min(c).cast("double").alias(f"lo{i}"), F.max(c).cast("double").alias(f"hi{i}")]
     b = df.agg(*aggs).first()
+    if any(b[c] is None for c in b.asDict()):
+        return literal_rows(spark, [], "qid long, g0 double, g1 double")
     axes = []
     for i in range(len(cols)):
         lo, hi = b[f"lo{i}"] - margin, b[f"hi{i}"] + margin
         axes.append((lo, math.ceil((hi - lo) / step)))
     (lo0, n0), (lo1, n1) = axes
-    base = df.agg(F.count(F.lit(1)).alias("_n")).select(
-        F.explode(F.sequence(F.lit(0), F.lit(n0 - 1))).alias("i"))
-    g = base.select("i", F.explode(F.sequence(F.lit(0), F.lit(n1 - 1))).alias("j"))
-    return g.select((F.col("j").cast("long") * F.lit(n0) + F.col("i")).alias("qid"),
-                    (F.col("i") * F.lit(step) + F.lit(lo0)).alias("g0"),
-                    (F.col("j") * F.lit(step) + F.lit(lo1)).alias("g1"))
+    at = F.col("id")
+    return spark.range(n0 * n1).select(
+        at.alias("qid"), (at % n0 * F.lit(step) + F.lit(lo0)).alias("g0"),
+        (F.floor(at / n0) * F.lit(step) + F.lit(lo1)).alias("g1"))
 
 
 def linear_fit(train: DataFrame, x: str, y: str) -> tuple[float, float]:
@@ -153,9 +153,6 @@ def knn(train: DataFrame, query: DataFrame, features: Sequence[str], k: int,
             ex = ex.withColumn(f"_c{i}", F.explode(F.sequence(F.col(f"_qc{i}") - F.lit(r),
                                                               F.col(f"_qc{i}") + F.lit(r))))
         ex = ex.select("_q", *[f"_g{i}" for i in range(d)], *[f"_c{i}" for i in range(d)])
-        n_probe_cells = (2 * r + 1) ** d
-        if n_pending * n_probe_cells <= QUERY_BROADCAST_ROWS:
-            ex = F.broadcast(ex)
         cand = tr.join(ex, [f"_c{i}" for i in range(d)], "inner")
         dist = F.sqrt(sum(((F.col(f"_f{i}") - F.col(f"_g{i}")) * (F.col(f"_f{i}") - F.col(f"_g{i}"))
                            for i in range(d)), F.lit(0.0)))

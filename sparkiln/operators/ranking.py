@@ -19,10 +19,6 @@ from sparkiln.session import materialize
 
 _POS_MASK = (1 << 33) - 1  # monotonically_increasing_id keeps the row position in the low 33 bits
 
-# Above this many (task, group) rows the offset table is joined by shuffle
-# instead of being broadcast.
-BROADCAST_ROWS = 200_000
-
 
 def _num_partitions(df: DataFrame) -> int:
     spark = df.sparkSession
@@ -87,9 +83,7 @@ def group_rank(df: DataFrame, keys: Sequence[str], order: Sequence, out: str = "
     chunks = chunks.select(F.col("_pid").alias("_c_pid"),
                            *[F.col(k).alias(f"_c_k{i}") for i, k in enumerate(keys)],
                            "_first", "_before", "group_n")
-    n_chunks = chunks.count()
-    if n_chunks <= BROADCAST_ROWS:
-        chunks = F.broadcast(chunks)
+    # Spark broadcasts the chunk table only if its size allows
     # null-safe key match: NULL keys form their own group
     cond = F.col("_pid") == F.col("_c_pid")
     for i, k in enumerate(keys):

@@ -2,9 +2,13 @@
 (AGG14-AGG24, AGG27, SRT1-SRT3, PRJ6-PRJ14, WIN4, WIN5).
 
 Every statistic is one partial/final aggregate (or a fixed small number of
-them); none gathers a group into a single task.  Exact quantiles use the
-skew-proof ``group_rank`` instead of the ``percentile`` aggregate, whose
-buffer holds every distinct value of a group in memory.
+them); none gathers a group into a single task.  Exact quantiles count the
+distinct values of a group first (ties cost one row per task) and number them
+range-partitioned, instead of the ``percentile`` aggregate, whose buffer holds
+every distinct value of a group in memory.
+
+NaN is a missing value like NULL, and rows with a NULL group key belong to no
+group, as in the reference's data frames.
 """
 
 from __future__ import annotations
@@ -13,17 +17,23 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import DoubleType, FloatType, NumericType
 
 from sparkiln.functions.literals import literal_rows
 from sparkiln.session import materialize
-from sparkiln.operators.ranking import BROADCAST_ROWS, group_rank
 
 
 def _as_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def present(df: DataFrame, c: str) -> Column:
+    """Column ``c`` with NaN as NULL."""
+    if isinstance(df.schema[c].dataType, (DoubleType, FloatType)):
+        return F.when(~F.isnan(c), F.col(c))
+    return F.col(c)
+
+
 def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
     """PRJ14: names of numeric columns (minus ``exclude``)."""
     return [f.name for f in df.schema.fields
@@ -33,8 +43,9 @@ def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
 def group_means(df: DataFrame, keys: Sequence, values: Sequence[str],
                 prefix: str = "avg_") -> DataFrame:
     """AGG14/AGG15/AGG24/JN7: mean of several measures per group, one pass."""
-    return df.groupBy(*[_as_col(k) for k in keys]).agg(
-        *[F.avg(v).alias(f"{prefix}{v}") for v in values])
+    means = df.groupBy(*[_as_col(k) for k in keys]).agg(
+        *[F.avg(present(df, v)).alias(f"{prefix}{v}") for v in values])
+    return means.dropna("any", subset=means.columns[:len(keys)])
 
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:
@@ -57,7 +68,7 @@ def top_n_series(df: DataFrame, key: str, year, n: int = 5, at_year: int | None
     then their row count for every year.  The top list has at most ``n``
     rows, so it is broadcast into a semi-join."""
     year_col = _as_col(year).alias("year")
-    with_year = df.select(F.col(key), year_col)
+    with_year = df.select(F.col(key), year_col).where(F.col("year").isNotNull())
     base = with_year if at_year is None else with_year.where(F.col("year") == F.lit(at_year))
     top = top_n(base, key, n).select(key)
     picked = with_year.join(F.broadcast(top), key, "left_semi")
@@ -71,11 +82,10 @@ def distinct_values(df: DataFrame, col: str) -> DataFrame:
 
 def distinct_share(df: DataFrame, key: str, entity: str) -> DataFrame:
     """AGG23 + WIN5: distinct entities per key and their share of the sum
-    over keys.  The ratio window runs over the grouped table (one row per
-    key), not over the data."""
+    over keys (a one-row total)."""
     counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(
         F.count_distinct(entity).alias("n_entities"))
-    total = F.sum("n_entities").over(Window.partitionBy())
+    total = counts.agg(F.sum("n_entities")).scalar()
     return counts.withColumn("share", F.col("n_entities") / total)
 
 
@@ -118,8 +128,10 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 20) -> DataFrame:
     ``bins`` rows per column and task reach the shuffle.
     """
     cols = list(cols)
-    bounds = df.agg(*[F.min(c).cast("double").alias(f"mn{i}") for i, c in enumerate(cols)],
-                    *[F.max(c).cast("double").alias(f"mx{i}") for i, c in enumerate(cols)]).first()
+    bounds = df.agg(*[F.min(present(df, c)).cast("double").alias(f"mn{i}")
+                      for i, c in enumerate(cols)],
+                    *[F.max(present(df, c)).cast("double").alias(f"mx{i}")
+                      for i, c in enumerate(cols)]).first()
     probes, spine = [], []
     for i, c in enumerate(cols):
         mn, mx = bounds[f"mn{i}"], bounds[f"mx{i}"]
@@ -159,58 +171,76 @@ def _quantile_positions(q: float, n: Column):
     return pos, lo, hi
 
 
+def running_value_counts(df: DataFrame, key: str, value: str) -> DataFrame:
+    """key, value, c (rows with it), before (rows of the key with a smaller
+    value) and n (rows of the key): one row per distinct value.
+
+    Counting comes first (map-side, so ties are one row per task); the distinct
+    values are range-partitioned on (key, value), so a hot key is spread over many
+    tasks, each numbers its own stretch, and one sum per (task, key) places the
+    stretches."""
+    counts = (df.select(F.col(key), present(df, value).alias(value))
+              .where(F.col(key).isNotNull() & F.col(value).isNotNull())
+              .groupBy(key, value).agg(F.count(F.lit(1)).alias("c")))
+    # written: the bounds of a range shuffle come from a sample
+    staged = materialize(counts.repartitionByRange(key, value)
+                         .withColumn("_pid", F.spark_partition_id()), "values")
+    parts = staged.groupBy("_pid", key).agg(F.sum("c").alias("_n"))
+    whole = Window.partitionBy(key)
+    ahead = whole.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select(
+        F.col("_pid").alias("_p"), F.col(key).alias("_k"), F.sum("_n").over(whole).alias("n"),
+        F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_base"))
+    inside = Window.partitionBy("_pid", key).orderBy(value).rowsBetween(
+        Window.unboundedPreceding, -1)
+    local = staged.withColumn("_in", F.coalesce(F.sum("c").over(inside), F.lit(0)))
+    return local.join(parts, (F.col("_pid") == F.col("_p")) & (F.col(key) == F.col("_k"))).select(
+        key, value, "c", (F.col("_base") + F.col("_in")).alias("before"), "n")
+
+
+def quantiles_of(running: DataFrame, key: str, value: str, qs: Sequence[float],
+                 names: Sequence[str]) -> DataFrame:
+    """Quantiles per key with linear interpolation from running counts."""
+    def at(pos: Column) -> Column:
+        return F.max(F.when((pos >= F.col("before")) & (pos < F.col("before") + F.col("c")),
+                            F.col(value)))
+
+    aggs = []
+    for q, name in zip(qs, names):
+        pos, lo, hi = _quantile_positions(q, F.col("n"))
+        aggs += [at(lo).alias(f"_{name}_lo"), at(hi).alias(f"_{name}_hi"),
+                 F.max(pos - lo.cast("double")).alias(f"_{name}_f")]
+    g = running.groupBy(key).agg(F.max("n").alias("n"), *aggs)
+    return g.select(key, "n", *[
+        (F.col(f"_{x}_lo") + (F.col(f"_{x}_hi") - F.col(f"_{x}_lo")) * F.col(f"_{x}_f")).alias(x)
+        for x in names])
+
+
 def group_quantiles(df: DataFrame, key: str, value: str, qs: Sequence[float],
                     names: Sequence[str] | None = None) -> DataFrame:
     """Exact quantiles per group with linear interpolation (numpy / pandas
-    default).  Rows are ranked with ``group_rank`` (range-partitioned, so a
-    hot group is spread over many tasks); only the rows at the needed ranks
-    reach the final aggregate.  Output: key, n, one column per quantile."""
+    default).  Output: key, n, one column per quantile."""
     names = list(names or [f"q{int(q * 100)}" for q in qs])
-    ranked = group_rank(df.select(key, value).where(F.col(value).isNotNull()),
-                        [key], [value], out="_r")
-    n = F.col("group_n")
-    wanted = None
-    for q in qs:
-        _, lo, hi = _quantile_positions(q, n)
-        cond = (F.col("_r") == lo) | (F.col("_r") == hi)
-        wanted = cond if wanted is None else (wanted | cond)
-    picked = ranked.where(wanted)
-    aggs = [F.first("group_n").alias("n")]
-    for q, name in zip(qs, names):
-        pos, lo, hi = _quantile_positions(q, n)
-        aggs.append(F.max(F.when(F.col("_r") == lo, F.col(value))).alias(f"_{name}_lo"))
-        aggs.append(F.max(F.when(F.col("_r") == hi, F.col(value))).alias(f"_{name}_hi"))
-        aggs.append(F.first(pos - lo.cast("double")).alias(f"_{name}_f"))
-    g = picked.groupBy(key).agg(*aggs)
-    out = [F.col(key), F.col("n")]
-    for name in names:
-        lo_v, hi_v, frac = F.col(f"_{name}_lo"), F.col(f"_{name}_hi"), F.col(f"_{name}_f")
-        out.append((lo_v + (hi_v - lo_v) * frac).alias(name))
-    return g.select(*out)
-
-
-def _join_small(big: DataFrame, small: DataFrame, key: str) -> DataFrame:
-    """Join a per-group table back to the rows: broadcast when its row count
-    is under the limit, else a shuffle join (AQE splits a skewed key)."""
-    if small.count() <= BROADCAST_ROWS:
-        small = F.broadcast(small)
-    return big.join(small, key, "inner")
+    return quantiles_of(running_value_counts(df, key, value), key, value, qs, names)
+
+
+def _fences(q: DataFrame, key: str, whis: float) -> DataFrame:
+    reach = F.lit(whis) * (F.col("q3") - F.col("q1"))
+    return q.select(key, (F.col("q1") - reach).alias("_lo"), (F.col("q3") + reach).alias("_hi"))
 
 
 def box_stats(df: DataFrame, key: str, value: str, whis: float = 1.5) -> DataFrame:
     """AGG21: box-plot numbers per group: quartiles, IQR, whiskers at the
-    most extreme values within ``whis`` IQR of the box, outlier count."""
-    q = materialize(group_quantiles(df, key, value, [0.25, 0.5, 0.75], ["q1", "median", "q3"]),
-                    "quantiles")
-    fences = q.select(key, (F.col("q1") - F.lit(whis) * (F.col("q3") - F.col("q1"))).alias("_lo"),
-                      (F.col("q3") + F.lit(whis) * (F.col("q3") - F.col("q1"))).alias("_hi"))
-    rows = _join_small(df.select(key, value).where(F.col(value).isNotNull()), fences, key)
+    most extreme values within ``whis`` IQR of the box, outlier count.  All of
+    it comes from one table of counted values."""
+    running = materialize(running_value_counts(df, key, value), "running")
+    q = quantiles_of(running, key, value, [0.25, 0.5, 0.75], ["q1", "median", "q3"])
     v = F.col(value)
     inside = (v >= F.col("_lo")) & (v <= F.col("_hi"))
-    w = rows.groupBy(key).agg(
+    w = running.join(_fences(q, key, whis), key).groupBy(key).agg(
         F.min(F.when(inside, v)).alias("whisker_lo"),
         F.max(F.when(inside, v)).alias("whisker_hi"),
-        F.count(F.when(~inside, F.lit(1))).alias("n_outliers"))
+        F.sum(F.when(inside, 0).otherwise(F.col("c"))).alias("n_outliers"))
     return q.join(w, key, "inner").select(
         key, "n", "q1", "median", "q3", (F.col("q3") - F.col("q1")).alias("iqr"),
         "whisker_lo", "whisker_hi", "n_outliers")
@@ -220,9 +250,8 @@ def box_outliers(df: DataFrame, key: str, value: str, whis: float = 1.5,
                  keep: Sequence[str] = ()) -> DataFrame:
     """AGG21: the rows drawn as outlier points (outside the whisker fences)."""
     q = group_quantiles(df, key, value, [0.25, 0.75], ["q1", "q3"])
-    fences = q.select(key, (F.col("q1") - F.lit(whis) * (F.col("q3") - F.col("q1"))).alias("_lo"),
-                      (F.col("q3") + F.lit(whis) * (F.col("q3") - F.col("q1"))).alias("_hi"))
-    rows = _join_small(df.select(*keep, key, value).where(F.col(value).isNotNull()), fences, key)
+    rows = (df.select(*keep, key, value).where(present(df, value).isNotNull())
+            .join(_fences(q, key, whis), key))
     v = F.col(value)
     return rows.where((v < F.col("_lo")) | (v > F.col("_hi"))).select(*keep, key, value)
 
@@ -235,5 +264,7 @@ def melt(df: DataFrame, ids: Sequence[str], values: Sequence[str],
 
 def melt_means(df: DataFrame, key: str, values: Sequence[str]) -> DataFrame:
     """PRJ13 + AGG22: mean per (key, variable) after a melt."""
-    long = melt(df.select(key, *values), [key], values)
+    known = df.where(F.col(key).isNotNull()).select(
+        key, *[present(df, v).alias(v) for v in values])
+    long = melt(known, [key], values)
     return long.groupBy(key, "variable").agg(F.avg("value").alias("mean_value"))

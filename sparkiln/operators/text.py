@@ -15,18 +15,19 @@ from sparkiln.functions.text import (KEEP_OR_DELIM, TOKENIZER_DELIMS, java_split
                                      length_bucket, split_ws, text_lines)
 from sparkiln.operators.ranking import dense_index
 from sparkiln.session import materialize
-from sparkiln.sources.tables import spread_small_input
+from sparkiln.sources.tables import dealt
 
 
-def word_count(lines: DataFrame, col: str = "value") -> DataFrame:
+def word_count(lines: DataFrame, col: str = "value", partitions: int | None = None) -> DataFrame:
     """AGG1: (word, count) over StringTokenizer tokens of every line."""
-    words = spread_small_input(lines.select(col)).select(
+    words = dealt(lines.select(col), partitions).select(
         F.explode(F.split(F.col(col), TOKENIZER_DELIMS)).alias("word"))
     return words.where(F.col("word") != F.lit("")).groupBy("word").agg(
         F.count(F.lit(1)).alias("count"))
 
 
-def word_length_buckets(lines: DataFrame, col: str = "value", strict: bool = False) -> DataFrame:
+def word_length_buckets(lines: DataFrame, col: str = "value", strict: bool = False,
+                        partitions: int | None = None) -> DataFrame:
     """AGG2: token counts per length bucket.
 
     ``strict=True`` reproduces the reference exactly on line input (Java's
@@ -34,7 +35,7 @@ def word_length_buckets(lines: DataFrame, col: str = "value", strict: bool = Fal
     once as "Big"); the default drops empty tokens.
     """
     split = java_split_ws(F.col(col)) if strict else split_ws(F.col(col))
-    toks = spread_small_input(lines.select(col)).select(F.explode(split).alias("token"))
+    toks = dealt(lines.select(col), partitions).select(F.explode(split).alias("token"))
     return toks.groupBy(length_bucket(F.col("token")).alias("bucket")).agg(
         F.count(F.lit(1)).alias("count"))
 
@@ -44,7 +45,8 @@ def explode_lines(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = (
     return docs.select(*keep, F.explode(text_lines(F.col(text))).alias("value"))
 
 
-def clean_tokens(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+def clean_tokens(docs: DataFrame, id: str = "doc_id", text: str = "text",
+                 partitions: int | None = None) -> DataFrame:
     """FN1-FN4: lower case, tokenise, strip to [a-zA-Z0-9£], drop empties.
     Output (id, token), one row per token occurrence.
 
@@ -52,7 +54,7 @@ def clean_tokens(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Dat
     whole text, then splitting, gives exactly the tokens of split-then-strip
     (a removed character never separates tokens), with one regex pass per
     document instead of one per token."""
-    docs = spread_small_input(docs.select(id, text))
+    docs = dealt(docs.select(id, text), partitions)
     kept = F.regexp_replace(F.lower(F.col(text)), KEEP_OR_DELIM, "")
     toks = docs.select(F.col(id), F.explode(F.split(kept, TOKENIZER_DELIMS)).alias("token"))
     return toks.where(F.col("token") != F.lit(""))
@@ -64,11 +66,12 @@ def term_counts(tokens: DataFrame, id: str = "doc_id", token: str = "token") ->
         F.count(F.lit(1)).alias("count"))
 
 
-def build_dictionaries(counts: DataFrame, min_df: int = 2, max_df_ratio: float = 0.5):
+def build_dictionaries(counts: DataFrame, min_df: int = 1, max_df_ratio: float = 1.0):
     """Derive the two dictionaries the reference loads from files, from the
     document-term counts of ``term_counts``:
 
-    * stop words: terms present in more than ``max_df_ratio`` of documents;
+    * stop words: terms present in more than ``max_df_ratio`` of documents (none
+      by default);
     * vocabulary: the remaining terms present in at least ``min_df``
       documents, ``term_id`` = 1-based rank of the term in byte order.
 
@@ -97,14 +100,17 @@ def doc_term_counts(counts: DataFrame, stop: DataFrame, vocab: DataFrame) -> Dat
 
 
 def corpus_triples(docs: DataFrame, id: str = "doc_id", text: str = "text",
-                   min_df: int = 2, max_df_ratio: float = 0.5) -> DataFrame:
-    """Whole chain text -> (term_id, doc_id, count) with derived dictionaries.
+                   min_df: int = 1, max_df_ratio: float = 1.0,
+                   partitions: int | None = None) -> DataFrame:
+    """Whole chain text -> (term_id, doc_id, count) with derived dictionaries
+    (by default every term is in the vocabulary and none is a stop word).
 
     The document-term counts feed three jobs (document count, dictionary,
     final join), so they are written once to the shared checkpoint folder
     instead of re-tokenising; read back, they are split by size.
     """
-    counts = materialize(term_counts(clean_tokens(docs, id, text)), "term-counts")
+    counts = materialize(term_counts(clean_tokens(docs, id, text, partitions)),
+                         "term-counts")
     stop, vocab = build_dictionaries(counts, min_df, max_df_ratio)
     # the triples feed several jobs downstream (document count, tf and df
     # aggregates), so they are written once

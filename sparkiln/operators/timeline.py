@@ -87,7 +87,8 @@ def yearly_mean_reindexed(df: DataFrame, year, value: str, where: Column | None
     year has no rows)."""
     if where is not None:
         df = df.where(where)
-    means = df.groupBy(_as_col(year).alias("year")).agg(F.avg(value).alias(out))
+    from sparkiln.operators.stats import present
+    means = df.groupBy(_as_col(year).alias("year")).agg(F.avg(present(df, value)).alias(out))
     bounds = means.agg(F.min("year").alias("lo"), F.max("year").alias("hi"))
     years = bounds.where(F.col("lo").isNotNull()).select(
         F.explode(F.sequence(F.col("lo"), F.col("hi"))).alias("year"))

@@ -91,26 +91,36 @@ from sparkiln.operators import text as TX  # noqa: E402
 from sparkiln.operators import tfidf as TI  # noqa: E402
 
 
+def _cores(spark):
+    """The driver's text tables are files of one row group, which one task reads:
+    the text queries deal them over the cores by choice."""
+    return spark.sparkContext.defaultParallelism
+
+
 @query("word_count")
 def q_word_count(spark, sf_dir):
-    return TX.word_count(load_table(spark, sf_dir, "documents"), col="text")
+    return TX.word_count(load_table(spark, sf_dir, "documents"), col="text",
+                         partitions=_cores(spark))
 
 
 @query("word_length_buckets")
 def q_word_length_buckets(spark, sf_dir):
     # each document read as a text file: one reference map() call per line
     lines = TX.explode_lines(load_table(spark, sf_dir, "documents"), "text")
-    return TX.word_length_buckets(lines, "value", strict=True)
+    return TX.word_length_buckets(lines, "value", strict=True, partitions=_cores(spark))
 
 
 @query("clean_tokens")
 def q_clean_tokens(spark, sf_dir):
-    return TX.clean_tokens(load_table(spark, sf_dir, "documents"), "doc_id", "text")
+    return TX.clean_tokens(load_table(spark, sf_dir, "documents"), "doc_id", "text",
+                           partitions=_cores(spark))
 
 
 def _triples(spark, sf_dir):
     """Document-term counts with data-derived dictionaries (see build_dictionaries)."""
-    return TX.corpus_triples(load_table(spark, sf_dir, "documents"), "doc_id", "text")
+    return TX.corpus_triples(load_table(spark, sf_dir, "documents"), "doc_id", "text",
+                             min_df=P.MIN_DF, max_df_ratio=P.MAX_DF_RATIO,
+                             partitions=_cores(spark))
 
 
 def _r(c, digits=9):
@@ -339,17 +349,6 @@ def q_tracks(spark, sf_dir):
 
 from sparkiln.operators import kmeans as KM  # noqa: E402
 
-_MEMO: dict = {}
-
-
-def _memo(spark, sf_dir, name, build):
-    """Reuse one clustering run for the several tables it yields."""
-    key = (spark.sparkContext.applicationId, id(spark), sf_dir, name)
-    if key not in _MEMO:
-        _MEMO[key] = build()
-    return _MEMO[key]
-
-
 def _points_2d(spark, sf_dir):
     emb = load_table(spark, sf_dir, "embeddings")
     return emb.select(F.col("vec_id").alias("id"),
@@ -358,9 +357,9 @@ def _points_2d(spark, sf_dir):
 
 
 def _kmeans_2d(spark, sf_dir):
-    return _memo(spark, sf_dir, "kmeans_2d", lambda: KM.kmeans_2d(
+    return KM.kmeans_2d(
         _points_2d(spark, sf_dir), k=P.KMEANS_2D_K, max_iter=P.KMEANS_2D_MAX_ITER,
-        tol=P.KMEANS_2D_TOL, seed=P.KMEANS_SEED))
+        tol=P.KMEANS_2D_TOL, seed=P.KMEANS_SEED)
 
 
 @query("kmeans_2d_centroids")
@@ -382,21 +381,20 @@ def q_kmeans_2d_history(spark, sf_dir):
 
 
 def _kmeans_cosine(spark, sf_dir):
-    def build():
-        t = TI.tfidf(_triples(spark, sf_dir))
-        return KM.kmeans_cosine(t, k=P.KMEANS_COS_K, max_iter=P.KMEANS_COS_MAX_ITER,
-                                tol=P.KMEANS_COS_TOL, seed=P.KMEANS_SEED)
-    return _memo(spark, sf_dir, "kmeans_cosine", build)
+    t = TI.tfidf(_triples(spark, sf_dir))
+    return KM.kmeans_cosine(t, k=P.KMEANS_COS_K, max_iter=P.KMEANS_COS_MAX_ITER,
+                            tol=P.KMEANS_COS_TOL, seed=P.KMEANS_SEED)
 
 
 @query("kmeans_cosine_assign")
 def q_kmeans_cosine_assign(spark, sf_dir):
-    return _kmeans_cosine(spark, sf_dir).assignments
+    return _kmeans_cosine(spark, sf_dir).round_assignments
 
 
 @query("kmeans_cosine_centroids")
 def q_kmeans_cosine_centroids(spark, sf_dir):
-    return _kmeans_cosine(spark, sf_dir).centroids.select("cluster", "term_id", _r("value"))
+    return _kmeans_cosine(spark, sf_dir).round_centroids.select(
+        "iteration", "cluster", "term_id", _r("value"))
 
 
 @query("kmeans_loss")
@@ -412,8 +410,9 @@ def q_centroid_shift(spark, sf_dir):
 
 @query("top_terms")
 def q_top_terms(spark, sf_dir):
-    c = _kmeans_cosine(spark, sf_dir).centroids
-    return KM.top_terms(c, 10).select("cluster", "rank", "term_id", _r("value"))
+    c = _kmeans_cosine(spark, sf_dir).round_centroids
+    return KM.top_terms(c, 10, by=("iteration", "cluster")).select(
+        "iteration", "cluster", "rank", "term_id", _r("value"))
 
 
 @query("cosine_distance")
@@ -496,7 +495,7 @@ def q_stream_count_by_type(spark, sf_dir):
 from sparkiln.operators import models as ML  # noqa: E402
 
 ML_SEED = 42
-MESH_STEP, MESH_MARGIN = 0.02, 0.1
+MESH_STEP, MESH_MARGIN = 0.02, 1.0
 
 
 def _lineitem_xy(spark, sf_dir):
@@ -627,14 +626,14 @@ def q_stream_telemetry(spark, sf_dir):
     SJ.run_available(parsed, append_writer(
         f"{base}/out", lambda b: TM.normalize_telemetry(b, drop=("event_type",), digits=2)),
         f"{base}/checkpoint", "append")
-    return spark.read.parquet(f"{base}/out")
+    return spark.read.parquet(f"{base}/out").drop("batch_id")
 
 
 @query("label_region_table")
 def q_label_region_table(spark, sf_dir):
     ev = _events_plane(spark, sf_dir)
     regions = GEO.region_table(spark, P.EVENT_REGIONS)
-    out = GEO.label_region_table(ev, "event_id", "x", "y", regions, cell=10.0, out="headquarter")
+    out = GEO.label_region_table(ev, "x", "y", regions, cell=10.0, out="headquarter")
     return out.select("event_id", "headquarter")
 
 

@@ -19,10 +19,8 @@ def _d(v: float) -> str:
 
 def sql_in_polygon(x: str, y: str, poly) -> str:
     """Ray casting written out edge by edge in SQL."""
-    n = len(poly)
     terms = []
-    for i in range(1, n + 1):
-        (x1, y1), (x2, y2) = poly[i - 1], poly[i % n]
+    for (x1, y1), (x2, y2) in zip(poly, [*poly[1:], poly[0]]):
         x1, y1, x2, y2 = float(x1), float(y1), float(x2), float(y2)
         if y1 == y2:
             continue
@@ -568,24 +566,27 @@ def kmeans_cosine_sql(k: int, max_iter: int, tol: float, seed: int) -> dict[str,
             LEFT JOIN sh{i} sh USING (cluster) WHERE NOT (SELECT done FROM s{p})""")
         losses.append(f"SELECT {i} AS iteration, loss FROM loss{i} WHERE NOT (SELECT done FROM s{p})")
     last = max_iter
-    final_assign = " UNION ALL ".join(
-        f"SELECT doc, cluster FROM a{i} WHERE (SELECT last_it FROM s{last}) = {i}"
-        for i in range(1, max_iter + 1))
+    all_assign, all_cents = (" UNION ALL ".join(
+        f"SELECT {i} AS iteration, * FROM {t}{i} WHERE NOT (SELECT done FROM s{i - 1})"
+        for i in range(1, max_iter + 1)) for t in "an")
     head = "WITH " + ",\n".join(ctes)
     return {
-        "assign": f"{head}\nSELECT doc AS doc_id, CAST(cluster AS INTEGER) AS cluster FROM ({final_assign})",
+        "assign": f"""{head}
+SELECT CAST(iteration AS INTEGER) AS iteration, doc AS doc_id, CAST(cluster AS INTEGER) AS cluster
+FROM ({all_assign})""",
         "centroids": f"""{head}
-SELECT CAST(cluster AS INTEGER) AS cluster, term AS term_id, round(value, 9) AS value FROM c{last}""",
+SELECT CAST(iteration AS INTEGER) AS iteration, CAST(cluster AS INTEGER) AS cluster,
+       term AS term_id, round(value, 9) AS value FROM ({all_cents})""",
         "loss": f"""{head}
 SELECT CAST(iteration AS INTEGER) AS iteration, round(loss, 6) AS loss FROM ({' UNION ALL '.join(losses)})""",
         "shift": f"""{head}
 SELECT CAST(iteration AS INTEGER) AS iteration, CAST(cluster AS INTEGER) AS cluster, size,
        round(shift, 9) AS shift FROM ({' UNION ALL '.join(hist)})""",
         "top": f"""{head}
-SELECT CAST(cluster AS INTEGER) AS cluster, CAST(rank AS INTEGER) AS rank, term AS term_id,
-       round(value, 9) AS value FROM (
-  SELECT cluster, term, value,
-         row_number() OVER (PARTITION BY cluster ORDER BY value DESC, term) AS rank FROM c{last})
+SELECT CAST(iteration AS INTEGER) AS iteration, CAST(cluster AS INTEGER) AS cluster,
+       CAST(rank AS INTEGER) AS rank, term AS term_id, round(value, 9) AS value FROM (
+  SELECT iteration, cluster, term, value, row_number() OVER (
+           PARTITION BY iteration, cluster ORDER BY value DESC, term) AS rank FROM ({all_cents}))
 WHERE rank <= 10""",
         "distance": f"""{head},
 cnf AS MATERIALIZED (SELECT cluster, sqrt(sum(value * value)) AS norm FROM c{last} GROUP BY cluster)
@@ -618,7 +619,7 @@ ORACLE["stream_count_by_type"] = ORACLE["count_by_type"]
 # ---------------------------------------------------------------- models
 
 _ML_SEED = 42
-MESH_STEP, MESH_MARGIN = 0.02, 0.1
+MESH_STEP, MESH_MARGIN = 0.02, 1.0
 _LI_XY = f"""
   SELECT id, x, y, CASE WHEN {sql_unit_draw('id', _ML_SEED)} < 0.75 THEN 'train' ELSE 'test' END AS split
   FROM (SELECT l_orderkey * 8 + l_linenumber AS id, l_extendedprice AS x, l_quantity AS y FROM lineitem)

@@ -28,6 +28,11 @@ TREND_WIDTH_S = 3600
 TREND_MIN_COUNT = 5
 TREND_RATIO = 2
 
+# Dictionaries derived from the documents: a term in more than half of them is a
+# stop word; terms in fewer than two are left out of the vocabulary.
+MIN_DF = 2
+MAX_DF_RATIO = 0.5
+
 # K-Means parameters (reference defaults).
 KMEANS_2D_K = 3
 KMEANS_2D_MAX_ITER = 20

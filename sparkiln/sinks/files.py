@@ -58,9 +58,12 @@ def replace_writer(path: str, prepare: Callable[[DataFrame], DataFrame],
 
 def append_writer(path: str, prepare: Callable[[DataFrame], DataFrame],
                   fmt: str = "parquet") -> Callable:
-    """``foreachBatch`` writer that appends (alert lines, telemetry)."""
+    """``foreachBatch`` writer that appends (alert lines, telemetry): each
+    micro-batch has a folder ``batch_id=<id>`` of its own, which a replay of the
+    batch overwrites, so rows are never doubled."""
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        prepare(batch).write.mode("append").format(fmt).save(path)
+        rows = prepare(batch).withColumn("batch_id", F.lit(batch_id).cast("long"))
+        write_partitioned(rows, path, ["batch_id"], fmt, text_col=rows.columns[0])
     return write_batch
 
 

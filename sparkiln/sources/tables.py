@@ -28,16 +28,7 @@ def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
         load_table(spark, sf_dir, name).createOrReplaceTempView(name)
 
 
-def spread_small_input(df: DataFrame) -> DataFrame:
-    """Round-robin repartition for CPU-heavy per-row work when the scan has
-    fewer input files than the cluster has cores (a single-row-group file is
-    read by one task).  Inputs that already come in many files, as any large
-    table does, are left alone: no extra shuffle at scale."""
-    try:
-        n_files = len(df.inputFiles())
-    except Exception:  # not a file scan
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if 0 < n_files < cores:
-        return df.repartition(cores)
-    return df
+def dealt(df: DataFrame, partitions: int | None) -> DataFrame:
+    """``df`` dealt round-robin over ``partitions`` tasks before heavy work per row,
+    where the caller knows that its files cannot be split; by default as it is."""
+    return df.repartition(partitions) if partitions else df

@@ -11,7 +11,6 @@ folder, so a restarted job resumes where it stopped.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,7 +40,9 @@ def run_available(stream: DataFrame, writer: Callable, checkpoint: str, mode: st
 def table_stream(spark: SparkSession, path: str, schema: StructType,
                  files_per_trigger: int = 100) -> DataFrame:
     """A parquet table (folder, or single file) read as a file stream."""
-    src = path if os.path.isdir(path) else path.rstrip("/") + "*"
+    # a pattern that matches this very name, be it a file or a folder, wherever it is stored
+    path = path.rstrip("/")
+    src = f"{path[:-1]}[{path[-1]}]"
     return (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
             .parquet(src))
 
@@ -97,7 +98,8 @@ def trending_arrivals(spark: SparkSession, input_path: str, checkpoint_path: str
     """ST4 (TrendingArrivals): 10-minute region counts in complete mode; in
     each micro-batch, windows with count >= 10 and >= 2x the previous window
     are written to one folder per (day, ms-of-day) label (SNK4), and an alert
-    line per trend is appended to ``<output>_alerts`` (SNK6)."""
+    line per trend goes to ``<output>_alerts`` (SNK6): the state is complete, so
+    the alert table is replaced too and a replayed batch changes nothing."""
     trips = unify_trips(read_trips_stream(spark, input_path, files_per_trigger))
     counts = W.region_counts(trips, regions, "Dropoff_longitude", "Dropoff_latitude", "dropoff",
                              width=width)
@@ -111,7 +113,7 @@ def trending_arrivals(spark: SparkSession, input_path: str, checkpoint_path: str
         # replaced as a whole (one partitioned write, no per-row jobs)
         out = trends.select("trend", "day", "timestamp") if fmt == "text" else trends
         out.write.mode("overwrite").partitionBy("day", "timestamp").format(fmt).save(output_path)
-        W.trend_alerts(trends).select("alert").write.mode("append").text(alerts_path)
+        W.trend_alerts(trends).select("alert").write.mode("overwrite").text(alerts_path)
         trends.unpersist()
 
     return run_available(counts, write_batch, checkpoint_path, "complete", "TrendingArrivals")
@@ -119,9 +121,10 @@ def trending_arrivals(spark: SparkSession, input_path: str, checkpoint_path: str
 
 def count_by_type_stream(spark: SparkSession, input_path: str, checkpoint_path: str,
                          output_path: str, files_per_trigger: int = 100) -> StreamingQuery:
-    """ST5 (StreamDemo): running count per record type, complete mode."""
-    raw = read_trips_stream(spark, input_path, files_per_trigger)
-    counts = W.count_by_type(raw.select(F.col("_c0").alias("type")), "type")
+    """ST5 (StreamDemo): running count per trip type, complete mode; records of
+    unknown types are no trips."""
+    trips = unify_trips(read_trips_stream(spark, input_path, files_per_trigger))
+    counts = W.count_by_type(trips.select(F.col("Type").alias("type")), "type")
     return run_available(counts, replace_writer(output_path, lambda b: b), checkpoint_path,
                          "complete", "CountByType")
 
@@ -135,9 +138,8 @@ def to_console(stream: DataFrame, mode: str = "complete", truncate: bool = False
 def telemetry_ingest(spark: SparkSession, landing: str, checkpoint_path: str, output_path: str,
                      files_per_trigger: int = 100) -> StreamingQuery:
     """ST10: JSON telemetry records dropped in a landing folder, normalised
-    (SRC8) and appended to a table."""
+    (SRC8) and appended to a table, partitioned by micro-batch."""
     from sparkiln.sources.telemetry import normalize_telemetry, read_telemetry
     stream = read_telemetry(spark, landing, stream=True)
-    stream = stream.drop("name") if "name" in stream.columns else stream
     return run_available(stream, append_writer(output_path, normalize_telemetry),
                          checkpoint_path, "append", "TelemetryIngest")

@@ -16,7 +16,7 @@ def test_region_table_matches_literal_regions(spark):
             W.label_region(df, "x", "y", EVENT_REGIONS).collect()}
     for cell in (7.0, 50.0, 500.0):
         got = {(r["id"], r["region"]) for r in GEO.label_region_table(
-            df, "id", "x", "y", GEO.region_table(spark, EVENT_REGIONS), cell=cell).collect()}
+            df, "x", "y", GEO.region_table(spark, EVENT_REGIONS), cell=cell).collect()}
         assert got == want
 
 
@@ -27,7 +27,7 @@ def test_overlapping_regions_priority(spark):
     df = spark.createDataFrame([(1, 5.0, 5.0), (2, 1.0, 1.0), (3, 50.0, 5.0)],
                                "id long, x double, y double")
     got = {r["id"]: r["region"] for r in GEO.label_region_table(
-        df, "id", "x", "y", GEO.region_table(spark, regions), cell=3.0).collect()}
+        df, "x", "y", GEO.region_table(spark, regions), cell=3.0).collect()}
     assert got == {1: "outer", 2: "outer"}  # first listed region wins, id 3 is outside
     lit = {r["id"]: r["headquarter"] for r in W.label_region(df, "x", "y", regions).collect()}
     assert lit == got
