@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkiln.llm import kernels as K
-from sparkiln.llm.tables import load_table, row_key, spread
+from sparkiln.llm.tables import load_table, row_key
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -225,7 +225,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, k: int = SHINGLE,
                threshold: float = THRESHOLD) -> DataFrame:
     """One row per document row and item it leaks: key (see ``row_key``),
     doc_id, item_id, similarity, word_start, n_words."""
-    texts = spread(docs.select("doc_id", "text")).select(
+    texts = docs.select("doc_id", "text").select(
         row_key("doc_id", "text").alias("key"), F.col("doc_id").cast("long").alias("doc_id"),
         F.lower("text").alias("text"))
     out = texts.select("key", "doc_id").where(F.lit(False)).select(

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkiln.llm.tables import load_table, spread
+from sparkiln.llm.tables import load_table
 
 LANDMARKS = 60  # per language
 TRAINING = 300  # per language, landmarks among them
@@ -214,7 +214,7 @@ def held_out(doc_id: Column) -> Column:
 def identify(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred, score; learned from the rows not held out."""
     model = train(docs.where(~held_out(F.col("doc_id"))).select("doc_id", "text", "lang"))
-    return predict(spread(docs.select("doc_id", "text")), model).select(
+    return predict(docs.select("doc_id", "text"), model).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 

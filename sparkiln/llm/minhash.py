@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 
 from sparkiln.llm import kernels as K
 from sparkiln.llm.components import components
-from sparkiln.llm.tables import load_table, materialize, spread
+from sparkiln.llm.tables import load_table, materialize
 
 BANDS = 30
 ROWS_PER_BAND = 4
@@ -324,7 +324,7 @@ def link_classes(classes: DataFrame, docs: DataFrame, same: DataFrame, k: int, p
 def link_documents(docs: DataFrame, k: int, percent: int) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: documents linked where 100 *
     intersection >= percent * union of their k-word shingle sets."""
-    docs = spread(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     marks = materialize(sketch_documents(docs, k), "sketches")
     named = marks.where("doc_id IS NOT NULL AND n_shingles > 0")
     name = ["set_a", "set_b", "n_shingles"]

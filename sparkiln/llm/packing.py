@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkiln.llm.tables import load_table, materialize, spread
+from sparkiln.llm.tables import load_table, materialize
 
 CAPACITY = 1024
 END_ID = 2
@@ -291,7 +291,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 def pack_documents(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str | None = None
                    ) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    pieces = materialize(tokenized_pieces(spread(docs), capacity, vocabulary), "pieces")
+    pieces = materialize(tokenized_pieces(docs, capacity, vocabulary), "pieces")
     return pack(pieces, capacity)
 
 

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkiln.llm import kernels as K
-from sparkiln.llm.tables import load_table, spread
+from sparkiln.llm.tables import load_table
 
 LEXICAL = 4096
 SHAPES = 1024
@@ -251,7 +251,7 @@ def held_out(doc_id: Column) -> Column:
 def classify(docs: DataFrame, labels: DataFrame, label: str = "quality",
              threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, held_out, score, predicted; learned from the rows not held out."""
-    docs = spread(docs.select("doc_id", "text"))
+    docs = docs.select("doc_id", "text")
     teach = ~held_out(F.col("doc_id"))
     model = train(docs.where(teach), labels.where(teach), label, document_frequencies(docs))
     return score_documents(docs, model).select(

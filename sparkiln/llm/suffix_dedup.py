@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkiln.llm import kernels as K
-from sparkiln.llm.tables import load_table, materialize, spread
+from sparkiln.llm.tables import load_table, materialize
 
 LENGTH = 400
 CORE = 128
@@ -353,7 +353,7 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH, core: int = CORE,
                      group: int = GROUP, with_text: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and ``kept``, the
     remaining bytes, if ``with_text``)."""
-    docs = spread(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).select(
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").select(
         "doc_id", F.xxhash64("text").alias("th"), "text")
     key = ["doc_id", "th"]
     every = materialize(segment_table(docs, length, core), "segments")

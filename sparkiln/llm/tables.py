@@ -7,13 +7,13 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from sparkiln.session import materialize
 from sparkiln.sources.tables import load_table
 
-__all__ = ["load_table", "materialize", "text_crc32", "row_key", "spread", "ship_package"]
+__all__ = ["load_table", "materialize", "text_crc32", "row_key", "ship_package"]
 
 
 def text_crc32(text: Column) -> Column:
@@ -26,17 +26,6 @@ def row_key(id: str, text: str) -> Column:
     return F.xxhash64(F.col(id), F.col(text))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal a scan with fewer files than cores round-robin before heavy work."""
-    spark: SparkSession = df.sparkSession
-    try:
-        files = len(df.inputFiles())
-    except Exception:  # not a file scan
-        return df
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if 0 < files < cores else df
-
-
 _SHIPPED: set[str] = set()
 
 
