@@ -73,11 +73,13 @@ def first_per_key(df: DataFrame, key: Sequence[str] | str, order: Sequence[Colum
 def events_in_month(spark: SparkSession, view: str, ts: str, year: int,
                     months: tuple[int, int] = (1, 12)) -> DataFrame:
     """PRJ8/SRC10: parameterised SQL over a named view; one query for a
-    range of months instead of one query per month."""
-    return spark.sql(
-        f"SELECT * FROM {view} WHERE year({ts}) = :year AND month({ts}) BETWEEN :m1 AND :m2",
-        args={"year": year, "m1": months[0], "m2": months[1]},
-    )
+    range of months instead of one query per month.  The months are one
+    half-open date range, which prunes partitions and row groups."""
+    from datetime import date
+    first, last = months
+    end = date(year + last // 12, last % 12 + 1, 1)
+    return spark.sql(f"SELECT * FROM {view} WHERE {ts} >= :first AND {ts} < :end",
+                     args={"first": date(year, first, 1), "end": end})
 
 
 def yearly_mean_reindexed(df: DataFrame, year, value: str, where: Column | None = None,

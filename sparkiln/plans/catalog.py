@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from sparkiln.operators import windows as W
 from sparkiln.plans import params as P
+from sparkiln.sources.files import register_view
 from sparkiln.sources.tables import load_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -184,7 +185,7 @@ def q_first_per_day(spark, sf_dir):
 
 @query("sql_year_month")
 def q_sql_year_month(spark, sf_dir):
-    load_table(spark, sf_dir, "orders").createOrReplaceTempView("sparkiln_orders")
+    register_view(load_table(spark, sf_dir, "orders"), "sparkiln_orders")
     return TL.events_in_month(spark, "sparkiln_orders", "o_orderdate", 1997, (1, 12))
 
 

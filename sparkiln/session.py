@@ -63,11 +63,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/sparkiln/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Make ``DataFrame.checkpoint()`` usable (reliable checkpoints only)."""
-    checkpoint_root(spark)
-
-
 def materialize(df, name: str = "stage"):
     """Cut lineage by writing ``df`` as a parquet table in the shared
     checkpoint folder and reading it back.

@@ -22,12 +22,6 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
-def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
-    """Expose the tables to ``spark.sql`` under their own names."""
-    for name in names:
-        load_table(spark, sf_dir, name).createOrReplaceTempView(name)
-
-
 def dealt(df: DataFrame, partitions: int | None) -> DataFrame:
     """``df`` dealt round-robin over ``partitions`` tasks before heavy work per row,
     where the caller knows that its files cannot be split; by default as it is."""
