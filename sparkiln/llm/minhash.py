@@ -41,7 +41,6 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -57,6 +56,7 @@ FINE_ROWS = 8
 SKETCH_BITS = 512
 ROUNDS = 3
 BLOCK = 256  # members of a bucket compared in one go
+PAIRS_AT_ONCE = 200_000
 
 SKETCH = ("doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, "
           "sketch array<long>")
@@ -160,21 +160,61 @@ def odd_distance(a, b) -> Column:
     return F.aggregate(bits, F.lit(0), lambda n, x: n + x)
 
 
+def near_pairs(group: np.ndarray, side: np.ndarray, node: np.ndarray, component: np.ndarray,
+               sketch: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a side-0 and a side-1 row of the same group (numbered from 0, in
+    order) that lie in different components and pass the sketch test."""
+    zero, one = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    first = np.searchsorted(group[one], np.arange(group[-1] + 2)) if len(group) else one
+    out = []
+    sizes = (first[group[zero] + 1] - first[group[zero]]) if len(zero) else zero
+    ends = np.cumsum(sizes)
+    lo = 0
+    while lo < len(zero):  # about PAIRS_AT_ONCE pairs at a time
+        hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] - sizes[lo] + PAIRS_AT_ONCE, "right")))
+        n = sizes[lo:hi]
+        x = np.repeat(zero[lo:hi], n)
+        y = one[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                + np.repeat(first[group[zero[lo:hi]]], n)]
+        apart = component[x] != component[y]
+        x, y = x[apart], y[apart]
+        away = np.bitwise_count(sketch[x] ^ sketch[y]).sum(axis=1, dtype=np.int64)
+        out.append((node[x[away <= limit]], node[y[away <= limit]]))
+        lo = hi
+    if not out:
+        return node[:0], node[:0]
+    a, b = (np.concatenate(z) for z in zip(*out))
+    return np.maximum(a, b), np.minimum(a, b)
+
+
 def _block_pairs(limit: int):
-    """Cross-component pairs of one pair of blocks that pass the sketch test."""
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        one, two = (group[group["side"] == side] for side in (0, 1))
-        a, b = [], []
-        if len(one) and len(two):
-            bits = np.stack(two["sketch"].to_numpy()).view(np.uint64)
-            ids, comp = two["node"].to_numpy(), two["component"].to_numpy()
-            for node, component, sketch in zip(one["node"], one["component"], one["sketch"]):
-                away = np.bitwise_count(bits ^ np.asarray(sketch).view(np.uint64)).sum(axis=1)
-                hit = ids[(away <= limit) & (comp != component)]
-                a.append(np.maximum(hit, node))
-                b.append(np.minimum(hit, node))
-        flat = [np.concatenate(x) if x else np.empty(0, np.int64) for x in (a, b)]
-        return pd.DataFrame({"a": flat[0], "b": flat[1]}).drop_duplicates()
+    """``near_pairs`` over rows in order of (band, i, j), whole groups at a time."""
+    def solve(table: pa.Table) -> pa.RecordBatch:
+        keys = np.stack([table.column(c).to_numpy().astype(np.int64) for c in ("band", "i", "j")])
+        fresh = np.concatenate([[0], (keys[:, 1:] != keys[:, :-1]).any(axis=0)]).astype(np.int64)
+        sketch = table.column("sketch").combine_chunks().flatten().to_numpy()
+        a, b = near_pairs(np.cumsum(fresh), table.column("side").to_numpy(),
+                          table.column("node").to_numpy(), table.column("component").to_numpy(),
+                          sketch.view(np.uint64).reshape(-1, SKETCH_BITS // 64), limit)
+        pairs = np.unique(np.stack([a, b], axis=1), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])],
+                                          names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # the rows of a group that may go on in the next batch
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            held = table if held is None else pa.concat_tables([held, table])
+            key = [held.column(c).to_numpy() for c in ("band", "i", "j")]
+            last = np.logical_and.reduce([k == k[-1] for k in key])
+            cut = len(last) - int(np.argmin(last[::-1])) if not last.all() else 0
+            if cut:
+                yield solve(held.slice(0, cut))
+                held = held.slice(cut)
+        if held is not None:
+            yield solve(held)
     return run
 
 
@@ -225,11 +265,12 @@ def star_pairs(placed: DataFrame, classes: DataFrame, limit: int, turn: int) ->
 
 
 def closure_pairs(placed: DataFrame, classes: DataFrame, limit: int) -> DataFrame:
-    """Cross-component pairs that share a bucket and pass the sketch test."""
+    """Cross-component pairs that share a bucket and pass the sketch test.  In a
+    bucket of two the first star was the only pair."""
     parts = placed.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n"))
     open_ = (parts.groupBy("band").agg(
         F.sum("n").alias("all"), F.max(F.struct("n", "component")).alias("top"))
-        .where("all > top.n").select(
+        .where("all > top.n AND all > 2").select(
             "band", F.col("top.component").alias("top"),
             F.ceil(F.col("all") / BLOCK).cast("int").alias("blocks"),
             F.ceil((F.col("all") - F.col("top.n")) / BLOCK).cast("int").alias("few")))
@@ -242,8 +283,9 @@ def closure_pairs(placed: DataFrame, classes: DataFrame, limit: int) -> DataFram
     away = members.where("component != top").select(
         *cols, F.pmod(h, F.col("few")).cast("int").alias("i"),
         F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"), F.lit(0).alias("side"))
-    return every.unionByName(away).groupBy("band", "i", "j").applyInPandas(
-        _block_pairs(limit), "a long, b long").distinct()
+    order = ["band", "i", "j"]
+    dealt = every.unionByName(away).repartition(*order).sortWithinPartitions(*order)
+    return dealt.mapInArrow(_block_pairs(limit), "a long, b long").distinct()
 
 
 def fine_buckets(nodes: DataFrame, classes: DataFrame, docs: DataFrame, k: int) -> DataFrame:

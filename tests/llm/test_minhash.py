@@ -76,6 +76,28 @@ def test_odd_sketch_tells_similar_from_dissimilar():
     assert M.sketch_limit(0.85) < M.sketch_limit(0.8)
 
 
+def test_near_pairs_equal_all_pairs(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+    rng = np.random.default_rng(0)
+    n = 120
+    band, side = np.sort(rng.integers(0, 9, n)), rng.integers(0, 2, n).astype(np.int32)
+    node, component = rng.permutation(n), rng.integers(0, 30, n)
+    sketch = rng.integers(0, 2**63, (n, 8), dtype=np.uint64)
+    want = {(max(node[x], node[y]), min(node[x], node[y])) for x in range(n) for y in range(n)
+            if side[x] == 0 and side[y] == 1 and band[x] == band[y]
+            and component[x] != component[y]
+            and np.bitwise_count(sketch[x] ^ sketch[y]).sum() <= 255}
+    rows = pa.table({"band": band, "i": band * 0, "j": band * 0, "side": side, "node": node,
+                     "component": component, "sketch": M._rows(sketch)})
+    for pairs, size in ((7, 120), (10**6, 11)):
+        monkeypatch.setattr(M, "PAIRS_AT_ONCE", pairs)
+        got = set()
+        for out in M._block_pairs(255)(iter(rows.to_batches(max_chunksize=size))):
+            got |= set(zip(*(out.column(c).to_pylist() for c in "ab")))
+        assert got == want and len(want) > 50
+
+
 def test_components_of_long_chains(spark):
     rng = random.Random(2)
     order = list(range(300))
