@@ -357,7 +357,9 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH, core: int = CORE,
         "doc_id", F.xxhash64("text").alias("th"), "text")
     key = ["doc_id", "th"]
     every = materialize(segment_table(docs, length, core), "segments")
-    shared = every.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
+    # written on its own: a join right on the aggregate could not be split at a hot anchor
+    shared = materialize(every.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+                         .select("h"), "repeated")
     cand = materialize(every.join(shared, "h"), "shared")
     place = F.struct(*key, "lo", "hi", "a")
     distinct = cand.groupBy("h", "s1", "s2").agg(F.count(F.lit(1)).alias("n"),
@@ -388,7 +390,8 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH, core: int = CORE,
     found = repeated_windows(segments, length - core + 1, length, group)
     found = found.unionByName(distinct.where("n > 1").select(
         "s1", "s2", F.lit(0).alias("lo"), (F.col("hi") - F.col("lo")).alias("hi")))
-    found = found.groupBy("s1", "s2").agg(F.collect_set(F.struct("lo", "hi")).alias("marks"))
+    found = materialize(found.groupBy("s1", "s2").agg(
+        F.collect_set(F.struct("lo", "hi")).alias("marks")), "found")
     spans = (cand.join(found, ["s1", "s2"])
              .select(*key, "lo", F.explode("marks").alias("mark"))
              .groupBy(*key).agg(F.collect_list(F.struct(
