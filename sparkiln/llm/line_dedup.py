@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkiln.llm.columns import bound, line_array, positions
-from sparkiln.llm.tables import load_table, row_key
+from sparkiln.llm.tables import load_table, materialize, row_key
 
 WINDOW = 3
 
@@ -55,9 +55,10 @@ def covered_lines(docs: DataFrame) -> DataFrame:
     has any."""
     windows = line_windows(docs)
     place = F.struct("doc_id", "key", "pos")
-    first = (windows.groupBy("h1", "h2")
-             .agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
-             .where(F.col("n") > 1).select("h1", "h2", "first"))
+    # written on its own: a join right on the aggregate could not be split at a hot window
+    first = materialize(windows.groupBy("h1", "h2")
+                        .agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
+                        .where(F.col("n") > 1).select("h1", "h2", "first"), "repeated")
     later = windows.join(first, ["h1", "h2"]).where(~place.eqNullSafe(F.col("first")))
     return later.groupBy("doc_id", "key").agg(F.collect_set("pos").alias("starts"))
 
