@@ -5,8 +5,9 @@ the number of distinct character n-grams (n = 1, 2, 3) that both have, over
 the geometric mean of their own numbers.  Characters are lower-cased letters,
 with each run of anything else as one blank.
 
-*Fit* (driver, bounded): ``LANDMARKS`` + ``TRAINING`` labelled rows at most per
-language are chosen by the smallest hash of their text.  Landmarks give the
+*Fit* (driver, bounded): at most ``TRAINING`` labelled rows per language, and about
+``TRAINING_TOTAL`` in all, are chosen by the smallest hash of their text; the first
+``LANDMARKS`` of a language are landmarks.  Landmarks give the
 Nystroem map K(x, L) K(L, L)^(-1/2); one-versus-rest kernel ridge regression is
 solved on the mapped training rows.
 
@@ -36,6 +37,7 @@ from sparkiln.llm.tables import load_table
 
 LANDMARKS = 60  # per language
 TRAINING = 300  # per language, landmarks among them
+TRAINING_TOTAL = 6000  # over all languages
 LANGUAGES = 500  # labels learned at most, the most frequent first
 RIDGE = 1e-2
 SHARPNESS = 4.0
@@ -137,10 +139,12 @@ def fit(sets: list[np.ndarray], labels: list[str], landmarks: int = LANDMARKS,
 
 def training_rows(labelled: DataFrame, training: int = TRAINING) -> DataFrame:
     """At most ``training`` distinct texts per language, and ``LANGUAGES``
-    languages, as (lang, grams); the texts with the smallest hashes.  The
+    languages, as (lang, h, grams); the texts with the smallest hashes h.  The
     n-gram sets are made in the tasks; only those reach the driver."""
-    common = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
-    hashed = labelled.join(common.select("lang"), "lang").withColumn("h", F.xxhash64("text"))
+    common = [r["lang"] for r in labelled.groupBy("lang").count().orderBy(
+        F.desc("count"), "lang").limit(LANGUAGES).collect()]
+    training = max(2, min(training, TRAINING_TOTAL // max(len(common), 1)))
+    hashed = labelled.where(F.col("lang").isin(common)).withColumn("h", F.xxhash64("text"))
     low = (hashed.groupBy("lang", "h").agg(F.min("doc_id").alias("doc_id"))
            .withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
            .where(F.col("n") <= training).select("lang", "h", "doc_id"))

@@ -8,7 +8,7 @@ counted over all documents, and unit length times its weight.
 
 *Latent space* (driver, bounded): the ``RANK`` leading right singular vectors
 of the labelled sample, at most ``LABELLED`` rows of each label, chosen by the
-smallest hash of doc_id and text, so that both labels are well represented.
+smallest hash of their doc_id, so that both labels are well represented.
 
 *Score*: the labelled vectors go to every task (their size is bounded by the
 parameters); each batch of documents is projected and multiplied with all of
@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkiln.llm import kernels as K
@@ -184,13 +184,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, limit: int)
     """(label, h, feature counts) of at most ``limit`` rows per label."""
     known = (labels.where(F.col(label).isin(0, 1)).groupBy("doc_id")
              .agg(F.min(label).cast("int").alias("label")))
-    rows = docs.where("text IS NOT NULL").select("doc_id", "text").join(known, "doc_id")
-    hashed = rows.select("label", F.xxhash64("doc_id", "text").alias("h"), "text")
-    # texts stay where they are until the rows are chosen
-    chosen = (hashed.select("label", "h").distinct()
-              .withColumn("n", F.row_number().over(Window.partitionBy("label").orderBy("h")))
-              .where(F.col("n") <= limit).select("label", "h"))
-    picked = hashed.join(F.broadcast(chosen), ["label", "h"]).dropDuplicates(["label", "h"])
+    hashed = known.select("doc_id", "label", F.xxhash64("doc_id").alias("h"))
+    # rows are chosen from the labels alone, so that the texts stay where they are
+    zero, one = (hashed.where(F.col("label") == v).orderBy("h", "doc_id").limit(limit)
+                 for v in (0, 1))
+    picked = (docs.where("text IS NOT NULL").join(F.broadcast(zero.unionByName(one)), "doc_id")
+              .dropDuplicates(["doc_id"]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

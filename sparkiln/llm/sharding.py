@@ -13,8 +13,8 @@ repeats of a row are one row of the shuffle), places are numbered inside
 (shard, hash prefix) cells, and the cells' sizes, a table of at most shards x
 ``CELLS`` rows, turn them into places in the shard.
 
-Defined cases: NULL keys all go to the shard that the key ``''`` would not
-collide with (their own key ``\\0``); empty and NULL texts have size 1; equal
+Defined cases: NULL keys share one owner, that of the text ``\\0``; empty and
+NULL texts have size 1; equal
 rows get different slots; an empty table gives an empty result; extra columns
 are never read, so their names cannot clash.
 """
