@@ -63,6 +63,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/sparkiln/{name}-{uuid.uuid4().hex[:12]}"
 
 
+#: Called with every table that is about to be written (plan audits).
+PLAN_HOOKS: list = []
+
+
 def materialize(df, name: str = "stage"):
     """Cut lineage by writing ``df`` as a parquet table in the shared
     checkpoint folder and reading it back.
@@ -72,6 +76,8 @@ def materialize(df, name: str = "stage"):
     columnar storage, and the data outlives any executor.
     """
     spark = df.sparkSession
+    for hook in PLAN_HOOKS:
+        hook(df)
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
