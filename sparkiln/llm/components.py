@@ -23,9 +23,9 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
     if large:
         linked = met.where(F.col("b") > F.col("a")).select(F.col("b").alias("a"),
                                                            F.col("m").alias("b"))
-    else:
-        linked = met.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(
-            low.select(F.col("_a").alias("a"), F.col("m").alias("b")))
+        return linked.where(F.col("a") != F.col("b"))
+    linked = met.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(
+        low.select(F.col("_a").alias("a"), F.col("m").alias("b")))
     return linked.where(F.col("a") != F.col("b")).distinct()
 
 
@@ -33,18 +33,13 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of ``edges`` (long columns a, b that
     are not NULL); the component is its smallest node.  Rounds are written
     tables; the number of rounds grows with the logarithm of the longest
-    chain."""
-    now = materialize(edges.where(F.col("a") != F.col("b")).select(
-        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
-    before = None
+    chain.  They end when every node is a root or hangs on one root."""
+    now = edges.where(F.col("a") != F.col("b")).select("a", "b")
     while True:
-        # links never name a node outside their component, so equal sums in
-        # two rounds mean that no link has moved
-        state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if tuple(state) == before:
-            break
-        before = tuple(state)
         now = materialize(_stars(_stars(now, True), False), "links")
-    stars = now.groupBy("a").agg(F.min("b").alias("component"))
-    roots = now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
-    return stars.select(F.col("a").alias("node"), "component").unionByName(roots)
+        parents = now.select(F.col("a").alias("node"), F.col("b").alias("p")).unionByName(
+            now.select(F.col("b").alias("node"), F.col("b").alias("p")))
+        found = materialize(parents.groupBy("node").agg(
+            F.min("p").alias("component"), F.max("p").alias("top")), "components")
+        if found.where("component != top").isEmpty():
+            return found.select("node", "component")

@@ -7,16 +7,15 @@
    samples differ, precisely where few do.
 2. *Classes*: texts with equal sets are one class; its smallest doc_id stands
    for it, so thousands of copies cost one row from here on.
-3. *Stars*: in every band bucket each member is a candidate of one member only,
-   the hub, which needs no pairs within the bucket.  Candidates pass the
-   odd-sketch estimate, then the exact test on full sets.  ``ROUNDS`` rounds with
-   other hubs join what belongs together; members already in the hub's component
-   are not compared again.
+3. *Stars*: in every band bucket each member is a candidate of ``HUBS`` members
+   only, the hubs, which needs no pairs within the bucket.  Candidates pass the
+   odd-sketch estimate, then the exact test on full sets, and the links make
+   components.
 4. *Closure*: what is left are buckets with members in several components.  Those
    of more than ``BLOCK`` members (texts that share a long passage, say) are dealt
    anew: their members get ``FINE_BANDS`` bands of ``FINE_ROWS`` rows, which tell
-   similarities apart more sharply, and go through the same rounds.  In the buckets
-   that then are still open, every member outside the largest component is compared
+   similarities apart more sharply, and stars of their own.  In the buckets that
+   then are still open, every member outside the largest component is compared
    with all members of other components by their odd sketches, in groups of at
    most ``BLOCK`` of one and ``BLOCK`` of the other, and only pairs that pass
    leave the group.  So no pair that shares a bucket goes untested unless its
@@ -54,7 +53,7 @@ ROWS_PER_BAND = 4
 FINE_BANDS = 120
 FINE_ROWS = 8
 SKETCH_BITS = 512
-ROUNDS = 3
+HUBS = 2  # members of a bucket that all others are compared with
 BLOCK = 256  # members of a bucket compared in one go
 PAIRS_AT_ONCE = 200_000
 
@@ -250,13 +249,17 @@ def placed_in(buckets: DataFrame, found: DataFrame | None) -> DataFrame:
         "band", "node", F.coalesce("component", "node").alias("component"))
 
 
-def star_pairs(placed: DataFrame, classes: DataFrame, limit: int, turn: int) -> DataFrame:
+def star_pairs(placed: DataFrame, classes: DataFrame, limit: int) -> DataFrame:
     """(member, hub of its bucket) pairs of different components that pass the
-    sketch test; the hub changes with ``turn``."""
+    sketch test; the hubs of a bucket are drawn by hash."""
+    def drawn(turn: int):
+        return F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node", "component"))
+
     hubs = (placed.groupBy("band").agg(
-        F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node", "component")).alias("hub"),
+        F.array(*[drawn(t) for t in range(HUBS)]).alias("hubs"),
         F.min("component").alias("low"), F.max("component").alias("high"))
-        .where("low != high").select("band", "hub.node", "hub.component").toDF("band", "b", "of"))
+        .where("low != high").select("band", F.explode(F.array_distinct("hubs")).alias("hub"))
+        .select("band", "hub.node", "hub.component").toDF("band", "b", "of"))
     pairs = (placed.join(hubs, "band").where("component != of")
              .select(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b")).distinct())
     sketch = classes.select("node", "sketch")
@@ -266,7 +269,7 @@ def star_pairs(placed: DataFrame, classes: DataFrame, limit: int, turn: int) ->
 
 def closure_pairs(placed: DataFrame, classes: DataFrame, limit: int) -> DataFrame:
     """Cross-component pairs that share a bucket and pass the sketch test.  In a
-    bucket of two the first star was the only pair."""
+    bucket of two the star was the only pair."""
     parts = placed.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n"))
     open_ = (parts.groupBy("band").agg(
         F.sum("n").alias("all"), F.max(F.struct("n", "component")).alias("top"))
@@ -320,26 +323,15 @@ class Linker:
         self.links, self.found = links, None
         self.limit = sketch_limit(percent / 100)
 
-    def add(self, pairs: DataFrame) -> bool:
-        """Verify candidate pairs and link what holds; whether there was any."""
+    def add(self, pairs: DataFrame) -> None:
+        """Verify candidate pairs and link what holds."""
         pairs = materialize(pairs, "pairs")
-        if pairs.isEmpty():
-            if self.found is None:
-                self.found = components(self.links)
-            return False
-        self.links = self.links.unionByName(materialize(verified(
-            pairs, self.classes, self.docs, self.k, self.percent), "verified"))
+        if not pairs.isEmpty():
+            self.links = self.links.unionByName(materialize(verified(
+                pairs, self.classes, self.docs, self.k, self.percent), "verified"))
+        elif self.found is not None:
+            return
         self.found = components(self.links)
-        return True
-
-    def stars(self, buckets: DataFrame) -> None:
-        for turn in range(ROUNDS):
-            if not self.add(star_pairs(placed_in(buckets, self.found), self.classes,
-                                       self.limit, turn)):
-                break
-
-    def close(self, buckets: DataFrame) -> None:
-        self.add(closure_pairs(placed_in(buckets, self.found), self.classes, self.limit))
 
 
 def link_classes(classes: DataFrame, docs: DataFrame, same: DataFrame, k: int, percent: int
@@ -347,19 +339,20 @@ def link_classes(classes: DataFrame, docs: DataFrame, same: DataFrame, k: int, p
     """(node, component) of the classes that are linked to others."""
     buckets = shared_buckets(classes.select("node", F.explode("bands").alias("band")))
     linker = Linker(classes, docs, same, k, percent)
-    linker.stars(buckets)
-    sizes = placed_in(buckets, linker.found).groupBy("band").agg(
+    linker.add(star_pairs(placed_in(buckets, None), classes, linker.limit))
+    placed = placed_in(buckets, linker.found)
+    open_ = materialize(placed.groupBy("band").agg(
         F.count(F.lit(1)).alias("n"), F.min("component").alias("low"),
-        F.max("component").alias("high")).where("low != high").select("band", "n")
-    sizes = materialize(sizes, "open")
-    crowded = sizes.where(F.col("n") > BLOCK)
+        F.max("component").alias("high")).where("low != high AND n > 2").select("band", "n"), "open")
+    left = buckets.join(open_.where(F.col("n") <= BLOCK).select("band"), "band")
+    crowded = open_.where(F.col("n") > BLOCK)
     if not crowded.isEmpty():
         nodes = materialize(buckets.join(crowded.select("band"), "band").select("node").distinct(),
                             "crowded")
         fine = fine_buckets(nodes, classes, docs, k)
-        linker.stars(fine)
-        linker.close(fine)
-    linker.close(buckets.join(sizes.where(F.col("n") <= BLOCK).select("band"), "band"))
+        linker.add(star_pairs(placed_in(fine, linker.found), classes, linker.limit))
+        left = left.unionByName(fine)
+    linker.add(closure_pairs(placed_in(left, linker.found), classes, linker.limit))
     return linker.found
 
 
