@@ -13,12 +13,13 @@
    components.
 4. *Closure*: what is left are buckets with members in several components.  Those
    of more than ``BLOCK`` members (texts that share a long passage, say) are dealt
-   anew: their members get ``FINE_BANDS`` bands of ``FINE_ROWS`` rows, which tell
-   similarities apart more sharply, and stars of their own.  In the buckets that
+   anew: their members get ``FINE_BANDS`` bands of ``FINE_ROWS`` rows and an odd
+   sketch of all these samples, which tell similarities apart more sharply, and
+   stars of their own.  In the buckets that
    then are still open, every member outside the largest component is compared
    with all members of other components by their odd sketches, in groups of at
    most ``BLOCK`` of one and ``BLOCK`` of the other, and only pairs that pass
-   leave the group.  So no pair that shares a bucket goes untested unless its
+   leave the group, each from the first bucket that it shares.  So no pair that shares a bucket goes untested unless its
    members are connected already, and no task ever holds a whole bucket.
 5. Components of the verified links, spread to all class members.
 
@@ -53,9 +54,10 @@ ROWS_PER_BAND = 4
 FINE_BANDS = 120
 FINE_ROWS = 8
 SKETCH_BITS = 512
+FINE_BITS = 4096
 HUBS = 2  # members of a bucket that all others are compared with
 BLOCK = 256  # members of a bucket compared in one go
-PAIRS_AT_ONCE = 200_000
+PAIRS_AT_ONCE = 50_000
 
 SKETCH = ("doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, "
           "sketch array<long>")
@@ -91,24 +93,29 @@ def band_keys(sets: np.ndarray, first: np.ndarray, bands: int, rows: int
 
 def sketches(sets: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Band keys (texts x bands) and odd sketches (texts x bytes)."""
-    n = len(first) - 1
     minima, keys = band_keys(sets, first, BANDS, ROWS_PER_BAND)
-    samples = minima.shape[1]
-    bit = K.splitmix(minima + np.arange(samples, dtype=np.uint64)) % np.uint64(SKETCH_BITS)
-    flips = np.zeros((n, SKETCH_BITS), np.uint8)
+    return keys, odd_sketch(minima, SKETCH_BITS)
+
+
+def odd_sketch(minima: np.ndarray, bits: int) -> np.ndarray:
+    """Parity bitmaps (texts x bytes): every sample flips the bit it hashes to."""
+    n, samples = minima.shape
+    bit = K.splitmix(minima + np.arange(samples, dtype=np.uint64)) % np.uint64(bits)
+    flips = np.zeros((n, bits), np.uint8)
     for i in range(samples):
         flips[np.arange(n), bit[:, i].astype(np.int64)] ^= 1
-    return keys, np.packbits(flips, axis=1)
+    return np.packbits(flips, axis=1)
 
 
-def sketch_limit(threshold: float) -> int:
+def sketch_limit(threshold: float, samples: int = BANDS * ROWS_PER_BAND,
+                 bits: int = SKETCH_BITS) -> int:
     """Largest XOR count that still is a candidate: the count expected at a
     similarity ``4.7`` standard deviations of the estimate below the
     threshold, and a margin for bits that share a flip."""
-    samples = BANDS * ROWS_PER_BAND
     low = threshold - 4.7 * float(np.sqrt(threshold * (1 - threshold) / samples))
     flips = 2 * samples * (1 - low)
-    return int(np.ceil(SKETCH_BITS / 2 * (1 - np.exp(-2 * flips / SKETCH_BITS)) + 8))
+    expected = bits / 2 * (1 - np.exp(-2 * flips / bits))
+    return int(np.ceil(expected + 1.1 * np.sqrt(bits / 4 * (1 - np.exp(-4 * flips / bits)))))
 
 
 def set_names(sets: np.ndarray, first: np.ndarray) -> list[pa.Array]:
@@ -160,9 +167,11 @@ def odd_distance(a, b) -> Column:
 
 
 def near_pairs(group: np.ndarray, side: np.ndarray, node: np.ndarray, component: np.ndarray,
-               sketch: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+               sketch: np.ndarray, band: np.ndarray, bands: np.ndarray, limit: int
+               ) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of a side-0 and a side-1 row of the same group (numbered from 0, in
-    order) that lie in different components and pass the sketch test."""
+    order) that lie in different components, pass the sketch test and share no
+    earlier one of their ``bands`` than the group's ``band``."""
     zero, one = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
     first = np.searchsorted(group[one], np.arange(group[-1] + 2)) if len(group) else one
     out = []
@@ -178,7 +187,10 @@ def near_pairs(group: np.ndarray, side: np.ndarray, node: np.ndarray, component:
         apart = component[x] != component[y]
         x, y = x[apart], y[apart]
         away = np.bitwise_count(sketch[x] ^ sketch[y]).sum(axis=1, dtype=np.int64)
-        out.append((node[x[away <= limit]], node[y[away <= limit]]))
+        x, y = x[away <= limit], y[away <= limit]
+        first_shared = (bands[x] == bands[y]).argmax(axis=1)
+        here = bands[x, first_shared] == band[x]
+        out.append((node[x[here]], node[y[here]]))
         lo = hi
     if not out:
         return node[:0], node[:0]
@@ -191,10 +203,12 @@ def _block_pairs(limit: int):
     def solve(table: pa.Table) -> pa.RecordBatch:
         keys = np.stack([table.column(c).to_numpy().astype(np.int64) for c in ("band", "i", "j")])
         fresh = np.concatenate([[0], (keys[:, 1:] != keys[:, :-1]).any(axis=0)]).astype(np.int64)
-        sketch = table.column("sketch").combine_chunks().flatten().to_numpy()
+        rows = table.num_rows
+        sketch, bands = (table.column(c).combine_chunks().flatten().to_numpy().reshape(rows, -1)
+                         for c in ("sketch", "bands"))
         a, b = near_pairs(np.cumsum(fresh), table.column("side").to_numpy(),
                           table.column("node").to_numpy(), table.column("component").to_numpy(),
-                          sketch.view(np.uint64).reshape(-1, SKETCH_BITS // 64), limit)
+                          sketch.view(np.uint64), keys[0], bands, limit)
         pairs = np.unique(np.stack([a, b], axis=1), axis=0)
         return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])],
                                           names=["a", "b"])
@@ -249,7 +263,7 @@ def placed_in(buckets: DataFrame, found: DataFrame | None) -> DataFrame:
         "band", "node", F.coalesce("component", "node").alias("component"))
 
 
-def star_pairs(placed: DataFrame, classes: DataFrame, limit: int) -> DataFrame:
+def star_pairs(placed: DataFrame, marks: DataFrame, limit: int) -> DataFrame:
     """(member, hub of its bucket) pairs of different components that pass the
     sketch test; the hubs of a bucket are drawn by hash."""
     def drawn(turn: int):
@@ -262,12 +276,12 @@ def star_pairs(placed: DataFrame, classes: DataFrame, limit: int) -> DataFrame:
         .select("band", "hub.node", "hub.component").toDF("band", "b", "of"))
     pairs = (placed.join(hubs, "band").where("component != of")
              .select(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b")).distinct())
-    sketch = classes.select("node", "sketch")
+    sketch = marks.select("node", "sketch")
     both = pairs.join(sketch.toDF("a", "left"), "a").join(sketch.toDF("b", "right"), "b")
     return both.where(odd_distance("left", "right") <= limit).select("a", "b")
 
 
-def closure_pairs(placed: DataFrame, classes: DataFrame, limit: int) -> DataFrame:
+def closure_pairs(placed: DataFrame, marks: DataFrame, limit: int) -> DataFrame:
     """Cross-component pairs that share a bucket and pass the sketch test.  In a
     bucket of two the star was the only pair."""
     parts = placed.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n"))
@@ -277,9 +291,9 @@ def closure_pairs(placed: DataFrame, classes: DataFrame, limit: int) -> DataFram
             "band", F.col("top.component").alias("top"),
             F.ceil(F.col("all") / BLOCK).cast("int").alias("blocks"),
             F.ceil((F.col("all") - F.col("top.n")) / BLOCK).cast("int").alias("few")))
-    members = placed.join(open_, "band").join(classes.select("node", "sketch"), "node")
+    members = placed.join(open_, "band").join(marks.select("node", "sketch", "bands"), "node")
     h = F.xxhash64("node")
-    cols = ["band", "node", "component", "sketch"]
+    cols = ["band", "node", "component", "sketch", "bands"]
     # all members, met by each block of those outside the largest component
     every = members.select(*cols, F.explode(F.sequence(F.lit(0), F.col("few") - 1)).alias("i"),
                            F.pmod(h, F.col("blocks")).cast("int").alias("j"), F.lit(1).alias("side"))
@@ -291,20 +305,22 @@ def closure_pairs(placed: DataFrame, classes: DataFrame, limit: int) -> DataFram
     return dealt.mapInArrow(_block_pairs(limit), "a long, b long").distinct()
 
 
-def fine_buckets(nodes: DataFrame, classes: DataFrame, docs: DataFrame, k: int) -> DataFrame:
-    """(band, node) by the fine bands, of classes in crowded buckets."""
+def fine_marks(nodes: DataFrame, classes: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """node, fine bands and fine odd sketch of classes in crowded buckets, written."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 128):
                 part = batch.slice(lo, 128)
                 lists = [np.asarray(x.values).view(np.uint64) for x in part.column("hashes")]
                 first = np.concatenate([[0], np.cumsum([len(x) for x in lists])])
-                _, keys = band_keys(np.concatenate(lists), first, FINE_BANDS, FINE_ROWS)
-                yield pa.RecordBatch.from_arrays([part.column("node"), _rows(keys)],
-                                                 names=["node", "bands"])
+                minima, keys = band_keys(np.concatenate(lists), first, FINE_BANDS, FINE_ROWS)
+                bits = odd_sketch(minima, FINE_BITS).view(np.uint64)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("node"), _rows(keys), _rows(bits)],
+                    names=["node", "bands", "sketch"])
 
-    bands = sets_of(nodes, classes, docs, k).mapInArrow(run, "node long, bands array<long>")
-    return shared_buckets(bands.select("node", F.explode("bands").alias("band")))
+    return materialize(sets_of(nodes, classes, docs, k).mapInArrow(
+        run, "node long, bands array<long>, sketch array<long>"), "fine")
 
 
 def shared_buckets(banded: DataFrame) -> DataFrame:
@@ -349,10 +365,15 @@ def link_classes(classes: DataFrame, docs: DataFrame, same: DataFrame, k: int, p
     if not crowded.isEmpty():
         nodes = materialize(buckets.join(crowded.select("band"), "band").select("node").distinct(),
                             "crowded")
-        fine = fine_buckets(nodes, classes, docs, k)
-        linker.add(star_pairs(placed_in(fine, linker.found), classes, linker.limit))
-        left = left.unionByName(fine)
-    linker.add(closure_pairs(placed_in(left, linker.found), classes, linker.limit))
+        fine = fine_marks(nodes, classes, docs, k)
+        again = shared_buckets(fine.select("node", F.explode("bands").alias("band")))
+        limit = sketch_limit(percent / 100, FINE_BANDS * FINE_ROWS, FINE_BITS)
+        linker.add(star_pairs(placed_in(again, linker.found), fine, limit))
+        rest = closure_pairs(placed_in(again, linker.found), fine, limit)
+    else:
+        rest = None
+    pairs = closure_pairs(placed_in(left, linker.found), classes, linker.limit)
+    linker.add(pairs if rest is None else pairs.unionByName(rest).distinct())
     return linker.found
 
 

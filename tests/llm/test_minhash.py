@@ -84,12 +84,14 @@ def test_near_pairs_equal_all_pairs(monkeypatch):
     band, side = np.sort(rng.integers(0, 9, n)), rng.integers(0, 2, n).astype(np.int32)
     node, component = rng.permutation(n), rng.integers(0, 30, n)
     sketch = rng.integers(0, 2**63, (n, 8), dtype=np.uint64)
+    bands = np.stack([band, rng.integers(0, 40, n)], axis=1)[:, ::-1].copy()
     want = {(max(node[x], node[y]), min(node[x], node[y])) for x in range(n) for y in range(n)
             if side[x] == 0 and side[y] == 1 and band[x] == band[y]
+            and bands[x][0] != bands[y][0]
             and component[x] != component[y]
             and np.bitwise_count(sketch[x] ^ sketch[y]).sum() <= 255}
     rows = pa.table({"band": band, "i": band * 0, "j": band * 0, "side": side, "node": node,
-                     "component": component, "sketch": M._rows(sketch)})
+                     "component": component, "sketch": M._rows(sketch), "bands": M._rows(bands)})
     for pairs, size in ((7, 120), (10**6, 11)):
         monkeypatch.setattr(M, "PAIRS_AT_ONCE", pairs)
         got = set()
