@@ -21,15 +21,15 @@ from sparkiln.llm.columns import NON_BLANK
 from sparkiln.llm.tables import load_table, materialize, ship_package
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-MIN_LANGUAGE_SCORE = 0.3
+MIN_KNOWN = 0.55
 NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps texts whose language is known: those with a letter and a score
-    that stands out from an even share.  Learns from all rows with a label."""
+    """Keeps texts whose language is known: those with a letter whose n-grams
+    are those of a learned language.  Learns from all rows with a label."""
     docs = docs.select(*COLUMNS)
-    return language_id.keep_known(docs, language_id.train(docs), MIN_LANGUAGE_SCORE)
+    return language_id.keep_known(docs, language_id.train(docs), MIN_KNOWN)
 
 
 def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -17,6 +17,14 @@ column per language only, so (presence of landmarks x weights) is multiplied
 first, once, and each batch is one sparse-dense matrix product with that matrix.
 The scores pass a softmax; ``score`` is the share of the winning language.
 
+*Known or not* (``keep_known``): softmax shares compare the learned languages with
+each other only and are never under one over their number, so they cannot tell
+that a text is in none of them.  That is decided by the share of the text's n-grams
+that the landmarks of the winning language have, measured against the same share
+of that language's own landmarks (each against the others; the median, which is
+low for large alphabets and short texts, and counts as ``LEAST_TYPICAL`` at least).
+It does not depend on the number of languages.
+
 Defined cases: a NULL text or one without a letter is ``und`` with score 0;
 with no labelled row at all every text is ``und``; ties go to the first
 language in alphabetical order; repeated rows are scored alike; other columns
@@ -42,6 +50,7 @@ LANGUAGES = 500  # labels learned at most, the most frequent first
 RIDGE = 1e-2
 SHARPNESS = 4.0
 MAX_N = 3
+LEAST_TYPICAL = 0.2  # share of n-grams; holds too for a language with one landmark
 UNKNOWN = "und"
 PREDICTIONS = "doc_id long, lang_pred string, score double"
 _CODE_BITS = np.int64(21)  # a code point fits
@@ -84,12 +93,14 @@ def presence(grams: np.ndarray, vocabulary: np.ndarray) -> np.ndarray:
 
 class KernelModel:
     """Nystroem kernel ridge classifier, folded to one weight per n-gram and
-    language."""
+    language; ``has`` tells which n-grams a language's landmarks have, and
+    ``typical`` what share of its n-grams one of them finds in the others."""
 
     def __init__(self, languages: list[str], vocabulary: np.ndarray, weights: np.ndarray,
-                 bias: np.ndarray) -> None:
+                 bias: np.ndarray, has: np.ndarray, typical: np.ndarray) -> None:
         self.languages, self.vocabulary = languages, vocabulary
         self.weights, self.bias = weights, bias
+        self.has, self.typical = has, typical
 
     def scores(self, sets: list[np.ndarray]) -> np.ndarray:
         """Softmax of the regression scores for a batch of n-gram sets."""
@@ -107,6 +118,17 @@ class KernelModel:
         share = np.exp(raw)
         return share / share.sum(axis=1, keepdims=True)
 
+    def known(self, sets: list[np.ndarray]) -> np.ndarray:
+        """How well the landmarks of each set's winning language cover it, as
+        a part of what is typical of that language; 0 without an n-gram."""
+        best = self.scores(sets).argmax(axis=1)
+        out = np.zeros(len(sets))
+        for row, (s, lang) in enumerate(zip(sets, best)):
+            if len(s):
+                found = self.has[presence(s, self.vocabulary), lang].sum()
+                out[row] = found / len(s) / self.typical[lang]
+        return out
+
 
 def fit(sets: list[np.ndarray], labels: list[str], landmarks: int = LANDMARKS,
         ridge: float = RIDGE) -> KernelModel:
@@ -134,7 +156,15 @@ def fit(sets: list[np.ndarray], labels: list[str], landmarks: int = LANDMARKS,
     zc, tc = z - mean, targets - bias
     gram = (zc * share[:, None]).T @ zc + ridge * len(labels) * np.eye(len(chosen))
     beta = np.linalg.solve(gram, (zc * share[:, None]).T @ tc)
-    return KernelModel(languages, vocabulary, marks @ (mapping @ beta), bias - mean @ beta)
+    has = np.zeros((len(vocabulary), len(languages)), bool)
+    typical = np.full(len(languages), LEAST_TYPICAL)
+    for col, lang in enumerate(languages):
+        own = [presence(sets[i], vocabulary) for i in chosen if labels[i] == lang]
+        holders = np.bincount(np.concatenate(own), minlength=len(vocabulary))
+        has[:, col] = holders > 0
+        typical[col] = max(LEAST_TYPICAL, np.median([(holders[x] > 1).mean() for x in own]))
+    return KernelModel(languages, vocabulary, marks @ (mapping @ beta), bias - mean @ beta,
+                       has, typical)
 
 
 def training_rows(labelled: DataFrame, training: int = TRAINING) -> DataFrame:
@@ -195,16 +225,16 @@ def predict(docs: DataFrame, model: KernelModel | None) -> DataFrame:
         run, PREDICTIONS)
 
 
-def keep_known(docs: DataFrame, model: KernelModel | None, min_score: float) -> DataFrame:
-    """The rows of ``docs`` (all their columns) whose language is known with a
-    score of at least ``min_score``."""
+def keep_known(docs: DataFrame, model: KernelModel | None, min_known: float) -> DataFrame:
+    """The rows of ``docs`` (all their columns) with a letter whose language is
+    known: ``KernelModel.known`` is at least ``min_known``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
             for lo in range(0, batch.num_rows, 64):
                 sets = [ngrams(t.as_py()) for t in batch.column("text").slice(lo, 64)]
-                best = model.scores(sets).max(axis=1) if model else np.zeros(len(sets))
-                keep += [len(s) > 0 and b >= min_score for s, b in zip(sets, best)]
+                known = model.known(sets) if model else np.zeros(len(sets))
+                keep += [len(s) > 0 and k >= min_known for s, k in zip(sets, known)]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

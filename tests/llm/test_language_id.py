@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 
+import corpus_pipeline as C
 from sparkiln.llm import language_id as L
 from llm_fixtures import documents  # noqa: F401
 
@@ -84,3 +85,37 @@ def test_edge_cases(spark, documents):
     none = L.identify(documents([(1, "abc", None)])).collect()
     assert none[0].lang_pred == "und"
     assert L.identify(documents([])).count() == 0
+
+
+def test_unlearned_languages_are_not_known(spark, documents):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rng = np.random.default_rng(3)
+    strange = ["Это простое предложение на русском языке, которое никто не учил.",
+               "これは日本語の文章です。学習されていない言語です。",
+               "Αυτή είναι μια πρόταση στα ελληνικά που κανείς δεν έμαθε.",
+               " ".join("".join(rng.choice(list("bcdfghjklmnpqrstvwxz"), 6)) for _ in range(50))]
+    rows = documents([(i, t, None) for i, t in enumerate(strange)])
+    # however many languages are learned
+    for langs in (["en"], ["en", "fr"], ["de", "en", "fr"], ["de", "en", "es", "fr"]):
+        model = L.train(docs.where(docs.lang.isin(langs)))
+        assert L.keep_known(rows, model, C.MIN_KNOWN).count() == 0, langs
+        clean = docs.where(docs.lang.isin(langs) & docs.text.rlike("[a-z]"))
+        assert L.keep_known(clean, model, C.MIN_KNOWN).count() >= 0.998 * clean.count()
+    # a language that has no label
+    spanish = docs.where("lang = 'es'")
+    left = L.keep_known(spanish, L.train(docs.where("lang != 'es'")), C.MIN_KNOWN).count()
+    assert left < 0.1 * spanish.count()
+
+
+def test_known_share_follows_the_language():
+    rng = np.random.default_rng(1)
+
+    def text(low, size):  # an alphabet of ``size`` letters
+        return "".join(chr(low + c) for c in rng.integers(0, size, 300))
+    sets = [L.ngrams(text(0x4E00, 3000)) for _ in range(40)]
+    sets += [L.ngrams(text(0x61, 26)) for _ in range(40)]
+    model = L.fit(sets, ["big"] * 40 + ["small"] * 40)
+    fresh = [L.ngrams(text(0x4E00, 3000)) for _ in range(10)]
+    other = [L.ngrams(text(0x8000, 3000)) for _ in range(10)] + [L.ngrams("")]
+    assert (model.known(fresh) >= C.MIN_KNOWN).all()
+    assert (model.known(other) < C.MIN_KNOWN).all()
