@@ -410,12 +410,21 @@ def link_documents(docs: DataFrame, k: int, percent: int) -> DataFrame:
 
 def keep_one(docs: DataFrame, k: int, percent: int) -> DataFrame:
     """The rows of ``docs`` (all their columns) but for one of each group of
-    linked documents; of rows that share a doc_id one stays, and all with a NULL
-    doc_id stay."""
-    linked = link_documents(docs, k, percent).where("kept AND doc_id IS NOT NULL")
-    ids = linked.select("doc_id").distinct()
-    named = docs.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id IS NULL"))
+    linked rows.  Rows are linked one by one, whatever their doc_id: the row with
+    the smallest doc_id stays, NULL being the last, and of rows that share it the
+    one with the smallest hash of its text."""
+    row = "_row"
+    while row in docs.columns:
+        row = "_" + row
+    # numbered as written, so the numbers are fixed
+    rows = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    linked = link_documents(rows.select(F.col(row).alias("doc_id"), "text"), k, percent).select(
+        F.col("doc_id").alias("_linked"), "component_id")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"), F.col(row).alias("row"))
+    placed = rows.select(row, order.alias("place")).join(linked, F.col(row) == F.col("_linked"))
+    first = placed.groupBy("component_id").agg(F.min("place").alias("place")).select(
+        F.col("place.row").alias(row))
+    return rows.join(first, row, "left_semi").drop(row)
 
 
 def op9_minhash_odd_sketch(spark, sf_dir) -> DataFrame:

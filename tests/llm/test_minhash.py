@@ -109,3 +109,20 @@ def test_components_of_long_chains(spark):
         spark.createDataFrame(edges, "a long, b long")).collect()}
     want = {n: min(order[:200]) for n in order[:200]} | {n: min(order[200:]) for n in order[200:]}
     assert got == want | {500: 500, 501: 500}
+
+
+def test_keep_one_goes_by_rows(spark, documents):
+    rng = random.Random(5)
+
+    def text():
+        return " ".join(f"v{rng.randint(0, 10**6)}" for _ in range(40))
+    copied, a, b, c, near, alone = (text() for _ in range(6))
+    rows = [(None, copied)] * 5 + [(None, alone), (None, None), (None, None)]
+    rows += [(7, a), (7, b)]  # one id, two texts
+    rows += [(1, near), (9, near + " more"), (9, c), (9, c)]  # one of them a near copy of id 1
+    rows += [(None, a), (12, b + " end")]  # copies of both texts of id 7
+    got = M.keep_one(documents(rows, _row=1), 5, 80).collect()
+    assert sorted(((r.doc_id, r.text) for r in got), key=repr) == sorted(
+        [(None, copied), (None, alone), (None, None), (None, None), (7, a), (7, b), (1, near),
+         (9, c)], key=repr)
+    assert all(r._row == 1 for r in got)
