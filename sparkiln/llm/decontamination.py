@@ -23,7 +23,9 @@ shuffled.
 Words are runs of letters, digits and non-ASCII characters, lower-cased.  An
 item with fewer than k words matches where exactly its words stand in a row.
 
-Defined cases: NULL or wordless texts and items match nothing; a document
+Defined cases: NULL or wordless texts and items match nothing; an item with a NULL
+item_id has no name to report, so ``find_leaks`` leaves it out, but ``remove_leaks``
+goes by the items' texts alone and matches it; a document
 shorter than an item is one window; rows are matched one by one, so repeated
 rows give repeated results and a NULL doc_id is carried; ties between windows
 go to the first; empty tables give empty results; only ids and texts are read.
@@ -253,12 +255,14 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, k: int = SHINGLE,
 
 def remove_leaks(docs: DataFrame, benchmark: DataFrame, k: int = SHINGLE,
                  threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` (all their columns) that leak no item."""
+    """The rows of ``docs`` (all their columns) that leak no item, whatever the
+    items' ids."""
     lower = "_lower"
     while lower in docs.columns:
         lower = "_" + lower
     out = docs.withColumn(lower, F.lower("text"))
-    for block in item_blocks(benchmark, k):
+    # any item will do, so items are their texts
+    for block in item_blocks(benchmark.select(F.lit(0).alias("item_id"), "text"), k):
         def run(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 keep = np.ones(batch.num_rows, bool)

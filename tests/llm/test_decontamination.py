@@ -93,3 +93,12 @@ def test_index_finds_all_within_the_radius():
     want = {(a, b) for a in range(len(probes)) for b in range(50)
             if np.bitwise_count(probes[a] ^ prints[b]) <= D.RADIUS}
     assert got == want and len(want) > 60
+
+
+def test_items_without_an_id_are_removed(spark, documents):
+    bench = spark.createDataFrame([(None, "a b c d e f g h"), (None, "x y"), (1, "k l m n o p q"),
+                                   (None, None)], "item_id long, text string")
+    rows = [(1, "u a b c d e f g h v"), (2, "u x y v"), (3, "k l m n o p q"), (4, "u v w"),
+            (None, "a b c d e f g h"), (5, None)]
+    got = D.remove_leaks(documents(rows), bench).collect()
+    assert sorted(r.doc_id for r in got) == [4, 5]
