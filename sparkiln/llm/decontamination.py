@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkiln.llm import kernels as K
-from sparkiln.llm.tables import load_table, row_key
+from sparkiln.llm.tables import load_table, materialize, row_key
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -210,10 +210,11 @@ def match_chunk(block: ItemBlock, h: np.ndarray, first: np.ndarray, threshold: f
 
 
 def item_blocks(benchmark: DataFrame, k: int) -> Iterator[ItemBlock]:
-    """The items in blocks of bounded size."""
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"),
-                             F.lower("text").alias("text")).where(
-        "item_id IS NOT NULL AND text IS NOT NULL")
+    """The distinct items in blocks of bounded size.  Results are per item, so
+    copies of a row add nothing, and they would all fall into one block."""
+    items = materialize(benchmark.select(
+        F.col("item_id").cast("long").alias("item_id"), F.lower("text").alias("text")).where(
+        "item_id IS NOT NULL AND text IS NOT NULL").distinct(), "items")
     size = items.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars")).first()
     blocks = max(-(-size["n"] // BLOCK_ITEMS), -(-(size["chars"] or 0) // BLOCK_CHARS))
     for b in range(blocks):

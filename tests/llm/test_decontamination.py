@@ -102,3 +102,13 @@ def test_items_without_an_id_are_removed(spark, documents):
             (None, "a b c d e f g h"), (5, None)]
     got = D.remove_leaks(documents(rows), bench).collect()
     assert sorted(r.doc_id for r in got) == [4, 5]
+
+
+def test_blocks_stay_bounded_under_repeated_items(spark, documents, monkeypatch):
+    monkeypatch.setattr(D, "BLOCK_ITEMS", 40)
+    items = [(i, " ".join(f"w{i}x{j}" for j in range(8))) for i in range(120)]
+    bench = spark.createDataFrame(items + [items[0]] * 400, "item_id long, text string")
+    sizes = [sum(len(x.items) for x in block.sizes.values()) for block in D.item_blocks(bench, 5)]
+    assert sum(sizes) == 120 and max(sizes) <= 60
+    found = D.find_leaks(documents([(1, items[0][1]), (2, items[7][1])]), bench).collect()
+    assert sorted((r.doc_id, r.item_id) for r in found) == [(1, 0), (2, 7)]
