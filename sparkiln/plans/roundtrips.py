@@ -128,9 +128,10 @@ FROM (SELECT DISTINCT p_type FROM part WHERE p_type IS NOT NULL)""")
 def q_dictionary_ids(spark, sf_dir):
     path = scratch_path(spark, "dictionary")
     terms = SRC.dictionary_from_values(load_table(spark, sf_dir, "part"), "p_type")
-    # a dictionary is one small file, a line per entry
-    terms.coalesce(1).sortWithinPartitions("id").select("term").write.text(path)
-    return SRC.read_dictionary(spark, path)
+    # as rows in many files: a vocabulary grows with the table (SRC.read_dictionary is for files
+    # that the caller has, one entry per line)
+    terms.select("id", "term").write.parquet(path)
+    return spark.read.schema("id int, term string").parquet(path)
 
 
 @query("point_lines", """

@@ -83,3 +83,18 @@ def test_explode_positions(spark):
         "id int, positions array<struct<satlatitude:double,satlongitude:double>>")
     rows = [tuple(r) for r in explode_positions(df, keep=["id"]).orderBy("pos").collect()]
     assert rows == [(1, 0, 1.0, 2.0), (1, 1, 3.0, 4.0)]
+
+
+def test_dictionary_ids_are_rows_of_many_files(spark):
+    from sparkiln.plans import roundtrips
+    root = _tmp()
+    terms = [f"t{i:04d}" for i in range(500)] + [" blank ", "two\nlines"]
+    spark.createDataFrame([(t,) for t in terms] + [(None,)], "p_type string").write.parquet(
+        f"{root}/part.parquet")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = roundtrips.QUERIES["dictionary_ids"](spark, root)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert len(got.inputFiles()) > 1
+    assert sorted(map(tuple, got.collect())) == [(i + 1, t) for i, t in enumerate(sorted(terms))]
