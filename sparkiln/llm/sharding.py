@@ -11,7 +11,8 @@ nothing moves between old shards.  All of it is built-in Column expressions
 per-shard sort in one task: equal records are counted first (so thousands of
 repeats of a row are one row of the shuffle), places are numbered inside
 (shard, hash prefix) cells, and the cells' sizes, a table of at most shards x
-``CELLS`` rows, turn them into places in the shard.
+``CELLS`` rows, turn them into places in the shard.  The copies of a record are
+then dealt out in runs of at most ``RUN`` places, so many tasks write them.
 
 Defined cases: NULL keys share one owner, that of the text ``\\0``; empty and
 NULL texts have size 1; equal
@@ -31,6 +32,8 @@ from sparkiln.llm.tables import load_table, text_crc32
 
 #: Hash-prefix cells per shard when slots are numbered (three hex digits).
 CELLS = 4096
+#: Copies of one record that a task writes in one go.
+RUN = 1000
 _SPAN = float(1 << 52)
 
 
@@ -82,9 +85,16 @@ def number_slots(df: DataFrame, shard: str, record: Sequence[str], out: str = "s
     cells = cells.select(F.col(shard).alias("_s"), F.col("_cell").alias("_c"),
                          F.coalesce(F.sum("_n").over(along), F.lit(0)).alias("_base"))
     joined = placed.join(cells, (F.col(shard) == F.col("_s")) & (F.col("_cell") == F.col("_c")))
-    copy = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1)).alias("_copy")
-    return (joined.select(*cols, "_base", "_before", copy)
-            .select(*cols, (F.col("_base") + F.col("_before") + F.col("_copy")).alias(out)))
+    run = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1,
+                               F.lit(RUN).cast("long"))).alias("_run")
+    # a count of its own: runs are small rows, so by their size they would be put together again
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    runs = joined.select(*cols, "_copies", (F.col("_base") + F.col("_before")).alias("_place"),
+                         run).repartition(parts, *cols, "_run")
+    copy = F.explode(F.sequence(
+        "_run", F.least(F.col("_run") + RUN, F.col("_copies")) - 1)).alias("_copy")
+    return runs.select(*cols, "_place", copy).select(
+        *cols, (F.col("_place") + F.col("_copy")).alias(out))
 
 
 def shard_names(n: int) -> list[str]:

@@ -37,3 +37,17 @@ def test_weights_follow_and_moves_are_few(spark):
         != S.rendezvous(F.col("id"), names, [1, 1, 2, 2])).select(
         S.rendezvous(F.col("id"), names, [1, 1, 2, 3]).alias("s")).collect()
     assert {r.s for r in moved} == {3}  # a heavier shard only gains
+
+
+def test_copies_of_one_record_are_written_by_many_tasks(spark):
+    n = 40_500
+    rows = spark.range(n).select(F.lit(0).alias("shard"), F.when(F.col("id") >= 40_000, F.col("id"))
+                                 .alias("doc_id"))
+    got = S.number_slots(rows, "shard", ["doc_id"]).withColumn("task", F.spark_partition_id())
+    got = got.collect()
+    assert sorted(r.slot for r in got) == list(range(n))
+    hot = Counter(r.task for r in got if r.doc_id is None)
+    assert sum(hot.values()) == 40_000
+    assert len(hot) > 4 and max(hot.values()) <= 20_000
+    slots = [r.slot for r in got if r.doc_id is None]
+    assert max(slots) - min(slots) == 39_999  # still in order of the record
