@@ -5,7 +5,9 @@ Failures are counted by host (the ``source`` column), the host rates of each
 rule are shrunk towards their mean with a beta prior fitted to the hosts by
 moments, and a host whose shrunk rate of any rule exceeds ``HOST_LIMIT`` fails:
 its documents are not kept, even those that pass by themselves.  A host of one
-or two bad documents is pulled to the prior and stays.
+or two bad documents is pulled to the prior and stays where most hosts are large;
+where most have one document, the unweighted moments leave a prior weight of 1 and
+it fails (see the README).
 
 Built-in expressions only.  Repeated windows are found inside the row (hash
 per window; only texts with a repeated hash are sorted), so nothing is exploded
