@@ -170,3 +170,16 @@ def long_lists(flat: np.ndarray, first: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(first.astype(np.int32)),
                                     pa.array(flat.view(np.int64) if flat.dtype == np.uint64
                                              else flat.astype(np.int64)))
+
+
+def word_codes(data: np.ndarray, start: np.ndarray, end: np.ndarray
+               ) -> tuple[np.ndarray, pa.Array]:
+    """A number for every word (spans in order, not overlapping), and the distinct
+    words that the numbers stand for.  Words are compared as they are, not by hashes."""
+    size = end - start
+    offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
+    at = np.arange(offsets[-1]) + np.repeat(start - offsets[:-1], size)
+    words_ = pa.LargeStringArray.from_buffers(
+        len(size), pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data[at])))
+    coded = words_.dictionary_encode()
+    return coded.indices.to_numpy().astype(np.int64), coded.dictionary

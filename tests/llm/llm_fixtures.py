@@ -16,3 +16,9 @@ def documents(spark):
             df = df.withColumn(name, F.lit(value))
         return df
     return make
+
+
+@pytest.fixture
+def sf_small():
+    """Folder of the smallest given tables."""
+    return "/root/testdata/sf0.001"
