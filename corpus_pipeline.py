@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkiln.llm import (
-    collocations, decontamination, language_id, line_dedup, minhash, packing,
+    brown_lm, collocations, decontamination, language_id, line_dedup, minhash, packing,
     quality_classifier, quality_rules, sharding, suffix_dedup, url_filters, whitening,
 )
 from sparkiln.llm.columns import NON_BLANK
@@ -79,7 +79,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 MODULES = (
     line_dedup, sharding, quality_rules, suffix_dedup, decontamination, url_filters,
-    language_id, quality_classifier, minhash, packing, collocations, whitening,
+    language_id, quality_classifier, minhash, packing, brown_lm, collocations, whitening,
 )
 
 
