@@ -1,11 +1,9 @@
 """Simple models behind the reference's prediction charts (ML1-ML7).
 
-k-NN is exact without a cross product: points are bucketed into grid cells,
-each query probes the cells within a ring of ``r`` cells (an equi-join on the
-cell key) and keeps its k
-nearest candidates.  A query is resolved when its k-th distance is within the
-ring's guaranteed radius ``r * cell``; the rest retry with a doubled ring, so
-the answer equals brute force while work stays near the queries.
+k-NN is exact without a cross product: points lie in cells of a bounded number of
+rows below a tree of boxes, and each query descends (equi-joins on the node
+number) only into boxes that its k-th distance so far reaches, so the answer
+equals brute force while work stays near the queries.
 """
 
 from __future__ import annotations
@@ -13,14 +11,17 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkiln.functions.hashing import unit_draw
 from sparkiln.functions.literals import literal_rows
+from sparkiln.operators.ranking import group_rank
 from sparkiln.session import materialize
 
+LEAF_ROWS = 64  # rows of a k-NN cell at most (more where k asks for it)
+FAN = 16  # children of a node above the cells
+
 
 def hash_split(df: DataFrame, id_col, train_fraction: float = 0.75, seed: int = 42,
                out: str = "split") -> DataFrame:
@@ -94,90 +95,142 @@ def tree_fit_predict(train: DataFrame, grid: DataFrame, features: Sequence[str],
     return model.transform(asm.transform(g)).withColumnRenamed("prediction", out).drop("_features")
 
 
-def _cells(cols: Sequence[Column], size: float) -> list[Column]:
-    return [F.floor(c / F.lit(size)).cast("long") for c in cols]
+def _leaf_splits(n: int, d: int, rows: int) -> list[int]:
+    """Into how many parts of equal row counts each dimension in turn is cut, so that
+    no cell of ``n`` rows in all has more than ``rows``."""
+    cells, splits, held = -(-n // rows), [], n
+    for i in range(d):
+        cut = (-(-held // rows) if i == d - 1
+               else max(1, math.ceil(cells ** (1.0 / (d - i)) - 1e-9)))
+        splits.append(cut)
+        held, cells = -(-held // cut), -(-cells // cut)
+    return splits
+
+
+def _box_distance(c: Column, d: int) -> Column:
+    """Distance of the query (columns _g0, ...) from the box of node ``c``, 0 inside.
+    The same operations in the same order as for a point, so that rounding never
+    puts the box farther off than a point in it."""
+    parts = [F.greatest(c[f"lo{i}"] - F.col(f"_g{i}"), F.lit(0.0), F.col(f"_g{i}") - c[f"hi{i}"])
+             for i in range(d)]
+    return F.sqrt(sum((p * p for p in parts), F.lit(0.0)))
+
+
+def _point_distance(p: Column, d: int) -> Column:
+    parts = [p[f"_f{i}"] - F.col(f"_g{i}") for i in range(d)]
+    return F.sqrt(sum((x * x for x in parts), F.lit(0.0)))
+
+
+def box_tree(train: DataFrame, d: int, n: int, rows: int) -> tuple[DataFrame, list[DataFrame]]:
+    """An index of ``n`` points (_id, _f0, ..., further columns): cells of at most
+    ``rows`` points, equally deep in every dimension, and above them levels of
+    nodes with the boxes of their ``FAN`` children.
+
+    Rows are ranked by the first coordinate and cut into slabs of equal counts,
+    ranked in each slab by the next coordinate, and so on; the ranks are exact and
+    a hot value is spread over tasks (``group_rank``).  Far points, dense spots and
+    points that coincide make small or overlapping boxes but no crowded cell.
+    Returns (leaf, points, box) as a written table and, from the level above the leaves to the
+    root, written tables (node, children).
+    """
+    extra = [c for c in train.columns]
+    placed = train.withColumn("_leaf", F.lit(0).cast("long"))
+    leaves = 1
+    for i, cut in enumerate(_leaf_splits(n, d, rows)):
+        ranked = group_rank(placed, ["_leaf"], [f"_f{i}", "_id"], out="_rank")
+        # sizes of the parts differ by one at most
+        part = F.floor(F.col("_rank") * cut / F.col("group_n"))
+        placed = ranked.select(*extra, (F.col("_leaf") * cut + part).alias("_leaf"))
+        leaves *= cut
+    boxes = [agg for i in range(d) for agg in (F.min(f"_f{i}").alias(f"lo{i}"),
+                                               F.max(f"_f{i}").alias(f"hi{i}"))]
+    leaf = materialize(placed.groupBy("_leaf").agg(
+        F.collect_list(F.struct(*extra)).alias("points"), *boxes, F.min("_id").alias("low")
+    ).withColumnRenamed("_leaf", "node"), "knn-leaves")
+    box = [f"{side}{i}" for i in range(d) for side in ("lo", "hi")]
+    levels, below, count = [], leaf.select("node", *box, "low"), leaves
+    while count > 1:
+        count = -(-count // FAN)
+        boxes = [agg for i in range(d) for agg in (F.min(f"lo{i}").alias(f"lo{i}"),
+                                                   F.max(f"hi{i}").alias(f"hi{i}"))]
+        level = materialize(below.groupBy(F.floor(F.col("node") / FAN).alias("up")).agg(
+            F.collect_list(F.struct("node", *box, "low")).alias("children"), *boxes,
+            F.min("low").alias("low")).withColumnRenamed("up", "node"), "knn-level")
+        levels.append(level.select("node", "children"))
+        below = level.select("node", *box, "low")
+    return leaf, levels
 
 
 def knn(train: DataFrame, query: DataFrame, features: Sequence[str], k: int,
         id: str = "id", qid: str = "qid", query_features: Sequence[str] | None = None,
-        keep: Sequence[str] = (), cell: float | None = None) -> DataFrame:
+        keep: Sequence[str] = (), cell: float | None = None, leaf_rows: int | None = None
+        ) -> DataFrame:
     """Exact k nearest training rows for every query row (ML4, ML5).
 
     Output: qid, id, dist, rank (1..k, ties broken by id), keep columns.
-    Training rows with a NULL feature are ignored.
+    Training and query rows with a NULL or NaN feature are ignored.
+
+    The points are indexed in cells of at most ``leaf_rows`` rows (``box_tree``).
+    Every query first walks down to one near cell, whose k-th nearest point bounds
+    its answer; then it descends again into every node whose box is within that
+    bound (a node at the bound only if it holds a smaller id), and keeps the k
+    nearest of the few cells reached.  Both walks are equi-joins on the node number,
+    without an aggregate per level.  ``cell``, the width of former equal-width
+    cells, is not used any more.
     """
-    feats = list(features)
-    qfeats = list(query_features or feats)
-    d = len(feats)
-    tr = train.select(F.col(id).alias("_id"), *[F.col(f).cast("double").alias(f"_f{i}")
-                                                for i, f in enumerate(feats)], *keep)
-    for i in range(d):
-        tr = tr.where(F.col(f"_f{i}").isNotNull())
-    st = tr.agg(F.count(F.lit(1)).alias("n"),
-                *[F.min(f"_f{i}").alias(f"lo{i}") for i in range(d)],
-                *[F.max(f"_f{i}").alias(f"hi{i}") for i in range(d)]).first()
-    n = st["n"]
-    if n == 0:
-        return literal_rows(query.sparkSession, [], f"{qid} long, {id} long, dist double, rank int")
-    extent = [max(st[f"hi{i}"] - st[f"lo{i}"], 1e-12) for i in range(d)]
-    if cell is None:
-        volume = math.prod(extent)
-        # about 4k training rows per cell on average
-        cell = (volume * 4 * k / n) ** (1.0 / d)
-        cell = max(cell, max(extent) / 1e6)
-    tr = tr.select("*", *[c.alias(f"_c{i}") for i, c in
-                          enumerate(_cells([F.col(f"_f{i}") for i in range(d)], cell))])
-    tr = tr.persist(StorageLevel.MEMORY_AND_DISK)
-    q = query.select(F.col(qid).alias("_q"), *[F.col(f).cast("double").alias(f"_g{i}")
-                                               for i, f in enumerate(qfeats)])
-    q = q.select("*", *[c.alias(f"_qc{i}") for i, c in
-                        enumerate(_cells([F.col(f"_g{i}") for i in range(d)], cell))])
-    # ring large enough to cover every training cell from any query cell
-    q_ext = q.agg(*[F.min(f"_qc{i}").alias(f"a{i}") for i in range(d)],
-                  *[F.max(f"_qc{i}").alias(f"b{i}") for i in range(d)]).first()
-    if q_ext[f"a0"] is None:
-        return literal_rows(query.sparkSession, [], f"{qid} long, {id} long, dist double, rank int")
-    lo_c = [math.floor(st[f"lo{i}"] / cell) for i in range(d)]
-    hi_c = [math.floor(st[f"hi{i}"] / cell) for i in range(d)]
-    full_ring = max(max(abs(q_ext[f"b{i}"] - lo_c[i]), abs(hi_c[i] - q_ext[f"a{i}"]))
-                    for i in range(d))
-    pending = q.persist(StorageLevel.MEMORY_AND_DISK)
-    n_pending = pending.count()
-    done_parts = []
-    r = 1
-    while n_pending:
-        r = min(r, full_ring)
-        # probe cells: one explode(sequence(c - r, c + r)) per dimension
-        ex = pending.select("_q", *[f"_g{i}" for i in range(d)], *[f"_qc{i}" for i in range(d)])
+    feats, qfeats = list(features), list(query_features or features)
+    d, spark = len(feats), query.sparkSession
+    rows = leaf_rows or max(LEAF_ROWS, 4 * k)
+
+    def present(df: DataFrame, prefix: str) -> DataFrame:
         for i in range(d):
-            ex = ex.withColumn(f"_c{i}", F.explode(F.sequence(F.col(f"_qc{i}") - F.lit(r),
-                                                              F.col(f"_qc{i}") + F.lit(r))))
-        ex = ex.select("_q", *[f"_g{i}" for i in range(d)], *[f"_c{i}" for i in range(d)])
-        cand = tr.join(ex, [f"_c{i}" for i in range(d)], "inner")
-        dist = F.sqrt(sum(((F.col(f"_f{i}") - F.col(f"_g{i}")) * (F.col(f"_f{i}") - F.col(f"_g{i}"))
-                           for i in range(d)), F.lit(0.0)))
-        w = Window.partitionBy("_q").orderBy("dist", "_id")
-        top = (cand.select("_q", "_id", dist.alias("dist"), *keep)
-               .withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k))
-        top = materialize(top, "knn-round")
-        radius = r * cell
-        if r >= full_ring:
-            ok = top.select("_q").distinct()
-        else:
-            ok = (top.groupBy("_q").agg(F.count(F.lit(1)).alias("m"), F.max("dist").alias("md"))
-                  .where((F.col("m") == k) & (F.col("md") <= F.lit(radius))).select("_q"))
-        ok = materialize(ok, "knn-resolved")
-        done_parts.append(top.join(ok, "_q", "left_semi"))
-        if r >= full_ring:
-            break
-        pending = materialize(pending.join(ok, "_q", "left_anti"), "knn-pending")
-        n_pending = pending.count()
-        r *= 2
-    out = done_parts[0]
-    for p in done_parts[1:]:
-        out = out.unionByName(p)
-    return out.select(F.col("_q").alias(qid), F.col("_id").alias(id), "dist",
-                      F.col("rank").cast("int").alias("rank"), *keep)
+            c = F.col(f"{prefix}{i}")
+            df = df.where(c.isNotNull() & ~F.isnan(c))
+        return df
+
+    tr = materialize(present(train.select(F.col(id).alias("_id"), *[
+        F.col(f).cast("double").alias(f"_f{i}") for i, f in enumerate(feats)], *keep), "_f"),
+        "knn-points")
+    n = tr.count()
+    if n == 0:
+        kept = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in train.select(*keep).schema)
+        return literal_rows(spark, [], f"`{qid}` long, `{id}` long, dist double, rank int{kept}")
+    leaf, levels = box_tree(tr, d, n, rows)
+    place = [f"_g{i}" for i in range(d)]
+    q = present(query.select(F.col(qid).alias("_q"), *[
+        F.col(f).cast("double").alias(f"_g{i}") for i, f in enumerate(qfeats)]), "_g")
+    root = F.lit(0).cast("long").alias("node")
+
+    # one near cell for each query, and the k-th point in it
+    walk = q.select("_q", *place, root)
+    for level in reversed(levels):
+        # of boxes equally near, the one whose middle is nearest
+        middle = F.transform("children", lambda c: F.struct(
+            _box_distance(c, d).alias("near"),
+            sum(((c[f"lo{i}"] + c[f"hi{i}"]) / 2 - F.col(f"_g{i}")) ** 2 for i in range(d)),
+            c["node"].alias("node")))
+        walk = walk.join(level, "node").select("_q", *place, F.array_min(middle)["node"].alias("node"))
+    found = F.array_sort(F.transform("points", lambda p: F.struct(
+        _point_distance(p, d).alias("dist"), p["_id"].alias("id"))))
+    bounded = materialize(walk.join(leaf.select("node", "points"), "node").select(
+        "_q", *place, F.get(found, F.lit(k - 1)).alias("_bound")), "knn-bounds")
+
+    reach = bounded.select("*", root)
+    for level in reversed(levels):
+        near = F.filter("children", lambda c: F.col("_bound").isNull() | (F.struct(
+            _box_distance(c, d).alias("dist"), c["low"].alias("id")) <= F.col("_bound")))
+        reach = reach.join(level, "node").select(
+            "_q", *place, "_bound", F.explode(F.transform(near, lambda c: c["node"])).alias("node"))
+    dist = F.sqrt(sum(((F.col(f"p._f{i}") - F.col(f"_g{i}")) * (F.col(f"p._f{i}") - F.col(f"_g{i}"))
+                       for i in range(d)), F.lit(0.0)))
+    points = (reach.join(leaf.select("node", "points"), "node")
+              .select("_q", *place, "_bound", F.explode("points").alias("p"))
+              .select("_q", "_bound", "p._id", dist.alias("dist"), *[f"p.{c}" for c in keep]))
+    within = points.where(F.col("_bound").isNull() | (
+        F.struct("dist", F.col("_id").alias("id")) <= F.col("_bound")))
+    nearest = Window.partitionBy("_q").orderBy("dist", "_id")
+    return within.withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= k).select(
+        F.col("_q").alias(qid), F.col("_id").alias(id), "dist", "rank", *keep)
 
 
 def knn_regress(train: DataFrame, query: DataFrame, features: Sequence[str], label: str,
