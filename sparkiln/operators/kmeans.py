@@ -388,17 +388,17 @@ def doc_centroid_distances(triples: DataFrame, centroids: DataFrame, k: int,
 # ------------------------------------------------------------ k-means|| seeding
 
 def _nearest_candidate(vectors: DataFrame, norms: DataFrame, cand_ids: list,
-                       cand_norms: dict) -> DataFrame:
+                       cand_norms: dict, first: int = 0) -> DataFrame:
     """(doc, dist, ci): cosine distance from every document to its nearest
-    candidate and that candidate's index (lowest index on ties).
+    candidate and that candidate's index, counted from ``first`` (lowest index on
+    ties).
 
     Only the term equi-join produces pairs: a candidate sharing no term with
     a document is at distance 1 (both non-zero), found per document as the
     lowest non-zero candidate index missing from its joined set; zero
     vectors are at +inf, so such a document falls to candidate 0.
     """
-    spark = vectors.sparkSession
-    idx = {c: i for i, c in enumerate(cand_ids)}
+    idx = {c: first + i for i, c in enumerate(cand_ids)}
     imap = F.create_map(*[x for c, i in idx.items() for x in (F.lit(c), F.lit(i))])
     nmap = F.create_map(*[x for c, i in idx.items()
                           for x in (F.lit(i), F.lit(float(cand_norms.get(c) or 0.0)))])
@@ -420,9 +420,8 @@ def _nearest_candidate(vectors: DataFrame, norms: DataFrame, cand_ids: list,
                                                              F.array().cast("array<int>"))))
     one = F.when(unjoined.isNotNull(), F.struct(F.lit(1.0).alias("dist"), unjoined.alias("ci")))
     best = F.when((F.col("norm") == 0) | F.lit(not nz),
-                  F.struct(F.lit(INF).alias("dist"), F.lit(0).alias("ci"))) \
+                  F.struct(F.lit(INF).alias("dist"), F.lit(first).alias("ci"))) \
         .otherwise(F.least(F.col("jbest"), one))
-    del spark
     return full.select("doc", best.alias("b")).select("doc", "b.dist", "b.ci")
 
 
@@ -434,8 +433,11 @@ def seed_parallel(triples: DataFrame, k: int, oversample: int | None = None, see
     A first candidate is drawn, ``psi`` is every document's distance to its
     nearest candidate, and for ceil(ln(potential)) rounds each document joins
     the candidates with probability ``l * psi / potential`` (a hash draw per
-    (seed, round, doc), so recomputed tasks draw the same).  Candidates are
-    weighted by how many documents they are nearest to, and k distinct ones
+    (seed, round, doc), so recomputed tasks, and SQL, draw the same).  The nearest
+    candidate is a running minimum: a round joins the vectors with its new
+    candidates only, about ``l`` of them, and keeps the nearer of the old and the
+    new one.  Candidates, numbered by round and document, are weighted by how many
+    documents they are nearest to, and k distinct ones
     are picked by weighted sampling without replacement (keys u^(1/w)).
 
     Differences from the reference, which is random anyway: the potential is
@@ -465,11 +467,14 @@ def seed_parallel(triples: DataFrame, k: int, oversample: int | None = None, see
             .where(~F.col("doc").isin(cands)).join(norms, "doc").select("doc", "norm").collect()
         if not picked:
             continue
-        for r in picked:
-            cands.append(r["doc"])
-            cnorms[r["doc"]] = r["norm"]
-        # psi against all candidates (nearest index matters for the weights)
-        psi = _checkpoint(_nearest_candidate(vectors, norms, cands, cnorms))
+        new = {r["doc"]: r["norm"] for r in sorted(picked, key=lambda r: r["doc"])}
+        fresh = _nearest_candidate(vectors, norms, list(new), new, len(cands)).select(
+            "doc", F.struct("dist", "ci").alias("fresh"))
+        nearer = F.least(F.struct("dist", "ci"), F.col("fresh"))  # the old one on ties
+        psi = _checkpoint(psi.join(fresh, "doc").select("doc", nearer.alias("b")).select(
+            "doc", "b.dist", "b.ci"))
+        cands += list(new)
+        cnorms.update(new)
         potential = psi.agg(F.sum(finite).alias("p")).first()["p"] or 0.0
     weights = psi.groupBy("ci").agg(F.count(F.lit(1)).alias("w"))
     cmap = F.create_map(*[x for i, c in enumerate(cands) for x in (F.lit(i), F.lit(c))])
@@ -482,6 +487,8 @@ def seed_parallel(triples: DataFrame, k: int, oversample: int | None = None, see
                  .where(~F.col("doc").isin(chosen)).orderBy("u", "doc")
                  .limit(k - len(chosen)).collect()]
         chosen += extra
+    vectors.unpersist()
+    norms.unpersist()
     return literal_rows(spark, [(i + 1, int(c)) for i, c in enumerate(chosen)],
                         f"cluster int, {entity} long")
 

@@ -349,6 +349,7 @@ def q_tracks(spark, sf_dir):
 # ---------------------------------------------------------------- clustering
 
 from sparkiln.operators import kmeans as KM  # noqa: E402
+from sparkiln.session import materialize  # noqa: E402
 
 def _points_2d(spark, sf_dir):
     emb = load_table(spark, sf_dir, "embeddings")
@@ -381,10 +382,15 @@ def q_kmeans_2d_history(spark, sf_dir):
     return r.history.select("iteration", "cluster", _r("x"), _r("y"), "size")
 
 
-def _kmeans_cosine(spark, sf_dir):
-    t = TI.tfidf(_triples(spark, sf_dir))
+def _tfidf_written(spark, sf_dir):
+    """TF-IDF rows as a written table: computed once for all steps that read them."""
+    return materialize(TI.tfidf(_triples(spark, sf_dir)), "tfidf")
+
+
+def _kmeans_cosine(spark, sf_dir, triples=None, with_loss=False):
+    t = _tfidf_written(spark, sf_dir) if triples is None else triples
     return KM.kmeans_cosine(t, k=P.KMEANS_COS_K, max_iter=P.KMEANS_COS_MAX_ITER,
-                            tol=P.KMEANS_COS_TOL, seed=P.KMEANS_SEED)
+                            tol=P.KMEANS_COS_TOL, seed=P.KMEANS_SEED, with_loss=with_loss)
 
 
 @query("kmeans_cosine_assign")
@@ -400,7 +406,8 @@ def q_kmeans_cosine_centroids(spark, sf_dir):
 
 @query("kmeans_loss")
 def q_kmeans_loss(spark, sf_dir):
-    return _kmeans_cosine(spark, sf_dir).losses.select("iteration", _r("loss", 6))
+    return _kmeans_cosine(spark, sf_dir, with_loss=True).losses.select(
+        "iteration", _r("loss", 6))
 
 
 @query("centroid_shift")
@@ -418,8 +425,8 @@ def q_top_terms(spark, sf_dir):
 
 @query("cosine_distance")
 def q_cosine_distance(spark, sf_dir):
-    r = _kmeans_cosine(spark, sf_dir)
-    t = TI.tfidf(_triples(spark, sf_dir))
+    t = _tfidf_written(spark, sf_dir)
+    r = _kmeans_cosine(spark, sf_dir, t)
     d = KM.doc_centroid_distances(t, r.centroids, P.KMEANS_COS_K)
     return d.select("doc_id", "cluster", _r("distance"))
 
@@ -574,17 +581,15 @@ def q_class_confidence(spark, sf_dir):
 
 @query("kmeans_parallel_seed")
 def q_kmeans_parallel_seed(spark, sf_dir):
-    t = TI.tfidf(_triples(spark, sf_dir))
-    return KM.seed_parallel(t, P.KMEANS_COS_K, seed=P.KMEANS_SEED)
+    return KM.seed_parallel(_tfidf_written(spark, sf_dir), P.KMEANS_COS_K, seed=P.KMEANS_SEED)
 
 
 @query("kmeans_parallel_loss")
 def q_kmeans_parallel_loss(spark, sf_dir):
-    t = TI.tfidf(_triples(spark, sf_dir))
+    t = _tfidf_written(spark, sf_dir)
     seeds = KM.seed_parallel(t, P.KMEANS_COS_K, seed=P.KMEANS_SEED)
-    init = KM.seeds_to_centroids(t, seeds)
     r = KM.kmeans_cosine(t, k=P.KMEANS_COS_K, max_iter=P.KMEANS_COS_MAX_ITER,
-                         tol=P.KMEANS_COS_TOL, init=init)
+                         tol=P.KMEANS_COS_TOL, init=KM.seeds_to_centroids(t, seeds))
     return r.losses.select("iteration", _r("loss", 6))
 
 

@@ -504,20 +504,27 @@ ORACLE["kmeans_2d_assign"] = _KM2["assign"]
 ORACLE["kmeans_2d_history"] = _KM2["history"]
 
 
-def kmeans_cosine_sql(k: int, max_iter: int, tol: float, seed: int) -> dict[str, str]:
-    inf = "CAST('inf' AS DOUBLE)"
-    ctes = [
-        f"vec AS MATERIALIZED (SELECT doc_id AS doc, term_id AS term, tfidf AS value "
-        f"FROM ({_TFIDF}) WHERE tfidf IS NOT NULL)",
-        "dn AS MATERIALIZED (SELECT doc, sqrt(sum(value * value)) AS norm FROM vec GROUP BY doc)",
+_INF = "CAST('inf' AS DOUBLE)"
+_VECTORS = [
+    f"vec AS MATERIALIZED (SELECT doc_id AS doc, term_id AS term, tfidf AS value "
+    f"FROM ({_TFIDF}) WHERE tfidf IS NOT NULL)",
+    "dn AS MATERIALIZED (SELECT doc, sqrt(sum(value * value)) AS norm FROM vec GROUP BY doc)",
+]
+
+
+def kmeans_cosine_sql(k: int, max_iter: int, tol: float, seed: int,
+                      start: list[str] | None = None) -> dict[str, str]:
+    """``start``: CTEs that end with the first centroids c0 (cluster, term, value);
+    a random partition otherwise."""
+    inf = _INF
+    ctes = [*_VECTORS, *(start or [
         f"""g0 AS MATERIALIZED (
           SELECT doc, CASE WHEN rn <= {k} THEN {k} - rn + 1
                            ELSE CAST(floor({sql_unit_draw('doc', seed)} * {k}) AS BIGINT) + 1 END AS cluster
           FROM (SELECT doc, row_number() OVER (ORDER BY doc) AS rn FROM (SELECT DISTINCT doc FROM vec)))""",
         """c0 AS MATERIALIZED (SELECT g.cluster, v.term, avg(v.value) AS value
           FROM vec v JOIN g0 g USING (doc) GROUP BY ALL)""",
-        "s0 AS MATERIALIZED (SELECT false AS done, 0 AS last_it)",
-    ]
+    ]), "s0 AS MATERIALIZED (SELECT false AS done, 0 AS last_it)"]
     hist, losses = [], []
     for i in range(1, max_iter + 1):
         p = i - 1
@@ -609,6 +616,70 @@ ORACLE["centroid_shift"] = _KMC["shift"]
 ORACLE["top_terms"] = _KMC["top"]
 ORACLE["cosine_distance"] = _KMC["distance"]
 
+
+def seed_parallel_sql(k: int, seed: int, rounds: int = 16) -> list[str]:
+    """k-means|| as CTEs, the last one seeds(cluster, doc); up to ``rounds`` rounds
+    (a potential of e^16), each of which does nothing once the loop would have ended."""
+    l = 4 * k
+
+    def nearest(picks: str, name: str) -> str:
+        # best new candidate of every document: (dist, ci), the lower ci on ties
+        return f"""{name} AS MATERIALIZED (
+          SELECT doc, dist, ci FROM (
+            SELECT d.doc, p.ci,
+                   CASE WHEN d.norm = 0 OR p.norm = 0 THEN {_INF}
+                        ELSE 1 - coalesce(x.dot, 0) / (d.norm * p.norm) END AS dist
+            FROM dn d CROSS JOIN {picks} p
+            LEFT JOIN (SELECT v.doc, q.ci, sum(v.value * c.value) AS dot
+                       FROM {picks} q JOIN vec c ON c.doc = q.doc JOIN vec v ON v.term = c.term
+                       GROUP BY ALL) x ON x.doc = d.doc AND x.ci = p.ci)
+          QUALIFY row_number() OVER (PARTITION BY doc ORDER BY dist, ci) = 1)"""
+
+    ctes = [
+        f"""k0 AS MATERIALIZED (SELECT 0 AS ci, doc, norm FROM dn
+            ORDER BY {sql_unit_draw('doc', seed)}, doc LIMIT 1)""",
+        nearest("k0", "psi0"),
+        f"""p0 AS MATERIALIZED (SELECT coalesce(sum(CASE WHEN dist < {_INF} THEN dist END), 0) AS p
+            FROM psi0)""",
+        "loops AS MATERIALIZED (SELECT CASE WHEN p > 1 THEN ceil(ln(p)) ELSE 0 END AS n FROM p0)",
+    ]
+    for r in range(1, rounds + 1):
+        o = r - 1
+        ctes += [
+            f"""add{r} AS MATERIALIZED (
+              SELECT (SELECT count(*) FROM k{o}) + row_number() OVER (ORDER BY doc) - 1 AS ci, doc, norm
+              FROM psi{o} JOIN dn USING (doc), p{o}, loops
+              WHERE {r} <= loops.n AND p{o}.p > 0 AND dist < {_INF}
+                    AND {sql_unit_draw('doc', seed * 1000 + r)} <= {float(l)} * dist / p{o}.p
+                    AND doc NOT IN (SELECT doc FROM k{o}))""",
+            f"k{r} AS MATERIALIZED (SELECT * FROM k{o} UNION ALL SELECT * FROM add{r})",
+            nearest(f"add{r}", f"fresh{r}"),
+            f"""psi{r} AS MATERIALIZED (
+              SELECT o.doc, CASE WHEN f.dist < o.dist THEN f.dist ELSE o.dist END AS dist,
+                     CASE WHEN f.dist < o.dist THEN f.ci ELSE o.ci END AS ci
+              FROM psi{o} o LEFT JOIN fresh{r} f USING (doc))""",
+            f"""p{r} AS MATERIALIZED (
+              SELECT coalesce(sum(CASE WHEN dist < {_INF} THEN dist END), 0) AS p FROM psi{r})""",
+        ]
+    return [*ctes, f"""seeds AS MATERIALIZED (
+      SELECT row_number() OVER (ORDER BY extra, key DESC, doc) AS cluster, doc FROM (
+        SELECT 0 AS extra, k.doc, pow({sql_unit_draw('k.doc', seed + 7)}, 1.0::DOUBLE / w.w) AS key
+        FROM (SELECT ci, count(*) AS w FROM psi{rounds} GROUP BY ci) w JOIN k{rounds} k USING (ci)
+        UNION ALL
+        SELECT 1 AS extra, doc, -{sql_unit_draw('doc', seed)} AS key FROM dn
+        WHERE doc NOT IN (SELECT k.doc FROM psi{rounds} JOIN k{rounds} k USING (ci)))
+      QUALIFY row_number() OVER (ORDER BY extra, key DESC, doc) <= {k})"""]
+
+
+_SEEDS = seed_parallel_sql(P.KMEANS_COS_K, P.KMEANS_SEED)
+ORACLE["kmeans_parallel_seed"] = (
+    "WITH " + ",\n".join([*_VECTORS, *_SEEDS])
+    + "\nSELECT CAST(cluster AS INTEGER) AS cluster, CAST(doc AS BIGINT) AS doc_id FROM seeds")
+ORACLE["kmeans_parallel_loss"] = kmeans_cosine_sql(
+    P.KMEANS_COS_K, P.KMEANS_COS_MAX_ITER, P.KMEANS_COS_TOL, P.KMEANS_SEED,
+    [*_SEEDS, "c0 AS MATERIALIZED (SELECT s.cluster, v.term, v.value FROM seeds s JOIN vec v USING (doc))"]
+)["loss"]
+
 # ---------------------------------------------------------------- streams (final state = batch)
 
 ORACLE["stream_hourly_counts"] = ORACLE["hourly_counts"]

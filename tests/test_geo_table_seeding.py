@@ -51,3 +51,24 @@ def test_seed_parallel_properties(spark):
     sizes = sorted(r["n"] for r in res.assignments.groupBy("cluster")
                    .agg(F.count("*").alias("n")).collect())
     assert sum(sizes) == 60
+
+
+def test_running_nearest_candidate_equals_one_against_all(spark):
+    """Adding candidates batch by batch keeps what one comparison with all gives, ties,
+    documents that share no term and empty vectors included."""
+    rnd = random.Random(3)
+    rows = [(doc, t, rnd.choice([0.0, 0.5, 1.0])) for doc in range(40)
+            for t in rnd.sample(range(25), 3)]
+    rows += [(100 + d, 7, 1.0) for d in range(4)]  # equal vectors: ties
+    vectors = spark.createDataFrame(rows, "doc long, term int, value double")
+    norms = KM.doc_norms(vectors)
+    norm = {r["doc"]: r["norm"] for r in norms.collect()}
+    docs = [100, 3, 101, 5, 9, 11, 102, 20]
+    want = {r["doc"]: (r["dist"], r["ci"]) for r in KM._nearest_candidate(
+        vectors, norms, docs, {d: norm[d] for d in docs}).collect()}
+    best = {}
+    for lo in range(0, len(docs), 3):
+        part = docs[lo:lo + 3]
+        for r in KM._nearest_candidate(vectors, norms, part, {d: norm[d] for d in part}, lo).collect():
+            best[r["doc"]] = min(best.get(r["doc"], (KM.INF, 0)), (r["dist"], r["ci"]))
+    assert best == want
