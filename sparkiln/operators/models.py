@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from sparkiln.functions.hashing import unit_draw
 from sparkiln.functions.literals import literal_rows
+from sparkiln.operators import trees
 from sparkiln.operators.ranking import group_rank
 from sparkiln.session import materialize
 
@@ -78,21 +79,11 @@ def linear_predict(grid: DataFrame, x: str, slope: float, intercept: float,
 
 
 def tree_fit_predict(train: DataFrame, grid: DataFrame, features: Sequence[str], label: str,
-                     grid_features: Sequence[str] | None = None, max_depth: int = 10,
-                     out: str = "y_pred", seed: int = 42) -> DataFrame:
-    """ML3: MLlib decision-tree regression (distributed training with binned
-    splits), applied to a grid."""
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import DecisionTreeRegressor
-    asm = VectorAssembler(inputCols=list(features), outputCol="_features")
-    model = DecisionTreeRegressor(featuresCol="_features", labelCol=label, maxDepth=max_depth,
-                                  seed=seed).fit(asm.transform(train.select(*features, label)))
-    gf = list(grid_features or features)
-    g = grid
-    for src, dst in zip(gf, features):
-        if src != dst:
-            g = g.withColumn(dst, F.col(src))
-    return model.transform(asm.transform(g)).withColumnRenamed("prediction", out).drop("_features")
+                     grid_features: Sequence[str] | None = None, out: str = "y_pred",
+                     local_cells: int = trees.LOCAL_CELLS) -> DataFrame:
+    """ML3: an exact regression tree without depth limit or bins, applied to a grid."""
+    model = trees.fit_tree(train, features, label, local_cells)
+    return trees.predict_tree(model, grid, grid_features or features, out)
 
 
 def _leaf_splits(n: int, d: int, rows: int) -> list[int]:

@@ -717,6 +717,16 @@ SELECT g.i, round(g.x, 6) AS x, round(f.intercept + f.slope * g.x, 6) AS y_pred
 FROM ({_GRID}) g, f
 """
 
+# A tree grown until its leaves are even cuts half-way between neighbouring values, so
+# with one feature it predicts the mean label of the training value on its side.
+ORACLE["tree_predict"] = f"""
+WITH vals AS (SELECT x, avg(y) AS y_pred,
+                     coalesce((lag(x) OVER (ORDER BY x) + x) / 2, -CAST('inf' AS DOUBLE)) AS lo
+              FROM ({_LI_XY}) WHERE split = 'train' GROUP BY x)
+SELECT g.i, round(g.x, 6) AS x, round(v.y_pred, 6) AS y_pred
+FROM ({_GRID}) g ASOF JOIN vals v ON g.x > v.lo
+"""
+
 ORACLE["knn_regress"] = f"""
 WITH g AS ({_GRID}), t AS (SELECT * FROM ({_LI_XY}) WHERE split = 'train' AND x IS NOT NULL),
 nb AS (
