@@ -6,11 +6,11 @@ Only k centroids (2-D) or k scalars per round (sparse) reach the driver.
 * 2-D: the k centroids are literals in the assignment expression, so a round
   is one scan of the persisted points plus a k-row partial aggregate: no
   join, no cross product, no shuffle of points.
-* Sparse cosine: documents are long (doc, term, value) rows.  A round joins
-  them with the sparse centroid rows on ``term`` (broadcast when the centroid
-  table is under a measured row limit, otherwise a shuffle join whose skewed
-  terms AQE splits), sums the products per document with one conditional sum
-  per cluster, and averages (cluster, term) values for the new centroids.
+* Sparse cosine: documents are long (doc, term, value) rows, laid out once in
+  (document block, term block) tiles (``Tiles``).  A round brings the sparse centroid
+  rows to the tiles, sums the products per document in each tile and then over
+  them, brings the assignments to the tiles and averages (cluster, term) values for
+  the new centroids.  The vectors are not shuffled again.
   Centroid tables are checkpointed each round to cut lineage.
 
 Rules kept from the reference: ties go to the lowest cluster index; a zero
@@ -34,7 +34,7 @@ from pyspark.sql.types import (DoubleType, IntegerType, LongType, StructField, S
 
 from sparkiln.functions.hashing import unit_draw
 from sparkiln.functions.literals import literal_rows
-from sparkiln.session import materialize, sized_partitions
+from sparkiln.session import materialize, partition_keys, planned_with, sized_partitions
 
 INF = float("inf")
 
@@ -194,18 +194,70 @@ def _doc_partitioned(triples: DataFrame, entity: str, feature: str, value: str)
     return rows.repartition(n, "doc").persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def doc_dots(vectors: DataFrame, norms: DataFrame, centroids: DataFrame, k: int) -> DataFrame:
+#: Terms of a term block at most, by estimate: what a task holds of the centroids.
+BLOCK_TERMS = 1_000_000
+#: A join on (tile, term) may use rows that are partitioned by tile alone.
+_BY_TILE = {"spark.sql.requireAllClusterKeysForCoPartition": "false"}
+
+
+class Tiles:
+    """Sparse vectors laid out once in (document block, term block) tiles, one partition
+    each, and kept.  A round brings the small side to the tiles: centroid
+    rows of a term block to all its document blocks, (document, cluster) rows to all
+    term blocks; and takes from them sums per document or per (cluster, term), combined
+    in the tile.  The vectors themselves never move again.  A hot term is spread over
+    the document blocks, a long document over the term blocks."""
+
+    def __init__(self, triples: DataFrame, entity: str, feature: str, value: str) -> None:
+        spark = triples.sparkSession
+        rows = triples.select(F.col(entity).alias("doc"), F.col(feature).alias("term"),
+                              F.col(value).cast("double").alias("value")).where("value IS NOT NULL")
+        size = rows.agg(F.count(F.lit(1)).alias("n"),
+                        F.approx_count_distinct("term").alias("terms")).first()
+        self.term_blocks = max(1, -(-size["terms"] // BLOCK_TERMS))
+        self.doc_blocks = -(-sized_partitions(spark, size["n"]) // self.term_blocks)
+        n = self.doc_blocks * self.term_blocks
+        self._keys = F.array(*[F.lit(k).cast("long") for k in partition_keys(spark, n)])
+        self.vectors = rows.select(
+            self._tile(self._doc_block(), self._term_block()).alias("tile"), "doc", "term", "value"
+        ).repartition(n, "tile").persist(StorageLevel.MEMORY_AND_DISK)
+
+    def _doc_block(self) -> Column:
+        return F.pmod(F.xxhash64("doc"), F.lit(self.doc_blocks)).cast("int")
+
+    def _term_block(self) -> Column:
+        return F.pmod(F.xxhash64("term"), F.lit(self.term_blocks)).cast("int")
+
+    def _tile(self, doc_block: Column, term_block: Column) -> Column:
+        return F.get(self._keys, doc_block * F.lit(self.term_blocks) + term_block)
+
+    def with_terms(self, table: DataFrame) -> DataFrame:
+        """The vectors joined with a table that has one row a term."""
+        each = table.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(self.doc_blocks - 1))))
+        side = each.withColumn("tile", self._tile(F.col("_block"), self._term_block())).drop("_block")
+        return self.vectors.join(side.hint("shuffle_hash"), ["tile", "term"])
+
+    def with_docs(self, table: DataFrame) -> DataFrame:
+        """The vectors joined with a table that has one row a document."""
+        each = table.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(self.term_blocks - 1))))
+        side = each.withColumn("tile", self._tile(self._doc_block(), F.col("_block"))).drop("_block")
+        return self.vectors.join(side.hint("shuffle_hash"), ["tile", "doc"])
+
+
+def doc_dots(vectors: DataFrame | Tiles, norms: DataFrame, centroids: DataFrame, k: int
+             ) -> DataFrame:
     """(doc, norm, dot1..dotk): every document's dot product with every
     centroid, from the term equi-join only (a centroid sharing no term gives
-    0).  With the vectors hash-partitioned by document, the per-document sum
-    and the norm join need no shuffle of the vectors."""
+    0).  Of tiled vectors only k partial sums per document and tile are exchanged."""
     # one row per term with its value in each centroid, so the join gives one row per entry
     packed = centroids.groupBy("term").agg(*[
         F.coalesce(F.sum(F.when(F.col("cluster") == j, F.col("value"))), F.lit(0.0)).alias(f"c{j}")
         for j in range(1, k + 1)])
-    dots = vectors.join(packed, "term", "left").groupBy("doc").agg(*[
+    met = (vectors.with_terms(packed) if isinstance(vectors, Tiles)
+           else vectors.join(packed, "term"))
+    dots = met.groupBy("doc").agg(*[
         F.sum(F.col("value") * F.col(f"c{j}")).alias(f"dot{j}") for j in range(1, k + 1)])
-    return dots.join(norms, "doc", "inner").select(
+    return norms.join(dots, "doc", "left").select(
         "doc", "norm", *[F.coalesce(F.col(f"dot{j}"), F.lit(0.0)).alias(f"dot{j}")
                          for j in range(1, k + 1)])
 
@@ -243,10 +295,11 @@ def _own_loss(cnorms: dict[int, float], k: int, own: str = "prev") -> Column:
     return F.sqrt(F.greatest(F.lit(0.0), sq))
 
 
-def sparse_centroids(vectors: DataFrame, assignments: DataFrame) -> DataFrame:
+def sparse_centroids(vectors: DataFrame | Tiles, assignments: DataFrame) -> DataFrame:
     """AGG9: per (cluster, term) mean over the member vectors holding the term."""
-    return vectors.join(assignments, "doc", "inner").groupBy("cluster", "term").agg(
-        F.avg("value").alias("value"))
+    met = (vectors.with_docs(assignments) if isinstance(vectors, Tiles)
+           else vectors.join(assignments, "doc"))
+    return met.groupBy("cluster", "term").agg(F.avg("value").alias("value"))
 
 
 def kmeans_cosine(triples: DataFrame, k: int = 5, max_iter: int = 10, tol: float = 1e-5,
@@ -261,15 +314,18 @@ def kmeans_cosine(triples: DataFrame, k: int = 5, max_iter: int = 10, tol: float
     starting centroids as (cluster, term, value) rows; otherwise CL1 random
     partition seeding with ``seed``.
     """
+    with planned_with(triples.sparkSession, _BY_TILE):
+        return _lloyd_cosine(triples, k, max_iter, tol, seed, entity, feature, value, init, with_loss)
+
+
+def _lloyd_cosine(triples: DataFrame, k: int, max_iter: int, tol: float, seed: int, entity: str,
+                  feature: str, value: str, init: DataFrame | None, with_loss: bool
+                  ) -> KMeansCosineResult:
     spark = triples.sparkSession
-    # Hash-partition the vectors by document once and keep them: every round
-    # joins them with per-document tables (assignments, norms) and sums per
-    # document, and all of that then reuses this partitioning instead of
-    # shuffling the vectors again.
-    vectors = _doc_partitioned(triples, entity, feature, value)
-    norms = doc_norms(vectors).persist(StorageLevel.MEMORY_AND_DISK)
+    vectors = Tiles(triples, entity, feature, value)
+    norms = doc_norms(vectors.vectors).persist(StorageLevel.MEMORY_AND_DISK)
     if init is None:
-        docs = vectors.select("doc").distinct()
+        docs = norms.select("doc")
         groups = docs.select("doc", random_partition_groups(docs, "doc", k, seed).alias("cluster"))
         cents = _checkpoint(sparse_centroids(vectors, groups))
     else:
@@ -333,7 +389,7 @@ def kmeans_cosine(triples: DataFrame, k: int = 5, max_iter: int = 10, tol: float
         losses.append((iterations, last.agg(F.sum(_own_loss(cnorms, k)).alias("l"))
                        .first()["l"] or 0.0))
     norms.unpersist()
-    vectors.unpersist()
+    vectors.vectors.unpersist()
 
     def of_rounds(tables) -> DataFrame:
         out = None

@@ -7,7 +7,10 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(master: str | None = None, shuffle_partitions: int = 8,
@@ -91,3 +94,33 @@ def sized_partitions(spark, rows: int, rows_per_partition: int = 2_000_000) -> i
     ``spark.sql.shuffle.partitions`` on every scan.)"""
     cores = spark.sparkContext.defaultParallelism
     return max(cores, -(-int(rows) // rows_per_partition))
+
+
+@contextmanager
+def planned_with(spark: SparkSession, settings: dict[str, str]):
+    """Run the enclosed actions with planner settings, then put the former ones back."""
+    before = {name: spark.conf.get(name, None) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
+def partition_keys(spark: SparkSession, n: int) -> list[int]:
+    """For each of ``n`` hash partitions a number that ``repartition(n, key)`` puts there,
+    so that ``n`` blocks of equal size fill ``n`` partitions evenly.  (A number that
+    lands elsewhere would cost balance, never a row.)"""
+    found: dict[int, int] = {}
+    upto = 16 * n
+    while len(found) < n:
+        rows: DataFrame = spark.range(upto).groupBy(F.pmod(F.hash("id"), F.lit(n)).alias("at")).agg(
+            F.min("id").alias("key"))
+        found = {r["at"]: r["key"] for r in rows.collect()}
+        upto *= 4
+    return [found[i] for i in range(n)]

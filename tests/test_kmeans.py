@@ -41,3 +41,40 @@ def test_cosine_rules(spark):
     # centroid term mean is over holders only
     c = {(r["cluster"], r["term_id"]): r["value"] for r in res.centroids.collect()}
     assert c[(2, 3)] == 1.5 and c[(2, 4)] == 1.0 and c[(1, 1)] == 0.5
+
+
+def test_rounds_do_not_shuffle_the_vectors(spark):
+    """With broadcasts off, a round exchanges centroids, assignments and partial sums,
+    but the kept vectors go into its joins as they lie; results equal the plain joins."""
+    import random
+
+    from sparkiln.session import planned_with
+    rnd = random.Random(1)
+    rows = [(d, t, float(rnd.randrange(1, 9))) for d in range(120)
+            for t in {0, *rnd.sample(range(90), 8)}]  # term 0 in every document
+    tri = spark.createDataFrame(rows, "doc_id long, term_id int, tfidf double")
+    plain = tri.toDF("doc", "term", "value")
+    cents = spark.createDataFrame([(j, t, float(rnd.randrange(5))) for j in (1, 2)
+                                   for t in rnd.sample(range(90), 50)],
+                                  "cluster int, term int, value double")
+    assigned = spark.createDataFrame([(d, 1 + d % 2) for d in range(120)], "doc long, cluster int")
+    norms = KM.doc_norms(plain)
+    want = (sorted(map(tuple, KM.doc_dots(plain, norms, cents, 2).collect())),
+            sorted(map(tuple, KM.sparse_centroids(plain, assigned).collect())))
+    for block_terms in (1_000_000, 20):
+        old, KM.BLOCK_TERMS = KM.BLOCK_TERMS, block_terms
+        try:
+            with planned_with(spark, {**KM._BY_TILE, "spark.sql.autoBroadcastJoinThreshold": "-1"}):
+                tiles = KM.Tiles(tri, "doc_id", "term_id", "tfidf")
+                assert (tiles.term_blocks > 1) == (block_terms == 20)
+                tiles.vectors.count()
+                rounds = [KM.doc_dots(tiles, norms, cents, 2), KM.sparse_centroids(tiles, assigned)]
+                for df in rounds:
+                    plan = df._jdf.queryExecution().executedPlan().toString()
+                    above = plan[:plan.index("InMemoryTableScan")].splitlines()
+                    join = next(i for i, line in enumerate(above) if "ShuffledHashJoin" in line)
+                    assert not any("Exchange" in line for line in above[join:])
+                assert tuple(sorted(map(tuple, df.collect())) for df in rounds) == want
+                tiles.vectors.unpersist()
+        finally:
+            KM.BLOCK_TERMS = old
