@@ -347,23 +347,23 @@ def _lloyd_cosine(triples: DataFrame, k: int, max_iter: int, tol: float, seed: i
         scored = _checkpoint(per_doc.select("*", *_distance_cols(cnorms, k)).select(
             "doc", first_min_index([F.col(f"d{j}") for j in range(1, k + 1)]).alias("cluster"),
             loss_col.alias("loss")))
-        size_rows = scored.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"),
-                                                  F.sum("loss").alias("l")).collect()
-        sizes = {r["cluster"]: r["n"] for r in size_rows}
-        if with_loss and assignments is not None:
-            losses.append((it - 1, sum(r["l"] or 0.0 for r in size_rows)))
         assignments = scored.select("doc", "cluster")
         new = _checkpoint(sparse_centroids(vectors, assignments))
         rounds.append((it, assignments, new))
-        # norms and the dot with the old centroid in one aggregate
+        # norms, dots with the old centroids, sizes and losses in one job
         stats = (new.join(cents.select("cluster", "term", F.col("value").alias("old")),
                           ["cluster", "term"], "left")
                  .groupBy("cluster").agg(
                      F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("norm"),
-                     F.sum(F.col("value") * F.coalesce(F.col("old"), F.lit(0.0))).alias("dot"))
-                 .collect())
-        new_norms = {r["cluster"]: r["norm"] for r in stats}
-        shift_dots = {r["cluster"]: r["dot"] for r in stats}
+                     F.sum(F.col("value") * F.coalesce(F.col("old"), F.lit(0.0))).alias("dot")))
+        members = scored.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"),
+                                                F.sum("loss").alias("l"))
+        both = stats.unionByName(members, allowMissingColumns=True).collect()
+        sizes = {r["cluster"]: r["n"] for r in both if r["n"] is not None}
+        if with_loss and it > 1:
+            losses.append((it - 1, sum(r["l"] or 0.0 for r in both)))
+        new_norms = {r["cluster"]: r["norm"] for r in both if r["n"] is None}
+        shift_dots = {r["cluster"]: r["dot"] for r in both if r["n"] is None}
         iterations = it
         if len(sizes) != k:  # CL7
             for c in sorted(sizes):
