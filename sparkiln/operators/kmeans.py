@@ -24,7 +24,7 @@ tolerance, or after ``max_iter`` rounds.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -34,6 +34,7 @@ from pyspark.sql.types import (DoubleType, IntegerType, LongType, StructField, S
 
 from sparkiln.functions.hashing import unit_draw
 from sparkiln.functions.literals import literal_rows
+from sparkiln.sinks.files import RoundReport
 from sparkiln.session import materialize, partition_keys, planned_with, sized_partitions
 
 INF = float("inf")
@@ -305,22 +306,28 @@ def sparse_centroids(vectors: DataFrame | Tiles, assignments: DataFrame) -> Data
 def kmeans_cosine(triples: DataFrame, k: int = 5, max_iter: int = 10, tol: float = 1e-5,
                   seed: int = 0, entity: str = "doc_id", feature: str = "term_id",
                   value: str = "tfidf", init: DataFrame | None = None,
-                  with_loss: bool = True) -> KMeansCosineResult:
+                  with_loss: bool = True,
+                  on_round: Callable[[int, DataFrame], None] | None = None,
+                  on_loss: Callable[[int, float], None] | None = None) -> KMeansCosineResult:
     """CL3 (+CL1, CL5-CL8, AGG9, AGG11): Lloyd's algorithm with cosine
     distance on sparse vectors given as (entity, feature, value) rows.
 
     ``entity``/``feature`` choose what is clustered (documents over terms by
     default; swap them to cluster terms over documents).  ``init`` may give
     starting centroids as (cluster, term, value) rows; otherwise CL1 random
-    partition seeding with ``seed``.
+    partition seeding with ``seed``.  ``on_round`` gets each round's number and its
+    centroids (cluster, term, value) as soon as they are there, ``on_loss`` its loss
+    when the next round has measured it.
     """
     with planned_with(triples.sparkSession, _BY_TILE):
-        return _lloyd_cosine(triples, k, max_iter, tol, seed, entity, feature, value, init, with_loss)
+        return _lloyd_cosine(triples, k, max_iter, tol, seed, entity, feature, value, init, with_loss,
+                             on_round or (lambda it, table: None), on_loss or (lambda it, loss: None))
 
 
 def _lloyd_cosine(triples: DataFrame, k: int, max_iter: int, tol: float, seed: int, entity: str,
-                  feature: str, value: str, init: DataFrame | None, with_loss: bool
-                  ) -> KMeansCosineResult:
+                  feature: str, value: str, init: DataFrame | None, with_loss: bool,
+                  on_round: Callable[[int, DataFrame], None],
+                  on_loss: Callable[[int, float], None]) -> KMeansCosineResult:
     spark = triples.sparkSession
     vectors = Tiles(triples, entity, feature, value)
     norms = doc_norms(vectors.vectors).persist(StorageLevel.MEMORY_AND_DISK)
@@ -362,6 +369,8 @@ def _lloyd_cosine(triples: DataFrame, k: int, max_iter: int, tol: float, seed: i
         sizes = {r["cluster"]: r["n"] for r in both if r["n"] is not None}
         if with_loss and it > 1:
             losses.append((it - 1, sum(r["l"] or 0.0 for r in both)))
+            on_loss(*losses[-1])
+        on_round(it, new)
         new_norms = {r["cluster"]: r["norm"] for r in both if r["n"] is None}
         shift_dots = {r["cluster"]: r["dot"] for r in both if r["n"] is None}
         iterations = it
@@ -388,6 +397,7 @@ def _lloyd_cosine(triples: DataFrame, k: int, max_iter: int, tol: float, seed: i
             assignments.select("doc", F.col("cluster").alias("prev")), "doc", "left")
         losses.append((iterations, last.agg(F.sum(_own_loss(cnorms, k)).alias("l"))
                        .first()["l"] or 0.0))
+        on_loss(*losses[-1])
     norms.unpersist()
     vectors.vectors.unpersist()
 
@@ -427,6 +437,25 @@ def top_terms(centroids: DataFrame, n: int = 10, feature: str = "term_id",
             .where(F.col("rank") <= n).select(*by, "rank", feature, "value"))
 
 
+def report_clusters(triples: DataFrame, path: str, k: int, max_iter: int, tol: float, seed: int = 0,
+                    n: int = 10) -> None:
+    """SNK8: cluster and report every round's top terms and loss under ``path`` as the
+    rounds end.  A run on the same path goes on after the last reported round, from
+    its centroids; a finished one is left alone."""
+    report = RoundReport(triples.sparkSession, path)
+    done = report.last_round()
+    if done >= max_iter:
+        return
+
+    def on_round(it: int, centroids: DataFrame) -> None:
+        report.write_round(done + it, centroids,
+                           top_terms(centroids.withColumnRenamed("term", "term_id"), n))
+
+    kmeans_cosine(triples, k=k, max_iter=max_iter - done, tol=tol, seed=seed,
+                  init=report.centroids(done) if done else None, on_round=on_round,
+                  on_loss=lambda it, loss: report.write_loss(done + it, loss))
+
+
 def doc_centroid_distances(triples: DataFrame, centroids: DataFrame, k: int,
                            entity: str = "doc_id", feature: str = "term_id",
                            value: str = "tfidf") -> DataFrame:

@@ -8,11 +8,14 @@ from pyspark.sql import functions as F
 
 from sparkiln.functions.labels import MAKE_LABELS, normalize_label
 from sparkiln.functions.time import parse_timestamp
+from sparkiln.operators import geo as GEO
 from sparkiln.operators import kmeans as KM
 from sparkiln.operators import stats as ST
 from sparkiln.operators import timeline as TL
 from sparkiln.operators import windows as W
+from sparkiln.plans import catalog as CAT
 from sparkiln.plans import params as P
+from sparkiln.plans.oracle import _KMC, kmeans_2d_sql
 from sparkiln.session import scratch_path
 from sparkiln.sinks import files as SINK
 from sparkiln.sources import files as SRC
@@ -128,10 +131,9 @@ FROM (SELECT DISTINCT p_type FROM part WHERE p_type IS NOT NULL)""")
 def q_dictionary_ids(spark, sf_dir):
     path = scratch_path(spark, "dictionary")
     terms = SRC.dictionary_from_values(load_table(spark, sf_dir, "part"), "p_type")
-    # as rows in many files: a vocabulary grows with the table (SRC.read_dictionary is for files
-    # that the caller has, one entry per line)
-    terms.select("id", "term").write.parquet(path)
-    return spark.read.schema("id int, term string").parquet(path)
+    # one entry per line, in many files that follow each other
+    terms.repartitionByRange("id").sortWithinPartitions("id").select("term").write.text(path)
+    return SRC.read_dictionary(spark, path)
 
 
 @query("point_lines", """
@@ -190,13 +192,49 @@ def q_cluster_output(spark, sf_dir):
 
 
 def q_cluster_report(spark, sf_dir):
-    """SNK8 on the 2-D run: per-round centroids and last centroids as two
-    tables; its SQL is that of ``kmeans_2d_history``."""
+    """SNK8: the cosine run's report, written round by round and read back: top terms
+    with the loss of their round.  The run is broken off after three rounds and
+    continued from what the sink holds."""
     path = scratch_path(spark, "report")
-    result = _clusters(spark, sf_dir)
-    SINK.write_report(result.centroids, result.history, path)
-    return spark.read.parquet(f"{path}/loss").select(
-        "iteration", "cluster", F.round("x", 9).alias("x"), F.round("y", 9).alias("y"), "size")
+    triples = CAT._tfidf_written(spark, sf_dir)
+    settings = dict(k=P.KMEANS_COS_K, tol=P.KMEANS_COS_TOL, seed=P.KMEANS_SEED)
+    KM.report_clusters(triples, path, max_iter=3, **settings)
+    KM.report_clusters(triples, path, max_iter=P.KMEANS_COS_MAX_ITER, **settings)
+    report = SINK.RoundReport(spark, path)
+    return report.top_terms().join(report.losses(), "iteration").select(
+        "iteration", "cluster", "rank", "term_id", F.round("value", 9).alias("value"),
+        F.round("loss", 6).alias("loss"))
+
+
+def q_kmeans_2d_emptied(spark, sf_dir):
+    """CL7: with 25 clusters begun by chance some stay empty at once, and the loop stops
+    there instead of going on to its last round."""
+    result = KM.kmeans_2d(CAT._points_2d(spark, sf_dir), k=25, max_iter=P.KMEANS_2D_MAX_ITER,
+                          tol=P.KMEANS_2D_TOL, seed=P.KMEANS_SEED)
+    return result.history.select("iteration", "cluster", F.round("x", 9).alias("x"),
+                                 F.round("y", 9).alias("y"), "size")
+
+
+def q_stream_tracks(spark, sf_dir):
+    """AGG25 as a stream: positions arrive in three stretches of time, each drained by a
+    run of its own that goes on from the last one's state."""
+    base = scratch_path(spark, "stream-tracks")
+    events = load_table(spark, sf_dir, "events").select(
+        "user_id", "ts", "event_id",
+        (F.get_json_object("props", "$.k").try_cast("double") - 50).alias("lat"),
+        (F.col("value") - 180).alias("lon"))
+    ends = events.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
+    if ends["lo"] is None:
+        return GEO.tracks(events, "user_id", "ts", ["event_id", "lat", "lon"], tie="event_id")
+    step = (ends["hi"] - ends["lo"]) / 3
+    cuts = [ends["lo"] + step, ends["lo"] + 2 * step]
+    part = sum(((F.col("ts") > F.lit(c)).cast("int") for c in cuts), F.lit(0))
+    for i in range(3):
+        events.where(F.coalesce(part, F.lit(0)) == i).write.mode("append").parquet(f"{base}/landing")
+        JOBS.tracks_stream(JOBS.table_stream(spark, f"{base}/landing", events.schema), f"{base}/checkpoint",
+                         f"{base}/out", "user_id", "ts", ["event_id", "lat", "lon"], tie="event_id")
+    return JOBS.read_tracks(spark, f"{base}/out", events.schema, "user_id", "ts",
+                          ["event_id", "lat", "lon"])
 
 
 # ---------------------------------------------------------------- rules and values
@@ -334,7 +372,12 @@ def q_stats_with_gaps(spark, sf_dir):
 
 
 QUERIES |= {"cluster_output": q_cluster_output, "cluster_report": q_cluster_report,
-            "numeric_correlation": q_numeric_correlation}
+            "numeric_correlation": q_numeric_correlation, "stream_tracks": q_stream_tracks,
+            "kmeans_2d_emptied": q_kmeans_2d_emptied}
+ORACLE["cluster_report"] = (f"SELECT t.*, l.loss FROM ({_KMC['top']}) t "
+                            f"JOIN ({_KMC['loss']}) l USING (iteration)")
+ORACLE["kmeans_2d_emptied"] = kmeans_2d_sql(25, P.KMEANS_2D_MAX_ITER, P.KMEANS_2D_TOL,
+                                            P.KMEANS_SEED)["history"]
 #: Queries whose SQL is that of another registered query.
-SAME_SQL = {"cluster_output": "kmeans_2d_assign", "cluster_report": "kmeans_2d_history",
+SAME_SQL = {"cluster_output": "kmeans_2d_assign", "stream_tracks": "tracks",
             "numeric_correlation": "correlation_matrix"}

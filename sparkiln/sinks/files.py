@@ -9,9 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkiln.functions.literals import literal_rows
+
 
 def write_kv_text(df: DataFrame, path: str, key: str, value: str, mode: str = "overwrite") -> None:
     """SNK1: key<TAB>value lines."""
@@ -73,10 +76,46 @@ def write_clusters(assignments: DataFrame, centroids: DataFrame, path: str) -> N
     assignments.write.mode("overwrite").parquet(f"{path}/assignments")
 
 
-def write_report(top: DataFrame, losses: DataFrame, path: str) -> None:
-    """SNK8: top-terms and loss-per-iteration tables."""
-    top.write.mode("overwrite").parquet(f"{path}/top_terms")
-    losses.write.mode("overwrite").parquet(f"{path}/loss")
+class RoundReport:
+    """SNK8: the report of a clustering run, a folder per round and kind, written as the
+    rounds end: centroids, their top terms, and the loss.  A round counts as
+    reported once its loss is there; writing it again replaces its folders only."""
+
+    LOSS, TERMS = "loss double", "cluster int, rank int, term_id int, value double"
+    CENTROIDS = "cluster int, term int, value double"
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def write_round(self, iteration: int, centroids: DataFrame, top: DataFrame) -> None:
+        for kind, table in (("centroids", centroids), ("top_terms", top)):
+            table.write.mode("overwrite").parquet(f"{self.path}/{kind}/iteration={iteration}")
+
+    def write_loss(self, iteration: int, loss: float) -> None:
+        literal_rows(self.spark, [(float(loss),)], self.LOSS).write.mode("overwrite").parquet(
+            f"{self.path}/loss/iteration={iteration}")
+
+    def _table(self, kind: str, schema: str) -> DataFrame:
+        return self.spark.read.schema(f"{schema}, iteration int").parquet(f"{self.path}/{kind}")
+
+    def top_terms(self) -> DataFrame:
+        return self._table("top_terms", self.TERMS)
+
+    def losses(self) -> DataFrame:
+        return self._table("loss", self.LOSS)
+
+    def centroids(self, iteration: int) -> DataFrame:
+        return self._table("centroids", self.CENTROIDS).where(
+            F.col("iteration") == iteration).drop("iteration")
+
+    def last_round(self) -> int:
+        """The last reported round, 0 where there is none."""
+        try:
+            return self.losses().agg(F.max("iteration")).first()[0] or 0
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return 0
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

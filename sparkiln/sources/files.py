@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from sparkiln.functions.text import parent_folder, path_stem
 from sparkiln.operators.ranking import dense_index
+from sparkiln.session import materialize
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -25,18 +26,29 @@ def read_corpus(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_dictionary(spark: SparkSession, path: str, out: str = "term") -> DataFrame:
-    """SRC3: a one-entry-per-line file as (id, entry), id = line number from 1.
-
-    Line numbers come from a whole-file read (``wholetext``) and
-    ``posexplode``, so they are exact whatever the file splits; entries are
-    trimmed and a final newline does not add an empty entry.  Dictionaries
-    are small files (the reference's largest has 9,635 lines); a file must
-    fit in one row.
+    """SRC3: a one-entry-per-line file as (id, entry), id = line number from 1; the
+    files of a folder are numbered on in the order of their paths.
+
+    The file is read in splits by many tasks.  Every line keeps its file, the
+    byte where its split starts and its place in the task, as written once; the lines of each
+    split are counted, and the sums of the splits before turn places into line
+    numbers.  Only the table of splits is ordered in one task.  Entries are
+    trimmed; blank lines count, a final newline does not add an entry.
     """
-    df = spark.read.text(path, wholetext=True)
-    body = F.regexp_replace(F.col("value"), "\\r?\\n\\z", "")
-    lines = df.select(F.posexplode(F.split(body, "\\r?\\n")).alias("pos", "raw"))
-    return lines.select((F.col("pos") + 1).cast("int").alias("id"), F.trim(F.col("raw")).alias(out))
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"), "value",
+        F.monotonically_increasing_id().alias("_at"))
+    placed = materialize(lines, "lines")
+    splits = placed.groupBy("_file", "_block").agg(
+        F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    ahead = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.select(F.col("_file").alias("_f"), F.col("_block").alias("_b"), "_first",
+                           F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_before"))
+    numbered = placed.join(splits, (F.col("_file") == F.col("_f")) & (F.col("_block") == F.col("_b")))
+    return numbered.select(
+        (F.col("_before") + F.col("_at") - F.col("_first") + 1).cast("int").alias("id"),
+        F.trim(F.regexp_replace("value", "\\r\\z", "")).alias(out))
 
 
 def read_points(spark: SparkSession, path: str) -> DataFrame:

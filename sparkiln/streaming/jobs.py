@@ -11,17 +11,18 @@ folder, so a restarted job resumes where it stopped.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from sparkiln.functions.time import hour_end_label
 from sparkiln.operators import windows as W
+from sparkiln.operators.geo import tracks
 from sparkiln.plans.params import TAXI_REGIONS
-from sparkiln.sinks.files import append_writer, label_writer, replace_writer
+from sparkiln.sinks.files import append_writer, label_writer, replace_writer, write_partitioned
 from sparkiln.sources.trips import read_trips_stream, unify_trips
 
 
@@ -143,3 +144,56 @@ def telemetry_ingest(spark: SparkSession, landing: str, checkpoint_path: str, ou
     stream = read_telemetry(spark, landing, stream=True)
     return run_available(stream, append_writer(output_path, normalize_telemetry),
                          checkpoint_path, "append", "TelemetryIngest")
+
+
+def _latest_totals(spark: SparkSession, path: str, key_type: str, key: str, before: int
+                   ) -> DataFrame:
+    """Rows per object up to the last batch before ``before`` (none for the first)."""
+    schema = f"{key} {key_type}, _total long, batch_id long"
+    if before == 0:
+        return spark.createDataFrame([], schema).drop("batch_id")
+    all_ = spark.read.schema(schema).parquet(path).where(F.col("batch_id") < before)
+    last = all_.agg(F.max("batch_id")).first()[0]
+    return all_.where(F.col("batch_id") == (-1 if last is None else last)).drop("batch_id")
+
+
+def tracks_stream(stream: DataFrame, checkpoint_path: str, output_path: str, key: str, ts: str,
+                  cols: Sequence[str], tie: str | None = None, out: str = "seq") -> StreamingQuery:
+    """AGG25 as a stream: each object's positions, numbered on across micro-batches.
+
+    A batch's positions are ranked per object in time order (``tracks``, so a hot
+    object is spread over tasks) and the number of positions that the object had before is
+    added.  That number is the job's state: one row per object, written under
+    ``<output>_totals`` in a folder per batch, made from the folder of the batch before.
+    Both tables are written by batch, so a batch that is killed and run again
+    replaces its own folders and doubles nothing.  Positions that arrive in a later batch
+    come later in the track, whatever their time.
+    """
+    totals_path = output_path.rstrip("/") + "_totals"
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        before = _latest_totals(spark, totals_path, batch.schema[key].dataType.simpleString(), key,
+                                batch_id).select(F.col(key).alias("_key"), "_total")
+        ranked = tracks(batch, key, ts, cols, tie, out)
+        same = F.col(key).eqNullSafe(F.col("_key"))
+        rows = ranked.join(before, same, "left").select(
+            key, (F.col(out) + F.coalesce("_total", F.lit(0))).alias(out), ts, *cols,
+            F.lit(batch_id).cast("long").alias("batch_id"))
+        write_partitioned(rows, output_path, ["batch_id"])
+        added = ranked.groupBy(key).agg(F.count(F.lit(1)).alias("_added"))
+        totals = before.withColumn("_had", F.lit(True)).join(added, same, "full").select(
+            F.when(F.col("_had"), F.col("_key")).otherwise(F.col(key)).alias(key),
+            (F.coalesce("_total", F.lit(0)) + F.coalesce("_added", F.lit(0))).alias("_total"),
+            F.lit(batch_id).cast("long").alias("batch_id"))
+        write_partitioned(totals, totals_path, ["batch_id"])
+
+    return run_available(stream, write_batch, checkpoint_path, "append", "Tracks")
+
+
+def read_tracks(spark: SparkSession, path: str, schema: StructType, key: str, ts: str,
+                cols: Sequence[str], out: str = "seq") -> DataFrame:
+    """The table of ``tracks_stream``: key, seq, ts, cols."""
+    fields = [schema[key], StructField(out, LongType()), *[schema[c] for c in (ts, *cols)]]
+    return spark.read.schema(StructType([*fields, StructField("batch_id", LongType())])).parquet(
+        path).drop("batch_id")
