@@ -481,12 +481,9 @@ def q_stream_trending(spark, sf_dir):
     counts = W.region_counts(_plane(_events_stream(spark, sf_dir)), P.EVENT_REGIONS, "x", "y",
                              "ts", width=P.TREND_WIDTH)
 
-    def prepare(batch):
-        return W.trending(W.flatten_window(batch), width_s=P.TREND_WIDTH_S,
-                          min_count=P.TREND_MIN_COUNT, ratio=P.TREND_RATIO)
-    SJ.run_available(counts, replace_writer(f"{base}/out", prepare), f"{base}/checkpoint",
-                     "complete")
-    return spark.read.parquet(f"{base}/out")
+    SJ.trend_deltas(counts, f"{base}/checkpoint", f"{base}/out", width_s=P.TREND_WIDTH_S,
+                    min_count=P.TREND_MIN_COUNT, ratio=P.TREND_RATIO)
+    return SJ.read_trends(spark, f"{base}/out", counts.schema)
 
 
 @query("stream_count_by_type")

@@ -16,12 +16,13 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from sparkiln.functions.time import hour_end_label
 from sparkiln.operators import windows as W
 from sparkiln.operators.geo import tracks
 from sparkiln.plans.params import TAXI_REGIONS
+from sparkiln.session import materialize
 from sparkiln.sinks.files import append_writer, label_writer, replace_writer, write_partitioned
 from sparkiln.sources.trips import read_trips_stream, unify_trips
 
@@ -197,3 +198,69 @@ def read_tracks(spark: SparkSession, path: str, schema: StructType, key: str, ts
     fields = [schema[key], StructField(out, LongType()), *[schema[c] for c in (ts, *cols)]]
     return spark.read.schema(StructType([*fields, StructField("batch_id", LongType())])).parquet(
         path).drop("batch_id")
+
+
+_WINDOW = "window_start"
+
+
+def trend_deltas(counts: DataFrame, checkpoint_path: str, output_path: str,
+                 key: str = "headquarter", width_s: int = 600, min_count: int = 10,
+                 ratio: float = 2) -> StreamingQuery:
+    """ST4/SNK4/SNK6 without rewriting the state: trends of windowed counts in update mode.
+
+    A micro-batch holds the windows whose count changed.  Their counts are added to a log
+    (``counts``, by day and batch); only these windows and their successors are judged
+    anew, from the latest counts of those windows and the ones before them.  Their trends go
+    to label folders (``trends/batch_id=/day=/timestamp=``), one alert line each to
+    ``alerts``, and last, as the pointer that publishes the batch, the list of judged
+    windows to ``windows``.  ``read_trends`` takes every window from the last batch that
+    judged it, so a batch that is killed half-way is not seen until it has run again,
+    which replaces its own folders, and a window whose trend is over loses it.
+    """
+    root = output_path.rstrip("/")
+    step = F.expr(f"INTERVAL {int(width_s)} SECONDS")
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        number = F.lit(batch_id).cast("long").alias("batch_id")
+        touched = materialize(W.flatten_window(batch).select(
+            key, _WINDOW, F.col("count").cast("long").alias("count"),
+            F.to_date(_WINDOW).alias("day"), number), "touched")
+        ends = touched.agg(F.min(F.col(_WINDOW) - step).alias("lo"),
+                           F.max(F.col(_WINDOW) + step).alias("hi")).first()
+        if ends["lo"] is None:
+            return
+        write_partitioned(touched, f"{root}/counts", ["day", "batch_id"])
+        judged = materialize(touched.select(_WINDOW).unionByName(
+            touched.select((F.col(_WINDOW) + step).alias(_WINDOW))).distinct(), "judged")
+        needed = judged.unionByName(judged.select((F.col(_WINDOW) - step).alias(_WINDOW))).distinct()
+        log = spark.read.schema(touched.schema).parquet(f"{root}/counts").where(
+            (F.col("batch_id") <= batch_id)
+            & F.col("day").between(F.lit(ends["lo"].date()), F.lit(ends["hi"].date())))
+        latest = log.join(needed, _WINDOW, "left_semi").groupBy(key, _WINDOW).agg(
+            F.max(F.struct("batch_id", "count"))["count"].alias("count"))
+        trends = materialize(W.trending(latest, key, _WINDOW, width_s, min_count, ratio)
+                             .join(judged, _WINDOW, "left_semi"), "trends")
+        write_partitioned(trends.withColumn("day", F.to_date(_WINDOW)).withColumn("batch_id", number),
+                          f"{root}/trends", ["batch_id", "day", "timestamp"])
+        write_partitioned(W.trend_alerts(trends, key).withColumn("batch_id", number),
+                          f"{root}/alerts", ["batch_id"], "text", "alert")
+        write_partitioned(judged.withColumn("batch_id", number), f"{root}/windows", ["batch_id"])
+
+    return run_available(counts, write_batch, checkpoint_path, "update", "TrendDeltas")
+
+
+def read_trends(spark: SparkSession, path: str, counts: StructType, key: str = "headquarter"
+                ) -> DataFrame:
+    """The published trends of ``trend_deltas`` (``counts``: schema of its input): key,
+    window_start, count, prev_count, timestamp, trend."""
+    root, start = path.rstrip("/"), counts["window"].dataType["start"].dataType
+    window, batch = StructField(_WINDOW, start), StructField("batch_id", LongType())
+    last = (spark.read.schema(StructType([window, batch])).parquet(f"{root}/windows")
+            .groupBy(_WINDOW).agg(F.max("batch_id").alias("batch_id")))
+    rows = spark.read.schema(StructType([
+        counts[key], window, StructField("count", LongType()), StructField("prev_count", LongType()),
+        StructField("trend", StringType()), batch, StructField("timestamp", LongType())
+    ])).parquet(f"{root}/trends")
+    return rows.join(last, [_WINDOW, "batch_id"]).select(
+        key, _WINDOW, "count", "prev_count", "timestamp", "trend")
