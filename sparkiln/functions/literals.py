@@ -12,7 +12,8 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, BooleanType, DataType, DateType, DoubleType, FloatType,
                                IntegerType, LongType, StringType, StructType,
                                _parse_datatype_string)
@@ -58,3 +59,9 @@ def literal_rows(spark: SparkSession, rows: Sequence[Sequence], schema) -> DataF
         "named_struct(" + ", ".join(f"'{f.name}', {sql_literal(v, f.dataType)}"
                                     for v, f in zip(r, fields)) + ")" for r in rows)
     return spark.range(1).selectExpr(f"inline(array({structs}))")
+
+
+def plain_value(v) -> Column:
+    """``v`` in every row, but not as a literal: a join on a literal key is
+    folded into one without keys, which has to compare everything."""
+    return F.when(F.spark_partition_id() < 0, F.lit(None)).otherwise(F.lit(v))

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkiln.functions.hashing import unit_draw
-from sparkiln.functions.literals import literal_rows
+from sparkiln.functions.literals import literal_rows, plain_value
 from sparkiln.operators import trees
 from sparkiln.operators.ranking import group_rank
 from sparkiln.session import materialize
@@ -190,7 +190,7 @@ def knn(train: DataFrame, query: DataFrame, features: Sequence[str], k: int,
     place = [f"_g{i}" for i in range(d)]
     q = present(query.select(F.col(qid).alias("_q"), *[
         F.col(f).cast("double").alias(f"_g{i}") for i, f in enumerate(qfeats)]), "_g")
-    root = F.lit(0).cast("long").alias("node")
+    root = plain_value(0).cast("long").alias("node")
 
     # one near cell for each query, and the k-th point in it
     walk = q.select("_q", *place, root)

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkiln.functions.literals import literal_rows
+from sparkiln.functions.literals import literal_rows, plain_value
 from sparkiln.session import materialize
 
 LOCAL_CELLS = 65_536  # distinct feature rows of a node that one task may finish
@@ -196,7 +196,8 @@ def predict_tree(tree: RegressionTree, df: DataFrame, features: Sequence[str] |
     d = len(features)
     whole = F.struct(*[F.col(c) for c in df.columns]).alias("row")
     rows = df.select(whole, *[F.col(f).cast("double").alias(f"f{j}")
-                              for j, f in enumerate(features)], F.lit("").alias("node"))
+                              for j, f in enumerate(features)],
+                     plain_value("").alias("node"))
     names = [f"f{j}" for j in range(d)]
     for cuts in tree.splits:
         rows = rows.join(cuts, "node", "left").select(
