@@ -131,9 +131,11 @@ FROM (SELECT DISTINCT p_type FROM part WHERE p_type IS NOT NULL)""")
 def q_dictionary_ids(spark, sf_dir):
     path = scratch_path(spark, "dictionary")
     terms = SRC.dictionary_from_values(load_table(spark, sf_dir, "part"), "p_type")
-    # one entry per line, in many files that follow each other
-    terms.repartitionByRange("id").sortWithinPartitions("id").select("term").write.text(path)
-    return SRC.read_dictionary(spark, path)
+    # one entry per line, in many files that follow each other; encoded, because a value may
+    # hold what ends a line or is trimmed off it
+    (terms.repartitionByRange("id").sortWithinPartitions("id").select(F.url_encode("term"))
+     .write.text(path))
+    return SRC.read_dictionary(spark, path).select("id", F.url_decode("term").alias("term"))
 
 
 @query("point_lines", """
