@@ -58,6 +58,8 @@ FINE_BITS = 4096
 HUBS = 2  # members of a bucket that all others are compared with
 BLOCK = 256  # members of a bucket compared in one go
 PAIRS_AT_ONCE = 50_000
+SIEVE_BITS = 1 << 26  # 8 MB
+SIEVE_IDS = 1 << 24  # more of them fill too many of the sieve's bits
 
 SKETCH = ("doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, "
           "sketch array<long>")
@@ -231,13 +233,49 @@ def _block_pairs(limit: int):
     return run
 
 
-def sets_of(nodes: DataFrame, classes: DataFrame, docs: DataFrame, k: int) -> DataFrame:
-    """(node, hashes): the full shingle sets of some classes."""
-    wanted = nodes.distinct().join(
-        classes.select("node", F.col("rep").alias("doc_id"), "set_a", "set_b"), "node")
-    texts = docs.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
-    return (set_table(texts, k).join(wanted, ["doc_id", "set_a", "set_b"])
-            .select("node", "hashes").dropDuplicates(["node"]))
+def id_sieve(ids: DataFrame) -> np.ndarray:
+    """Fixed number of bits, made by the tasks cell by cell, that tell which doc_ids
+    may be among the given ones: a false hit is removed by a join, a miss cannot occur."""
+    bit = F.pmod(F.xxhash64("doc_id"), F.lit(SIEVE_BITS))
+    made = (ids.select(F.shiftright(bit, 6).alias("cell"),
+                       F.expr("shiftleft(1L, int(pmod(xxhash64(doc_id), 64)))").alias("held"))
+            .groupBy("cell").agg(F.bit_or("held").alias("held")).toArrow())
+    cells = np.zeros(SIEVE_BITS >> 6, np.int64)
+    cells[made.column("cell").to_numpy()] = made.column("held").to_numpy()
+    return cells
+
+
+def among(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is one of ``ids`` and, up to ``SIEVE_IDS`` ids,
+    few others: those are found by a sieve as the texts are scanned, so that no text is
+    shuffled.  More ids than a sieve tells apart are joined."""
+    if ids.count() > SIEVE_IDS:
+        return docs.join(ids.distinct(), "doc_id", "left_semi")
+    cells = docs.sparkSession.sparkContext.broadcast(id_sieve(ids))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bit = batch.column("bit").to_numpy()
+            held = (cells.value[bit >> 6] >> (bit & 63)) & 1
+            yield batch.filter(pa.array(held == 1)).select(["doc_id", "text"])
+
+    return docs.where("doc_id IS NOT NULL").select(
+        "doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(SIEVE_BITS)).alias("bit")
+    ).mapInArrow(run, "doc_id long, text string")
+
+
+def candidate_sets(nodes: DataFrame, classes: DataFrame, docs: DataFrame, k: int
+                   ) -> tuple[DataFrame, DataFrame]:
+    """(row, hashes): full shingle sets, written as the texts are scanned, and
+    (node, row): the row that holds the set of a class."""
+    wanted = materialize(nodes.distinct().join(
+        classes.select("node", F.col("rep").alias("doc_id"), "set_a", "set_b"), "node"), "wanted")
+    # numbered as written, so the numbers are fixed
+    sets = materialize(set_table(among(docs, wanted.select("doc_id")), k).withColumn(
+        "row", F.monotonically_increasing_id()), "sets")
+    rows = materialize(sets.drop("hashes").join(wanted, ["doc_id", "set_a", "set_b"]).groupBy(
+        "node").agg(F.min("row").alias("row")), "set_rows")
+    return sets.select("row", "hashes"), rows
 
 
 def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, percent: int
@@ -245,12 +283,12 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, perc
     """Of pairs (a, b) of classes, those whose full sets are similar enough."""
     nodes = pairs.select(F.col("a").alias("node")).unionByName(
         pairs.select(F.col("b").alias("node")))
-    sets = materialize(sets_of(nodes, classes, docs, k), "sets")
-    left = sets.select(F.col("node").alias("a"), F.col("hashes").alias("left"))
-    right = sets.select(F.col("node").alias("b"), F.col("hashes").alias("right"))
-    both = pairs.join(left, "a").join(right, "b").select(
+    sets, rows = candidate_sets(nodes, classes, docs, k)
+    placed = pairs.join(rows.toDF("a", "row_a"), "a").join(rows.toDF("b", "row_b"), "b")
+    both = (placed.join(sets.toDF("row_a", "left"), "row_a")
+            .join(sets.toDF("row_b", "right"), "row_b").select(
         "a", "b", F.size(F.array_intersect("left", "right")).alias("shared"),
-        (F.size("left") + F.size("right")).alias("total"))
+        (F.size("left") + F.size("right")).alias("total")))
     return both.where(100 * F.col("shared") >= percent * (F.col("total") - F.col("shared"))
                       ).select("a", "b")
 
@@ -319,7 +357,8 @@ def fine_marks(nodes: DataFrame, classes: DataFrame, docs: DataFrame, k: int) ->
                     [part.column("node"), _rows(keys), _rows(bits)],
                     names=["node", "bands", "sketch"])
 
-    return materialize(sets_of(nodes, classes, docs, k).mapInArrow(
+    sets, rows = candidate_sets(nodes, classes, docs, k)
+    return materialize(rows.join(sets, "row").select("node", "hashes").mapInArrow(
         run, "node long, bands array<long>, sketch array<long>"), "fine")
 
 
