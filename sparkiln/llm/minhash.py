@@ -17,9 +17,13 @@
    sketch of all these samples, which tell similarities apart more sharply, and
    stars of their own.  In the buckets that
    then are still open, every member outside the largest component is compared
-   with all members of other components by their odd sketches, in groups of at
-   most ``BLOCK`` of one and ``BLOCK`` of the other, and only pairs that pass
-   leave the group, each from the first bucket that it shares.  So no pair that shares a bucket goes untested unless its
+   with all members of other components by their odd sketches, in groups of about
+   ``BLOCK`` of one and ``BLOCK`` of the other, and only pairs that pass
+   leave the group, each from the first bucket that it shares.  Buckets with the same
+   largest component are a family; where its distinct members make fewer pairs than its
+   buckets one by one (near copies meet in most of their bands), the family is compared
+   as one bucket in groups of about ``FAMILY``, and sketches are sent once, not once a band.
+   So no pair that shares a bucket goes untested unless its
    members are connected already, and no task ever holds a whole bucket.
 5. Components of the verified links, spread to all class members.
 
@@ -57,6 +61,7 @@ SKETCH_BITS = 512
 FINE_BITS = 4096
 HUBS = 2  # members of a bucket that all others are compared with
 BLOCK = 256  # members of a bucket compared in one go
+FAMILY = 1024  # members of a family compared in one go
 PAIRS_AT_ONCE = 50_000
 SIEVE_BITS = 1 << 26  # 8 MB
 SIEVE_IDS = 1 << 24  # more of them fill too many of the sieve's bits
@@ -169,11 +174,12 @@ def odd_distance(a, b) -> Column:
 
 
 def near_pairs(group: np.ndarray, side: np.ndarray, node: np.ndarray, component: np.ndarray,
-               sketch: np.ndarray, band: np.ndarray, bands: np.ndarray, limit: int
-               ) -> tuple[np.ndarray, np.ndarray]:
+               sketch: np.ndarray, band: np.ndarray, whole: np.ndarray, bands: np.ndarray,
+               limit: int) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of a side-0 and a side-1 row of the same group (numbered from 0, in
-    order) that lie in different components, pass the sketch test and share no
-    earlier one of their ``bands`` than the group's ``band``."""
+    order) that lie in different components, pass the sketch test and share one of
+    their ``bands``, in groups that are not ``whole`` families the group's ``band``
+    and no earlier one."""
     zero, one = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
     first = np.searchsorted(group[one], np.arange(group[-1] + 2)) if len(group) else one
     out = []
@@ -190,8 +196,9 @@ def near_pairs(group: np.ndarray, side: np.ndarray, node: np.ndarray, component:
         x, y = x[apart], y[apart]
         away = np.bitwise_count(sketch[x] ^ sketch[y]).sum(axis=1, dtype=np.int64)
         x, y = x[away <= limit], y[away <= limit]
-        first_shared = (bands[x] == bands[y]).argmax(axis=1)
-        here = bands[x, first_shared] == band[x]
+        shared = bands[x] == bands[y]
+        own = bands[x, shared.argmax(axis=1)] == band[x]
+        here = np.where(whole[x], shared.any(axis=1), own)
         out.append((node[x[here]], node[y[here]]))
         lo = hi
     if not out:
@@ -210,7 +217,7 @@ def _block_pairs(limit: int):
                          for c in ("sketch", "bands"))
         a, b = near_pairs(np.cumsum(fresh), table.column("side").to_numpy(),
                           table.column("node").to_numpy(), table.column("component").to_numpy(),
-                          sketch.view(np.uint64), keys[0], bands, limit)
+                          sketch.view(np.uint64), keys[0], keys[1] < 0, bands, limit)
         pairs = np.unique(np.stack([a, b], axis=1), axis=0)
         return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])],
                                           names=["a", "b"])
@@ -319,28 +326,54 @@ def star_pairs(placed: DataFrame, marks: DataFrame, limit: int) -> DataFrame:
     return both.where(odd_distance("left", "right") <= limit).select("a", "b")
 
 
+def families(open_: DataFrame, members: DataFrame) -> DataFrame:
+    """(top, all, out): the families, buckets with the same largest component ``top``,
+    whose distinct members are fewer pairs than those of their buckets one by one."""
+    of_family = members.groupBy("top").agg(
+        F.count(F.lit(1)).alias("all"), F.count_if(F.col("component") != F.col("top")).alias("out"))
+    of_buckets = open_.groupBy("top").agg(F.sum(F.col("all") * F.col("out")).alias("apart"))
+    return of_family.join(of_buckets, "top").where("all * out <= apart").select(
+        "top", "all", "out")
+
+
 def closure_pairs(placed: DataFrame, marks: DataFrame, limit: int) -> DataFrame:
     """Cross-component pairs that share a bucket and pass the sketch test.  In a
     bucket of two the star was the only pair."""
     parts = placed.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n"))
-    open_ = (parts.groupBy("band").agg(
+    open_ = materialize(parts.groupBy("band").agg(
         F.sum("n").alias("all"), F.max(F.struct("n", "component")).alias("top"))
         .where("all > top.n AND all > 2").select(
-            "band", F.col("top.component").alias("top"),
-            F.ceil(F.col("all") / BLOCK).cast("int").alias("blocks"),
-            F.ceil((F.col("all") - F.col("top.n")) / BLOCK).cast("int").alias("few")))
-    members = placed.join(open_, "band").join(marks.select("node", "sketch", "bands"), "node")
+            "band", F.col("top.component").alias("top"), "all",
+            (F.col("all") - F.col("top.n")).alias("out")), "open")
+    in_family = materialize(placed.join(open_, "band").select("top", "node", "component").distinct(),
+                            "family")
+    whole = materialize(families(open_, in_family), "families")
+
+    def blocks(size: int) -> list[Column]:
+        return [F.ceil(F.col("all") / size).cast("int").alias("blocks"),
+                F.ceil(F.col("out") / size).cast("int").alias("few")]
+
+    group = ["band", "top", "node", "component", "whole"]
+    by_family = in_family.join(whole, "top").withColumns(
+        {"band": F.col("top"), "whole": F.lit(True)}).select(*group, *blocks(FAMILY))
+    by_bucket = placed.join(open_.join(whole.select("top"), "top", "left_anti"), "band").withColumn(
+        "whole", F.lit(False)).select(*group, *blocks(BLOCK))
+    members = by_family.unionByName(by_bucket).join(marks.select("node", "sketch", "bands"), "node")
     h = F.xxhash64("node")
     cols = ["band", "node", "component", "sketch", "bands"]
+
     # all members, met by each block of those outside the largest component
-    every = members.select(*cols, F.explode(F.sequence(F.lit(0), F.col("few") - 1)).alias("i"),
-                           F.pmod(h, F.col("blocks")).cast("int").alias("j"), F.lit(1).alias("side"))
+    every = members.select(*cols, "whole", F.explode(F.sequence(F.lit(0), F.col("few") - 1)).alias("i"),
+                           F.pmod(h, F.col("blocks")).cast("int").alias("j"))
     away = members.where("component != top").select(
-        *cols, F.pmod(h, F.col("few")).cast("int").alias("i"),
-        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"), F.lit(0).alias("side"))
+        *cols, "whole", F.pmod(h, F.col("few")).cast("int").alias("i"),
+        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"))
     order = ["band", "i", "j"]
-    dealt = every.unionByName(away).repartition(*order).sortWithinPartitions(*order)
-    return dealt.mapInArrow(_block_pairs(limit), "a long, b long").distinct()
+    both = every.withColumn("side", F.lit(1)).unionByName(away.withColumn("side", F.lit(0)))
+    # the blocks of a family are numbered from -1 down
+    numbered = both.withColumn("i", F.when(F.col("whole"), -1 - F.col("i")).otherwise(F.col("i")))
+    sent = numbered.drop("whole").repartition(*order).sortWithinPartitions(*order)
+    return sent.mapInArrow(_block_pairs(limit), "a long, b long").distinct()
 
 
 def fine_marks(nodes: DataFrame, classes: DataFrame, docs: DataFrame, k: int) -> DataFrame:
