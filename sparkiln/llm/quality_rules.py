@@ -2,12 +2,17 @@
 
 Each document gets measures of its whole text and fails or passes a few rules.
 Failures are counted by host (the ``source`` column), the host rates of each
-rule are shrunk towards their mean with a beta prior fitted to the hosts by
-moments, and a host whose shrunk rate of any rule exceeds ``HOST_LIMIT`` fails:
-its documents are not kept, even those that pass by themselves.  A host of one
-or two bad documents is pulled to the prior and stays where most hosts are large;
-where most have one document, the unweighted moments leave a prior weight of 1 and
-it fails (see the README).
+rule are shrunk towards the rate of all documents with a beta prior, and a host
+whose shrunk rate of any rule lies more than ``HOST_LIMIT`` of the way from that
+overall rate to 1 fails: its documents are not kept, even those that pass by
+themselves.
+
+The prior is fitted by beta-binomial moments weighted by the hosts' documents, which
+take the binomial noise of a host's rate out of the spread between hosts.  What is left
+is the share of the spread that hosts explain, rho, and the prior counts as
+1 / rho - 1 documents, at least ``LEAST_WEIGHT``.  Where hosts do not differ by more
+than chance, or where every host has one document so that nothing can be told, rho is
+0 and every host has the overall rate: none fails.
 
 Built-in expressions only.  Repeated windows are found inside the row (hash
 per window; only texts with a repeated hash are sorted), so nothing is exploded
@@ -35,7 +40,9 @@ MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 MAX_SYMBOL_PERCENT = 50
 MAX_DUP_LINE_PERCENT = 50
-HOST_LIMIT = 0.5
+HOST_LIMIT = 0.5  # part of the way from the rate of all documents to 1
+LEAST_WEIGHT = 1.0  # documents that the prior counts as, at least
+ROOM = 1e-6  # documents beyond the first of each host; under it hosts tell nothing
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -100,23 +107,40 @@ def rules() -> dict[str, Column]:
 BASE_RULES = ("short", "repeats")
 
 
-def shrunk_rates(counts: DataFrame, names: list[str]) -> DataFrame:
-    """Host rates shrunk with a beta prior per rule.
+def shrunk_rates(counts: DataFrame, names: list[str]) -> tuple[DataFrame, dict[str, float]]:
+    """Host rates shrunk with a beta prior per rule, and the rate of all documents
+    per rule, the prior's mean.
 
-    ``counts`` has a row per host: ``n`` and a failure count per rule.  Prior
-    mean m and variance v are those of the host rates; the prior weight is
-    m (1 - m) / v - 1, at least 1 (and 1 where the hosts do not differ).
+    ``counts`` has a row per host: ``n`` and a failure count per rule.  With N documents
+    on K hosts, mean m and spread S = sum n (rate - m)^2, the expected spread is
+    m (1 - m) (K - 1 + rho (N - sum n^2 / N - (K - 1))).
     """
-    rate = {r: F.col(r) / F.col("n") for r in names}
+    n = F.col("n").cast("double")
     # one row of scalars
-    prior = counts.agg(*[F.avg(rate[r]).alias(f"m_{r}") for r in names],
-                       *[F.var_pop(rate[r]).alias(f"v_{r}") for r in names]).first()
-    out = []
+    total = counts.agg(F.count(F.lit(1)).alias("hosts"), F.sum("n").alias("n"),
+                       F.sum(n * n).alias("squares"),
+                       *[F.sum(r).alias(f"x_{r}") for r in names],
+                       *[F.sum(F.col(r) / n * F.col(r)).alias(f"s_{r}") for r in names]).first()
+    out, means = [], {}
     for r in names:
-        m, v = prior[f"m_{r}"] or 0.0, prior[f"v_{r}"] or 0.0
-        weight = max(1.0, m * (1 - m) / v - 1) if v > 0 else 1.0
+        means[r] = m = total[f"x_{r}"] / total["n"] if total["n"] else 0.0
+        rho = _between_hosts(total, m, total[f"s_{r}"])
+        if rho <= 0:
+            out.append(F.lit(m).alias(r))
+            continue
+        weight = max(LEAST_WEIGHT, 1 / rho - 1)
         out.append(((F.col(r) + F.lit(m * weight)) / (F.col("n") + F.lit(weight))).alias(r))
-    return counts.select("source", *out)
+    return counts.select("source", *out), means
+
+
+def _between_hosts(total, m: float, squares: float | None) -> float:
+    """rho: the share of a rule's spread that hosts explain; 0 where it cannot be told."""
+    if not 0 < m < 1:
+        return 0.0
+    spare = total["hosts"] - 1
+    room = total["n"] - total["squares"] / total["n"] - spare
+    spread = squares - total["n"] * m * m
+    return (spread / (m * (1 - m)) - spare) / room if room > ROOM else 0.0
 
 
 def judge(docs: DataFrame, host_limit: float = HOST_LIMIT) -> DataFrame:
@@ -132,11 +156,15 @@ def judge(docs: DataFrame, host_limit: float = HOST_LIMIT) -> DataFrame:
     counts = (flagged.where(F.col("source").isNotNull()).groupBy("source")
               .agg(F.count(F.lit(1)).alias("n"),
                    *[F.sum(found[r].cast("long")).alias(r) for r in names]))
-    hosts = shrunk_rates(counts, names).select(
-        F.col("source").alias("_host"), F.greatest(*names).alias("host_rate"))
+    rates, means = shrunk_rates(counts, names)
+    over = F.lit(False)
+    for r in names:
+        over = over | (F.col(r) > F.lit(means[r] + (1 - means[r]) * host_limit))
+    hosts = rates.select(F.col("source").alias("_host"), F.greatest(*names).alias("host_rate"),
+                         over.alias("_over"))
     # Spark broadcasts the host table only when its size allows, else it splits hot hosts
     joined = flagged.join(hosts, F.col("source") == F.col("_host"), "left")
-    host_failed = F.coalesce(F.col("host_rate") > host_limit, F.lit(False))
+    host_failed = F.coalesce(F.col("_over"), F.lit(False))
     return joined.select(
         "doc_id", *MEASURES, "base_failed",
         (~F.col("base_failed") & ~host_failed).alias("kept"),
@@ -147,10 +175,16 @@ def op3_host_rules(spark, sf_dir) -> DataFrame:
     return judge(load_table(spark, sf_dir, "documents"))
 
 
+def _rho_sql(r: str) -> str:
+    return (f"CASE WHEN x_{r} > 0 AND x_{r} < n AND n - n2 / n - (k - 1) > {ROOM} THEN "
+            f"((s_{r} - x_{r} * (x_{r} / n)) / ((x_{r} / n) * (1 - x_{r} / n)) - (k - 1)) "
+            "/ (n - n2 / n - (k - 1)) ELSE 0 END")
+
+
 def _rate_sql(r: str) -> str:
-    weight = (f"CASE WHEN v_{r} > 0 THEN greatest(1.0, m_{r} * (1 - m_{r}) / v_{r} - 1) "
-              "ELSE 1.0 END")
-    return f"({r} + m_{r} * {weight}) / (n + {weight})"
+    weight = f"greatest({LEAST_WEIGHT}, 1 / rho_{r} - 1)"
+    return (f"CASE WHEN rho_{r} > 0 THEN (h.{r} + m_{r} * {weight}) / (h.n + {weight}) "
+            f"ELSE m_{r} END")
 
 
 _NAMES = ("short", "repeats", "symbols", "dup_lines")
@@ -187,12 +221,17 @@ f AS (
 h AS (
   SELECT source, count(*) AS n, {", ".join(f"sum({r}::int) AS {r}" for r in _NAMES)}
   FROM f WHERE source IS NOT NULL GROUP BY source),
-p AS (SELECT {", ".join(f"avg({r} / n) AS m_{r}, var_pop({r} / n) AS v_{r}" for r in _NAMES)}
+t AS (SELECT count(*) AS k, sum(n) AS n, sum(n::DOUBLE * n) AS n2,
+             {", ".join(f"sum({r}) AS x_{r}, sum({r}::DOUBLE * {r} / n) AS s_{r}" for r in _NAMES)}
       FROM h),
-v AS (SELECT source, greatest({", ".join(_rate_sql(r) for r in _NAMES)}) AS host_rate FROM h, p)
+p AS (SELECT {", ".join(f"x_{r} / n AS m_{r}, {_rho_sql(r)} AS rho_{r}" for r in _NAMES)} FROM t),
+q AS (SELECT source, {", ".join(f"m_{r}, {_rate_sql(r)} AS r_{r}" for r in _NAMES)} FROM h, p),
+v AS (SELECT source, greatest({", ".join(f"r_{r}" for r in _NAMES)}) AS host_rate,
+             {" OR ".join(f"r_{r} > m_{r} + (1 - m_{r}) * {HOST_LIMIT}" for r in _NAMES)} AS over
+      FROM q)
 SELECT doc_id, {", ".join(MEASURES)}, short OR repeats AS base_failed,
-       NOT (short OR repeats) AND NOT coalesce(host_rate > {HOST_LIMIT}, false) AS kept,
-       round(host_rate, 6) AS host_rate, coalesce(host_rate > {HOST_LIMIT}, false) AS host_failed
+       NOT (short OR repeats) AND NOT coalesce(v.over, false) AS kept,
+       round(host_rate, 6) AS host_rate, coalesce(v.over, false) AS host_failed
 FROM f LEFT JOIN v ON f.source = v.source"""
 
 QUERIES = {"op3_host_rules": op3_host_rules}
