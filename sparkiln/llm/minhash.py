@@ -4,7 +4,10 @@
    distinct k-word shingle hashes, its MinHash samples, the samples' banded
    keys, and an odd sketch: every sample (i, minimum) flips one bit of a parity
    bitmap, so the population count of two bitmaps' XOR estimates how many
-   samples differ, precisely where few do.
+   samples differ, precisely where few do.  A second bitmap takes the parities of
+   the whole set instead of its samples: two of them differ in at most as many bits
+   as the sets in shingles, so a pair that differs in more than the threshold allows
+   for their sizes is surely no link, and no candidate either.
 2. *Classes*: texts with equal sets are one class; its smallest doc_id stands
    for it, so thousands of copies cost one row from here on.
 3. *Stars*: in every band bucket each member is a candidate of ``HUBS`` members
@@ -59,6 +62,7 @@ FINE_BANDS = 120
 FINE_ROWS = 8
 SKETCH_BITS = 512
 FINE_BITS = 4096
+PARITY_BITS = 1024  # of whole sets
 HUBS = 2  # members of a bucket that all others are compared with
 BLOCK = 256  # members of a bucket compared in one go
 FAMILY = 1024  # members of a family compared in one go
@@ -67,7 +71,7 @@ SIEVE_BITS = 1 << 26  # 8 MB
 SIEVE_IDS = 1 << 24  # more of them fill too many of the sieve's bits
 
 SKETCH = ("doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, "
-          "sketch array<long>")
+          "sketch array<long>, parity array<long>")
 SETS = "doc_id long, set_a long, set_b long, hashes array<long>"
 
 
@@ -114,6 +118,20 @@ def odd_sketch(minima: np.ndarray, bits: int) -> np.ndarray:
     return np.packbits(flips, axis=1)
 
 
+def set_parity(sets: np.ndarray, first: np.ndarray, bits: int) -> np.ndarray:
+    """Parity bitmaps (texts x bytes) of whole sets: every member flips a bit.  Two
+    of them differ in no more bits than the sets have members that are not shared."""
+    bit = (K.splitmix(~sets) % np.uint64(bits)).astype(np.int64)
+    out = np.zeros((len(first) - 1, bits // 8), np.uint8)
+    for lo in range(0, len(out), 128):
+        bounds = first[lo:lo + 129]
+        n = len(bounds) - 1
+        own = np.repeat(np.arange(n) * bits, np.diff(bounds))
+        flips = np.bincount(own + bit[bounds[0]:bounds[-1]], minlength=n * bits) & 1
+        out[lo:lo + n] = np.packbits(flips.astype(np.uint8).reshape(n, bits), axis=1)
+    return out
+
+
 def sketch_limit(threshold: float, samples: int = BANDS * ROWS_PER_BAND,
                  bits: int = SKETCH_BITS) -> int:
     """Largest XOR count that still is a candidate: the count expected at a
@@ -148,8 +166,9 @@ def sketch_documents(docs: DataFrame, k: int) -> DataFrame:
                 keys, bits = sketches(sets, first)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(lo, hi - lo), pa.array(np.diff(first)),
-                     *set_names(sets, first), _rows(keys), _rows(bits.view(np.uint64))],
-                    names=["doc_id", "n_shingles", "set_a", "set_b", "bands", "sketch"])
+                     *set_names(sets, first), _rows(keys), _rows(bits.view(np.uint64)),
+                     _rows(set_parity(sets, first, PARITY_BITS).view(np.uint64))],
+                    names=["doc_id", "n_shingles", "set_a", "set_b", "bands", "sketch", "parity"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SKETCH)
 
@@ -173,11 +192,18 @@ def odd_distance(a, b) -> Column:
     return F.aggregate(bits, F.lit(0), lambda n, x: n + x)
 
 
+def may_link(bits, total, percent: int):
+    """Whether sets of ``total`` members in all, whose parity bitmaps differ in
+    ``bits``, can be as similar as ``percent``; numbers, arrays or columns."""
+    return bits * (100 + percent) <= total * (100 - percent)
+
+
 def near_pairs(group: np.ndarray, side: np.ndarray, node: np.ndarray, component: np.ndarray,
-               sketch: np.ndarray, band: np.ndarray, whole: np.ndarray, bands: np.ndarray,
-               limit: int) -> tuple[np.ndarray, np.ndarray]:
+               sketch: np.ndarray, parity: np.ndarray, size: np.ndarray, band: np.ndarray,
+               whole: np.ndarray, bands: np.ndarray, limit: int, percent: int
+               ) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of a side-0 and a side-1 row of the same group (numbered from 0, in
-    order) that lie in different components, pass the sketch test and share one of
+    order) that lie in different components, pass the sketch tests and share one of
     their ``bands``, in groups that are not ``whole`` families the group's ``band``
     and no earlier one."""
     zero, one = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
@@ -196,6 +222,9 @@ def near_pairs(group: np.ndarray, side: np.ndarray, node: np.ndarray, component:
         x, y = x[apart], y[apart]
         away = np.bitwise_count(sketch[x] ^ sketch[y]).sum(axis=1, dtype=np.int64)
         x, y = x[away <= limit], y[away <= limit]
+        apart = np.bitwise_count(parity[x] ^ parity[y]).sum(axis=1, dtype=np.int64)
+        close = may_link(apart, size[x] + size[y], percent)
+        x, y = x[close], y[close]
         shared = bands[x] == bands[y]
         own = bands[x, shared.argmax(axis=1)] == band[x]
         here = np.where(whole[x], shared.any(axis=1), own)
@@ -207,17 +236,20 @@ def near_pairs(group: np.ndarray, side: np.ndarray, node: np.ndarray, component:
     return np.maximum(a, b), np.minimum(a, b)
 
 
-def _block_pairs(limit: int):
+def _block_pairs(limit: int, percent: int):
     """``near_pairs`` over rows in order of (band, i, j), whole groups at a time."""
     def solve(table: pa.Table) -> pa.RecordBatch:
         keys = np.stack([table.column(c).to_numpy().astype(np.int64) for c in ("band", "i", "j")])
         fresh = np.concatenate([[0], (keys[:, 1:] != keys[:, :-1]).any(axis=0)]).astype(np.int64)
         rows = table.num_rows
-        sketch, bands = (table.column(c).combine_chunks().flatten().to_numpy().reshape(rows, -1)
-                         for c in ("sketch", "bands"))
+        sketch, parity, bands = (
+            table.column(c).combine_chunks().flatten().to_numpy().reshape(rows, -1)
+            for c in ("sketch", "parity", "bands"))
         a, b = near_pairs(np.cumsum(fresh), table.column("side").to_numpy(),
                           table.column("node").to_numpy(), table.column("component").to_numpy(),
-                          sketch.view(np.uint64), keys[0], keys[1] < 0, bands, limit)
+                          sketch.view(np.uint64), parity.view(np.uint64),
+                          table.column("n_shingles").to_numpy(), keys[0], keys[1] < 0, bands,
+                          limit, percent)
         pairs = np.unique(np.stack([a, b], axis=1), axis=0)
         return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])],
                                           names=["a", "b"])
@@ -308,9 +340,9 @@ def placed_in(buckets: DataFrame, found: DataFrame | None) -> DataFrame:
         "band", "node", F.coalesce("component", "node").alias("component"))
 
 
-def star_pairs(placed: DataFrame, marks: DataFrame, limit: int) -> DataFrame:
+def star_pairs(placed: DataFrame, marks: DataFrame, limit: int, percent: int) -> DataFrame:
     """(member, hub of its bucket) pairs of different components that pass the
-    sketch test; the hubs of a bucket are drawn by hash."""
+    sketch tests; the hubs of a bucket are drawn by hash."""
     def drawn(turn: int):
         return F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node", "component"))
 
@@ -321,9 +353,12 @@ def star_pairs(placed: DataFrame, marks: DataFrame, limit: int) -> DataFrame:
         .select("band", "hub.node", "hub.component").toDF("band", "b", "of"))
     pairs = (placed.join(hubs, "band").where("component != of")
              .select(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b")).distinct())
-    sketch = marks.select("node", "sketch")
-    both = pairs.join(sketch.toDF("a", "left"), "a").join(sketch.toDF("b", "right"), "b")
-    return both.where(odd_distance("left", "right") <= limit).select("a", "b")
+    sketch = marks.select("node", "sketch", "parity", "n_shingles")
+    both = (pairs.join(sketch.toDF("a", "left", "left_set", "left_n"), "a")
+            .join(sketch.toDF("b", "right", "right_set", "right_n"), "b"))
+    return both.where(odd_distance("left", "right") <= limit).where(may_link(
+        odd_distance("left_set", "right_set"), F.col("left_n") + F.col("right_n"), percent)
+    ).select("a", "b")
 
 
 def families(open_: DataFrame, members: DataFrame) -> DataFrame:
@@ -336,8 +371,8 @@ def families(open_: DataFrame, members: DataFrame) -> DataFrame:
         "top", "all", "out")
 
 
-def closure_pairs(placed: DataFrame, marks: DataFrame, limit: int) -> DataFrame:
-    """Cross-component pairs that share a bucket and pass the sketch test.  In a
+def closure_pairs(placed: DataFrame, marks: DataFrame, limit: int, percent: int) -> DataFrame:
+    """Cross-component pairs that share a bucket and pass the sketch tests.  In a
     bucket of two the star was the only pair."""
     parts = placed.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n"))
     open_ = materialize(parts.groupBy("band").agg(
@@ -358,9 +393,10 @@ def closure_pairs(placed: DataFrame, marks: DataFrame, limit: int) -> DataFrame:
         {"band": F.col("top"), "whole": F.lit(True)}).select(*group, *blocks(FAMILY))
     by_bucket = placed.join(open_.join(whole.select("top"), "top", "left_anti"), "band").withColumn(
         "whole", F.lit(False)).select(*group, *blocks(BLOCK))
-    members = by_family.unionByName(by_bucket).join(marks.select("node", "sketch", "bands"), "node")
+    sketch = ["sketch", "parity", "n_shingles", "bands"]
+    members = by_family.unionByName(by_bucket).join(marks.select("node", *sketch), "node")
     h = F.xxhash64("node")
-    cols = ["band", "node", "component", "sketch", "bands"]
+    cols = ["band", "node", "component", *sketch]
 
     # all members, met by each block of those outside the largest component
     every = members.select(*cols, "whole", F.explode(F.sequence(F.lit(0), F.col("few") - 1)).alias("i"),
@@ -373,11 +409,11 @@ def closure_pairs(placed: DataFrame, marks: DataFrame, limit: int) -> DataFrame:
     # the blocks of a family are numbered from -1 down
     numbered = both.withColumn("i", F.when(F.col("whole"), -1 - F.col("i")).otherwise(F.col("i")))
     sent = numbered.drop("whole").repartition(*order).sortWithinPartitions(*order)
-    return sent.mapInArrow(_block_pairs(limit), "a long, b long").distinct()
+    return sent.mapInArrow(_block_pairs(limit, percent), "a long, b long").distinct()
 
 
 def fine_marks(nodes: DataFrame, classes: DataFrame, docs: DataFrame, k: int) -> DataFrame:
-    """node, fine bands and fine odd sketch of classes in crowded buckets, written."""
+    """node, fine bands and fine bitmaps of classes in crowded buckets, written."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 128):
@@ -386,13 +422,16 @@ def fine_marks(nodes: DataFrame, classes: DataFrame, docs: DataFrame, k: int) ->
                 first = np.concatenate([[0], np.cumsum([len(x) for x in lists])])
                 minima, keys = band_keys(np.concatenate(lists), first, FINE_BANDS, FINE_ROWS)
                 bits = odd_sketch(minima, FINE_BITS).view(np.uint64)
+                parity = set_parity(np.concatenate(lists), first, FINE_BITS).view(np.uint64)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("node"), _rows(keys), _rows(bits)],
-                    names=["node", "bands", "sketch"])
+                    [part.column("node"), pa.array(np.diff(first)), _rows(keys), _rows(bits),
+                     _rows(parity)],
+                    names=["node", "n_shingles", "bands", "sketch", "parity"])
 
     sets, rows = candidate_sets(nodes, classes, docs, k)
     return materialize(rows.join(sets, "row").select("node", "hashes").mapInArrow(
-        run, "node long, bands array<long>, sketch array<long>"), "fine")
+        run, "node long, n_shingles long, bands array<long>, sketch array<long>, "
+        "parity array<long>"), "fine")
 
 
 def shared_buckets(banded: DataFrame) -> DataFrame:
@@ -427,7 +466,7 @@ def link_classes(classes: DataFrame, docs: DataFrame, same: DataFrame, k: int, p
     """(node, component) of the classes that are linked to others."""
     buckets = shared_buckets(classes.select("node", F.explode("bands").alias("band")))
     linker = Linker(classes, docs, same, k, percent)
-    linker.add(star_pairs(placed_in(buckets, None), classes, linker.limit))
+    linker.add(star_pairs(placed_in(buckets, None), classes, linker.limit, percent))
     placed = placed_in(buckets, linker.found)
     open_ = materialize(placed.groupBy("band").agg(
         F.count(F.lit(1)).alias("n"), F.min("component").alias("low"),
@@ -440,11 +479,11 @@ def link_classes(classes: DataFrame, docs: DataFrame, same: DataFrame, k: int, p
         fine = fine_marks(nodes, classes, docs, k)
         again = shared_buckets(fine.select("node", F.explode("bands").alias("band")))
         limit = sketch_limit(percent / 100, FINE_BANDS * FINE_ROWS, FINE_BITS)
-        linker.add(star_pairs(placed_in(again, linker.found), fine, limit))
-        rest = closure_pairs(placed_in(again, linker.found), fine, limit)
+        linker.add(star_pairs(placed_in(again, linker.found), fine, limit, percent))
+        rest = closure_pairs(placed_in(again, linker.found), fine, limit, percent)
     else:
         rest = None
-    pairs = closure_pairs(placed_in(left, linker.found), classes, linker.limit)
+    pairs = closure_pairs(placed_in(left, linker.found), classes, linker.limit, percent)
     linker.add(pairs if rest is None else pairs.unionByName(rest).distinct())
     return linker.found
 
@@ -459,7 +498,7 @@ def link_documents(docs: DataFrame, k: int, percent: int) -> DataFrame:
     # numbered as written, so the numbers are fixed
     classes = materialize(named.groupBy(*name).agg(
         F.min("doc_id").alias("rep"), F.first("bands").alias("bands"),
-        F.first("sketch").alias("sketch"))
+        F.first("sketch").alias("sketch"), F.first("parity").alias("parity"))
         .withColumn("node", F.monotonically_increasing_id()), "classes")
     members = materialize(named.select("doc_id", *name).join(
         classes.select(*name, "node"), name).select("doc_id", "n_shingles", "node"), "members")

@@ -76,6 +76,31 @@ def test_odd_sketch_tells_similar_from_dissimilar():
     assert M.sketch_limit(0.85) < M.sketch_limit(0.8)
 
 
+def test_parities_of_sets_never_exceed_their_difference():
+    """So the test on them loses no link, however large the sets are."""
+    import numpy as np
+    rng = np.random.default_rng(1)
+    for size in (0, 1, 40, 700, 9000):
+        base = np.unique(rng.integers(0, 2**63, size, dtype=np.uint64))
+        for edits in (0, 1, size // 50, size // 12, size // 2):
+            other = np.unique(np.concatenate([base[edits:], rng.integers(
+                0, 2**63, edits, dtype=np.uint64)]))
+            first = np.array([0, len(base), len(base) + len(other)])
+            for bits in (M.PARITY_BITS, M.FINE_BITS):
+                maps = M.set_parity(np.concatenate([base, other]), first, bits)
+                away = int(np.bitwise_count(maps[0] ^ maps[1]).sum())
+                shared, union = len(np.intersect1d(base, other)), len(np.union1d(base, other))
+                assert away <= union - shared
+                if 100 * shared >= 85 * union:
+                    assert M.may_link(away, len(base) + len(other), 85)
+    many = rng.integers(0, 2**63, 3000, dtype=np.uint64)  # more texts than one turn takes
+    first = np.concatenate([[0], np.sort(rng.integers(0, 3000, 299)), [3000]])
+    maps = M.set_parity(many, first, 128)
+    for i in (0, 127, 128, 255, 256, 299):
+        assert (maps[i] == M.set_parity(many[first[i]:first[i + 1]],
+                                        np.array([0, first[i + 1] - first[i]]), 128)[0]).all()
+
+
 def test_near_pairs_equal_all_pairs(monkeypatch):
     import numpy as np
     import pyarrow as pa
@@ -84,20 +109,24 @@ def test_near_pairs_equal_all_pairs(monkeypatch):
     band, side = np.sort(rng.integers(0, 9, n)), rng.integers(0, 2, n).astype(np.int32)
     node, component = rng.permutation(n), rng.integers(0, 30, n)
     sketch = rng.integers(0, 2**63, (n, 8), dtype=np.uint64)
+    parity = rng.integers(0, 2**63, (n, 2), dtype=np.uint64)
+    size = rng.integers(50, 800, n)
     bands = np.stack([band, rng.integers(0, 40, n)], axis=1)[:, ::-1].copy()
     want = {(max(node[x], node[y]), min(node[x], node[y])) for x in range(n) for y in range(n)
             if side[x] == 0 and side[y] == 1 and band[x] == band[y]
             and bands[x][0] != bands[y][0]
             and component[x] != component[y]
-            and np.bitwise_count(sketch[x] ^ sketch[y]).sum() <= 255}
+            and np.bitwise_count(sketch[x] ^ sketch[y]).sum() <= 255
+            and 185 * np.bitwise_count(parity[x] ^ parity[y]).sum() <= 15 * (size[x] + size[y])}
     rows = pa.table({"band": band, "i": band * 0, "j": band * 0, "side": side, "node": node,
-                     "component": component, "sketch": M._rows(sketch), "bands": M._rows(bands)})
+                     "component": component, "sketch": M._rows(sketch), "parity": M._rows(parity),
+                     "n_shingles": size, "bands": M._rows(bands)})
     for pairs, size in ((7, 120), (10**6, 11)):
         monkeypatch.setattr(M, "PAIRS_AT_ONCE", pairs)
         got = set()
-        for out in M._block_pairs(255)(iter(rows.to_batches(max_chunksize=size))):
+        for out in M._block_pairs(255, 85)(iter(rows.to_batches(max_chunksize=size))):
             got |= set(zip(*(out.column(c).to_pylist() for c in "ab")))
-        assert got == want and len(want) > 50
+        assert got == want and len(want) > 20
 
 
 def test_components_of_long_chains(spark):
