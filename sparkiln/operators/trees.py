@@ -8,6 +8,9 @@ many tasks), which gives the squared error of every possible cut, and the best c
 of each node splits its cells.  A node of few cells is finished by one task, with the
 same rule, so deep branches cost no further passes.
 
+With one feature the order of the cells never changes and a node is an interval: the
+sums are added up once, and a level is one pass over them (``_line_cuts``).
+
 Rules: a cut lies half-way between two neighbouring values, ``x <= threshold`` goes
 left; the cut with the smallest squared error wins, on ties the first
 feature, then the smallest value; a node ends when its labels are equal or
@@ -17,19 +20,21 @@ a row with a missing feature has no prediction.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sparkiln.functions.literals import literal_rows, plain_value
 from sparkiln.session import materialize
 
 LOCAL_CELLS = 65_536  # distinct feature rows of a node that one task may finish
+LINE_CELLS = 100_000  # cells of a range of values where there is one feature
 GROUP = 64  # leaves of a node that a row is compared with in one go
 INF = float("inf")
 
@@ -141,6 +146,8 @@ def fit_tree(train: DataFrame, features: Sequence[str], label: str,
     box = [f"{side}{j}" for j in range(d) for side in ("lo", "hi")]
     schema = "node string, " + ", ".join(f"{b} double" for b in box) + ", value double"
     splits, leaves, small = [], [], []
+    if d == 1:
+        splits, cells = _line_cuts(cells, local_cells)
 
     def finish(part: pd.DataFrame) -> pd.DataFrame:
         boxes = local_boxes(part[names].to_numpy(), *[part[c].to_numpy()
@@ -184,6 +191,108 @@ def fit_tree(train: DataFrame, features: Sequence[str], label: str,
     return RegressionTree(list(features), splits, made, not leaves)
 
 
+def _line_cuts(cells: DataFrame, local_cells: int) -> tuple[list[DataFrame], DataFrame]:
+    """The cuts of the nodes that are too large for one task, where there is one feature:
+    as tables (node, feature, threshold) of a balanced search tree over all of them, and the
+    cells with the leaf of that search tree as their node.
+
+    ``staged`` has the cells in ranges of the value, with sums along the range.  What the
+    driver holds is a row per range and per open node: a node's sums at a cell are those of
+    the cell's range and those of the ranges before it that lie in the node."""
+    spark = cells.sparkSession
+    n = cells.count()
+    if n <= local_cells:
+        return [], cells
+    ranged = cells.repartitionByRange(max(2, -(-n // LINE_CELLS)), "f0").withColumn(
+        "part", F.spark_partition_id())
+    order = Window.partitionBy("part").orderBy("f0")
+    along = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # written: the bounds of a range shuffle come from a sample
+    staged = materialize(materialize(ranged, "tree-values").select(
+        "part", "f0", "n", "s", "low", "high", F.row_number().over(order).alias("at"),
+        F.sum("n").over(along).alias("n_to"), F.sum("s").over(along).alias("s_to"),
+        F.lead("f0").over(order).alias("above")), "tree-line")
+    parts = [r.asDict() for r in staged.groupBy("part").agg(
+        F.min("f0").alias("least"), F.count(F.lit(1)).alias("cells"), F.sum("n").alias("n"),
+        F.sum("s").alias("s")).orderBy("part").collect()]
+    numbers = [p["part"] for p in parts]
+    table = "part int, node int, at0 int, at1 int, n0 long, s0 double, whole long, total double"
+
+    def start(p: int) -> tuple:
+        return p, 0, 0, 0.0  # a place: range, cells, n and s of the range up to it
+
+    def end(p: int) -> tuple:
+        return p, parts[p]["cells"], parts[p]["n"], parts[p]["s"]
+
+    def pieces(lo: tuple, hi: tuple) -> list[tuple]:
+        """What lies between two places, by range."""
+        both = [(lo if p == lo[0] else start(p), hi if p == hi[0] else end(p))
+                for p in range(lo[0], hi[0] + 1)]
+        return [(a, b) for a, b in both if b[1] > a[1]]
+
+    open_ = [(start(0), end(len(parts) - 1))]
+    cuts: list[float] = []
+    while open_:
+        rows = []
+        for i, node in enumerate(open_):
+            held = pieces(*node)
+            whole, total = sum(b[2] - a[2] for a, b in held), math.fsum(b[3] - a[3] for a, b in held)
+            n0, s0 = 0, 0.0
+            for a, b in held:
+                rows.append((numbers[a[0]], i, a[1], b[1], n0 - a[2], s0 - a[3], whole, total))
+                n0, s0 = n0 + b[2] - a[2], s0 + b[3] - a[3]
+        met = staged.join(F.broadcast(literal_rows(spark, rows, table)), "part").where(
+            "at > at0 AND at <= at1")
+        left_n, left_s = F.col("n_to") + F.col("n0"), F.col("s_to") + F.col("s0")
+        rest_n, rest_s = F.col("whole") - left_n, F.col("total") - left_s
+        gain = left_s * left_s / left_n + rest_s * rest_s / rest_n
+        cut = F.when(rest_n > 0, F.struct(gain.alias("gain"), (-F.col("f0")).alias("below"), "part",
+                                          "at", "n_to", "s_to", "above"))
+        found = met.groupBy("node").agg(F.max(cut).alias("cut"), F.min("low").alias("least"),
+                                        F.max("high").alias("most")).collect()
+        deeper = []
+        for r in found:
+            if r["least"] == r["most"]:
+                continue  # equal labels: one leaf
+            c, p, (lo, hi) = r["cut"], numbers.index(r["cut"]["part"]), open_[r["node"]]
+            below = -c["below"]
+            above = c["above"] if c["above"] is not None else parts[p + 1]["least"]
+            middle = below / 2 + above / 2
+            cuts.append(middle if middle < above else below)
+            place = (p, c["at"], c["n_to"], c["s_to"])
+            deeper += [child for child in ((lo, place), (place, hi))
+                       if sum(b[1] - a[1] for a, b in pieces(*child)) > local_cells]
+        open_ = deeper
+    return _search_tree(spark, sorted(cuts), cells)
+
+
+def _search_tree(spark: SparkSession, cuts: list[float], cells: DataFrame
+                 ) -> tuple[list[DataFrame], DataFrame]:
+    """Tables of a balanced search tree over the sorted ``cuts``, a level each, and the
+    cells with the interval that they fall into as their node."""
+    splits, level = [], [("", 0, len(cuts))]
+    while level:
+        rows, below = [], []
+        for node, a, b in level:
+            if a < b:
+                mid = (a + b) // 2
+                rows.append((node, 0, cuts[mid]))
+                below += [(node + "L", a, mid), (node + "R", mid + 1, b)]
+        if rows:
+            splits.append(literal_rows(spark, rows, "node string, feature int, threshold double"))
+        level = below
+    for table in splits:
+        cells = _descend(cells, table, ["f0"], ["n", "s", "low", "high"])
+    return splits, materialize(cells, "tree-cells") if splits else cells
+
+
+def _descend(rows: DataFrame, cuts: DataFrame, names: list[str], keep: list[str]) -> DataFrame:
+    """Rows one level further down: those of a node without a cut stay."""
+    return rows.join(cuts, "node", "left").select(
+        *keep, *names, F.when(F.col("feature").isNull(), F.col("node"))
+        .otherwise(_turn([F.col(c) for c in names])).alias("node"))
+
+
 def _turn(values: Sequence[Column]) -> Column:
     value = F.get(F.array(*values), F.col("feature"))
     return F.concat("node", F.when(value <= F.col("threshold"), "L").otherwise("R"))
@@ -200,9 +309,7 @@ def predict_tree(tree: RegressionTree, df: DataFrame, features: Sequence[str] |
                      plain_value("").alias("node"))
     names = [f"f{j}" for j in range(d)]
     for cuts in tree.splits:
-        rows = rows.join(cuts, "node", "left").select(
-            "row", *names, F.when(F.col("feature").isNull(), F.col("node"))
-            .otherwise(_turn([F.col(c) for c in names])).alias("node"))
+        rows = _descend(rows, cuts, names, ["row"])
     missing = reduce(lambda a, b: a | b, [F.col(c).isNull() | F.isnan(c) for c in names])
     # which groups of leaves, then which leaf: one for each row without missing features
     edges = [agg for c in names for agg in (F.min(f"lo{c[1:]}").alias(f"lo{c[1:]}"),

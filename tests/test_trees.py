@@ -73,3 +73,24 @@ def test_depth_is_not_limited(spark):
     train = spark.createDataFrame(rows, "x double, y double")
     got = T.predict_tree(T.fit_tree(train, ["x"], "y"), train).collect()
     assert all(r["y_pred"] == r["y"] for r in got) and len(got) == 60
+
+
+@pytest.mark.parametrize("line_cells", [7, 1000])
+def test_one_feature_needs_no_pass_per_node(spark, monkeypatch, line_cells):
+    """The cuts of large nodes come from sums added up once: equal to the tree grown in one
+    place, without a range shuffle per level and with few tables to descend through."""
+    monkeypatch.setattr(T, "LINE_CELLS", line_cells)
+    rnd = random.Random(8)
+    rows = [((rnd.randrange(90) / 4,), rnd.randrange(50) * 1.0) for _ in range(300)]
+    tree = grow(rows)
+    train = spark.createDataFrame([(*x, y) for x, y in rows], "x double, y double")
+    shuffles = []
+    monkeypatch.setattr(T, "_along", lambda *a: shuffles.append(a))
+    fitted = T.fit_tree(train, ["x"], "y", local_cells=5)
+    assert not shuffles and 1 < len(fitted.splits) <= 7
+    points = [(i, rnd.uniform(-1, 24)) for i in range(200)] + [
+        (200 + i, x[0]) for i, (x, _) in enumerate(rows)]
+    got = {r["i"]: r["y_pred"] for r in T.predict_tree(
+        fitted, spark.createDataFrame(points, "i long, x double")).collect()}
+    assert len(got) == len(points)
+    assert all(math.isclose(got[i], value(tree, (x,))) for i, x in points)
