@@ -95,6 +95,20 @@ class RoundReport:
         literal_rows(self.spark, [(float(loss),)], self.LOSS).write.mode("overwrite").parquet(
             f"{self.path}/loss/iteration={iteration}")
 
+    def write_end(self, iteration: int) -> None:
+        """The round after which the run's own rules stop it."""
+        literal_rows(self.spark, [(iteration,)], "last int").write.mode("overwrite").parquet(
+            f"{self.path}/end")
+
+    def ended(self, done: int) -> bool:
+        """Whether the run stopped by its own rules at the last reported round."""
+        try:
+            return self.spark.read.schema("last int").parquet(f"{self.path}/end").first()[0] == done
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return False
+
     def _table(self, kind: str, schema: str) -> DataFrame:
         return self.spark.read.schema(f"{schema}, iteration int").parquet(f"{self.path}/{kind}")
 

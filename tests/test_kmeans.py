@@ -78,3 +78,36 @@ def test_rounds_do_not_shuffle_the_vectors(spark):
                 tiles.vectors.unpersist()
         finally:
             KM.BLOCK_TERMS = old
+
+
+def test_seeding_exchanges_candidates_only(spark):
+    """The nearest candidate comes from the vectors as they lie by document; results equal
+    those computed in one place, with candidates that share no term and zero vectors."""
+    import math
+    import random
+
+    from sparkiln.session import planned_with
+    rnd = random.Random(6)
+    docs = {d: {t: float(rnd.randrange(1, 9)) for t in rnd.sample(range(40), 5)} for d in range(60)}
+    docs[60], docs[61] = {3: 0.0}, {99: 2.0}
+    tri = spark.createDataFrame([(d, t, v) for d, ts in docs.items() for t, v in ts.items()],
+                                "doc_id long, term_id int, tfidf double")
+    vectors = KM._doc_partitioned(tri, "doc_id", "term_id", "tfidf")
+    norms = KM.doc_norms(vectors).persist()
+    norms.count()
+    cands = [5, 60, 17, 61]
+    length = {d: math.sqrt(sum(v * v for v in ts.values())) for d, ts in docs.items()}
+    with planned_with(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        near = KM._nearest_candidate(vectors, norms, cands, length, 7)
+        plan = near._jdf.queryExecution().executedPlan().toString().splitlines()
+        join = next(i for i, line in enumerate(plan) if "BroadcastHashJoin" in line)
+        assert not any("Exchange" in line for line in plan[join - 4:join])  # the sums per document
+        assert not any("SortMergeJoin" in line for line in plan)
+        got = {r["doc"]: (r["dist"], r["ci"]) for r in near.collect()}
+    assert set(got) == set(docs)
+    for d, ts in docs.items():
+        want = min((1 - sum(v * docs[c].get(t, 0.0) for t, v in ts.items()) / length[d] / length[c],
+                    7 + i) for i, c in enumerate(cands) if length[c]) if length[d] else (math.inf, 7)
+        assert math.isclose(got[d][0], want[0], abs_tol=1e-12) and got[d][1] == want[1]
+    norms.unpersist()
+    vectors.unpersist()

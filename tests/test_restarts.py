@@ -150,3 +150,17 @@ def test_trend_deltas_of_a_killed_batch_are_not_published(spark, monkeypatch):
     assert len({tuple(batch(n)) for n in (1, 2, 3)}) == 3
     alerts = spark.read.text(f"{base}/out/alerts")
     assert alerts.where("value LIKE '%has doubled from%'").count() > 0
+
+
+def test_a_report_that_ended_by_its_rules_is_left_alone(spark, tmp_path):
+    """A run that converged within its rounds is not taken up again with more of them."""
+    rows = [(d, t, 1.0) for d in range(12) for t in ((1, 2) if d % 2 else (3, 4))]
+    tri = spark.createDataFrame(rows, "doc_id long, term_id int, tfidf double")
+    path = str(tmp_path / "report")
+    settings = dict(k=2, tol=1e-5, seed=3)
+    KM.report_clusters(tri, path, max_iter=8, **settings)
+    report = RoundReport(spark, path)
+    last = report.last_round()
+    assert 0 < last < 8 and report.ended(last)
+    KM.report_clusters(tri, path, max_iter=20, **settings)
+    assert report.last_round() == last and report.losses().count() == last
