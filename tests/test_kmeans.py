@@ -111,3 +111,35 @@ def test_seeding_exchanges_candidates_only(spark):
         assert math.isclose(got[d][0], want[0], abs_tol=1e-12) and got[d][1] == want[1]
     norms.unpersist()
     vectors.unpersist()
+
+
+def test_rounds_leave_the_tiles_with_more_shuffle_partitions(spark):
+    """More shuffle partitions than tiles: a whole run's joins still take the vectors as
+    they lie, and bring a centroid's row only to tiles that hold its term."""
+    from sparkiln import session
+
+    rows = [(d, t, 1.0 + (d * t) % 7) for d in range(60) for t in range(d % 5, 40, 3 + d % 4)]
+    tri = spark.createDataFrame(rows, "doc_id long, term_id int, tfidf double")
+    plans = []
+
+    def hook(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+
+    with session.planned_with(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                                      "spark.sql.shuffle.partitions": "67"}):
+        session.PLAN_HOOKS.append(hook)
+        try:
+            KM.kmeans_cosine(tri, k=3, max_iter=2, tol=-1.0, seed=4)
+        finally:
+            session.PLAN_HOOKS.remove(hook)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "67"
+    assert len(plans) == 5
+    for plan in plans:
+        lines = plan.splitlines()
+        scan = next(i for i, line in enumerate(lines) if "InMemoryTableScan [tile" in line and "value" in line)
+        join = max(i for i, line in enumerate(lines[:scan]) if "ShuffledHashJoin" in line)
+        assert not any("Exchange" in line for line in lines[join:scan])
+    tiles = KM.Tiles(tri, "doc_id", "term_id", "tfidf")
+    held = {(r["tile"], r["term"]) for r in tiles.vectors.select("tile", "term").distinct().collect()}
+    assert sorted(map(tuple, tiles.places.select("tile", "term").collect())) == sorted(held)
+    tiles.unpersist()
