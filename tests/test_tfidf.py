@@ -34,3 +34,23 @@ def test_dictionaries_rule(spark):
     assert [tuple(r) for r in vocab.collect()] == [(1, "cat")]    # dog, bird: one document
     tri = {(r["doc_id"], r["count"]) for r in doc_term_counts(counts, stop, vocab).collect()}
     assert tri == {(1, 2), (2, 1)}
+
+
+def test_counts_and_tf_take_one_exchange(spark, monkeypatch):
+    """Texts move once, by document, and are counted where they lie, in tasks of bounded
+    text; tf takes one exchange of the triples."""
+    from sparkiln import session
+    from sparkiln.operators import text as TX
+
+    docs = spark.createDataFrame([(i % 40, f"a{i % 7} b{i % 3} b{i % 3}") for i in range(50)],
+                                 "doc_id long, text string")
+    monkeypatch.setattr(TX, "TEXT_BYTES", 30)
+    plans = []
+    monkeypatch.setattr(session, "PLAN_HOOKS", [
+        lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString())])
+    triples = TX.corpus_triples(docs)
+    assert plans[0].count("Exchange ") == 1 and "hashpartitioning(doc_id" in plans[0]
+    assert int(plans[0].split("hashpartitioning(doc_id")[1].split(", ")[1].split(")")[0]) > 8
+    assert triples.agg({"count": "sum"}).first()[0] == 150
+    plan = TI.term_frequency(triples)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1
