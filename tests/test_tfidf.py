@@ -54,3 +54,34 @@ def test_counts_and_tf_take_one_exchange(spark, monkeypatch):
     assert triples.agg({"count": "sum"}).first()[0] == 150
     plan = TI.term_frequency(triples)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange ") == 1
+
+
+def test_triples_in_blocks_do_not_move(spark, monkeypatch):
+    """A vocabulary that is not broadcast, and df, are brought to the blocks of documents: no
+    job exchanges the counts or triples, and the rows are those of the plain way."""
+    from sparkiln import session
+    from sparkiln.operators import text as TX
+
+    rows = [(i % 40, f"a{i % 7} b{i % 3} b{i % 3} c{i}") for i in range(50)]
+    docs = spark.createDataFrame([*rows, (None, "a1 b1 z"), (None, "a1"), (3, None)],
+                                 "doc_id long, text string")
+    monkeypatch.setattr(TX, "TEXT_BYTES", 60)
+    plans = []
+    monkeypatch.setattr(session, "PLAN_HOOKS", [
+        lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString())])
+    with session.planned_with(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        triples, n = TX.corpus_blocks(docs, min_df=2)
+        assert n > 8 and triples.groupBy("doc_id").agg({"block": "count"}).count() == 41
+        # the blocks' terms, the stop words and the vocabulary by term; what is found, by block
+        assert plans[-1].count("Exchange hashpartitioning(term") == 3
+        assert plans[-1].count("Exchange hashpartitioning(block") == 1
+        assert plans[-1].count("Exchange ") == 4
+        plain = {tuple(r) for r in TI.tfidf(triples.drop("block")).collect()}
+        with session.planned_with(spark, session.in_blocks(n)):
+            got = TI.tfidf(triples, block="block")
+            plan = got._jdf.queryExecution().executedPlan().toString()
+            assert "hashpartitioning(doc_id" not in plan
+            assert {tuple(r) for r in got.collect()} == plain
+        tf = TI.term_frequency(triples, block="block")
+        assert "Exchange" not in tf._jdf.queryExecution().executedPlan().toString()
+        assert tf.count() == triples.where("doc_id IS NOT NULL").count()
