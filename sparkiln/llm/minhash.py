@@ -49,6 +49,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -173,17 +174,22 @@ def sketch_documents(docs: DataFrame, k: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SKETCH)
 
 
-def set_table(docs: DataFrame, k: int) -> DataFrame:
-    """Full shingle sets of a table of documents, with their names."""
+def set_table(docs: DataFrame, k: int, cells: Broadcast | None = None) -> DataFrame:
+    """Full shingle sets of a table of documents, with their names; with the ``cells`` of
+    a sieve, of the documents that pass it.  The worker that sifts a batch also makes its
+    sets, so that a task holds its texts in one Python process."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if cells is not None:
+                batch = sifted(batch, cells.value)
             for lo, hi, data, offsets in K.text_chunks(batch.column("text")):
                 sets, first = shingle_sets(data, offsets, k)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(lo, hi - lo), *set_names(sets, first),
                      K.long_lists(sets, first)], names=["doc_id", "set_a", "set_b", "hashes"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SETS)
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return (docs if cells is None else with_bit(docs)).mapInArrow(run, SETS)
 
 
 def odd_distance(a, b) -> Column:
@@ -284,23 +290,25 @@ def id_sieve(ids: DataFrame) -> np.ndarray:
     return cells
 
 
-def among(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is one of ``ids`` and, up to ``SIEVE_IDS`` ids,
-    few others: those are found by a sieve as the texts are scanned, so that no text is
-    shuffled.  More ids than a sieve tells apart are joined."""
-    if ids.count() > SIEVE_IDS:
-        return docs.join(ids.distinct(), "doc_id", "left_semi")
-    cells = docs.sparkSession.sparkContext.broadcast(id_sieve(ids))
+def with_bit(docs: DataFrame) -> DataFrame:
+    """The rows that have a doc_id, with the bit of the sieve that it is tested by."""
+    return docs.where("doc_id IS NOT NULL").select(
+        "doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(SIEVE_BITS)).alias("bit"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            bit = batch.column("bit").to_numpy()
-            held = (cells.value[bit >> 6] >> (bit & 63)) & 1
-            yield batch.filter(pa.array(held == 1)).select(["doc_id", "text"])
 
-    return docs.where("doc_id IS NOT NULL").select(
-        "doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(SIEVE_BITS)).alias("bit")
-    ).mapInArrow(run, "doc_id long, text string")
+def sifted(batch: pa.RecordBatch, cells: np.ndarray) -> pa.RecordBatch:
+    """The rows of a batch whose ``bit`` is set in a sieve."""
+    bit = batch.column("bit").to_numpy()
+    return batch.filter(pa.array((cells[bit >> 6] >> (bit & 63)) & 1 == 1))
+
+
+def sets_among(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
+    """Sets of the rows of ``docs`` whose doc_id is one of ``ids`` and, up to ``SIEVE_IDS``
+    ids, few others: those are found by a sieve as the texts are scanned, so that no
+    text is shuffled.  More ids than a sieve tells apart are joined."""
+    if ids.count() > SIEVE_IDS:
+        return set_table(docs.join(ids.distinct(), "doc_id", "left_semi"), k)
+    return set_table(docs, k, docs.sparkSession.sparkContext.broadcast(id_sieve(ids)))
 
 
 def candidate_sets(nodes: DataFrame, classes: DataFrame, docs: DataFrame, k: int
@@ -310,7 +318,7 @@ def candidate_sets(nodes: DataFrame, classes: DataFrame, docs: DataFrame, k: int
     wanted = materialize(nodes.distinct().join(
         classes.select("node", F.col("rep").alias("doc_id"), "set_a", "set_b"), "node"), "wanted")
     # numbered as written, so the numbers are fixed
-    sets = materialize(set_table(among(docs, wanted.select("doc_id")), k).withColumn(
+    sets = materialize(sets_among(docs, wanted.select("doc_id"), k).withColumn(
         "row", F.monotonically_increasing_id()), "sets")
     rows = materialize(sets.drop("hashes").join(wanted, ["doc_id", "set_a", "set_b"]).groupBy(
         "node").agg(F.min("row").alias("row")), "set_rows")

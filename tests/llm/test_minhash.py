@@ -155,3 +155,18 @@ def test_keep_one_goes_by_rows(spark, documents):
         [(None, copied), (None, alone), (None, None), (None, None), (7, a), (7, b), (1, near),
          (9, c)], key=repr)
     assert all(r._row == 1 for r in got)
+
+
+def test_texts_are_sifted_and_made_sets_by_one_worker(spark, documents, monkeypatch):
+    rows = [(i, f"a b c d{i}") for i in range(60)] + [(None, "a b c d0"), (7, "x y z"), (8, None)]
+    docs = documents(rows)
+    ids = spark.createDataFrame([(3,), (7,), (8,), (99,)], "doc_id long")
+    made = M.sets_among(docs, ids, 3)
+    assert made._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    want = sorted((r.doc_id, r.set_a, r.set_b, tuple(r.hashes)) for r in M.set_table(
+        docs.where("doc_id IN (3, 7, 8)"), 3).collect())
+    assert len(want) == 5
+    assert sorted((r.doc_id, r.set_a, r.set_b, tuple(r.hashes)) for r in made.collect()) == want
+    monkeypatch.setattr(M, "SIEVE_IDS", 2)  # more ids than the sieve takes: a join
+    assert sorted((r.doc_id, r.set_a, r.set_b, tuple(r.hashes))
+                  for r in M.sets_among(docs, ids, 3).collect()) == want
