@@ -143,3 +143,34 @@ def test_rounds_leave_the_tiles_with_more_shuffle_partitions(spark):
     held = {(r["tile"], r["term"]) for r in tiles.vectors.select("tile", "term").distinct().collect()}
     assert sorted(map(tuple, tiles.places.select("tile", "term").collect())) == sorted(held)
     tiles.unpersist()
+
+
+def test_tiles_written_by_block_are_taken_as_they_lie(spark):
+    """Vectors written by tile are not exchanged at all, centroids lie by term, so that a
+    round packs and compares them without an exchange; results equal those of plain rows."""
+    from sparkiln import session
+
+    rows = [(d, t, 1.0 + (d * t) % 7) for d in range(60) for t in range(d % 5, 40, 3 + d % 4)]
+    tri = spark.createDataFrame(rows, "doc_id long, term_id int, tfidf double")
+    blocks, tiles = 7, session.tiles_of_blocks(7, 4)
+    assert tiles == 4 and session.tiles_of_blocks(13, 12) == 7
+    assert session.tiles_of_blocks(3, 8) == 3
+    tile = session.tile_of(spark, "doc_id", blocks, tiles)
+    laid = session.materialize_blocks(
+        tri.repartition(blocks, "doc_id").withColumn("tile", tile), tiles, "tile", "tfidf")
+    got = KM.kmeans_cosine(laid, k=3, max_iter=3, tol=-1.0, seed=4, laid=(blocks, tiles))
+    near = KM.doc_centroid_distances(laid, got.centroids, 3, laid=(blocks, tiles))
+    packed = got.centroids.groupBy("term_id").count()
+    assert "Exchange" not in packed._jdf.queryExecution().executedPlan().toString()
+    want = KM.kmeans_cosine(tri, k=3, max_iter=3, tol=-1.0, seed=4)
+
+    def rounded(df):
+        return sorted(tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in df.collect())
+
+    for name in ("round_assignments", "round_centroids", "history", "losses"):
+        assert rounded(getattr(got, name)) == rounded(getattr(want, name))
+    assert rounded(near) == rounded(KM.doc_centroid_distances(tri, want.centroids, 3))
+    assert near.count() == 60 * 3
+    taken = KM.Tiles(laid, "doc_id", "term_id", "tfidf", (blocks, tiles))
+    assert "Exchange" not in taken.vectors._jdf.queryExecution().executedPlan().toString()
+    taken.unpersist()
