@@ -198,7 +198,7 @@ def q_cluster_report(spark, sf_dir):
     with the loss of their round.  The run is broken off after three rounds and
     continued from what the sink holds."""
     path = scratch_path(spark, "report")
-    triples = CAT._tfidf_written(spark, sf_dir)
+    triples = CAT._tfidf_packed(spark, sf_dir)
     settings = dict(k=P.KMEANS_COS_K, tol=P.KMEANS_COS_TOL, seed=P.KMEANS_SEED)
     KM.report_clusters(triples, path, max_iter=3, **settings)
     KM.report_clusters(triples, path, max_iter=P.KMEANS_COS_MAX_ITER, **settings)
